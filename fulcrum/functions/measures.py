@@ -18,18 +18,23 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-_ONE = F.lit(1.0)
-_ZERO = F.lit(0.0)
+
+def _one() -> Column:
+    return F.lit(1.0)
+
+
+def _zero() -> Column:
+    return F.lit(0.0)
 
 
 def flag_rate(flag: Column, where: Column | None = None) -> Column:
-    indicator = F.when(flag, _ONE).otherwise(_ZERO)
+    indicator = F.when(flag, _one()).otherwise(_zero())
     return F.avg(indicator if where is None else F.when(where, indicator))
 
 
 def strict_flag_rate(flag: Column, where: Column | None = None) -> Column:
     population = F.lit(True) if where is None else where
-    return F.avg(F.when(population & flag, _ONE).when(population & ~flag, _ZERO))
+    return F.avg(F.when(population & flag, _one()).when(population & ~flag, _zero()))
 
 
 def conditional_mean(value: Column, where: Column) -> Column:

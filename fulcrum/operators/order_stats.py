@@ -16,7 +16,9 @@ shared by a third of all rows is one row in the ordering and cannot skew a task;
 is then joined back on the value (AQE splits a skewed join partition).
 
 ``method="window"`` gives the plain single-partition window form of each statistic; tests
-assert that both methods give identical results.
+assert that both methods give identical results.  ``choose_method`` picks the window form
+only for inputs proven small by a bounded count (``limit(max_rows + 1).count()``), which is
+cheap when the input is a staged table.
 """
 
 from __future__ import annotations
@@ -28,6 +30,17 @@ from pyspark.sql import functions as F
 
 _PID = "_block"
 
+# Largest row count for which a single-task window is preferred over the distributed form.
+WINDOW_MAX_ROWS = 500_000
+
+
+def choose_method(df: DataFrame, method: str = "auto", max_rows: int = WINDOW_MAX_ROWS) -> str:
+    """'window' / 'distributed' as given; for 'auto', 'window' iff df has <= max_rows rows.
+    The count stops after max_rows + 1 rows; call it on a staged (cheap to scan) input."""
+    if method != "auto":
+        return method
+    return "window" if df.limit(max_rows + 1).count() <= max_rows else "distributed"
+
 
 def _partitions(df: DataFrame, num_partitions: int | None) -> int:
     if num_partitions:
@@ -41,13 +54,16 @@ def exclusive_running_totals(
     measures: Sequence[str],
     group: Sequence[str] = (),
     suffix: str = "_before",
+    totals: bool = False,
     num_partitions: int | None = None,
 ) -> DataFrame:
     """Add ``<m><suffix>`` = sum of ``m`` over the rows of the same ``group`` that come
-    strictly before each row in ``order``.
+    strictly before each row in ``order`` (and ``<m>_total`` = sum over the whole group
+    when ``totals``).
 
     Rows must be unique on (group, order keys) — ties are the caller's business (collapse
     them first).  ``group`` must be low-cardinality (offsets are one row per block and group).
+    The totals come from the block table, so they cost no extra pass over the data.
     """
     p = _partitions(df, num_partitions)
     gcols = [F.col(g) for g in group]
@@ -58,24 +74,51 @@ def exclusive_running_totals(
     )
     blocks = ranged.groupBy(_PID, *group).agg(*[F.sum(m).alias(f"_{m}_block") for m in measures])
     block_w = Window.partitionBy(*group).orderBy(_PID).rowsBetween(Window.unboundedPreceding, -1)
+    group_w = Window.partitionBy(*group)
     offsets = blocks.select(
-        _PID, *group, *[F.coalesce(F.sum(f"_{m}_block").over(block_w), F.lit(0)).alias(f"_{m}_offset") for m in measures]
+        _PID,
+        *group,
+        *[F.coalesce(F.sum(f"_{m}_block").over(block_w), F.lit(0)).alias(f"_{m}_offset") for m in measures],
+        *([F.sum(f"_{m}_block").over(group_w).alias(f"{m}_total") for m in measures] if totals else []),
     )
     out = local.join(F.broadcast(offsets), [_PID, *group], "inner")
     return out.select(
         *[F.col(c) for c in df.columns],
         *[(F.col(f"_{m}_local") + F.col(f"_{m}_offset")).alias(f"{m}{suffix}") for m in measures],
+        *([F.col(f"{m}_total") for m in measures] if totals else []),
     )
 
 
-def row_numbers(df: DataFrame, order: Sequence[Column], name: str = "row_number", method: str = "distributed",
-                num_partitions: int | None = None) -> DataFrame:
-    """ROW_NUMBER() OVER (ORDER BY order); ``order`` must be a total order (unique keys)."""
+def row_numbers(
+    df: DataFrame,
+    order: Sequence[Column],
+    name: str = "row_number",
+    method: str = "distributed",
+    count: str | None = None,
+    totals_of: Sequence[str] = (),
+    num_partitions: int | None = None,
+) -> DataFrame:
+    """ROW_NUMBER() OVER (ORDER BY order); ``order`` must be a total order (unique keys).
+
+    ``count`` names an optional column holding the number of rows; every column in
+    ``totals_of`` gets a ``<col>_total`` column with its sum over all rows.  Both come out
+    of the same pass."""
     if method == "window":
-        return df.withColumn(name, F.row_number().over(Window.orderBy(*order)).cast("long"))
+        whole = Window.partitionBy()
+        out = df.withColumn(name, F.row_number().over(Window.orderBy(*order)).cast("long"))
+        if count:
+            out = out.withColumn(count, F.count(F.lit(1)).over(whole))
+        for m in totals_of:
+            out = out.withColumn(f"{m}_total", F.sum(m).over(whole))
+        return out
     one = "_one"
-    numbered = exclusive_running_totals(df.withColumn(one, F.lit(1).cast("long")), order, [one], num_partitions=num_partitions)
-    return numbered.withColumn(name, (F.col(f"{one}_before") + 1).cast("long")).drop(one, f"{one}_before")
+    numbered = exclusive_running_totals(
+        df.withColumn(one, F.lit(1).cast("long")), order, [one, *totals_of], totals=True, num_partitions=num_partitions
+    )
+    numbered = numbered.withColumn(name, (F.col(f"{one}_before") + 1).cast("long"))
+    if count:
+        numbered = numbered.withColumn(count, F.col(f"{one}_total"))
+    return numbered.drop(one, f"{one}_before", f"{one}_total", *[f"{m}_before" for m in totals_of])
 
 
 def ntile_from_row_number(row_number: Column, n: Column, buckets: int) -> Column:
@@ -95,9 +138,8 @@ def ntile(df: DataFrame, buckets: int, order: Sequence[Column], name: str, metho
     """NTILE(buckets) OVER (ORDER BY order); ``order`` must be a total order."""
     if method == "window":
         return df.withColumn(name, F.ntile(buckets).over(Window.orderBy(*order)).cast("long"))
-    n = df.select(F.count(F.lit(1))).scalar()
-    numbered = row_numbers(df, order, "_rn", num_partitions=num_partitions)
-    return numbered.withColumn(name, ntile_from_row_number(F.col("_rn"), n, buckets)).drop("_rn")
+    numbered = row_numbers(df, order, "_rn", count="_n", num_partitions=num_partitions)
+    return numbered.withColumn(name, ntile_from_row_number(F.col("_rn"), F.col("_n"), buckets)).drop("_rn", "_n")
 
 
 def percent_ranks(
@@ -124,13 +166,13 @@ def percent_ranks(
     long = values.unpivot(keys, names, "_component", "_value")
     counts = long.groupBy("_component", "_value").agg(F.count(F.lit(1)).alias("_n"))
     before = exclusive_running_totals(
-        counts, [F.col("_value").asc_nulls_last()], ["_n"], group=["_component"], num_partitions=num_partitions
+        counts, [F.col("_value").asc_nulls_last()], ["_n"], group=["_component"], totals=True,
+        num_partitions=num_partitions,
     )
-    totals = counts.groupBy("_component").agg(F.sum("_n").alias("_total"))  # one row per component
-    ranked = before.join(F.broadcast(totals), "_component").select(
+    ranked = before.select(
         F.col("_component").alias("_c"),
         F.col("_value").alias("_v"),
-        F.when(F.col("_total") > 1, F.col("_n_before").cast("double") / (F.col("_total") - 1).cast("double"))
+        F.when(F.col("_n_total") > 1, F.col("_n_before").cast("double") / (F.col("_n_total") - 1).cast("double"))
         .otherwise(F.lit(0.0))
         .alias("_pr"),
     )
@@ -143,18 +185,27 @@ def percent_ranks(
 def cumulative_share_desc(
     df: DataFrame,
     value: str,
-    total: Column,
     name: str = "cum_share",
+    total: str | None = None,
     method: str = "distributed",
     num_partitions: int | None = None,
 ) -> DataFrame:
-    """SUM(value) OVER (ORDER BY value DESC) / total with the default RANGE frame: rows with
-    equal value share one cumulative sum (ties are summed together)."""
+    """SUM(value) OVER (ORDER BY value DESC) / SUM(value) OVER () with the default RANGE
+    frame: rows with equal value share one cumulative sum.  ``total`` names an optional
+    output column holding SUM(value) over all rows."""
     if method == "window":
         cum = F.sum(value).over(Window.orderBy(F.col(value).desc()))
-        return df.withColumn(name, F.try_divide(cum.cast("double"), total.cast("double")))
+        tot = F.sum(value).over(Window.partitionBy())
+        out = df.withColumn(name, F.try_divide(cum.cast("double"), tot.cast("double")))
+        return out.withColumn(total, tot) if total else out
     tied = df.groupBy(F.col(value).alias("_v")).agg(F.sum(value).alias("_tied"))
-    before = exclusive_running_totals(tied, [F.col("_v").desc_nulls_last()], ["_tied"], num_partitions=num_partitions)
-    cum = before.select("_v", (F.col("_tied_before") + F.col("_tied")).alias("_cum"))
+    before = exclusive_running_totals(
+        tied, [F.col("_v").desc_nulls_last()], ["_tied"], totals=True, num_partitions=num_partitions
+    )
+    cum = before.select("_v", (F.col("_tied_before") + F.col("_tied")).alias("_cum"), "_tied_total")
     out = df.join(cum, df[value].eqNullSafe(cum["_v"]), "left")
-    return out.select(*[df[c] for c in df.columns], F.try_divide(F.col("_cum").cast("double"), total.cast("double")).alias(name))
+    return out.select(
+        *[df[c] for c in df.columns],
+        F.try_divide(F.col("_cum").cast("double"), F.col("_tied_total").cast("double")).alias(name),
+        *([F.col("_tied_total").alias(total)] if total else []),
+    )

@@ -36,11 +36,10 @@ def pareto_abc(
     cumulative value, as the default RANGE frame) and the ABC class.
 
     ``value`` should be exact (DECIMAL or integer) so shares and classes do not depend on
-    aggregation order.  The total is a scalar sub-query (one global aggregate), not a
-    window over a single partition.
+    aggregation order.  The total comes out of the same distributed pass as the cumulative
+    share (no window over a single partition, no second scan).
     """
-    total = df.select(F.sum(value)).scalar()
-    out = cumulative_share_desc(df, value, total, cum_share, method=method)
-    out = out.withColumn(share, F.try_divide(F.col(value).cast("double"), total.cast("double")))
-    cols = [c for c in out.columns if c not in (share, cum_share)]
+    out = cumulative_share_desc(df, value, cum_share, total="_total", method=method)
+    out = out.withColumn(share, F.try_divide(F.col(value).cast("double"), F.col("_total").cast("double")))
+    cols = [c for c in out.columns if c not in (share, cum_share, "_total")]
     return out.select(*cols, share, cum_share, abc_class(F.col(cum_share), cuts).alias(klass))

@@ -90,8 +90,9 @@ def _unexpected(rule: Rule) -> Column:
     raise ValueError(rule.kind)
 
 
-def expect(df: DataFrame, rules=FACT_ORDERS_RULES) -> DataFrame:
-    """Evaluate ``rules`` over ``df``; one row per rule, in rule order."""
+def expect(df: DataFrame, rules=FACT_ORDERS_RULES, with_rows: bool = False) -> DataFrame:
+    """Evaluate ``rules`` over ``df``; one row per rule, in rule order (``with_rows`` adds
+    the checked row count to every row)."""
     aggs = [F.count(F.lit(1)).alias("_rows")]
     for i, r in enumerate(rules):
         aggs.append(F.count(r.column).alias(f"_nn{i}"))
@@ -129,18 +130,21 @@ def expect(df: DataFrame, rules=FACT_ORDERS_RULES) -> DataFrame:
                 F.col("_rows").alias("_rows"),
             )
         )
-    return stats.select(F.explode(F.array(*rows)).alias("r")).select("r.*").orderBy("rule_no").drop("rule_no", "_rows")
+    out = stats.select(F.explode(F.array(*rows)).alias("r")).select("r.*").orderBy("rule_no").drop("rule_no")
+    return out.withColumnRenamed("_rows", "rows") if with_rows else out.drop("_rows")
 
 
-def summary(report: DataFrame, rows: Column) -> DataFrame:
-    """One row: rows checked, rules, passed, failed, critical failures."""
+def summary(report: DataFrame) -> DataFrame:
+    """One row: rows checked, rules, passed, failed, critical failures.  ``report`` comes
+    from ``expect(..., with_rows=True)``."""
     failed = F.col("result") == "FAIL"
     return report.agg(
+        F.max("rows").cast("long").alias("rows"),
         F.count(F.lit(1)).cast("long").alias("expectations"),
         F.count_if(~failed).cast("long").alias("passed"),
         F.count_if(failed).cast("long").alias("failed"),
         F.count_if(failed & (F.col("critical") == "yes")).cast("long").alias("critical_failed"),
-    ).select(rows.cast("long").alias("rows"), "*")
+    )
 
 
 class QualityGateError(RuntimeError):

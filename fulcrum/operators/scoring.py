@@ -38,20 +38,24 @@ def percentile_score(
     score: str = "risk_score",
     bucket: str = "risk_quintile",
     method: str = "distributed",
+    totals_of: tuple[str, ...] = (),
 ) -> DataFrame:
     """Rank every component over the rows of ``df`` (0 = best, 1 = worst, NULL worst),
     combine with ``weights`` into ROUND(100 * score, 1) and an NTILE bucket (ascending,
-    ties broken by ``key``).  Returns df + ``<component>_pr`` + score + bucket."""
+    ties broken by ``key``).  Returns df + ``<component>_pr`` + score + bucket, plus
+    ``<col>_total`` (sum over all rows) for every column in ``totals_of``."""
     ranks = percent_ranks(df, key, components, method=method)
     raw = weighted_score({n: F.col(n + "_pr") for n in components}, weights)
     scored = df.join(ranks, key, "inner").withColumn("_raw", raw)
-    numbered = row_numbers(scored, [F.col("_raw").asc(), F.col(key).asc()], "_rn", method=method)
-    n = df.select(F.count(F.lit(1))).scalar()
+    numbered = row_numbers(
+        scored, [F.col("_raw").asc(), F.col(key).asc()], "_rn", method=method, count="_n", totals_of=totals_of
+    )
     return numbered.select(
         *df.columns,
         *[n_ + "_pr" for n_ in components],
+        *[f"{m}_total" for m in totals_of],
         round_half_up(F.lit(100.0) * F.col("_raw"), 1).alias(score),
-        ntile_from_row_number(F.col("_rn"), n, buckets).alias(bucket),
+        ntile_from_row_number(F.col("_rn"), F.col("_n"), buckets).alias(bucket),
     )
 
 
@@ -107,19 +111,21 @@ def supplier_base(pairs: DataFrame, orders: DataFrame) -> DataFrame:
     )
 
 
-SCORE_COMPONENTS = {
-    "late": F.col("late_rate"),
-    "cancel": F.col("cancel_rate"),
-    "badrev": F.col("bad_review_rate"),
-    "freight": F.col("freight_burden"),
-    "vol": F.coalesce(F.col("demand_volatility"), F.lit(0.0)),
-}
+def score_components() -> dict[str, Column]:
+    """Ranked components (higher = worse); missing volatility ranks as 0."""
+    return {
+        "late": F.col("late_rate"),
+        "cancel": F.col("cancel_rate"),
+        "badrev": F.col("bad_review_rate"),
+        "freight": F.col("freight_burden"),
+        "vol": F.coalesce(F.col("demand_volatility"), F.lit(0.0)),
+    }
 
 
 def supplier_percent_ranks(base: DataFrame, min_orders: int = MIN_ORDERS, method: str = "distributed") -> DataFrame:
     """Component percent ranks over the *scored* population (orders >= min_orders)."""
     scored = base.where(F.col("orders") >= F.lit(min_orders))
-    return percent_ranks(scored, "supplier_id", SCORE_COMPONENTS, method=method)
+    return percent_ranks(scored, "supplier_id", score_components(), method=method)
 
 
 def supplier_scorecard(
@@ -132,8 +138,9 @@ def supplier_scorecard(
     population, ROUND(100 * weighted percentile score, 1) and risk quintile (1 = best)."""
     weights = RISK_WEIGHTS if weights is None else weights
     scored = base.where(F.col("orders") >= F.lit(min_orders))
-    total = scored.select(F.sum("revenue")).scalar()
-    out = percentile_score(scored, "supplier_id", SCORE_COMPONENTS, weights, RISK_BUCKETS, method=method)
+    out = percentile_score(
+        scored, "supplier_id", score_components(), weights, RISK_BUCKETS, method=method, totals_of=("revenue",)
+    )
     return out.select(
         "supplier_id",
         "orders",
@@ -144,7 +151,7 @@ def supplier_scorecard(
         "bad_review_rate",
         "freight_burden",
         "demand_volatility",
-        F.try_divide(F.col("revenue").cast("double"), total.cast("double")).alias("revenue_share"),
+        F.try_divide(F.col("revenue").cast("double"), F.col("revenue_total").cast("double")).alias("revenue_share"),
         "risk_score",
         "risk_quintile",
     )

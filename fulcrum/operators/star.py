@@ -215,13 +215,28 @@ def as_reference_types(df: DataFrame) -> DataFrame:
 
 
 class Star:
-    """Lazily built star schema over one ``Sources``; shared sub-plans are built once."""
+    """Star schema over one ``Sources``.
+
+    ``materialize=False`` keeps everything lazy (one plan per consumer, Catalyst fuses it
+    with the mart on top).  ``materialize=True`` writes the two shared intermediates — the
+    (order, supplier) roll-up and the order fact — as staged Parquet tables, the way the
+    facts are materialised once before the marts are computed; every consumer then starts
+    from a scan instead of re-planning (and possibly re-running) the item roll-up.
+    """
+
+    def __init__(self, src: Sources, materialize: bool = False):
+        from fulcrum.sources.tables import stage_table
 
-    def __init__(self, src: Sources):
         self.src = src
         self.categories = dim_category(src.products, src.category_translation)
-        self.pairs = order_supplier_rollup(src.order_items)
-        self.orders = fact_orders(src, self.pairs, self.categories)
+        pairs = order_supplier_rollup(src.order_items)
+        if materialize:
+            pairs = stage_table(pairs, "order_supplier")
+        self.pairs = pairs
+        orders = fact_orders(src, self.pairs, self.categories)
+        if materialize:
+            orders = stage_table(orders, "fact_orders")
+        self.orders = orders
 
     def items(self) -> DataFrame:
         return fact_order_items(self.src.order_items, self.categories)

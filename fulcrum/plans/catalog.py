@@ -2,6 +2,12 @@
 
 Each query reads the driver tables through the adapter and builds its plan from the
 operators; nothing is collected.  Names follow SURVEY §7.3.
+
+Queries with one consumer of the star (dimensions, facts, the headline/monthly/region
+marts and their extracts) stay one lazy plan.  The category and supplier chains, which
+read the star several times and rank whole entity tables, run through ``Pipeline``: the
+star and the entity table are staged once, and the ranking strategy is chosen from a
+bounded count of the staged entity table.
 """
 
 from __future__ import annotations
@@ -9,10 +15,12 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from fulcrum.operators import quality, scoring, star
 from fulcrum.plans import insights, marts
+from fulcrum.plans.build import Pipeline
+from fulcrum.operators.order_stats import choose_method
+from fulcrum.sources.tables import stage_table
 from fulcrum.sources.testdata import from_driver_tables
 
 # Parameters chosen to make each filter bite on the driver data.
@@ -31,13 +39,22 @@ def _fact(spark, d) -> DataFrame:
     return _star(spark, d).orders
 
 
+def _pipeline(spark, d, **kw) -> Pipeline:
+    return Pipeline(from_driver_tables(spark, d), **kw)
+
+
 def _base(spark, d) -> DataFrame:
-    s = _star(spark, d)
-    return scoring.supplier_base(s.pairs, s.orders)
+    return _pipeline(spark, d).supplier_base()
 
 
 def _scorecard(spark, d, min_orders=scoring.MIN_ORDERS) -> DataFrame:
-    return scoring.supplier_scorecard(_base(spark, d), min_orders)
+    return _pipeline(spark, d, min_orders=min_orders).scorecard()
+
+
+def _percent_ranks(spark, d) -> DataFrame:
+    p = _pipeline(spark, d)
+    base = p.supplier_base()
+    return scoring.supplier_percent_ranks(base, p.min_orders, method=choose_method(base))
 
 
 def _region(spark, d) -> DataFrame:
@@ -45,7 +62,12 @@ def _region(spark, d) -> DataFrame:
 
 
 def _category(spark, d) -> DataFrame:
-    return marts.mart_category_risk(_fact(spark, d))
+    return _pipeline(spark, d).category()
+
+
+def _pareto_series(spark, d) -> DataFrame:
+    category = stage_table(_category(spark, d), "category_risk")
+    return insights.pareto_series(category, method=choose_method(category))
 
 
 def _order_value(spark, d) -> DataFrame:
@@ -55,6 +77,11 @@ def _order_value(spark, d) -> DataFrame:
     )
 
 
+def _order_primary(spark, d) -> DataFrame:
+    s = _star(spark, d)
+    return star.order_primary(s.pairs, s.categories)
+
+
 def _supplier_orders(spark, d) -> DataFrame:
     s = _star(spark, d)
     return scoring.supplier_orders(s.pairs, s.orders)
@@ -65,9 +92,7 @@ def _dq_report(spark, d) -> DataFrame:
 
 
 def _dq_summary(spark, d) -> DataFrame:
-    fact = _fact(spark, d)
-    rows = fact.select(F.count(F.lit(1))).scalar()
-    return quality.summary(quality.expect(fact, quality.FACT_ORDERS_RULES), rows)
+    return quality.summary(quality.expect(_fact(spark, d), quality.FACT_ORDERS_RULES, with_rows=True))
 
 
 QUERIES: dict[str, Query] = {
@@ -79,7 +104,7 @@ QUERIES: dict[str, Query] = {
     # facts and their building blocks
     "fact_order_items": lambda spark, d: star.as_reference_types(_star(spark, d).items()),
     "order_value": _order_value,
-    "order_primary": lambda spark, d: star.order_primary(_star(spark, d).pairs, _star(spark, d).categories),
+    "order_primary": _order_primary,
     "order_review": lambda spark, d: star.order_review(from_driver_tables(spark, d).reviews),
     "fact_orders": lambda spark, d: star.as_reference_types(_fact(spark, d)),
     # headline marts
@@ -91,7 +116,7 @@ QUERIES: dict[str, Query] = {
     "mart_category_risk": _category,
     # category extracts
     "abc_summary": lambda spark, d: insights.abc_summary(_category(spark, d)),
-    "pareto_series": lambda spark, d: insights.pareto_series(_category(spark, d)),
+    "pareto_series": _pareto_series,
     "category_ab_map": lambda spark, d: insights.category_ab_map(_category(spark, d)),
     "category_top_labels": lambda spark, d: insights.category_top_labels(_category(spark, d)),
     # supplier chain
@@ -99,7 +124,7 @@ QUERIES: dict[str, Query] = {
     "supplier_monthly": lambda spark, d: scoring.supplier_monthly(_supplier_orders(spark, d)),
     "supplier_volatility": lambda spark, d: scoring.supplier_volatility(_supplier_orders(spark, d)),
     "supplier_base": lambda spark, d: star.as_reference_types(_base(spark, d)),
-    "supplier_percent_ranks": lambda spark, d: scoring.supplier_percent_ranks(_base(spark, d)),
+    "supplier_percent_ranks": _percent_ranks,
     "supplier_scorecard": lambda spark, d: _scorecard(spark, d),
     "supplier_scorecard_min": lambda spark, d: _scorecard(spark, d, STRICT_MIN_ORDERS),
     "supplier_risk_points": lambda spark, d: insights.supplier_risk_points(_scorecard(spark, d)),

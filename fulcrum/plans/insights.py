@@ -7,7 +7,7 @@ a total order (value, then name) so LIMIT is deterministic.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from fulcrum.functions.measures import flag_rate
@@ -64,9 +64,9 @@ def fact_overview(fact: DataFrame) -> DataFrame:
 
 
 def status_distribution(fact: DataFrame) -> DataFrame:
-    """Orders per status and percent of all orders (2 places); the total is a scalar
-    sub-query rather than a window over all groups."""
-    total = fact.select(F.count(F.lit(1))).scalar()
+    """Orders per status and percent of all orders (2 places).  The total is a window over
+    the aggregated groups (one row per status, a small fixed domain), not over orders."""
+    total = F.sum("n").over(Window.partitionBy())
     return fact.groupBy("order_status").agg(F.count(F.lit(1)).alias("n")).select(
         "order_status", "n", round_half_up(F.lit(100.0) * F.col("n") / total.cast("double"), 2).alias("pct")
     )
@@ -117,12 +117,13 @@ def region_impact(region: DataFrame, min_orders: int = REGION_MIN_ORDERS, k: int
 def abc_summary(category: DataFrame) -> DataFrame:
     """Categories and revenue share per ABC class; the class share is class revenue /
     total revenue (exact), equal to the sum of member shares."""
-    total = category.select(F.sum(F.col("revenue").cast("decimal(38,2)"))).scalar()
-    return category.groupBy("abc_class").agg(
-        F.count(F.lit(1)).alias("categories"),
-        round_half_up(F.try_divide(F.sum(F.col("revenue").cast("decimal(38,2)")).cast("double"), total.cast("double")), 3).alias(
-            "revenue_share"
-        ),
+    per_class = category.groupBy("abc_class").agg(
+        F.count(F.lit(1)).alias("categories"), F.sum(F.col("revenue").cast("decimal(38,2)")).alias("_rev")
+    )
+    total = F.sum("_rev").over(Window.partitionBy())  # over the (at most three) class rows
+    return per_class.select(
+        "abc_class", "categories",
+        round_half_up(F.try_divide(F.col("_rev").cast("double"), total.cast("double")), 3).alias("revenue_share"),
     )
 
 

@@ -33,22 +33,30 @@ KPI_NAMES = (
 # order partial aggregates are merged in; 1e-9 absorbs that noise.
 RATIO_MEAN_DIGITS = 9
 
-_delivered = F.col("is_delivered")
-_late = F.col("is_late")
-_reviewed = F.col("review_score").isNotNull()
+
+def _delivered() -> Column:
+    return F.col("is_delivered")
+
+
+def _late() -> Column:
+    return F.col("is_late")
+
+
+def _reviewed() -> Column:
+    return F.col("review_score").isNotNull()
 
 
 def _late_rate() -> Column:
     """Region/category/supplier rule: over delivered orders, NULL lateness = not late."""
-    return F.avg(F.when(_delivered & _late, F.lit(1.0)).when(_delivered, F.lit(0.0)))
+    return F.avg(F.when(_delivered() & _late(), F.lit(1.0)).when(_delivered(), F.lit(0.0)))
 
 
 def _bad_review_rate() -> Column:
-    return flag_rate(F.col("is_bad_review"), _reviewed)
+    return flag_rate(F.col("is_bad_review"), _reviewed())
 
 
 def _avg_delay_late() -> Column:
-    return conditional_mean(F.col("delay_days"), _delivered & _late)
+    return conditional_mean(F.col("delay_days"), _delivered() & _late())
 
 
 def _mean_freight_ratio() -> Column:
@@ -60,16 +68,16 @@ def _exec_aggregates(fact: DataFrame) -> DataFrame:
     revenue, freight = F.sum("revenue"), F.sum("freight")
     return fact.agg(
         F.count(F.lit(1)).cast("double").alias("total_orders"),
-        F.count_if(_delivered).cast("double").alias("delivered_orders"),
+        F.count_if(_delivered()).cast("double").alias("delivered_orders"),
         revenue.cast("double").alias("total_revenue_brl"),
         freight.cast("double").alias("total_freight_brl"),
         ratio(freight, revenue).alias("freight_to_revenue"),
-        flag_rate(~_late, _delivered).alias("on_time_rate"),
-        flag_rate(_late, _delivered).alias("late_rate"),
+        flag_rate(~_late(), _delivered()).alias("on_time_rate"),
+        flag_rate(_late(), _delivered()).alias("late_rate"),
         _avg_delay_late().cast("double").alias("avg_delay_days_late"),
         flag_rate(F.col("is_canceled")).alias("cancel_rate"),
         _bad_review_rate().alias("bad_review_rate"),
-        conditional_sum(F.col("revenue"), _delivered & _late).cast("double").alias("revenue_exposed_to_late_brl"),
+        conditional_sum(F.col("revenue"), _delivered() & _late()).cast("double").alias("revenue_exposed_to_late_brl"),
     )
 
 
@@ -131,7 +139,7 @@ def mart_monthly(fact: DataFrame) -> DataFrame:
     return fact.groupBy("order_month").agg(
         F.count(F.lit(1)).alias("orders"),
         F.sum("revenue").cast("double").alias("revenue"),
-        strict_flag_rate(~_late, _delivered).alias("on_time_rate"),
+        strict_flag_rate(~_late(), _delivered()).alias("on_time_rate"),
         _avg_delay_late().cast("double").alias("avg_delay_days_late"),
         _bad_review_rate().alias("bad_review_rate"),
     )
@@ -163,7 +171,11 @@ def category_base(fact: DataFrame) -> DataFrame:
 
 def mart_category_risk(fact: DataFrame, method: str = "distributed") -> DataFrame:
     """Category risk with revenue share, Pareto cumulative share and ABC class."""
-    ranked = pareto_abc(category_base(fact), "revenue", method=method)
+    return category_risk_from_base(category_base(fact), method)
+
+
+def category_risk_from_base(base: DataFrame, method: str = "distributed") -> DataFrame:
+    ranked = pareto_abc(base, "revenue", method=method)
     return ranked.select(
         "product_category", "orders", F.col("revenue").cast("double").alias("revenue"), "avg_freight_ratio",
         "late_rate", "bad_review_rate", "revenue_share", "cum_revenue_share", "abc_class",
