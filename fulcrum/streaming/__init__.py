@@ -1,0 +1,6 @@
+"""Streaming: intentionally empty.
+
+The workload is a batch rebuild from static files; it has no stream, watermark, window
+or state.  Nothing here is invented to fill the folder.  A refresh on new files is a
+re-run of ``fulcrum.plans.build.run_pipeline``.
+"""
