@@ -23,4 +23,6 @@ def stage_table(df: DataFrame, name: str, partition_by: list[str] | None = None)
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     writer.parquet(path)
-    return spark.read.parquet(path)
+    if partition_by:
+        return spark.read.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
