@@ -8,7 +8,8 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
 
 from fulcrum.operators import quality, scoring, star
 from fulcrum.operators.order_stats import choose_method
@@ -28,6 +29,29 @@ MART_NAMES = (
 )
 
 
+# The row order each mart is exported in (sorting happens at the sink only).
+def mart_sort_order(name: str) -> list[Column]:
+    return {
+        "mart_monthly": [F.col("order_month").asc()],
+        "mart_region": [F.col("orders").desc(), F.col("region_state").asc()],
+        "mart_product_risk": [F.col("revenue").desc(), F.col("product_category").asc()],
+        "mart_supplier_scorecard": [F.col("risk_score").desc(), F.col("supplier_id").asc()],
+    }.get(name, [])
+
+
+# Staging view name per source role.
+STAGING_VIEWS = {
+    "orders": "stg_orders",
+    "order_items": "stg_order_items",
+    "payments": "stg_payments",
+    "reviews": "stg_reviews",
+    "customers": "stg_customers",
+    "products": "stg_products",
+    "sellers": "stg_sellers",
+    "category_translation": "stg_category_translation",
+}
+
+
 class Pipeline:
     """Star + marts over one ``Sources``; ``method`` selects the order-statistics strategy
     ('auto' decides per entity table from a bounded count of the staged table)."""
@@ -66,6 +90,26 @@ class Pipeline:
     def quality_report(self) -> DataFrame:
         return quality.expect(self.fact, quality.FACT_ORDERS_RULES)
 
+    def register_views(self) -> list[str]:
+        """Register staging roles, dimensions, facts and marts as temporary views so ad-hoc
+        SQL (``spark.sql("SELECT ... FROM mart_region")``) runs against them."""
+        views: dict[str, DataFrame] = {}
+        for role, view in STAGING_VIEWS.items():
+            df = getattr(self.src, role)
+            if df is not None:
+                views[view] = df
+        views["dim_supplier"] = star.dim_supplier(self.src.sellers)
+        views["dim_customer_region"] = star.dim_region(self.src.customers)
+        views["dim_product_category"] = self.star.categories
+        views["dim_date"] = star.dim_date(self.src.orders)
+        views["fact_order_items"] = star.as_reference_types(self.star.items())
+        views["fact_orders"] = star.as_reference_types(self.fact)
+        for name, build in self.marts().items():
+            views[name] = build()
+        for name, df in views.items():
+            df.createOrReplaceTempView(name)
+        return list(views)
+
 
 def run_pipeline(src: Sources, out_dir: str, fmt: str = "csv", method: str = "auto") -> dict:
     """Build everything and write it under ``out_dir``; returns row counts and headline KPIs.
@@ -76,7 +120,9 @@ def run_pipeline(src: Sources, out_dir: str, fmt: str = "csv", method: str = "au
     report = quality.enforce(p.quality_report())
     counts = {"dq_report": write_table(report, f"{out}/dq_report", fmt)}
     for name, build in p.marts().items():
-        counts[name] = write_table(build(), f"{out}/{name}", fmt)
+        df = build()
+        order = mart_sort_order(name)
+        counts[name] = write_table(df.orderBy(*order) if order else df, f"{out}/{name}", fmt)
     counts["fact_orders"] = write_table(
         star.as_reference_types(p.fact), f"{out}/fact_orders", "parquet", partition_by=["order_month"]
     )

@@ -1,6 +1,7 @@
 """Time one catalogue query job by job from Spark's event log (written to a scratch dir).
 
     python tools/profile_query.py NAME [sf_dir]
+    python tools/profile_query.py pipeline:build_star|pipeline:<mart name>|pipeline:dq_report
 
 Runs the query twice through the noop sink and prints, for the second (warm) run, every
 Spark job with its start offset, duration and stage count.  The UI stays off.
@@ -37,10 +38,23 @@ def main():
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")
-    QUERIES[name](spark, sf).write.format("noop").mode("overwrite").save()
+    def run():
+        if name.startswith("pipeline:"):
+            from fulcrum.plans.build import Pipeline
+            from fulcrum.sources.testdata import from_driver_tables
+
+            p = Pipeline(from_driver_tables(spark, sf))
+            step = name.split(":", 1)[1]
+            if step != "build_star":
+                df = p.quality_report() if step == "dq_report" else p.marts()[step]()
+                df.write.format("noop").mode("overwrite").save()
+        else:
+            QUERIES[name](spark, sf).write.format("noop").mode("overwrite").save()
+
+    run()
     spark.sparkContext.setJobGroup("warm", "warm")
     t0 = time.time()
-    QUERIES[name](spark, sf).write.format("noop").mode("overwrite").save()
+    run()
     print(f"{name}: warm wall {time.time() - t0:.3f}s")
     spark.stop()
     jobs = {}
