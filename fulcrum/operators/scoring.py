@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from fulcrum.functions.measures import flag_rate
@@ -44,12 +44,19 @@ def percentile_score(
     combine with ``weights`` into ROUND(100 * score, 1) and an NTILE bucket (ascending,
     ties broken by ``key``).  Returns df + ``<component>_pr`` + score + bucket, plus
     ``<col>_total`` (sum over all rows) for every column in ``totals_of``."""
-    ranks = percent_ranks(df, key, components, method=method)
     raw = weighted_score({n: F.col(n + "_pr") for n in components}, weights)
-    scored = df.join(ranks, key, "inner").withColumn("_raw", raw)
-    numbered = row_numbers(
-        scored, [F.col("_raw").asc(), F.col(key).asc()], "_rn", method=method, count="_n", totals_of=totals_of
-    )
+    order = [F.col("_raw").asc(), F.col(key).asc()]
+    if method == "window":
+        # one single-partition exchange for every statistic, no self-join
+        ranked = df.select(
+            "*", *[F.percent_rank().over(Window.orderBy(c.cast("double").asc_nulls_last())).alias(n + "_pr")
+                   for n, c in components.items()]
+        ).withColumn("_raw", raw)
+        numbered = row_numbers(ranked, order, "_rn", method="window", count="_n", totals_of=totals_of)
+    else:
+        ranks = percent_ranks(df, key, components, method=method)
+        scored = df.join(ranks, key, "inner").withColumn("_raw", raw)
+        numbered = row_numbers(scored, order, "_rn", method=method, count="_n", totals_of=totals_of)
     return numbered.select(
         *df.columns,
         *[n_ + "_pr" for n_ in components],

@@ -10,8 +10,9 @@ Plan shape (what Catalyst gets to see):
 * The (order, supplier) level is also the de-duplicated supplier x order relation the
   supplier scorecard needs, so the scorecard re-uses it instead of re-reading items.
 * The product category is attached after the roll-up, at order grain (one row per order
-  instead of one per item), and every order-keyed join runs before the customer join so
-  the order-id partitioning is shared by all of them.
+  instead of one per item).  The order side (status, customer region, dates, review,
+  flags) never touches items, so it is built independently and joined to the roll-up once
+  on order id; when the star is staged the two halves are written by concurrent jobs.
 * Money is carried as DECIMAL (exact sums); ``as_reference_types`` renders the double
   columns of the published schemas.
 """
@@ -159,43 +160,24 @@ FACT_ORDERS_COLUMNS = [
 ]
 
 
-def fact_orders(src: Sources, pairs: DataFrame | None = None, categories: DataFrame | None = None) -> DataFrame:
-    """Order grain fact (22 columns); orders without any line item are dropped."""
-    pairs = order_supplier_rollup(src.order_items) if pairs is None else pairs
-    categories = dim_category(src.products, src.category_translation) if categories is None else categories
-    value = order_rollup(pairs)
-    cats = categories.select(F.col("product_id").alias("primary_product_id"), F.col("product_category").alias("primary_category"))
-    cust = src.customers.select("customer_id", F.upper(F.trim("customer_state")).alias("region_state"))
-
-    o = src.orders
+def order_attributes(src: Sources) -> DataFrame:
+    """Order-side part of the fact (no item data): status, customer region, timestamps,
+    promised/delivered dates, review score, the day differences and the four flags."""
     promised = F.col("order_estimated_delivery_date").cast("date")
     delivered = F.col("order_delivered_customer_date").cast("date")
     approved = F.col("order_approved_at").cast("date")
     carrier = F.col("order_delivered_carrier_date").cast("date")
     status = F.col("order_status")
-
-    # Inner join = "drop orders with no line items" (their revenue would be NULL).
-    joined = (
-        o.join(value, "order_id", "inner")
-        .join(order_review(src.reviews), "order_id", "left")
-        .join(cats, "primary_product_id", "left")
-        .join(cust, "customer_id", "left")
-    )
+    cust = src.customers.select("customer_id", F.upper(F.trim("customer_state")).alias("region_state"))
+    joined = src.orders.join(order_review(src.reviews), "order_id", "left").join(cust, "customer_id", "left")
     return joined.select(
         "order_id",
         "order_status",
         "region_state",
-        "primary_supplier_id",
-        "primary_category",
         F.col("order_purchase_timestamp").cast("timestamp_ntz").alias("order_ts"),
         F.date_format(F.col("order_purchase_timestamp").cast("date"), MONTH_PATTERN).alias("order_month"),
         promised.alias("promised_date"),
         delivered.alias("delivered_date"),
-        "revenue",
-        "freight",
-        "n_items",
-        "n_suppliers",
-        F.when(F.col("revenue") > 0, ratio(F.col("freight"), F.col("revenue"))).alias("freight_ratio"),
         "review_score",
         F.datediff(delivered, promised).cast("long").alias("delay_days"),
         F.datediff(carrier, approved).cast("long").alias("handling_days"),
@@ -207,6 +189,23 @@ def fact_orders(src: Sources, pairs: DataFrame | None = None, categories: DataFr
     )
 
 
+def assemble_fact(attributes: DataFrame, pairs: DataFrame, categories: DataFrame) -> DataFrame:
+    """Order fact = order attributes x order roll-up (inner: orders without a line item are
+    dropped) + the primary line's category."""
+    value = order_rollup(pairs)
+    cats = categories.select(F.col("product_id").alias("primary_product_id"), F.col("product_category").alias("primary_category"))
+    joined = attributes.join(value, "order_id", "inner").join(cats, "primary_product_id", "left")
+    freight_ratio = F.when(F.col("revenue") > 0, ratio(F.col("freight"), F.col("revenue"))).alias("freight_ratio")
+    return joined.select(*[freight_ratio if c == "freight_ratio" else F.col(c) for c in FACT_ORDERS_COLUMNS])
+
+
+def fact_orders(src: Sources, pairs: DataFrame | None = None, categories: DataFrame | None = None) -> DataFrame:
+    """Order grain fact (22 columns); orders without any line item are dropped."""
+    pairs = order_supplier_rollup(src.order_items) if pairs is None else pairs
+    categories = dim_category(src.products, src.category_translation) if categories is None else categories
+    return assemble_fact(order_attributes(src), pairs, categories)
+
+
 def as_reference_types(df: DataFrame) -> DataFrame:
     """Render DECIMAL money columns as DOUBLE (the published fact/mart schemas)."""
     return df.select(
@@ -225,17 +224,19 @@ class Star:
     """
 
     def __init__(self, src: Sources, materialize: bool = False):
-        from fulcrum.sources.tables import stage_table
+        from fulcrum.sources.tables import stage_tables
 
         self.src = src
         self.categories = dim_category(src.products, src.category_translation)
         pairs = order_supplier_rollup(src.order_items)
+        attributes = order_attributes(src)
         if materialize:
-            pairs = stage_table(pairs, "order_supplier")
+            # the item roll-up and the order side are independent: two concurrent jobs
+            pairs, attributes = stage_tables({"order_supplier": pairs, "order_attributes": attributes})
         self.pairs = pairs
-        orders = fact_orders(src, self.pairs, self.categories)
+        orders = assemble_fact(attributes, pairs, self.categories)
         if materialize:
-            orders = stage_table(orders, "fact_orders")
+            (orders,) = stage_tables({"fact_orders": orders})
         self.orders = orders
 
     def items(self) -> DataFrame:

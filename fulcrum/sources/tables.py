@@ -10,6 +10,7 @@ cluster's ``spark.checkpoint.dir``; a scratch folder is used only when none is s
 from __future__ import annotations
 
 import uuid
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame
 
@@ -26,3 +27,13 @@ def stage_table(df: DataFrame, name: str, partition_by: list[str] | None = None)
     if partition_by:
         return spark.read.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def stage_tables(frames: dict[str, DataFrame]) -> list[DataFrame]:
+    """Stage independent DataFrames as concurrent Spark jobs (one driver thread each), so
+    their scans and shuffles share the cluster instead of running back to back."""
+    if len(frames) == 1:
+        return [stage_table(df, name) for name, df in frames.items()]
+    with ThreadPoolExecutor(max_workers=len(frames)) as pool:
+        futures = [pool.submit(stage_table, df, name) for name, df in frames.items()]
+        return [f.result() for f in futures]
