@@ -5,7 +5,8 @@
 That is fine for 25 categories and fatal for a billion suppliers, so every global order
 statistic here is built from one primitive, ``exclusive_running_totals``:
 
-1. range-partition the (distinct) sort keys into P contiguous blocks (sampled bounds);
+1. range-partition the (distinct) sort keys into P contiguous blocks (sampled bounds) and
+   stage the block assignment, so every consumer sees the same one;
 2. running sums inside each block with a window partitioned by the block id;
 3. block totals -> prefix offsets (a window over at most P x groups rows — bounded by the
    partition count, broadcast back);
@@ -28,6 +29,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from fulcrum.sources.tables import stage_table
+
 _PID = "_block"
 
 # Largest row count for which a single-task window is preferred over the distributed form.
@@ -67,7 +70,12 @@ def exclusive_running_totals(
     """
     p = _partitions(df, num_partitions)
     gcols = [F.col(g) for g in group]
-    ranged = df.repartitionByRange(p, *gcols, *order).withColumn(_PID, F.spark_partition_id())
+    # The block id comes from a sampled range partitioner.  Both consumers below (running
+    # sums and block totals) must see the same assignment, and Spark does not reuse this
+    # exchange across them, so the assignment is written once and read by both.
+    ranged = stage_table(
+        df.repartitionByRange(p, *gcols, *order).withColumn(_PID, F.spark_partition_id()), "range_blocks"
+    )
     local_w = Window.partitionBy(_PID, *group).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
     local = ranged.select(
         "*", *[F.coalesce(F.sum(m).over(local_w), F.lit(0)).alias(f"_{m}_local") for m in measures]

@@ -62,12 +62,14 @@ def test_skewed_value_is_collapsed_before_ranking(spark):
     assert sorted(map(tuple, w.collect())) == sorted(map(tuple, d.collect()))
 
 
-def test_distributed_plan_has_no_single_partition_exchange_over_entities(spark):
+def test_distributed_plan_has_no_single_partition_exchange(spark):
     df = spark.range(1000).select(F.col("id").alias("k"), (F.col("id") % 7).cast("double").alias("a"))
     d = order_stats.percent_ranks(df, "k", {"a": F.col("a")}, method="distributed")
-    plan = d._jdf.queryExecution().executedPlan().toString()
-    # the only single-partition window is over the block-offset table (<= P rows per group)
-    assert "rangepartitioning" in plan.lower()
+    d.collect()
+    assert "SinglePartition" not in d._jdf.queryExecution().executedPlan().toString()
+    w = order_stats.percent_ranks(df, "k", {"a": F.col("a")}, method="window")
+    w.collect()
+    assert "SinglePartition" in w._jdf.queryExecution().executedPlan().toString()
 
 
 def test_choose_method_bounded_count(spark):
