@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from fulcrum.functions.measures import flag_rate
-from fulcrum.functions.numeric import ratio, round_half_up
+from fulcrum.functions.numeric import coefficient_of_variation, ratio, round_half_up
 from fulcrum.operators.order_stats import ntile_from_row_number, percent_ranks, row_numbers
 from fulcrum.operators.volatility import demand_volatility, period_counts
 
@@ -95,26 +95,64 @@ def supplier_volatility(sorders: DataFrame) -> DataFrame:
 
 def supplier_base(pairs: DataFrame, orders: DataFrame) -> DataFrame:
     """All suppliers: orders, revenue, freight (DECIMAL), freight burden, late / cancel /
-    bad-review rates (region rule: NULL lateness counts as not late) and volatility."""
-    so = supplier_orders(pairs, orders)
-    delivered, late = F.col("is_delivered"), F.col("is_late")
-    rates = so.groupBy("supplier_id").agg(
-        F.count(F.lit(1)).alias("orders"),
-        F.avg(F.when(delivered & late, F.lit(1.0)).when(delivered, F.lit(0.0))).alias("late_rate"),
-        flag_rate(F.col("is_canceled")).alias("cancel_rate"),
-        flag_rate(F.col("is_bad_review"), F.col("review_score").isNotNull()).alias("bad_review_rate"),
+    bad-review rates (region rule: NULL lateness counts as not late) and volatility.
+
+    One pass: (order, supplier) pairs LEFT JOIN the order fact, aggregated to
+    (supplier, month) with integer counts and decimal sums, then to supplier.  Rates are
+    integer sums over integer counts (the same double as averaging 1.0/0.0), volatility
+    comes from exact monthly moments, and revenue covers every item of the supplier, also
+    items of orders missing from the fact (those add revenue but no order).  Suppliers with
+    no order in the fact are not listed."""
+    o = orders.select(
+        F.col("order_id").alias("_oid"), "order_month", "is_delivered", "is_late", "is_canceled", "is_bad_review",
+        "review_score",
+    )
+    p = pairs.where(F.col("supplier_id").isNotNull()).select("supplier_id", "order_id", "revenue", "freight")
+    so = p.join(o, p["order_id"] == o["_oid"], "left").withColumn("_matched", F.col("_oid").isNotNull())
+    delivered, late, matched = F.col("is_delivered"), F.col("is_late"), F.col("_matched")
+
+    def count_if(cond):
+        return F.count_if(matched & cond)
+
+    monthly = so.groupBy("supplier_id", "order_month", "_matched").agg(
+        F.count_if(matched).alias("_n"),
+        F.sum("revenue").alias("_rev"),
+        F.sum("freight").alias("_fr"),
+        count_if(delivered & late).alias("_late"),
+        count_if(delivered).alias("_delivered"),
+        count_if(F.col("is_canceled")).alias("_canceled"),
+        count_if(F.col("is_bad_review") & F.col("review_score").isNotNull()).alias("_bad"),
+        count_if(F.col("review_score").isNotNull()).alias("_reviewed"),
     )
-    base = rates.join(supplier_revenue(pairs), "supplier_id", "inner").join(supplier_volatility(so), "supplier_id", "left")
-    return base.select(
+    active = F.col("_matched")
+    n = F.col("_n")
+    per_supplier = monthly.groupBy("supplier_id").agg(
+        F.sum("_n").alias("orders"),
+        F.sum("_rev").alias("revenue"),
+        F.sum("_fr").alias("freight"),
+        F.sum("_late").alias("_late"),
+        F.sum("_delivered").alias("_delivered"),
+        F.sum("_canceled").alias("_canceled"),
+        F.sum("_bad").alias("_bad"),
+        F.sum("_reviewed").alias("_reviewed"),
+        F.count_if(active).alias("_k"),
+        F.sum(F.when(active, n)).alias("_s1"),
+        F.sum(F.when(active, n * n)).alias("_s2"),
+    ).where(F.col("orders") > 0)
+
+    def rate(num: str, den: str) -> Column:
+        return F.when(F.col(den) > 0, F.col(num).cast("double") / F.col(den).cast("double"))
+
+    return per_supplier.select(
         "supplier_id",
         "orders",
         "revenue",
         "freight",
         F.when(F.col("revenue") > 0, ratio(F.col("freight"), F.col("revenue"))).alias("freight_burden"),
-        "late_rate",
-        "cancel_rate",
-        "bad_review_rate",
-        "demand_volatility",
+        rate("_late", "_delivered").alias("late_rate"),
+        rate("_canceled", "orders").alias("cancel_rate"),
+        rate("_bad", "_reviewed").alias("bad_review_rate"),
+        coefficient_of_variation(F.col("_k"), F.col("_s1"), F.col("_s2")).alias("demand_volatility"),
     )
 
 
