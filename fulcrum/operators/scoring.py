@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from fulcrum.functions.measures import flag_rate
 from fulcrum.functions.numeric import coefficient_of_variation, ratio, round_half_up
 from fulcrum.operators.order_stats import ntile_from_row_number, percent_ranks, row_numbers
 from fulcrum.operators.volatility import demand_volatility, period_counts
@@ -111,18 +110,18 @@ def supplier_base(pairs: DataFrame, orders: DataFrame) -> DataFrame:
     so = p.join(o, p["order_id"] == o["_oid"], "left").withColumn("_matched", F.col("_oid").isNotNull())
     delivered, late, matched = F.col("is_delivered"), F.col("is_late"), F.col("_matched")
 
-    def count_if(cond):
+    def matched_count(cond: Column) -> Column:
         return F.count_if(matched & cond)
 
     monthly = so.groupBy("supplier_id", "order_month", "_matched").agg(
         F.count_if(matched).alias("_n"),
         F.sum("revenue").alias("_rev"),
         F.sum("freight").alias("_fr"),
-        count_if(delivered & late).alias("_late"),
-        count_if(delivered).alias("_delivered"),
-        count_if(F.col("is_canceled")).alias("_canceled"),
-        count_if(F.col("is_bad_review") & F.col("review_score").isNotNull()).alias("_bad"),
-        count_if(F.col("review_score").isNotNull()).alias("_reviewed"),
+        matched_count(delivered & late).alias("_late"),
+        matched_count(delivered).alias("_delivered"),
+        matched_count(F.col("is_canceled")).alias("_canceled"),
+        matched_count(F.col("is_bad_review") & F.col("review_score").isNotNull()).alias("_bad"),
+        matched_count(F.col("review_score").isNotNull()).alias("_reviewed"),
     )
     active = F.col("_matched")
     n = F.col("_n")
