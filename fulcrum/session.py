@@ -33,12 +33,17 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
-    """The shared checkpoint directory; set a scratch one only when the session has none."""
+    """The shared checkpoint directory (``spark.checkpoint.dir``).
+
+    Only a local-mode session without one gets a scratch folder (tests, benchmark); on a
+    cluster a machine-local folder would be invisible to the executors, so it is an error."""
     configured = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if configured:
         if not spark.sparkContext.getCheckpointDir():
             spark.sparkContext.setCheckpointDir(configured)
         return configured
+    if not spark.sparkContext.master.startswith("local"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors (staged tables live there)")
     scratch = tempfile.mkdtemp(prefix="fulcrum-ckpt-")
     spark.sparkContext.setCheckpointDir(scratch)
     return scratch
