@@ -25,6 +25,8 @@ from fulcrum.sources.testdata import from_driver_tables
 
 # Parameters chosen to make each filter bite on the driver data.
 ONTIME_FIRST_MONTH = "1996-01"
+# Order-statistics strategy for the catalogue ('auto' | 'window' | 'distributed').
+ORDER_STATS_METHOD = "auto"
 ONTIME_LAST_MONTH = "1998-12"
 STRICT_MIN_ORDERS = 580
 
@@ -40,7 +42,7 @@ def _fact(spark, d) -> DataFrame:
 
 
 def _pipeline(spark, d, **kw) -> Pipeline:
-    return Pipeline(from_driver_tables(spark, d), **kw)
+    return Pipeline(from_driver_tables(spark, d), method=ORDER_STATS_METHOD, **kw)
 
 
 def _base(spark, d) -> DataFrame:
@@ -54,7 +56,7 @@ def _scorecard(spark, d, min_orders=scoring.MIN_ORDERS) -> DataFrame:
 def _percent_ranks(spark, d) -> DataFrame:
     p = _pipeline(spark, d)
     base = p.supplier_base()
-    return scoring.supplier_percent_ranks(base, p.min_orders, method=choose_method(base))
+    return scoring.supplier_percent_ranks(base, p.min_orders, method=choose_method(base, ORDER_STATS_METHOD))
 
 
 def _region(spark, d) -> DataFrame:
@@ -67,7 +69,7 @@ def _category(spark, d) -> DataFrame:
 
 def _pareto_series(spark, d) -> DataFrame:
     category = stage_table(_category(spark, d), "category_risk")
-    return insights.pareto_series(category, method=choose_method(category))
+    return insights.pareto_series(category, method=choose_method(category, ORDER_STATS_METHOD))
 
 
 def _order_value(spark, d) -> DataFrame:

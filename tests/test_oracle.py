@@ -57,3 +57,15 @@ def test_entry_smoke(spark):
         "supplier_id", "orders", "revenue", "freight", "late_rate", "cancel_rate", "bad_review_rate",
         "freight_burden", "demand_volatility", "revenue_share", "risk_score", "risk_quintile",
     ]
+
+
+RANKED = ["mart_category_risk", "abc_summary", "pareto_series", "supplier_percent_ranks", "supplier_scorecard",
+          "supplier_scorecard_min", "risk_quintile_summary"]
+
+
+@pytest.mark.parametrize("name", RANKED)
+def test_distributed_order_statistics_match_oracle(spark, duck, name, monkeypatch):
+    from fulcrum.plans import catalog
+
+    monkeypatch.setattr(catalog, "ORDER_STATS_METHOD", "distributed")
+    test_query_matches_oracle(spark, duck, name)
