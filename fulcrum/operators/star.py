@@ -2,11 +2,12 @@
 
 Plan shape (what Catalyst gets to see):
 
-* Every item -> order roll-up is ONE two-level aggregation (``order_supplier_rollup`` then
-  ``order_rollup``): (order, supplier) partial sums, then order totals, the distinct
-  supplier count and the primary (most expensive) line, found with ``min`` over an
-  ordering struct instead of a row_number window.  Both levels aggregate map-side, so an
-  order or supplier holding a third of all lines is collapsed before any shuffle.
+* Item -> order sums are a two-level hash aggregation (``order_supplier_rollup`` then
+  ``order_rollup``): (order, supplier) partial sums, then order totals and the distinct
+  supplier count.  The primary (most expensive) line is a separate ``min`` over an
+  ordering struct per order (``order_primary_line``) instead of a row_number window.
+  Every level aggregates map-side, so an order or supplier holding a third of all lines
+  is collapsed before any shuffle.
 * The (order, supplier) level is also the de-duplicated supplier x order relation the
   supplier scorecard needs, so the scorecard re-uses it instead of re-reading items.
 * The product category is attached after the roll-up, at order grain (one row per order
@@ -95,10 +96,10 @@ def fact_order_items(order_items: DataFrame, categories: DataFrame) -> DataFrame
     )
 
 
-def _primary_line_key(items: DataFrame) -> F.Column:
+def _primary_line_key() -> F.Column:
     """Ordering struct for the primary line: price DESC NULLS LAST, then item id, supplier
-    and product ascending NULLS LAST; ``min`` of it is the first line of that order.
-    The product id rides along as the last field (payload)."""
+    and product ascending NULLS LAST; ``min`` of it is the first line of that order.  The
+    supplier and product ride along as the last fields (payload)."""
     rev, item, sup, prod = (F.col(c) for c in ("price", "order_item_id", "seller_id", "product_id"))
     return F.struct(
         rev.isNull().alias("k0"), (-rev).alias("k1"),
@@ -110,36 +111,44 @@ def _primary_line_key(items: DataFrame) -> F.Column:
 
 
 def order_supplier_rollup(order_items: DataFrame) -> DataFrame:
-    """(order_id, supplier_id) grain: revenue, freight, line count and that supplier's best line."""
+    """(order_id, supplier_id) grain: revenue, freight (DECIMAL) and line count — a hash
+    aggregation, partial map-side."""
     return order_items.groupBy("order_id", F.col("seller_id").alias("supplier_id")).agg(
         F.sum("price").alias("revenue"),
         F.sum("freight_value").alias("freight"),
         F.count(F.lit(1)).alias("n_items"),
-        F.min(_primary_line_key(order_items)).alias("best_line"),
     )
 
 
 def order_rollup(pairs: DataFrame) -> DataFrame:
-    """Order grain from the (order, supplier) roll-up: revenue, freight, n_items,
-    n_suppliers (distinct, NULL supplier not counted) and the primary line."""
-    best = F.min("best_line")
+    """Order grain from the (order, supplier) roll-up: revenue, freight, n_items and
+    n_suppliers (distinct suppliers; a NULL supplier is not counted)."""
     return pairs.groupBy("order_id").agg(
         F.sum("revenue").alias("revenue"),
         F.sum("freight").alias("freight"),
         F.sum("n_items").alias("n_items"),
         F.count("supplier_id").alias("n_suppliers"),
-        best.alias("_best"),
-    ).select(
-        "order_id", "revenue", "freight", "n_items", "n_suppliers",
+    )
+
+
+def order_primary_line(order_items: DataFrame) -> DataFrame:
+    """(order_id, primary_supplier_id, primary_product_id): the most expensive line of each
+    order, as a ``min`` over the ordering struct (partial + final aggregation, so a huge
+    order is reduced map-side; no window, no sort of whole orders)."""
+    best = order_items.groupBy("order_id").agg(F.min(_primary_line_key()).alias("_best"))
+    return best.select(
+        "order_id",
         F.col("_best.supplier_id").alias("primary_supplier_id"),
         F.col("_best.product_id").alias("primary_product_id"),
     )
 
 
-def order_primary(pairs: DataFrame, categories: DataFrame) -> DataFrame:
+def order_primary(order_items: DataFrame, categories: DataFrame) -> DataFrame:
     """(order_id, primary_supplier_id, primary_category)."""
     cats = categories.select(F.col("product_id").alias("primary_product_id"), F.col("product_category").alias("primary_category"))
-    return order_rollup(pairs).join(cats, "primary_product_id", "left").select("order_id", "primary_supplier_id", "primary_category")
+    return order_primary_line(order_items).join(cats, "primary_product_id", "left").select(
+        "order_id", "primary_supplier_id", "primary_category"
+    )
 
 
 def order_review(reviews: DataFrame) -> DataFrame:
@@ -189,21 +198,28 @@ def order_attributes(src: Sources) -> DataFrame:
     )
 
 
-def assemble_fact(attributes: DataFrame, pairs: DataFrame, categories: DataFrame) -> DataFrame:
+def assemble_fact(attributes: DataFrame, pairs: DataFrame, primary: DataFrame, categories: DataFrame) -> DataFrame:
     """Order fact = order attributes x order roll-up (inner: orders without a line item are
-    dropped) + the primary line's category."""
+    dropped) x primary line + the primary line's category."""
     value = order_rollup(pairs)
     cats = categories.select(F.col("product_id").alias("primary_product_id"), F.col("product_category").alias("primary_category"))
-    joined = attributes.join(value, "order_id", "inner").join(cats, "primary_product_id", "left")
+    joined = (
+        attributes.join(value, "order_id", "inner")
+        .join(primary, "order_id", "inner")
+        .join(cats, "primary_product_id", "left")
+    )
     freight_ratio = F.when(F.col("revenue") > 0, ratio(F.col("freight"), F.col("revenue"))).alias("freight_ratio")
     return joined.select(*[freight_ratio if c == "freight_ratio" else F.col(c) for c in FACT_ORDERS_COLUMNS])
 
 
-def fact_orders(src: Sources, pairs: DataFrame | None = None, categories: DataFrame | None = None) -> DataFrame:
+def fact_orders(src: Sources) -> DataFrame:
     """Order grain fact (22 columns); orders without any line item are dropped."""
-    pairs = order_supplier_rollup(src.order_items) if pairs is None else pairs
-    categories = dim_category(src.products, src.category_translation) if categories is None else categories
-    return assemble_fact(order_attributes(src), pairs, categories)
+    return assemble_fact(
+        order_attributes(src),
+        order_supplier_rollup(src.order_items),
+        order_primary_line(src.order_items),
+        dim_category(src.products, src.category_translation),
+    )
 
 
 def as_reference_types(df: DataFrame) -> DataFrame:
@@ -229,12 +245,16 @@ class Star:
         self.src = src
         self.categories = dim_category(src.products, src.category_translation)
         pairs = order_supplier_rollup(src.order_items)
+        primary = order_primary_line(src.order_items)
         attributes = order_attributes(src)
         if materialize:
-            # the item roll-up and the order side are independent: two concurrent jobs
-            pairs, attributes = stage_tables({"order_supplier": pairs, "order_attributes": attributes})
+            # the item roll-up, the primary line and the order side are independent:
+            # three concurrent jobs
+            pairs, primary, attributes = stage_tables(
+                {"order_supplier": pairs, "order_primary": primary, "order_attributes": attributes}
+            )
         self.pairs = pairs
-        orders = assemble_fact(attributes, pairs, self.categories)
+        orders = assemble_fact(attributes, pairs, primary, self.categories)
         if materialize:
             (orders,) = stage_tables({"fact_orders": orders})
         self.orders = orders

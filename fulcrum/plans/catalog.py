@@ -81,7 +81,7 @@ def _order_value(spark, d) -> DataFrame:
 
 def _order_primary(spark, d) -> DataFrame:
     s = _star(spark, d)
-    return star.order_primary(s.pairs, s.categories)
+    return star.order_primary(s.src.order_items, s.categories)
 
 
 def _supplier_orders(spark, d) -> DataFrame:
