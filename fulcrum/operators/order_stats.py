@@ -37,12 +37,14 @@ _PID = "_block"
 WINDOW_MAX_ROWS = 500_000
 
 
-def choose_method(df: DataFrame, method: str = "auto", max_rows: int = WINDOW_MAX_ROWS) -> str:
+def choose_method(df: DataFrame, method: str = "auto", max_rows: int = WINDOW_MAX_ROWS, rows: int | None = None) -> str:
     """'window' / 'distributed' as given; for 'auto', 'window' iff df has <= max_rows rows.
-    The count stops after max_rows + 1 rows; call it on a staged (cheap to scan) input."""
+    ``rows`` is a known row count (e.g. observed while staging); otherwise the count
+    stops after max_rows + 1 rows — call it on a staged (cheap to scan) input."""
     if method != "auto":
         return method
-    return "window" if df.limit(max_rows + 1).count() <= max_rows else "distributed"
+    n = rows if rows is not None else df.limit(max_rows + 1).count()
+    return "window" if n <= max_rows else "distributed"
 
 
 def _partitions(df: DataFrame, num_partitions: int | None) -> int:

@@ -17,7 +17,7 @@ from fulcrum.operators.order_stats import choose_method
 from fulcrum.plans import marts
 from fulcrum.sources.model import Sources
 from fulcrum.sources.sinks import write_headline_json, write_table
-from fulcrum.sources.tables import stage_table
+from fulcrum.sources.tables import stage_counted
 
 # The published mart names, in export order.
 MART_NAMES = (
@@ -67,16 +67,20 @@ class Pipeline:
     def fact(self) -> DataFrame:
         return self.star.orders
 
+    def supplier_base_counted(self) -> tuple[DataFrame, int]:
+        """The staged supplier base and its row count (observed while staging)."""
+        return stage_counted(scoring.supplier_base(self.star.pairs, self.fact), "supplier_base")
+
     def supplier_base(self) -> DataFrame:
-        return stage_table(scoring.supplier_base(self.star.pairs, self.fact), "supplier_base")
+        return self.supplier_base_counted()[0]
 
     def category(self) -> DataFrame:
-        base = stage_table(marts.category_base(self.fact), "category_base")
-        return marts.category_risk_from_base(base, method=choose_method(base, self.method))
+        base, rows = stage_counted(marts.category_base(self.fact), "category_base")
+        return marts.category_risk_from_base(base, method=choose_method(base, self.method, rows=rows))
 
-    def scorecard(self, base: DataFrame | None = None) -> DataFrame:
-        base = self.supplier_base() if base is None else base
-        return scoring.supplier_scorecard(base, self.min_orders, method=choose_method(base, self.method))
+    def scorecard(self) -> DataFrame:
+        base, rows = self.supplier_base_counted()
+        return scoring.supplier_scorecard(base, self.min_orders, method=choose_method(base, self.method, rows=rows))
 
     def marts(self) -> dict[str, Callable[[], DataFrame]]:
         return {

@@ -12,21 +12,35 @@ from __future__ import annotations
 import uuid
 from concurrent.futures import ThreadPoolExecutor
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
+from pyspark.sql import functions as F
 
 from fulcrum.session import checkpoint_dir
 
 
 def stage_table(df: DataFrame, name: str, partition_by: list[str] | None = None) -> DataFrame:
+    return _stage(df, name, partition_by)[0]
+
+
+def stage_counted(df: DataFrame, name: str) -> tuple[DataFrame, int]:
+    """Stage ``df`` and return it with its row count, observed during the write (no
+    second pass)."""
+    return _stage(df, name, None, observe=True)
+
+
+def _stage(df: DataFrame, name: str, partition_by: list[str] | None, observe: bool = False) -> tuple[DataFrame, int | None]:
     spark = df.sparkSession
     path = f"{checkpoint_dir(spark).rstrip('/')}/fulcrum-stage/{uuid.uuid4().hex}/{name}"
-    writer = df.write.mode("overwrite")
+    obs = Observation() if observe else None
+    source = df.observe(obs, F.count(F.lit(1)).alias("rows")) if observe else df
+    writer = source.write.mode("overwrite")
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     writer.parquet(path)
+    rows = int(obs.get["rows"]) if observe else None
     if partition_by:
-        return spark.read.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+        return spark.read.parquet(path), rows
+    return spark.read.schema(df.schema).parquet(path), rows
 
 
 def stage_tables(frames: dict[str, DataFrame]) -> list[DataFrame]:
