@@ -98,7 +98,10 @@ def expect(df: DataFrame, rules=FACT_ORDERS_RULES, with_rows: bool = False) -> D
         aggs.append(F.count(r.column).alias(f"_nn{i}"))
         if r.kind != "unique":
             aggs.append(F.count_if(_unexpected(r)).alias(f"_bad{i}"))
-    stats = df.agg(*aggs)
+    # One row of counts from a single pass, plus one row per uniqueness rule from its own
+    # group-by; the branches are unioned and folded into one row, so they run as
+    # independent stages (no scalar sub-query run first, no cross join).
+    branches = [df.agg(*aggs)]
     for i, r in enumerate(rules):
         if r.kind == "unique":
             dup = (
@@ -106,10 +109,13 @@ def expect(df: DataFrame, rules=FACT_ORDERS_RULES, with_rows: bool = False) -> D
                 .groupBy(r.column)
                 .agg(F.count(F.lit(1)).alias("_n"))
                 .where(F.col("_n") > 1)
-                .select(F.coalesce(F.sum("_n"), F.lit(0)).cast("long"))
-                .scalar()
+                .agg(F.coalesce(F.sum("_n"), F.lit(0)).cast("long").alias(f"_bad{i}"))
             )
-            stats = stats.withColumn(f"_bad{i}", dup)
+            branches.append(dup)
+    merged = branches[0]
+    for b in branches[1:]:
+        merged = merged.unionByName(b, allowMissingColumns=True)
+    stats = merged.agg(*[F.max(c).alias(c) for c in merged.columns])
     rows = []
     for i, r in enumerate(rules):
         bad = F.col(f"_bad{i}").cast("double")
