@@ -200,9 +200,10 @@ def order_attributes(src: Sources) -> DataFrame:
 
 
 def assemble_fact(attributes: DataFrame, pairs: DataFrame, primary: DataFrame, categories: DataFrame) -> DataFrame:
-    """Order fact = order attributes x order roll-up (inner: orders without a line item are
-    dropped) x primary line + the primary line's category."""
-    value = order_rollup(pairs)
+    """Order fact = order attributes x order roll-up x primary line + the primary line's
+    category.  Orders whose revenue is NULL — no line item, or no priced line — are dropped
+    (the filter runs on the roll-up side, before the joins)."""
+    value = order_rollup(pairs).where(F.col("revenue").isNotNull())
     cats = categories.select(F.col("product_id").alias("primary_product_id"), F.col("product_category").alias("primary_category"))
     joined = (
         attributes.join(value, "order_id", "inner")
@@ -234,10 +235,11 @@ class Star:
     """Star schema over one ``Sources``.
 
     ``materialize=False`` keeps everything lazy (one plan per consumer, Catalyst fuses it
-    with the mart on top).  ``materialize=True`` writes the two shared intermediates — the
-    (order, supplier) roll-up and the order fact — as staged Parquet tables, the way the
-    facts are materialised once before the marts are computed; every consumer then starts
-    from a scan instead of re-planning (and possibly re-running) the item roll-up.
+    with the mart on top).  ``materialize=True`` stages the (order, supplier) roll-up, the
+    primary lines and the order side as Parquet (three concurrent jobs), then the order
+    fact — the way the facts are materialised once before the marts are computed; every
+    consumer then starts from a scan instead of re-planning (and possibly re-running) the
+    item roll-up.
     """
 
     def __init__(self, src: Sources, materialize: bool = False):

@@ -230,3 +230,12 @@ def test_u_day_precision_lateness(spark):
     )
     r = star.Star(src).orders.first()
     assert (r.delay_days, r.is_late) == (0, False)
+
+
+def test_orders_without_priced_lines_are_dropped(spark):
+    src = sources(
+        spark,
+        [order("o1"), order("o2"), order("o3")],
+        [item("o1", 1, price=10.0), item("o2", 1, price=None, freight=None)],
+    )
+    assert sorted(r.order_id for r in star.Star(src).orders.collect()) == ["o1"]
