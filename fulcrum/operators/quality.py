@@ -17,10 +17,9 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from fulcrum.functions.numeric import round_half_up
 
 
 @dataclass(frozen=True)
@@ -74,34 +73,52 @@ FACT_ORDERS_RULES = (
 )
 
 
-def _unexpected(rule: Rule) -> Column:
-    c = F.col(rule.column)
+def _ident(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
+
+
+def _literal(v) -> str:
+    if isinstance(v, bool):
+        return "true" if v else "false"
+    if isinstance(v, str):
+        return "'" + v.replace("\\", "\\\\").replace("'", "\\'") + "'"
+    if isinstance(v, float):
+        return repr(v) + "D"
+    return repr(v)
+
+
+def _unexpected(rule: Rule) -> str:
+    """SQL predicate for an unexpected row of ``rule`` (NULLs ignored except by not_null)."""
+    c = _ident(rule.column)
     if rule.kind == "not_null":
-        return c.isNull()
+        return f"{c} IS NULL"
     if rule.kind == "between":
-        bad = F.lit(False)
+        bad = []
         if rule.min_value is not None:
-            bad = bad | (c < F.lit(rule.min_value))
+            bad.append(f"{c} < {_literal(rule.min_value)}")
         if rule.max_value is not None:
-            bad = bad | (c > F.lit(rule.max_value))
-        return c.isNotNull() & bad
+            bad.append(f"{c} > {_literal(rule.max_value)}")
+        return f"{c} IS NOT NULL AND ({' OR '.join(bad) or 'false'})"
     if rule.kind == "in_set":
-        return c.isNotNull() & ~c.isin(*rule.value_set)
+        return f"{c} IS NOT NULL AND NOT {c} IN ({', '.join(_literal(v) for v in rule.value_set)})"
     raise ValueError(rule.kind)
 
 
 def expect(df: DataFrame, rules=FACT_ORDERS_RULES, with_rows: bool = False) -> DataFrame:
     """Evaluate ``rules`` over ``df``; one row per rule, in rule order (``with_rows`` adds
-    the checked row count to every row)."""
-    aggs = [F.count(F.lit(1)).alias("_rows")]
+    the checked row count to every row).
+
+    The rule counts and the report are written as SQL expressions (one ``stack`` for the
+    report), so building the plan costs a handful of calls whatever the number of rules."""
+    aggs = ["count(1) AS _rows"]
     for i, r in enumerate(rules):
-        aggs.append(F.count(r.column).alias(f"_nn{i}"))
+        aggs.append(f"count({_ident(r.column)}) AS _nn{i}")
         if r.kind != "unique":
-            aggs.append(F.count_if(_unexpected(r)).alias(f"_bad{i}"))
+            aggs.append(f"count_if({_unexpected(r)}) AS _bad{i}")
     # One row of counts from a single pass, plus one row per uniqueness rule from its own
     # group-by; the branches are unioned and folded into one row, so they run as
     # independent stages (no scalar sub-query run first, no cross join).
-    branches = [df.agg(*aggs)]
+    branches = [df.agg(*[F.expr(a) for a in aggs])]
     for i, r in enumerate(rules):
         if r.kind == "unique":
             dup = (
@@ -115,30 +132,25 @@ def expect(df: DataFrame, rules=FACT_ORDERS_RULES, with_rows: bool = False) -> D
     merged = branches[0]
     for b in branches[1:]:
         merged = merged.unionByName(b, allowMissingColumns=True)
-    stats = merged.agg(*[F.max(c).alias(c) for c in merged.columns])
-    rows = []
+    stats = merged.agg(*[F.expr(f"max({c}) AS {c}") for c in merged.columns])
+
+    entries = []
     for i, r in enumerate(rules):
-        bad = F.col(f"_bad{i}").cast("double")
-        base = F.col("_rows" if r.kind == "not_null" else f"_nn{i}").cast("double")
-        pct = F.when(base > 0, F.lit(100.0) * bad / base).otherwise(F.lit(0.0))
+        bad = f"CAST(_bad{i} AS DOUBLE)"
+        base = "CAST(_rows AS DOUBLE)" if r.kind == "not_null" else f"CAST(_nn{i} AS DOUBLE)"
         if r.mostly is None:
-            ok = F.col(f"_bad{i}") == 0
+            ok = f"_bad{i} = 0"
         else:
-            ok = (base == 0) | ((base - bad) / base >= F.lit(float(r.mostly)))
-        rows.append(
-            F.struct(
-                F.lit(i).alias("rule_no"),
-                F.lit(r.expectation).alias("expectation"),
-                F.lit(r.column).alias("column"),
-                F.lit("yes" if r.critical else "no").alias("critical"),
-                F.when(ok, "PASS").otherwise("FAIL").alias("result"),
-                round_half_up(pct, 3).alias("unexpected_pct"),
-                F.col("_rows").alias("_rows"),
-            )
+            ok = f"({base} = 0 OR ({base} - {bad}) / {base} >= {_literal(float(r.mostly))})"
+        pct = f"CASE WHEN {base} > 0 THEN floor((100.0D * {bad} / {base}) * 1000.0D + 0.5D) / 1000.0D ELSE 0.0D END"
+        entries.append(
+            f"{_literal(r.expectation)}, {_literal(r.column)}, {_literal('yes' if r.critical else 'no')}, "
+            f"CASE WHEN {ok} THEN 'PASS' ELSE 'FAIL' END, {pct}"
         )
-    # one aggregate row exploded in array order: rules come out in rule order, no sort needed
-    out = stats.select(F.explode(F.array(*rows)).alias("r")).select("r.*").drop("rule_no")
-    return out.withColumnRenamed("_rows", "rows") if with_rows else out.drop("_rows")
+    report = f"stack({len(rules)}, {', '.join(entries)}) AS (expectation, `column`, critical, result, unexpected_pct)"
+    # a single aggregate row stacked in rule order: no sort needed
+    out = stats.selectExpr(report, "_rows AS rows")
+    return out if with_rows else out.drop("rows")
 
 
 def summary(report: DataFrame) -> DataFrame:
