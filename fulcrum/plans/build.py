@@ -129,7 +129,7 @@ def run_pipeline(src: Sources, out_dir: str, fmt: str = "csv", method: str = "au
 
     def export(name: str, build: Callable[[], DataFrame]) -> int:
         if name == "fact_orders":
-            return write_table(build(), f"{out}/{name}", "parquet", partition_by=["order_month"])
+            return write_table(build(), f"{out}/{name}", "parquet", partition_by=["order_month"], cluster_by=["order_id"])
         df = build()
         order = mart_sort_order(name)
         return write_table(df.orderBy(*order) if order else df, f"{out}/{name}", fmt)
