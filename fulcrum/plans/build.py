@@ -17,7 +17,7 @@ from fulcrum.operators.order_stats import choose_method
 from fulcrum.plans import marts
 from fulcrum.sources.model import Sources
 from fulcrum.sources.sinks import write_headline_json, write_table
-from fulcrum.sources.tables import stage_counted
+from fulcrum.sources.tables import drop_stage_root, new_stage_root, stage_counted, staging_scope, submit_in_scope
 
 # The published mart names, in export order.
 MART_NAMES = (
@@ -61,7 +61,20 @@ class Pipeline:
         self.src = src
         self.min_orders = min_orders
         self.method = method
-        self.star = star.Star(src, materialize=True)
+        self.spark = src.orders.sparkSession
+        self.stage_root = new_stage_root(self.spark)
+        with staging_scope(self.stage_root):
+            self.star = star.Star(src, materialize=True)
+
+    def close(self) -> None:
+        """Delete every table this pipeline staged (DataFrames built from it become invalid)."""
+        drop_stage_root(self.spark, self.stage_root)
+
+    def __enter__(self) -> "Pipeline":
+        return self
+
+    def __exit__(self, *exc) -> None:
+        self.close()
 
     @property
     def fact(self) -> DataFrame:
@@ -69,18 +82,21 @@ class Pipeline:
 
     def supplier_base_counted(self) -> tuple[DataFrame, int]:
         """The staged supplier base and its row count (observed while staging)."""
-        return stage_counted(scoring.supplier_base(self.star.pairs, self.fact), "supplier_base")
+        with staging_scope(self.stage_root):
+            return stage_counted(scoring.supplier_base(self.star.pairs, self.fact), "supplier_base")
 
     def supplier_base(self) -> DataFrame:
         return self.supplier_base_counted()[0]
 
     def category(self) -> DataFrame:
-        base, rows = stage_counted(marts.category_base(self.fact), "category_base")
-        return marts.category_risk_from_base(base, method=choose_method(base, self.method, rows=rows))
+        with staging_scope(self.stage_root):
+            base, rows = stage_counted(marts.category_base(self.fact), "category_base")
+            return marts.category_risk_from_base(base, method=choose_method(base, self.method, rows=rows))
 
     def scorecard(self) -> DataFrame:
         base, rows = self.supplier_base_counted()
-        return scoring.supplier_scorecard(base, self.min_orders, method=choose_method(base, self.method, rows=rows))
+        with staging_scope(self.stage_root):
+            return scoring.supplier_scorecard(base, self.min_orders, method=choose_method(base, self.method, rows=rows))
 
     def marts(self) -> dict[str, Callable[[], DataFrame]]:
         return {
@@ -123,7 +139,11 @@ def run_pipeline(src: Sources, out_dir: str, fmt: str = "csv", method: str = "au
     marts only read the staged star, so they are written as up to ``parallelism``
     concurrent jobs."""
     out = out_dir.rstrip("/")
-    p = Pipeline(src, method=method)
+    with Pipeline(src, method=method) as p:
+        return _export(p, out, fmt, parallelism)
+
+
+def _export(p: Pipeline, out: str, fmt: str, parallelism: int) -> dict:
     report = quality.enforce(p.quality_report())
     counts = {"dq_report": write_table(report, f"{out}/dq_report", fmt)}
 
@@ -137,7 +157,7 @@ def run_pipeline(src: Sources, out_dir: str, fmt: str = "csv", method: str = "au
     jobs = dict(p.marts())
     jobs["fact_orders"] = lambda: star.as_reference_types(p.fact)
     with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
-        futures = {name: pool.submit(export, name, build) for name, build in jobs.items()}
+        futures = {name: submit_in_scope(pool, export, name, build) for name, build in jobs.items()}
         counts.update({name: f.result() for name, f in futures.items()})
     headline = write_headline_json(marts.kpi_exec_wide(p.fact), f"{out}/headline_kpis")
     return {"rows": counts, "headline": headline}

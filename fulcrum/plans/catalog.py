@@ -20,7 +20,7 @@ from fulcrum.operators import quality, scoring, star
 from fulcrum.plans import insights, marts
 from fulcrum.plans.build import Pipeline
 from fulcrum.operators.order_stats import choose_method
-from fulcrum.sources.tables import stage_counted
+from fulcrum.sources.tables import stage_counted, staging_scope
 from fulcrum.sources.testdata import from_driver_tables
 
 # Parameters chosen to make each filter bite on the driver data.
@@ -56,7 +56,8 @@ def _scorecard(spark, d, min_orders=scoring.MIN_ORDERS) -> DataFrame:
 def _percent_ranks(spark, d) -> DataFrame:
     p = _pipeline(spark, d)
     base, rows = p.supplier_base_counted()
-    return scoring.supplier_percent_ranks(base, p.min_orders, method=choose_method(base, ORDER_STATS_METHOD, rows=rows))
+    with staging_scope(p.stage_root):
+        return scoring.supplier_percent_ranks(base, p.min_orders, method=choose_method(base, ORDER_STATS_METHOD, rows=rows))
 
 
 def _region(spark, d) -> DataFrame:
@@ -68,8 +69,10 @@ def _category(spark, d) -> DataFrame:
 
 
 def _pareto_series(spark, d) -> DataFrame:
-    category, rows = stage_counted(_category(spark, d), "category_risk")
-    return insights.pareto_series(category, method=choose_method(category, ORDER_STATS_METHOD, rows=rows))
+    p = _pipeline(spark, d)
+    with staging_scope(p.stage_root):
+        category, rows = stage_counted(p.category(), "category_risk")
+        return insights.pareto_series(category, method=choose_method(category, ORDER_STATS_METHOD, rows=rows))
 
 
 def _order_value(spark, d) -> DataFrame:

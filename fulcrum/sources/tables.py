@@ -5,18 +5,52 @@ This is how lineage is cut: the downstream plan starts from a Parquet scan (colu
 pruning, filter pushdown, real size statistics for join planning), a lost executor only
 costs a re-read, and the optimiser never re-plans the upstream DAG.  The folder is the
 cluster's ``spark.checkpoint.dir``; a scratch folder is used only when none is set.
+
+Tables staged inside ``staging_scope(root)`` go under ``root`` (a pipeline's own folder,
+removed by ``drop_stage_root`` when the pipeline is closed); the scope follows work handed
+to ``stage_tables``' worker threads.
 """
 
 from __future__ import annotations
 
+import contextlib
+import contextvars
 import uuid
 from concurrent.futures import ThreadPoolExecutor
 
-from pyspark.sql import DataFrame, Observation
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from fulcrum.session import checkpoint_dir
 
+_ROOT: contextvars.ContextVar[str | None] = contextvars.ContextVar("fulcrum_stage_root", default=None)
+
+
+def new_stage_root(spark: SparkSession) -> str:
+    return f"{checkpoint_dir(spark).rstrip('/')}/fulcrum-stage/{uuid.uuid4().hex}"
+
+
+@contextlib.contextmanager
+def staging_scope(root: str):
+    token = _ROOT.set(root)
+    try:
+        yield root
+    finally:
+        _ROOT.reset(token)
+
+
+def drop_stage_root(spark: SparkSession, root: str) -> None:
+    """Delete a staging folder (any Hadoop-compatible file system)."""
+    jvm = spark.sparkContext._jvm
+    path = jvm.org.apache.hadoop.fs.Path(root)
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def submit_in_scope(pool: ThreadPoolExecutor, fn, *args):
+    """``pool.submit(fn, *args)`` running in a copy of the *submitting* thread's context, so
+    the staging scope follows the work."""
+    return pool.submit(contextvars.copy_context().run, fn, *args)
+
 
 def stage_table(df: DataFrame, name: str, partition_by: list[str] | None = None) -> DataFrame:
     return _stage(df, name, partition_by)[0]
@@ -30,7 +64,8 @@ def stage_counted(df: DataFrame, name: str) -> tuple[DataFrame, int]:
 
 def _stage(df: DataFrame, name: str, partition_by: list[str] | None, observe: bool = False) -> tuple[DataFrame, int | None]:
     spark = df.sparkSession
-    path = f"{checkpoint_dir(spark).rstrip('/')}/fulcrum-stage/{uuid.uuid4().hex}/{name}"
+    root = _ROOT.get() or new_stage_root(spark)
+    path = f"{root}/{name}-{uuid.uuid4().hex[:12]}"
     obs = Observation() if observe else None
     source = df.observe(obs, F.count(F.lit(1)).alias("rows")) if observe else df
     writer = source.write.mode("overwrite")
@@ -49,5 +84,5 @@ def stage_tables(frames: dict[str, DataFrame]) -> list[DataFrame]:
     if len(frames) == 1:
         return [stage_table(df, name) for name, df in frames.items()]
     with ThreadPoolExecutor(max_workers=len(frames)) as pool:
-        futures = [pool.submit(stage_table, df, name) for name, df in frames.items()]
+        futures = [submit_in_scope(pool, stage_table, df, name) for name, df in frames.items()]
         return [f.result() for f in futures]

@@ -99,3 +99,19 @@ def test_sink_writes_marts_in_published_order(spark, tmp_path):
     run_pipeline(from_driver_tables(spark, SF_SMALL), out, fmt="csv")
     months = [r.order_month for r in spark.read.option("header", True).csv(f"{out}/mart_monthly").collect()]
     assert months == sorted(months)
+
+
+def test_close_drops_the_staged_tables(spark, tmp_path):
+    import glob
+
+    from fulcrum.session import checkpoint_dir
+
+    with Pipeline(from_driver_tables(spark, SF_SMALL)) as p:
+        p.scorecard().collect()
+        p.category().collect()
+        root = p.stage_root[len("file:"):] if p.stage_root.startswith("file:") else p.stage_root
+        assert glob.glob(root + "/*")
+    assert not os.path.exists(root)
+    before = set(glob.glob(checkpoint_dir(spark).rstrip("/") + "/fulcrum-stage/*"))
+    run_pipeline(from_driver_tables(spark, SF_SMALL), str(tmp_path / "o"))
+    assert set(glob.glob(checkpoint_dir(spark).rstrip("/") + "/fulcrum-stage/*")) == before
