@@ -47,3 +47,27 @@ def checkpoint_dir(spark: SparkSession) -> str:
     scratch = tempfile.mkdtemp(prefix="fulcrum-ckpt-")
     spark.sparkContext.setCheckpointDir(scratch)
     return scratch
+
+
+def cluster_conf(input_bytes: int, executors: int, cores_per_executor: int,
+                 target_partition_bytes: int = 256 * 1024 * 1024) -> dict[str, str]:
+    """Session settings for a cluster run over ``input_bytes`` of Parquet.
+
+    * ``spark.sql.files.maxPartitionBytes``: scan splits of ~``target_partition_bytes``.
+    * ``spark.sql.shuffle.partitions``: the widest shuffle (the item roll-up) moves about as
+      much as it reads, so one partition per ``target_partition_bytes`` of input, rounded up
+      to whole waves of the cluster's task slots; AQE coalesces small ones and splits skewed
+      ones at run time.
+    * AQE with skew-join handling on; broadcast threshold left at Spark's checked default.
+    """
+    slots = max(1, executors * cores_per_executor)
+    wanted = max(1, -(-input_bytes // target_partition_bytes))
+    partitions = -(-wanted // slots) * slots
+    return {
+        "spark.sql.files.maxPartitionBytes": str(target_partition_bytes),
+        "spark.sql.shuffle.partitions": str(partitions),
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes // 2),
+    }

@@ -115,3 +115,12 @@ def test_close_drops_the_staged_tables(spark, tmp_path):
     before = set(glob.glob(checkpoint_dir(spark).rstrip("/") + "/fulcrum-stage/*"))
     run_pipeline(from_driver_tables(spark, SF_SMALL), str(tmp_path / "o"))
     assert set(glob.glob(checkpoint_dir(spark).rstrip("/") + "/fulcrum-stage/*")) == before
+
+
+def test_cluster_conf_sizes_partitions_in_whole_waves():
+    from fulcrum.session import cluster_conf
+
+    conf = cluster_conf(100 * 1024**4, executors=1000, cores_per_executor=8)
+    parts = int(conf["spark.sql.shuffle.partitions"])
+    assert parts % 8000 == 0 and parts * 256 * 1024**2 >= 100 * 1024**4
+    assert cluster_conf(1, 1, 1)["spark.sql.shuffle.partitions"] == "1"
