@@ -8,8 +8,8 @@ statistic here is built from one primitive, ``exclusive_running_totals``:
 1. range-partition the (distinct) sort keys into P contiguous blocks (sampled bounds) and
    stage the block assignment, so every consumer sees the same one;
 2. running sums inside each block with a window partitioned by the block id;
-3. block totals -> prefix offsets (a window over at most P x groups rows — bounded by the
-   partition count, broadcast back);
+3. block totals -> prefix offsets (a window over at most P x groups rows, P <= MAX_BLOCKS,
+   broadcast back);
 4. global value = block offset + local running value.
 
 Percent ranks first collapse equal values (``groupBy(value).count()``, map-side), so a value
@@ -35,6 +35,9 @@ _PID = "_block"
 
 # Largest row count for which a single-task window is preferred over the distributed form.
 WINDOW_MAX_ROWS = 500_000
+# Most range blocks: keeps the broadcast offset table at <= MAX_BLOCKS x groups rows even
+# when the session runs hundreds of thousands of shuffle partitions (1e9 keys -> ~250k per block).
+MAX_BLOCKS = 4096
 
 
 def choose_method(df: DataFrame, method: str = "auto", max_rows: int = WINDOW_MAX_ROWS, rows: int | None = None) -> str:
@@ -50,7 +53,7 @@ def choose_method(df: DataFrame, method: str = "auto", max_rows: int = WINDOW_MA
 def _partitions(df: DataFrame, num_partitions: int | None) -> int:
     if num_partitions:
         return num_partitions
-    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return min(MAX_BLOCKS, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
 
 
 def exclusive_running_totals(
