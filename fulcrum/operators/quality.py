@@ -171,10 +171,15 @@ class QualityGateError(RuntimeError):
 
 
 def enforce(report: DataFrame) -> DataFrame:
-    """Raise ``QualityGateError`` if any critical rule failed; returns the report.
+    """Raise ``QualityGateError`` if any critical rule failed; otherwise return the report
+    as an in-memory DataFrame of the evaluated rows, so writing it afterwards does not
+    evaluate the rules over the data a second time.
 
     Collects only the report (one small row per rule)."""
-    failures = report.where((F.col("result") == "FAIL") & (F.col("critical") == "yes")).select("expectation", "column").collect()
+    rows = report.collect()
+    failures = [r for r in rows if r["result"] == "FAIL" and r["critical"] == "yes"]
     if failures:
-        raise QualityGateError("critical data-quality failure(s): " + ", ".join(f"{r[0]}({r[1]})" for r in failures))
-    return report
+        raise QualityGateError(
+            "critical data-quality failure(s): " + ", ".join(f"{r['expectation']}({r['column']})" for r in failures)
+        )
+    return report.sparkSession.createDataFrame(rows, report.schema)

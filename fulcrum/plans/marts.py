@@ -88,7 +88,12 @@ def kpi_exec_wide(fact: DataFrame) -> DataFrame:
 
 def kpi_exec(fact: DataFrame) -> DataFrame:
     """Tall (kpi, value) form of the same single aggregate."""
-    return kpi_exec_wide(fact).unpivot([], list(KPI_NAMES), "kpi", "value")
+    return kpis_tall(kpi_exec_wide(fact))
+
+
+def kpis_tall(wide: DataFrame) -> DataFrame:
+    """(kpi, value) rows of the one-row wide KPI frame, in published order."""
+    return wide.unpivot([], list(KPI_NAMES), "kpi", "value")
 
 
 def _fmt_thousands(c: Column, prefix: str = "") -> Column:
