@@ -88,8 +88,8 @@ def _order_primary(spark, d) -> DataFrame:
 
 
 def _supplier_orders(spark, d) -> DataFrame:
-    s = _star(spark, d)
-    return scoring.supplier_orders(s.pairs, s.orders)
+    p = _pipeline(spark, d)  # the roll-up feeds both sides of the join: stage it once
+    return scoring.supplier_orders(p.star.pairs, p.fact)
 
 
 def _dq_report(spark, d) -> DataFrame:
