@@ -122,6 +122,11 @@ KPI_FORMATS = {
 
 def kpi_exec_labels(fact: DataFrame) -> DataFrame:
     """Tall KPIs plus a display label (``98,666``, ``R$ 13,591,644``, ``93.2%``, ``10.6 days``)."""
+    return kpi_exec_labels_from_wide(kpi_exec_wide(fact))
+
+
+def kpi_exec_labels_from_wide(wide: DataFrame) -> DataFrame:
+    """Display labels for a one-row wide KPI frame (e.g. the headline document)."""
     v = F.col("value")
     label = None
     for name, (kind, digits) in KPI_FORMATS.items():
@@ -135,7 +140,7 @@ def kpi_exec_labels(fact: DataFrame) -> DataFrame:
             text = F.format_string(f"%.{digits}f days", v)
         cond = F.col("kpi") == name
         label = F.when(cond, text) if label is None else label.when(cond, text)
-    return kpi_exec(fact).select("kpi", "value", label.alias("label"))
+    return kpis_tall(wide.select(*[F.col(k).cast("double") for k in KPI_NAMES])).select("kpi", "value", label.alias("label"))
 
 
 def mart_monthly(fact: DataFrame) -> DataFrame:

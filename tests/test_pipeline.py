@@ -124,3 +124,15 @@ def test_cluster_conf_sizes_partitions_in_whole_waves():
     parts = int(conf["spark.sql.shuffle.partitions"])
     assert parts % 8000 == 0 and parts * 256 * 1024**2 >= 100 * 1024**4
     assert cluster_conf(1, 1, 1)["spark.sql.shuffle.partitions"] == "1"
+
+
+def test_cli_build_then_validate(spark, tmp_path, capsys):
+    from fulcrum.__main__ import main
+
+    out = str(tmp_path / "cli")
+    assert main(["build", "--testdata", SF_SMALL, "--out", out, "--format", "parquet"]) == 0
+    printed = capsys.readouterr().out
+    assert "HEADLINE KPIs" in printed and "total_orders" in printed
+    assert main(["validate", "--fact", f"{out}/fact_orders"]) == 0
+    printed = capsys.readouterr().out
+    assert "ExpectColumnValuesToBeUnique" in printed and "0 critical" in printed
