@@ -1,6 +1,5 @@
 from fulcrum.functions.numeric import (  # noqa: F401
     as_double,
-    money,
     ratio,
     round_half_up,
     round_half_even,

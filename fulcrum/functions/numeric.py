@@ -23,12 +23,6 @@ def as_double(c: Column | str) -> Column:
     return (F.col(c) if isinstance(c, str) else c).cast("double")
 
 
-def money(c: Column | str, precision: int = 18, scale: int = 2) -> Column:
-    """Parse or narrow a money column to an exact decimal (NULL when not representable)."""
-    col = F.col(c) if isinstance(c, str) else c
-    return col.try_cast(f"decimal({precision},{scale})")
-
-
 def ratio(numerator: Column, denominator: Column) -> Column:
     """numerator / denominator in double precision; NULL when the denominator is 0 or NULL."""
     return F.try_divide(as_double(numerator), as_double(denominator))
