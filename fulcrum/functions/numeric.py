@@ -53,3 +53,40 @@ def coefficient_of_variation(k: Column, s1: Column, s2: Column) -> Column:
     variance = F.try_divide(num.cast("double"), den.cast("double"))
     mean = F.try_divide(s1.cast("double"), k.cast("double"))
     return F.when((k > 1) & (mean > 0), F.sqrt(variance) / mean)
+
+
+_VELTKAMP = 134217729.0  # 2**27 + 1: splits a double into two 26-bit halves
+
+
+def _split_const(a: float) -> tuple[float, float]:
+    c = _VELTKAMP * a
+    hi = c - (c - a)
+    return hi, a - hi
+
+
+def round_binary_half_even(x: Column, digits: int) -> Column:
+    """Round the exact binary value of a double to ``digits`` decimals, ties to even —
+    what C ``printf`` and Python ``format`` do before printing.
+
+    ``x * 10^d`` is rounded once in double arithmetic; its exact rounding error comes from
+    Dekker's two-product (Veltkamp splits, plain IEEE operations), so a value printed as
+    ``94.25`` is a true tie (-> 94.2) while ``0.155`` (binary 0.15499...) rounds down to
+    0.15.  Returns a double whose shortest decimal form has at most ``digits`` decimals."""
+    scale = float(10 ** digits)
+    s_hi, s_lo = _split_const(scale)
+    p = x * F.lit(scale)
+    c = F.lit(_VELTKAMP) * x
+    x_hi = c - (c - x)
+    x_lo = x - x_hi
+    err = ((x_hi * F.lit(s_hi) - p) + x_hi * F.lit(s_lo) + x_lo * F.lit(s_hi)) + x_lo * F.lit(s_lo)
+    n = F.floor(p)
+    frac = p - n
+    odd = F.pmod(n, F.lit(2)) == 1
+    up = (frac > 0.5) | ((frac == 0.5) & ((err > 0) | ((err == 0) & odd)))
+    return (n + F.when(up, F.lit(1)).otherwise(F.lit(0))) / F.lit(scale)
+
+
+def format_fixed(x: Column, digits: int, thousands: bool = False) -> Column:
+    """``'{:.Nf}'`` / ``'{:,.Nf}'`` of a double, rounding as Python/C formatting does."""
+    r = round_binary_half_even(x, digits)
+    return F.format_number(r, digits) if thousands else F.format_string(f"%.{digits}f", r)

@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from fulcrum.functions.measures import conditional_mean, conditional_sum, flag_rate, strict_flag_rate
-from fulcrum.functions.numeric import ratio, round_half_up
+from fulcrum.functions.numeric import format_fixed, ratio, round_half_up
 from fulcrum.operators.pareto import pareto_abc
 
 # The headline KPI names, in published order.
@@ -97,11 +97,12 @@ def kpis_tall(wide: DataFrame) -> DataFrame:
 
 
 def _fmt_thousands(c: Column, prefix: str = "") -> Column:
-    return F.concat(F.lit(prefix), F.format_number(c, 0))
+    return F.concat(F.lit(prefix), format_fixed(c, 0, thousands=True))
 
 
 def _fmt_percent(c: Column, digits: int) -> Column:
-    return F.format_string(f"%.{digits}f%%", c * F.lit(100.0))
+    # '{:.N%}' multiplies by 100 in double arithmetic, then prints with N decimals
+    return F.concat(format_fixed(c * F.lit(100.0), digits), F.lit("%"))
 
 
 # Display format per KPI (thousands, money, percent with n places, days).
@@ -137,7 +138,7 @@ def kpi_exec_labels_from_wide(wide: DataFrame) -> DataFrame:
         elif kind == "percent":
             text = _fmt_percent(v, digits)
         else:
-            text = F.format_string(f"%.{digits}f days", v)
+            text = F.concat(format_fixed(v, digits), F.lit(" days"))
         cond = F.col("kpi") == name
         label = F.when(cond, text) if label is None else label.when(cond, text)
     return kpis_tall(wide.select(*[F.col(k).cast("double") for k in KPI_NAMES])).select("kpi", "value", label.alias("label"))

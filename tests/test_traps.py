@@ -239,3 +239,30 @@ def test_orders_without_priced_lines_are_dropped(spark):
         [item("o1", 1, price=10.0), item("o2", 1, price=None, freight=None)],
     )
     assert sorted(r.order_id for r in star.Star(src).orders.collect()) == ["o1"]
+
+
+def test_labels_round_the_binary_value_half_even(spark):
+    from fulcrum.functions.numeric import format_fixed
+
+    vals = [94.25, 94.35, 0.155, 0.165, 2.675, 0.125, 1234567.5, 1234568.5, 0.0, 12.0, 1e-9]
+    df = spark.createDataFrame([(v,) for v in vals], "x double")
+    got = [r[0] for r in df.select(format_fixed(F.col("x"), 1)).collect()]
+    assert got == [f"{v:.1f}" for v in vals]
+    got2 = [r[0] for r in df.select(format_fixed(F.col("x"), 2)).collect()]
+    assert got2 == [f"{v:.2f}" for v in vals]
+    got0 = [r[0] for r in df.select(format_fixed(F.col("x"), 0, thousands=True)).collect()]
+    assert got0 == [f"{v:,.0f}" for v in vals]
+
+
+def test_binary_rounding_matches_python_on_random_doubles(spark):
+    import random
+
+    from fulcrum.functions.numeric import format_fixed
+
+    rng = random.Random(3)
+    vals = [rng.uniform(0, 10 ** rng.randrange(0, 9)) for _ in range(2000)]
+    vals += [k / 8 for k in range(400)] + [k / 1000 + 0.0005 for k in range(400)]  # exact and near ties
+    df = spark.createDataFrame([(v,) for v in vals], "x double")
+    for d in (0, 1, 2, 3):
+        got = [r[0] for r in df.select(format_fixed(F.col("x"), d)).collect()]
+        assert got == [f"{v:.{d}f}" for v in vals], d
