@@ -87,6 +87,8 @@ def round_binary_half_even(x: Column, digits: int) -> Column:
 
 
 def format_fixed(x: Column, digits: int, thousands: bool = False) -> Column:
-    """``'{:.Nf}'`` / ``'{:,.Nf}'`` of a double, rounding as Python/C formatting does."""
+    """``'{:.Nf}'`` / ``'{:,.Nf}'`` of a double, rounding as Python/C formatting does;
+    NULL stays NULL."""
     r = round_binary_half_even(x, digits)
-    return F.format_number(r, digits) if thousands else F.format_string(f"%.{digits}f", r)
+    text = F.format_number(r, digits) if thousands else F.format_string(f"%.{digits}f", r)
+    return F.when(x.isNotNull(), text)

@@ -1,6 +1,7 @@
 """Differential test on random driver-shaped tables with edge cases the generated test data
-never has: NULL prices, taxes, quantities, dates, statuses and brands, orders without
-lines, duplicate line numbers, price ties, unknown nations.  Every catalogue query must
+never has: NULL prices, taxes, quantities, dates, statuses and brands, NULL or orphan
+order/part/supplier keys and line numbers, orders without lines, duplicate line numbers,
+price ties, unknown nations.  Every catalogue query must
 equal its DuckDB oracle exactly."""
 
 from __future__ import annotations
@@ -41,7 +42,8 @@ def _write_tables(folder, seed: int) -> None:
         if o % 9 == 4:
             continue  # some orders have no lines
         price = _maybe(rng, rng.choice([100.0, 250.5, 250.5, 999.99, 12.34, 0.0]), 0.05)
-        lines.append((o, rng.randrange(12), rng.randrange(7), rng.randrange(1, 4), _maybe(rng, float(rng.randrange(1, 9)), 0.05),
+        lines.append((_maybe(rng, o, 0.03), _maybe(rng, rng.randrange(14), 0.04), _maybe(rng, rng.randrange(8), 0.04),
+                      _maybe(rng, rng.randrange(1, 4), 0.03), _maybe(rng, float(rng.randrange(1, 9)), 0.05),
                       price, 0.0, _maybe(rng, rng.choice([0.0, 0.02, 0.08, -0.0]), 0.05), rng.choice("RAN"),
                       _maybe(rng, rng.choice("FO"), 0.05), _maybe(rng, ts(rng.randrange(-30, 500)), 0.05)))
     schemas = {
@@ -78,7 +80,7 @@ def _key(row):
     return tuple((x is None, "" if x is None else x) for x in row)
 
 
-@pytest.fixture(scope="module", params=[7, 42])
+@pytest.fixture(scope="module", params=[7, 42, 106])
 def random_tables(request, tmp_path_factory):
     folder = tmp_path_factory.mktemp(f"rand{request.param}")
     _write_tables(str(folder), request.param)
