@@ -101,3 +101,15 @@ def test_random_tables_match_oracle(spark, random_tables, name):
     idx = [dcols.index(c) for c in cols]
     want = sorted((tuple(_norm(r[i]) for i in idx) for r in rel.fetchall()), key=_key)
     assert got == want
+
+
+RANKED = ["mart_category_risk", "abc_summary", "pareto_series", "supplier_percent_ranks", "supplier_scorecard",
+          "risk_quintile_summary"]
+
+
+@pytest.mark.parametrize("name", RANKED)
+def test_random_tables_distributed_match_oracle(spark, random_tables, name, monkeypatch):
+    from fulcrum.plans import catalog
+
+    monkeypatch.setattr(catalog, "ORDER_STATS_METHOD", "distributed")
+    test_random_tables_match_oracle(spark, random_tables, name)
