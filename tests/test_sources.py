@@ -62,3 +62,23 @@ def test_bad_cells_become_null_and_missing_columns_fail(spark, tmp_path):
     q.write_text("seller_id,seller_city\ns1,x\n")
     with pytest.raises(ValueError):
         read_raw_csv(spark, str(q), "sellers")
+
+
+def test_raw_timestamp_format_and_empty_cells(spark, tmp_path):
+    import datetime as dt
+
+    from fulcrum.sources.raw import read_raw_csv
+
+    p = tmp_path / "orders.csv"
+    p.write_text(
+        "order_id,customer_id,order_status,order_purchase_timestamp,order_approved_at,order_delivered_carrier_date,"
+        "order_delivered_customer_date,order_estimated_delivery_date\n"
+        "o1,c1,delivered,2017-10-02 10:56:33,2017-10-02 11:07:15,2017-10-04 19:55:00,2017-10-10 21:25:13,2017-10-18 00:00:00\n"
+        "o2,c2,canceled,2018-08-08 08:38:49,,,,2018-08-20 00:00:00\n"
+    )
+    df = read_raw_csv(spark, str(p), "orders")
+    assert dict(df.dtypes)["order_delivered_customer_date"] == "timestamp_ntz"
+    rows = {r.order_id: r for r in df.collect()}
+    assert rows["o1"].order_delivered_customer_date == dt.datetime(2017, 10, 10, 21, 25, 13)
+    assert rows["o2"].order_approved_at is None and rows["o2"].order_delivered_customer_date is None
+    assert rows["o2"].order_estimated_delivery_date == dt.datetime(2018, 8, 20)
