@@ -75,16 +75,18 @@ def _pareto_series(spark, d) -> DataFrame:
         return insights.pareto_series(category, method=choose_method(category, ORDER_STATS_METHOD, rows=rows))
 
 
+def _categories(src) -> DataFrame:
+    return star.dim_category(src.products, src.category_translation)
+
+
 def _order_value(spark, d) -> DataFrame:
-    s = _star(spark, d)
-    return star.as_reference_types(
-        star.order_rollup(s.pairs).select("order_id", "revenue", "freight", "n_items", "n_suppliers")
-    )
+    src = from_driver_tables(spark, d)
+    return star.as_reference_types(star.order_rollup(star.order_supplier_rollup(src.order_items)))
 
 
 def _order_primary(spark, d) -> DataFrame:
-    s = _star(spark, d)
-    return star.order_primary(s.src.order_items, s.categories)
+    src = from_driver_tables(spark, d)
+    return star.order_primary(src.order_items, _categories(src))
 
 
 def _supplier_orders(spark, d) -> DataFrame:
@@ -104,7 +106,7 @@ QUERIES: dict[str, Query] = {
     # dimensions
     "dim_supplier": lambda spark, d: star.dim_supplier(from_driver_tables(spark, d).sellers),
     "dim_region": lambda spark, d: star.dim_region(from_driver_tables(spark, d).customers),
-    "dim_category": lambda spark, d: _star(spark, d).categories,
+    "dim_category": lambda spark, d: _categories(from_driver_tables(spark, d)),
     "dim_date": lambda spark, d: star.dim_date(from_driver_tables(spark, d).orders),
     # facts and their building blocks
     "fact_order_items": lambda spark, d: star.as_reference_types(_star(spark, d).items()),
