@@ -33,6 +33,28 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
 FROM b
 """
 
+OP9 = rf"""
+WITH d AS (SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '{WORD}'))::BIGINT AS size FROM documents),
+s AS (SELECT source, sum(size)::BIGINT AS source_size,
+             list_value(5, 2, 1)[((row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1)::INT] AS w
+      FROM d GROUP BY source),
+-- the level at which weight * level, capped at 3 sizes, uses up the total: tried after each set of capped sources
+tried AS (SELECT a.source, ((SELECT sum(source_size) FROM s)
+                            - coalesce(sum(3 * b.source_size) FILTER (b.source_size * a.w < a.source_size * b.w), 0))::DOUBLE
+                 / sum(b.w) FILTER (b.source_size * a.w >= a.source_size * b.w) AS level
+          FROM s a, s b GROUP BY a.source, a.source_size, a.w),
+t AS (SELECT source, source_size, least((3 * source_size)::DOUBLE, (SELECT max(level) FROM tried) * w) AS target,
+             CAST('0x' || substr(md5('mix-1:' || coalesce('s:' || source, 'null')), 1, 4) AS BIGINT) / 65536.0::DOUBLE AS shift
+      FROM s),
+r AS (SELECT doc_id, size, source_size, target, shift,
+             CASE WHEN source_size > 0 THEN target / source_size ELSE 0 END AS each,
+             row_number() OVER (PARTITION BY d.source ORDER BY size, doc_id NULLS FIRST) AS k
+      FROM d JOIN t ON d.source IS NOT DISTINCT FROM t.source),
+c AS (SELECT *, (floor(shift + each * k) - floor(shift + each * (k - 1)))::INT AS copies FROM r)
+SELECT doc_id, size, source_size, target, size * copies AS taken, copies FROM c
+"""
+
 QUERIES_SQL = {
     "op2_quality_rules": OP2,
+    "op9_mixing": OP9,
 }

@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fulcrum.llm import quality_rules
+from fulcrum.llm import mixing, quality_rules
+from fulcrum.llm.scratch import Scratch
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -22,6 +23,16 @@ def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    mixed = mixing.systematic_mix(_table(spark, sf_dir, "documents"), Scratch(spark))
+    return mixed.select(
+        "doc_id", "size", "source_size", "target",
+        (F.col("size") * F.col("copies")).alias("taken"),
+        "copies",
+    )
+
+
 QUERIES = {
     "op2_quality_rules": op2_quality_rules,
+    "op9_mixing": op9_mixing,
 }
