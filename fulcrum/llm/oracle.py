@@ -54,7 +54,45 @@ c AS (SELECT *, (floor(shift + each * k) - floor(shift + each * (k - 1)))::INT A
 SELECT doc_id, size, source_size, target, size * copies AS taken, copies FROM c
 """
 
+#: kind, expression, group that must be long enough, least length
+_SECRETS = [
+    ("assign", r"""(?i)(password|passwd|secret|token|api_?key)["'']?\x20*[:=]\x20*["'']?([A-Za-z0-9+/_.=-]+)""", 2, 12),
+    ("access", "AKIA[A-Z0-9]+", 0, 18),
+    ("hex", "[0-9a-f]{16,}", 0, 16),
+    ("pem", "-----BEGIN [A-Z ]*PRIVATE KEY-----", 0, 0),
+    ("github", "gh[pousr]_[A-Za-z0-9]+", 0, 40),
+    ("slack", "xox[abprs]-[A-Za-z0-9-]+", 0, 15),
+    ("jwt", "eyJ[A-Za-z0-9_-]+[.]eyJ[A-Za-z0-9_-]+[.][A-Za-z0-9_-]+", 0, 30),
+]
+
+
+def _secret_matches(nr: int, kind: str, pattern: str, group: int, least: int) -> str:
+    return f"""
+    SELECT r, {nr} AS nr, '{kind}' AS kind, s, s + length(ms[i]) AS e
+    FROM (SELECT r, ms, gs, i, coalesce(list_sum(list_transform(ps[1:i], lambda x: length(x))), 0)
+                 + coalesce(list_sum(list_transform(ms[1:i - 1], lambda x: length(x))), 0) AS s
+          FROM (SELECT r, ps, ms, gs, unnest(range(1, len(ms) + 1)) AS i
+                FROM (SELECT r, string_split_regex(t, '{pattern}') AS ps, regexp_extract_all(t, '{pattern}') AS ms,
+                             regexp_extract_all(t, '{pattern}', {group}) AS gs
+                      FROM d WHERE regexp_matches(t, '{pattern}'))))
+    WHERE length(gs[i]) >= {least}"""
+
+
+OP3 = f"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS t FROM documents),
+m AS ({" UNION ALL ".join(_secret_matches(nr, *rule) for nr, rule in enumerate(_SECRETS))}),
+a AS (SELECT r, count(*) FILTER (nr = 0) AS n_assign, count(*) FILTER (nr = 1) AS n_access,
+             count(*) FILTER (nr = 2) AS n_hex,
+             string_agg(kind || ':' || s::BIGINT || ':' || e::BIGINT, ',' ORDER BY s, nr) FILTER (nr < 3) AS base,
+             string_agg(kind || ':' || s::BIGINT || ':' || e::BIGINT, ',' ORDER BY s, nr) AS spans
+      FROM m GROUP BY r)
+SELECT doc_id, coalesce(n_assign, 0)::BIGINT AS n_assign, coalesce(n_access, 0)::BIGINT AS n_access,
+       coalesce(n_hex, 0)::BIGINT AS n_hex, sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans
+FROM d LEFT JOIN a ON a.r = d.r
+"""
+
 QUERIES_SQL = {
     "op2_quality_rules": OP2,
+    "op3_secrets": OP3,
     "op9_mixing": OP9,
 }

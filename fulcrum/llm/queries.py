@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fulcrum.llm import mixing, quality_rules
+from fulcrum.llm import mixing, quality_rules, secrets
 from fulcrum.llm.scratch import Scratch
 
 
@@ -23,6 +23,21 @@ def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _count_of(kind: str):
+    return lambda acc, k: acc + F.when(k == kind, 1).otherwise(0)
+
+
+def op3_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = secrets.scan(_table(spark, sf_dir, "documents"), Scratch(spark))
+    kinds = [r.kind for r in secrets.BASE_RULES]
+    base = F.filter("spans", lambda s: s["nr"] < len(kinds))
+    each = F.transform("spans", lambda s: s["kind"])
+    counts = [F.aggregate(each, F.lit(0), _count_of(kind)).cast("long").alias(f"n_{kind}") for kind in kinds]
+    return found.select(
+        "doc_id", *counts, F.sha2(secrets.span_string(base), 256).alias("base_sha256"),
+        secrets.span_string(F.col("spans")).alias("spans"))
+
+
 def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     mixed = mixing.systematic_mix(_table(spark, sf_dir, "documents"), Scratch(spark))
     return mixed.select(
@@ -34,5 +49,6 @@ def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op2_quality_rules": op2_quality_rules,
+    "op3_secrets": op3_secrets,
     "op9_mixing": op9_mixing,
 }
