@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fulcrum.llm import mixing, quality_rules, secrets
+from fulcrum.llm import mixing, quality_rules, secrets, token_files, warc
 from fulcrum.llm.scratch import Scratch
 
 
@@ -38,6 +39,21 @@ def op3_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
         secrets.span_string(F.col("spans")).alias("spans"))
 
 
+def op4_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scratch = Scratch(spark)
+    manifest, dictionary = token_files.token_files(
+        _table(spark, sf_dir, "documents"), scratch.path("tokens"), scratch,
+        tokenizer=public_tokenizers.path("word_bpe_49k.json"), end_id=2)
+    return token_files.read_shards(manifest, dictionary)
+
+
+def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages, scratch = _table(spark, sf_dir, "pages"), Scratch(spark)
+    archives = warc.write_archives(
+        warc.deduplicated(pages, scratch, min_bytes=0), scratch.path("archives"), scratch, warc.train_dictionary(pages))
+    return warc.read_archives(archives)
+
+
 def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     mixed = mixing.systematic_mix(_table(spark, sf_dir, "documents"), Scratch(spark))
     return mixed.select(
@@ -50,5 +66,7 @@ def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op2_quality_rules": op2_quality_rules,
     "op3_secrets": op3_secrets,
+    "op4_token_files": op4_token_files,
+    "op7_warc": op7_warc,
     "op9_mixing": op9_mixing,
 }
