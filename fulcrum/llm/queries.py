@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fulcrum.llm import mixing, quality_rules, secrets, token_files, warc
+from fulcrum.llm import mixing, quality_rules, secrets, sentencepieces, token_files, warc
 from fulcrum.llm.scratch import Scratch
 
 
@@ -63,10 +63,16 @@ def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op10_sentencepieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sentencepieces.round_trip(
+        _table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
+
+
 QUERIES = {
     "op2_quality_rules": op2_quality_rules,
     "op3_secrets": op3_secrets,
     "op4_token_files": op4_token_files,
     "op7_warc": op7_warc,
     "op9_mixing": op9_mixing,
+    "op10_sentencepieces": op10_sentencepieces,
 }
