@@ -91,8 +91,53 @@ SELECT doc_id, coalesce(n_assign, 0)::BIGINT AS n_assign, coalesce(n_access, 0):
 FROM d LEFT JOIN a ON a.r = d.r
 """
 
+
+def _ranks(kind: str, along: tuple[str, str]) -> str:
+    """Unrolled steps of one PageRank over ``links``, from ``along[0]`` to ``along[1]``."""
+    a, b = along
+    steps = [f"""
+{kind}_0 AS MATERIALIZED (SELECT host, {kind}_seed AS seed, {kind}_seed AS rank FROM seeds WHERE {kind}_seed > 0),
+{kind}_edges AS MATERIALIZED (SELECT {a} AS a, {b} AS b, n / sum(n) OVER (PARTITION BY {a}) AS part FROM links)"""]
+    for i in range(20):
+        steps.append(f"""
+{kind}_m{i + 1} AS MATERIALIZED (SELECT b AS host, 0.85 * sum(rank * part) AS rank
+    FROM {kind}_{i} JOIN {kind}_edges ON a = host GROUP BY b),
+{kind}_{i + 1} AS MATERIALIZED (SELECT host, max(seed) AS seed, round(sum(rank), 12) AS rank FROM (
+    SELECT host, 0 AS seed, rank FROM {kind}_m{i + 1} UNION ALL
+    SELECT host, seed, seed * (1 - coalesce((SELECT sum(rank) FROM {kind}_m{i + 1}), 0)) FROM {kind}_0) GROUP BY host)""")
+    return ",".join(steps)
+
+
+OP6 = rf"""
+WITH p AS (SELECT page_id, html,
+        lower(regexp_extract(coalesce(url, ''), '(?s)^.*?://([^/?#]*)([^?#]*)', 1)) AS host,
+        regexp_extract(coalesce(url, ''), '(?s)^.*?://([^/?#]*)([^?#]*)', 2) AS path FROM pages),
+rules(verdict, h, q) AS (VALUES ('allow', 'org', '/'), ('block', 'example.org', '/es/'),
+        ('block', 'example.org', '/en/1'), ('allow', 'com', '/fr/'), ('block', 'com', '/de/')),
+urls AS (SELECT DISTINCT host, path FROM p),
+fit AS (SELECT host, path, arg_max(h || q, length(h || q)) AS rule, arg_max(verdict, length(h || q)) AS verdict
+        FROM urls JOIN rules ON (host = h OR ends_with(host, '.' || h)) AND starts_with(path, q) GROUP BY host, path),
+j AS (SELECT p.*, rule, verdict FROM p LEFT JOIN fit ON fit.host = p.host AND fit.path = p.path),
+counts AS (SELECT host, count(*) FILTER (verdict = 'allow') AS allowed, count(*) FILTER (verdict = 'block') AS blocked
+           FROM j WHERE host <> '' GROUP BY host),
+seeds AS MATERIALIZED (SELECT host, allowed / (SELECT greatest(sum(allowed), 1) FROM counts)::DOUBLE AS t_seed,
+                 blocked / (SELECT greatest(sum(blocked), 1) FROM counts)::DOUBLE AS b_seed FROM counts),
+hrefs AS (SELECT host AS src, unnest(regexp_extract_all(coalesce(html, ''),
+        '(?i)<a\s[^>]*?href\s*=\s*["'']?((?:[a-z][a-z0-9+.-]*:)?//[^"''\s>]+)', 1)) AS t FROM p WHERE host <> ''),
+links AS MATERIALIZED (SELECT src, dst, count(*) AS n FROM (
+        SELECT src, lower(regexp_extract(t, '//([^/?#]*)', 1)) AS dst FROM hrefs) WHERE dst <> '' AND dst <> src GROUP BY ALL),
+{_ranks("t", ("src", "dst"))},
+{_ranks("b", ("dst", "src"))},
+hosts AS (SELECT host, sum(t) AS trust, sum(b) AS distrust FROM (
+        SELECT host, rank AS t, 0 AS b FROM t_20 UNION ALL SELECT host, 0, rank FROM b_20) GROUP BY host)
+SELECT page_id, j.host, path, rule,
+       coalesce(verdict, CASE WHEN distrust > 0.5 * (trust + distrust) THEN 'block' ELSE 'allow' END) AS verdict
+FROM j LEFT JOIN hosts ON hosts.host = j.host
+"""
+
 QUERIES_SQL = {
     "op2_quality_rules": OP2,
     "op3_secrets": OP3,
+    "op6_url_filter": OP6,
     "op9_mixing": OP9,
 }

@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fulcrum.llm import mixing, quality_rules, secrets, sentencepieces, token_files, warc
+from fulcrum.llm import mixing, quality_rules, secrets, sentencepieces, token_files, url_filter, warc
 from fulcrum.llm.scratch import Scratch
 
 
@@ -47,6 +47,11 @@ def op4_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.read_shards(manifest, dictionary)
 
 
+def op6_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    judged = url_filter.filter_urls(_table(spark, sf_dir, "pages"), Scratch(spark))
+    return judged.select("page_id", "host", "path", "rule", "verdict")
+
+
 def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages, scratch = _table(spark, sf_dir, "pages"), Scratch(spark)
     archives = warc.write_archives(
@@ -72,6 +77,7 @@ QUERIES = {
     "op2_quality_rules": op2_quality_rules,
     "op3_secrets": op3_secrets,
     "op4_token_files": op4_token_files,
+    "op6_url_filter": op6_url_filter,
     "op7_warc": op7_warc,
     "op9_mixing": op9_mixing,
     "op10_sentencepieces": op10_sentencepieces,
