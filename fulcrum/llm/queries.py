@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fulcrum.llm import mixing, quality_rules, secrets, sentencepieces, token_files, url_filter, warc
+from fulcrum.llm import learned_partitions, mixing, quality_mil, quality_rules, secrets, sentencepieces, token_files, url_filter, warc
 from fulcrum.llm.scratch import Scratch
 
 
@@ -14,6 +14,11 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_learned_partitions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = learned_partitions.vectors_of(_table(spark, sf_dir, "embeddings"))
+    return learned_partitions.search(vectors, vectors.where(F.col("id") % 20 == 0), Scratch(spark), k=20)
+
+
 def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     ledger = quality_rules.rule_ledger(_table(spark, sf_dir, "documents"))
     return ledger.select(
@@ -59,6 +64,15 @@ def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.read_archives(archives)
 
 
+def op8_quality_mil(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels")
+    held_out = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 3 == 1
+    net = quality_mil.train(docs, labels.where(~held_out).select("doc_id", "quality"))
+    return quality_mil.score(docs, net).select(
+        "doc_id", F.coalesce(held_out, F.lit(False)).alias("held_out"), "score",
+        F.when(F.col("score") >= 0.5, 1).otherwise(0).alias("predicted"))
+
+
 def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     mixed = mixing.systematic_mix(_table(spark, sf_dir, "documents"), Scratch(spark))
     return mixed.select(
@@ -74,11 +88,13 @@ def op10_sentencepieces(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_learned_partitions": op1_learned_partitions,
     "op2_quality_rules": op2_quality_rules,
     "op3_secrets": op3_secrets,
     "op4_token_files": op4_token_files,
     "op6_url_filter": op6_url_filter,
     "op7_warc": op7_warc,
+    "op8_quality_mil": op8_quality_mil,
     "op9_mixing": op9_mixing,
     "op10_sentencepieces": op10_sentencepieces,
 }
