@@ -13,9 +13,9 @@ so that one short document is read by one look at the index and one small frame,
 reader refuses a dictionary that is not the writer's.  Shards are ranges of doc_id; their
 order and the order inside them is the order of the whole.
 
-Encoding is the costly step.  It runs once, where the texts are read, on pieces between
-spaces and line ends; the tokenizer never joins across those, so the ids are those of the
-whole text, and pieces seen before are taken from a bounded table.
+Encoding is the costly step.  It runs once, where the texts are read.  The tokenizer never
+joins across blanks, so the ids of a text are those of its words in turn; each distinct word
+of a slice of texts is looked up once, in a bounded table of the words seen before.
 
 Defined results: null texts are empty and hold only the end id; null doc_ids come first;
 rows that share a doc_id stand side by side; an empty table gives no shard and no row.
@@ -37,7 +37,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from fulcrum.llm import files
+from fulcrum.llm import files, wordhash
 from fulcrum.llm.scratch import Scratch
 
 MAGIC = b"FTOKZST1"
@@ -51,8 +51,8 @@ DICT_BYTES = 64 * 1024
 LEVEL = 3
 #: Documents per shard file.
 SHARD_DOCS = 16384
-#: Pieces remembered per worker, and texts encoded at once.
-CACHE_PIECES, CHUNK_DOCS = 400_000, 1000
+#: Words remembered per worker.
+CACHE_WORDS = 2_000_000
 
 
 class PieceEncoder:
@@ -73,54 +73,41 @@ class PieceEncoder:
         self.ends_word = np.zeros(top + 1, bool)
         for piece, i in vocab.items():
             self.ends_word[i] = piece.endswith("</w>")
-        self.seen: dict[str, bytes] = {}
+        self.table = wordhash.UnitTable(self.dtype, self._of_words, CACHE_WORDS)
 
     def _ids(self, texts: list[str]) -> list[bytes]:
         found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
         return [np.array(e.ids, self.dtype).tobytes() for e in found]
 
-    def _learn(self, pieces: set[str]) -> None:
-        if len(self.seen) + len(pieces) > CACHE_PIECES:
-            self.seen = {}
-        new = pieces - self.seen.keys()
-        marked = {p for p in new if p[-1:] in (".", ",") and p[:-1].isalpha()}
-        letters = [p for p in (new | {p[:-1] for p in marked}) - self.seen.keys() if p.isalpha()]
-        if letters and self.ends_word.any():
-            joined = [" ".join(letters[i:i + 256]) for i in range(0, len(letters), 256)]
-            for text, raw in zip(joined, self._ids(joined)):
-                own = text.split(" ")
-                cut = ((np.flatnonzero(self.ends_word[np.frombuffer(raw, self.dtype)]) + 1) * self.dtype.itemsize).tolist()
-                if len(cut) == len(own):  # else the tokenizer splits some of them; they are encoded one by one
-                    self.seen.update(zip(own, (raw[a:b] for a, b in zip([0, *cut], cut))))
-        if "." not in self.seen:
-            self.seen.update(zip((".", ","), self._ids([".", ","])))
-        for p in marked:
-            if p[:-1] in self.seen and self.ends_word.any():
-                self.seen[p] = self.seen[p[:-1]] + self.seen[p[-1]]
-        rest = [p for p in new if p not in self.seen]
-        self.seen.update(zip(rest, self._ids(rest)))
-
-    def encode(self, texts: list[str]) -> list[bytes]:
-        split = [t.replace("\n", " ").split(" ") for t in texts]
-        pieces: set[str] = set()
-        for p in split:
-            pieces.update(p)
-        long = {p for p in pieces if len(p) > 64}
-        self._learn(pieces - long)
-        own = dict(zip(long, self._ids(list(long))))
-        seen = self.seen if not own else _Both(own, self.seen)
-        return [b"".join(map(seen.__getitem__, p)) + self.end for p in split]
-
-
-class _Both(dict):
-    """Pieces of this call, and else those remembered."""
-
-    def __init__(self, first: dict, then: dict):
-        super().__init__(first)
-        self.then = then
-
-    def __missing__(self, key):
-        return self.then[key]
+    def _of_words(self, words: list[bytes]) -> list[bytes]:
+        """Ids of each word: runs of letters are encoded many at a time and cut at the word ends."""
+        texts = [w.decode() for w in words]
+        if not self.ends_word.any():
+            return self._ids(texts)
+        done: dict[str, bytes] = {}
+        stems = [t[:-1] if t[-1] in ".," else t for t in texts]
+        letters = list({s for s in stems if s.isalpha()})
+        for at in range(0, len(letters), 256):
+            own = letters[at:at + 256]
+            raw = self._ids([" ".join(own)])[0]
+            cut = ((np.flatnonzero(self.ends_word[np.frombuffer(raw, self.dtype)]) + 1) * self.dtype.itemsize).tolist()
+            if len(cut) == len(own):  # else the tokenizer splits some of them; they are encoded one by one
+                done.update(zip(own, [raw[a:b] for a, b in zip([0, *cut], cut)]))
+        mark = dict(zip(".,", self._ids([".", ","])))
+        mark = {t: done[s] + mark[t[-1]] for t, s in zip(texts, stems) if t is not s and s in done}
+        done |= mark
+        rest = [t for t in texts if t not in done]
+        done.update(zip(rest, self._ids(rest)))
+        return [done[t] for t in texts]
+
+    def encode(self, texts: pa.Array) -> list[bytes]:
+        """Serialized ids of each text."""
+        found = wordhash.words_of(texts)
+        ids, size = self.table.ids(found.data, found.start, found.end)
+        words = np.concatenate([[0], np.cumsum(found.counts())])
+        ends = np.concatenate([[0], np.cumsum(size)])[words] * self.dtype.itemsize
+        raw = ids.tobytes()
+        return [raw[a:b] + self.end for a, b in zip(ends[:-1].tolist(), ends[1:].tolist())]
 
 
 @lru_cache(maxsize=2)
@@ -131,9 +118,8 @@ def encoder(path: str, end_id: int | None) -> PieceEncoder:
 def _encoded(batches: Iterator[pa.RecordBatch], tokenizer: str, end_id: int | None) -> Iterator[tuple[pa.Array, list[bytes]]]:
     coder = encoder(tokenizer, end_id)
     for batch in batches:
-        for at in range(0, batch.num_rows, CHUNK_DOCS):
-            part = batch.slice(at, CHUNK_DOCS)
-            yield part.column(0), coder.encode([t or "" for t in part.column(1).to_pylist()])
+        for part in wordhash.slices(batch, 1):
+            yield part.column(0), coder.encode(part.column(1))
 
 
 def train_dictionary(docs: DataFrame, tokenizer: str, end_id: int | None) -> bytes:

@@ -1,4 +1,5 @@
-"""Words of a whole Arrow column at once, as positions and 64-bit hashes in numpy.
+"""Words of a whole Arrow column at once, as positions and 64-bit hashes in numpy, and a
+table of the ids of words seen before.
 
 Words are maximal runs of bytes other than space, \\t, \\n, \\v, \\f, \\r; they never cross
 from one text into the next.  A word's hash depends on its bytes only.
@@ -6,7 +7,7 @@ from one text into the next.  A word's hash depends on its bytes only.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -59,13 +60,78 @@ class Words:
         return np.bincount(self.text, minlength=self.texts)
 
     def hashes(self) -> np.ndarray:
-        if not len(self.start):
-            return np.zeros(0, np.uint64)
-        up, down = _power_tables(len(self.data) + 1)
-        total = np.zeros(len(self.data) + 1, np.uint64)
-        np.cumsum((self.data.astype(np.uint64) + np.uint64(1)) * up[:len(self.data)], out=total[1:])
-        own = (total[self.end] - total[self.start]) * down[self.start]
-        return mix(own + (self.end - self.start).astype(np.uint64))
+        return range_hashes(self.data, self.start, self.end)
+
+
+def range_hashes(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """64-bit hash of the bytes in each range; it doesn't depend on where the range lies."""
+    if not len(start):
+        return np.zeros(0, np.uint64)
+    up, down = _power_tables(len(data) + 1)
+    total = np.zeros(len(data) + 1, np.uint64)
+    np.cumsum((data.astype(np.uint64) + np.uint64(1)) * up[:len(data)], out=total[1:])
+    own = (total[end] - total[start]) * down[start]
+    return mix(own + (end - start).astype(np.uint64))
+
+
+class UnitTable:
+    """Ids of short byte strings ("units"), looked up for a whole column at once.
+
+    ``encode`` gives the serialized ids of units not seen before; they stay in sorted arrays
+    (hash, check value, place in one pool of ids) until ``most`` of them are held, then the
+    table starts anew.  A unit is known by 64 hash bits and by its length and byte sum.
+    """
+
+    def __init__(self, dtype: np.dtype, encode: Callable[[list[bytes]], list[bytes]], most: int, most_ids: int = 1 << 24):
+        self.dtype, self.encode, self.most, self.most_ids = np.dtype(dtype), encode, most, most_ids
+        self._clear()
+
+    def _clear(self) -> None:
+        self.key, self.check = np.zeros(0, np.uint64), np.zeros(0, np.uint64)
+        self.at, self.size = np.zeros(0, np.int64), np.zeros(0, np.int32)
+        self.pool, self.used = np.zeros(1 << 16, self.dtype), 0
+
+    def _add(self, key: np.ndarray, check: np.ndarray, units: list[bytes]) -> None:
+        ids = self.encode(units)
+        size = np.array([len(x) // self.dtype.itemsize for x in ids], np.int32)
+        values = np.frombuffer(b"".join(ids), self.dtype)
+        if self.used + len(values) > len(self.pool):
+            grown = np.zeros(max(2 * len(self.pool), self.used + len(values)), self.dtype)
+            grown[:self.used] = self.pool[:self.used]
+            self.pool = grown
+        self.pool[self.used:self.used + len(values)] = values
+        at = self.used + np.cumsum(size, dtype=np.int64) - size
+        self.used += len(values)
+        place = np.searchsorted(self.key, key)
+        self.key, self.check = np.insert(self.key, place, key), np.insert(self.check, place, check)
+        self.at, self.size = np.insert(self.at, place, at), np.insert(self.size, place, size)
+
+    def ids(self, data: np.ndarray, start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of all units in order, number of ids of each unit)."""
+        if not len(start):
+            return np.zeros(0, self.dtype), np.zeros(0, np.int64)
+        if len(self.key) > self.most or self.used > self.most_ids:
+            self._clear()
+        hashes = range_hashes(data, start, end)
+        key, first, of = np.unique(hashes, return_index=True, return_inverse=True)
+        total = np.concatenate([[0], np.cumsum(data, dtype=np.uint64)]).astype(np.uint64)
+        a, b = start[first], end[first]
+        check = (total[b] - total[a]) * np.uint64(1 << 20) + (b - a).astype(np.uint64)
+        place = np.minimum(np.searchsorted(self.key, key), max(0, len(self.key) - 1))
+        known = (self.key[place] == key) if len(self.key) else np.zeros(len(key), bool)
+        if len(self.key):
+            clash = known & (self.check[place] != check)
+            if clash.any():  # another unit has this hash: forget them all, so that it can't be mistaken
+                self._clear()
+                known = np.zeros(len(key), bool)
+        new = ~known
+        if new.any():
+            raw = data.tobytes()
+            self._add(key[new], check[new], [raw[i:j] for i, j in zip(a[new].tolist(), b[new].tolist())])
+            place = np.searchsorted(self.key, key)
+        at, size = self.at[place][of], self.size[place].astype(np.int64)[of]
+        done = np.cumsum(size)
+        return self.pool[np.repeat(at - (done - size), size) + np.arange(done[-1])], size
 
 
 def words_of(texts: pa.Array) -> Words:
