@@ -12,8 +12,9 @@ in one piece that meets this with its predecessor, so the same pass yields the l
 ids.
 
 No piece holds a space mark after another character, so a text is cut before its space
-marks and at characters that no piece holds; the ids of segments seen before come from a
-bounded table.  Characters without a piece become byte pieces.
+marks and around its line ends, which no piece holds; each distinct segment of a slice of
+texts is encoded once, and those seen before come from a bounded table.  Characters without a
+piece become byte pieces.
 
 Defined results: null and empty texts have no ids and decode to the empty text; a space mark
 in a text reads as a space (as in the library), so such a text does not come back exactly.
@@ -28,13 +29,15 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from fulcrum.llm import wordhash
+
 SPACE = "▁"
-#: Segments and piece pairs remembered per worker; longer segments aren't remembered.
-CACHE_SEGMENTS, CACHE_PAIRS, CACHE_LENGTH = 300_000, 500_000, 48
-CHUNK_DOCS = 500
+#: Segments and pairs of pieces remembered per worker.
+CACHE_SEGMENTS, CACHE_PAIRS = 1_500_000, 400_000
 
 
 class PieceModel:
@@ -75,8 +78,9 @@ class PieceModel:
         self.known = {c for piece in self.id for c in piece}
         if any(SPACE in p.lstrip(SPACE) for p in self.id):
             raise ValueError("pieces that hold a space mark inside are not supported")
-        self.seen: dict[str, bytes] = {}
         self.pairs: dict[tuple[str, str], bool] = {}
+        self.cut_lines = "\n" not in self.known
+        self.table = wordhash.UnitTable("<i4", lambda units: [self.segment_ids(u.decode()) for u in units], CACHE_SEGMENTS)
 
     def merges(self, text: str) -> list[str]:
         """The pieces that the merges give on a short text: best score first, then leftmost."""
@@ -129,43 +133,41 @@ class PieceModel:
         return [self.unknown] if -1 in ids else ids
 
     def segment_ids(self, segment: str) -> bytes:
-        """Ids (32-bit, little-endian) of text without an inner space mark."""
-        known = self.seen.get(segment)
-        if known is None:
-            ids: list[int] = []
-            if self.known.issuperset(segment):
-                ids = self.viterbi(segment)
-            else:
-                for run in re.findall("[" + "".join(map(re.escape, sorted(set(segment) - self.known))) + "]|[^"
-                                      + "".join(map(re.escape, sorted(set(segment) - self.known))) + "]+", segment):
-                    ids += self.viterbi(run) if run[0] in self.known else self._bytes(run)
-            known = np.array(ids, "<i4").tobytes()
-            if len(segment) <= CACHE_LENGTH:
-                if len(self.seen) >= CACHE_SEGMENTS:
-                    self.seen.clear()
-                self.seen[segment] = known
-        return known
-
-    def encode(self, text: str) -> bytes:
-        if not text:
-            return b""
-        marked = (SPACE if self.prefix else "") + text.replace(" ", SPACE)
-        look, out = self.seen.get, []
-        newline = b"" if "\n" in self.known else np.array(self._bytes("\n"), "<i4").tobytes()
-        for nr, line in enumerate(marked.split("\n") if newline else [marked]):
-            if nr:
-                out.append(newline)
-            if SPACE + SPACE in line:
-                parts = re.findall(f"{SPACE}+[^{SPACE}]*|[^{SPACE}]+", line)
-            else:
-                first, *rest = line.split(SPACE)
-                parts = ([first] if first else []) + [SPACE + w for w in rest]
-            out += [look(p) or self.segment_ids(p) for p in parts]
-        return b"".join(out)
-
-    def decode(self, ids: list[int]) -> str:
-        text = b"".join(map(self.text.__getitem__, ids)).decode("utf-8", "replace")
-        return text[1:] if self.prefix and text.startswith(" ") else text
+        """Ids (32-bit, little-endian) of text without an inner cut."""
+        segment = segment.replace(" ", SPACE)
+        strange = "".join(map(re.escape, sorted(set(segment) - self.known)))
+        ids: list[int] = []
+        for run in re.findall(f"[{strange}]|[^{strange}]+", segment) if strange else [segment]:
+            ids += self.viterbi(run) if run[0] in self.known else self._bytes(run)
+        return np.array(ids, "<i4").tobytes()
+
+    def encode(self, texts: pa.Array) -> pa.ListArray:
+        """Ids of each text of a column; nulls are empty."""
+        found = wordhash.words_of(pa.compute.replace_substring(texts, SPACE, " "))
+        sizes = np.diff(found.bounds)
+        add = (sizes > 0).astype(np.int64) if self.prefix else np.zeros(len(sizes), np.int64)
+        bounds = found.bounds + np.concatenate([[0], np.cumsum(add)])
+        data = np.full(bounds[-1], 0x20, np.uint8)  # the prefix is a space before each text
+        data[np.arange(len(found.data)) + np.repeat(np.cumsum(add), sizes)] = found.data
+        space, line = data == 0x20, data == 0x0A
+        begins = space.copy()
+        begins[1:] &= ~space[:-1]
+        if self.cut_lines:
+            begins |= line
+            begins[1:] |= line[:-1]
+        begins[bounds[:-1][sizes > 0]] = True
+        start = np.flatnonzero(begins)
+        ids, size = self.table.ids(data, start, np.append(start[1:], len(data)) if len(start) else start)
+        ends = np.concatenate([[0], np.cumsum(size)])[np.searchsorted(start, bounds)]
+        return pa.ListArray.from_arrays(ends.astype(np.int32), pa.array(ids))
+
+    def decode(self, ids: pa.Array) -> pa.Array:
+        """Texts of a column of ids; nulls are empty."""
+        out = []
+        for x in ids:
+            text = b"".join(map(self.text.__getitem__, x.values.to_pylist() if x.is_valid else ())).decode("utf-8", "replace")
+            out.append(text[1:] if self.prefix and text.startswith(" ") else text)
+        return pa.array(out, pa.string())
 
 
 @lru_cache(maxsize=2)
@@ -174,13 +176,12 @@ def piece_model(path: str, unigram: bool | None = None) -> PieceModel:
 
 
 def _mapped(df: DataFrame, read: str, add: str, kind: str, build) -> DataFrame:
-    """``df`` with a column made from the ``read`` column, batch by batch."""
+    """``df`` with a column made from the ``read`` column, some MB at a time."""
     at, names = df.columns.index(read), [*df.columns, add]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for start in range(0, batch.num_rows, CHUNK_DOCS):
-                part = batch.slice(start, CHUNK_DOCS)
+            for part in wordhash.slices(batch, at):
                 yield pa.record_batch([*part.columns, build(part.column(at))], names)
 
     return df.mapInArrow(run, ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema) + f", {add} {kind}")
@@ -190,10 +191,7 @@ def encode(docs: DataFrame, model: str, column: str = "text", out: str = "piece_
     """``docs`` with the ids of ``column`` as ``out`` (array<int>, never null)."""
 
     def build(texts: pa.Array) -> pa.Array:
-        pieces = piece_model(model)
-        found = [pieces.encode(t or "") for t in texts.to_pylist()]
-        offsets = np.cumsum([0, *(len(x) // 4 for x in found)]).astype(np.int32)
-        return pa.ListArray.from_arrays(offsets, pa.array(np.frombuffer(b"".join(found), "<i4")))
+        return piece_model(model).encode(texts)
 
     return _mapped(docs, column, out, "array<int>", build)
 
@@ -202,8 +200,7 @@ def decode(df: DataFrame, model: str, column: str = "piece_ids", out: str = "dec
     """``df`` with the text of the ids in ``column`` as ``out`` (never null)."""
 
     def build(ids: pa.Array) -> pa.Array:
-        pieces = piece_model(model)
-        return pa.array([pieces.decode(x or []) for x in ids.to_pylist()], pa.string())
+        return piece_model(model).decode(ids)
 
     return _mapped(df, column, out, "string", build)
 

@@ -156,9 +156,11 @@ def words_of(texts: pa.Array) -> Words:
 
 
 def slices(batch: pa.RecordBatch, column: int) -> Iterator[pa.RecordBatch]:
-    """A batch in consecutive parts of about SLICE_BYTES of text."""
-    sizes = pa.compute.binary_length(batch.column(column)).fill_null(0).to_numpy(zero_copy_only=False)
-    part = np.cumsum(sizes) // SLICE_BYTES
+    """A batch in consecutive parts of about SLICE_BYTES in a column of strings or of lists."""
+    of = batch.column(column)
+    sizes = (pa.compute.binary_length(of) if pa.types.is_string(of.type) or pa.types.is_large_string(of.type)
+             else pa.compute.multiply(pa.compute.list_value_length(of), 4))
+    part = np.cumsum(sizes.fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64)) // SLICE_BYTES
     edges = [0, *(np.flatnonzero(np.diff(part)) + 1), batch.num_rows] if batch.num_rows else [0]
     for a, b in zip(edges, edges[1:]):
         yield batch.slice(a, b - a)
