@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fulcrum.llm import learned_partitions, mixing, quality_mil, quality_rules, secrets, sentencepieces, token_files, url_filter, warc
+from fulcrum.llm import learned_partitions, mixing, near_duplicates, quality_mil, quality_rules, secrets, sentencepieces, token_files, url_filter, warc
 from fulcrum.llm.scratch import Scratch
 
 
@@ -52,6 +52,10 @@ def op4_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.read_shards(manifest, dictionary)
 
 
+def op5_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates.near_duplicates(_table(spark, sf_dir, "documents"), Scratch(spark))
+
+
 def op6_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged = url_filter.filter_urls(_table(spark, sf_dir, "pages"), Scratch(spark))
     return judged.select("page_id", "host", "path", "rule", "verdict")
@@ -92,6 +96,7 @@ QUERIES = {
     "op2_quality_rules": op2_quality_rules,
     "op3_secrets": op3_secrets,
     "op4_token_files": op4_token_files,
+    "op5_near_duplicates": op5_near_duplicates,
     "op6_url_filter": op6_url_filter,
     "op7_warc": op7_warc,
     "op8_quality_mil": op8_quality_mil,
