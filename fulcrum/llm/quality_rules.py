@@ -158,4 +158,7 @@ def reject(docs: DataFrame, policy: str = CURRENT) -> DataFrame:
     """``docs`` without the documents that a policy rejects, in their own columns."""
     row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row")
     ledger = rule_ledger(docs.select(row, F.col("text")), keep=("_row",))
-    return ledger.where(passes(policy)).select("_row.*")
+    # the id keeps the optimiser from pushing the condition below the measurements, where it
+    # would hold every rule with all expressions that it rests on, many times over
+    fixed = ledger.withColumn("_at", F.monotonically_increasing_id())
+    return fixed.where((F.col("_at") >= 0) & passes(policy)).select("_row.*")
