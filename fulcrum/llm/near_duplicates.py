@@ -46,8 +46,8 @@ LEAST_AGREEING = 80
 #: Similarity as a fraction: 4 / 5.
 SIMILAR = (4, 5)
 CHUNK = 512
-#: Pairs compared at once.
-PAIRS = 20_000
+#: Pairs compared, and bytes of whole cells handled, at once.
+PAIRS, PART_BYTES = 20_000, 8 << 20
 
 
 def text_key(text: Column) -> Column:
@@ -153,24 +153,40 @@ def _in_cells(cells: DataFrame, columns: list[str], linked: Callable) -> DataFra
                     held.append(batch)
                     continue
                 # cells of the held rows may go on into this batch, up to its last new cell
-                if last:
-                    yield _spanning(pa.Table.from_batches([*held, batch.slice(0, last)]), columns, linked)
-                    held = [batch.slice(last)]
-                else:
-                    yield _spanning(pa.Table.from_batches(held), columns, linked)
-                    held = [batch]
+                whole = [*held, batch.slice(0, last)]
             else:
-                if last:
-                    yield _spanning(pa.Table.from_batches([batch.slice(0, last)]), columns, linked)
-                held = [batch.slice(last)]
+                whole = [batch.slice(0, last)]
+            for part in _parts(whole, key):
+                yield _spanning(part, columns, linked)
+            held = [batch.slice(last)]
         if held:
-            yield _spanning(pa.Table.from_batches(held), columns, linked)
+            for part in _parts(held, key):
+                yield _spanning(part, columns, linked)
 
     return (cells.select(*key, "node", "own", "comp", *columns)
             .repartition(*key).sortWithinPartitions(*key, "node")
             .mapInArrow(run, "a long, b long"))
 
 
+def _parts(batches: list[pa.RecordBatch], key: list[str]) -> Iterator[pa.Table]:
+    """Whole cells, some MB at a time."""
+    rows = pa.Table.from_batches(batches)
+    if not rows.num_rows:
+        return
+    ids = [rows.column(k).to_numpy() for k in key]
+    new = np.zeros(rows.num_rows, bool)
+    for x in ids:
+        new[1:] |= x[1:] != x[:-1]
+    starts = np.flatnonzero(new)
+    each = rows.nbytes / rows.num_rows
+    at = 0
+    while at < rows.num_rows:
+        later = starts[starts >= at + PART_BYTES / each]
+        to = int(later[0]) if len(later) else rows.num_rows
+        yield rows.slice(at, to - at)
+        at = to
+
+
 def _spanning(rows: pa.Table, columns: list[str], linked: Callable) -> pa.RecordBatch:
     """Links (node, smallest node) of each component inside each cell."""
     rows = rows.combine_chunks()
@@ -240,7 +256,13 @@ def overlapping(columns: list[pa.Array], pairs, known: np.ndarray) -> tuple[np.n
     if not found:
         return _stacked([])
     a, b, agree = (np.concatenate(c) for c in zip(*found))
-    text, shingle, count = shingle_counts(texts)
+    # whole texts, some at a time: words take several times the memory of their text
+    base, counted = 0, []
+    for part in wordhash.slices(pa.record_batch([texts], ["text"]), 0):
+        text, shingle, count = shingle_counts(part.column(0))
+        counted.append((text + base, shingle, count))
+        base += part.num_rows
+    text, shingle, count = (np.concatenate(c) for c in zip(*counted))
     at = np.searchsorted(text, np.arange(len(texts) + 1))
     weight = np.bincount(text, weights=count, minlength=len(texts)).astype(np.int64)
     top, bottom = SIMILAR
