@@ -9,7 +9,6 @@ from __future__ import annotations
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from fulcrum.llm import mixing, near_duplicates, quality_rules, secrets, sentencepieces
 from fulcrum.llm.scratch import Scratch
@@ -37,11 +36,7 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """doc_id, n_pieces, piece_ids, and whether decoding gives the text back."""
-    model = public_tokenizers.path("piece_bpe_32k.model")
-    back = sentencepieces.decode(sentencepieces.encode(docs.select("doc_id", "text"), model), model)
-    return back.select(
-        "doc_id", F.size("piece_ids").cast("long").alias("n_pieces"), "piece_ids",
-        (F.col("decoded") == F.coalesce("text", F.lit(""))).alias("round_trip"))
+    return sentencepieces.encode_checked(docs, public_tokenizers.path("piece_bpe_32k.model")).drop("ids_crc32")
 
 
 STAGES = [

@@ -87,8 +87,9 @@ def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_sentencepieces(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return sentencepieces.round_trip(
+    coded = sentencepieces.encode_checked(
         _table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
+    return coded.select("doc_id", "n_pieces", "ids_crc32", "round_trip")
 
 
 QUERIES = {

@@ -31,13 +31,12 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from fulcrum.llm import wordhash
 
 SPACE = "▁"
 #: Segments and pairs of pieces remembered per worker.
-CACHE_SEGMENTS, CACHE_PAIRS = 1_500_000, 400_000
+CACHE_SEGMENTS, CACHE_PAIRS = 1_000_000, 400_000
 
 
 class PieceModel:
@@ -62,6 +61,7 @@ class PieceModel:
         self.id: dict[str, int] = {}
         self.byte = [-1] * 256
         self.text: list[bytes] = []
+        self.pieces: list[str] = []
         self.automaton = ahocorasick.Automaton()
         for i in range(model.get_piece_size()):
             piece = model.id_to_piece(i)
@@ -71,14 +71,15 @@ class PieceModel:
                 self.byte[value], shown = i, bytes([value])
             elif not (model.is_control(i) or model.is_unknown(i) or model.is_unused(i)):
                 self.id[piece], self.score[piece] = i, model.get_score(i)
-                self.automaton.add_word(piece, (len(piece), i, self.score[piece], piece))
+                self.automaton.add_word(piece, (len(piece), i, self.score[piece]))
                 shown = piece.replace(SPACE, " ").encode()
             self.text.append(shown)
+            self.pieces.append(piece)
         self.automaton.make_automaton()
         self.known = {c for piece in self.id for c in piece}
         if any(SPACE in p.lstrip(SPACE) for p in self.id):
             raise ValueError("pieces that hold a space mark inside are not supported")
-        self.pairs: dict[tuple[str, str], bool] = {}
+        self.pairs: dict[int, bool] = {}
         self.cut_lines = "\n" not in self.known
         self.table = wordhash.UnitTable("<i4", lambda units: [self.segment_ids(u.decode()) for u in units], CACHE_SEGMENTS)
 
@@ -96,36 +97,36 @@ class PieceModel:
             parts[at:at + 2] = [parts[at] + parts[at + 1]]
         return parts
 
-    def admissible(self, before: str, piece: str) -> bool:
+    def admissible(self, before: int, piece: int) -> bool:
+        """Whether a piece may follow the one before (-1: the start of the segment)."""
         if self.unigram:
             return True
-        known = self.pairs.get((before, piece))
+        pair = (before + 1) * len(self.pieces) + piece
+        known = self.pairs.get(pair)
         if known is None:
             if len(self.pairs) >= CACHE_PAIRS:
                 self.pairs.clear()
-            known = self.merges(before + piece) == ([before, piece] if before else [piece])
-            self.pairs[before, piece] = known
+            both = [*([self.pieces[before]] if before >= 0 else []), self.pieces[piece]]
+            known = self.pairs[pair] = self.merges("".join(both)) == both
         return known
 
     def viterbi(self, segment: str) -> list[int]:
         """Ids of a segment whose characters all have pieces."""
         n = len(segment)
         best: list[float | None] = [None] * (n + 1)
-        came: list[tuple[int, str, int]] = [(0, "", -1)] * (n + 1)  # length, piece, id of the last piece
-        best[0] = 0.0
-        for end, (length, i, score, piece) in self.automaton.iter(segment):
+        best[0], last, size = 0.0, [-1] * (n + 1), [0] * (n + 1)
+        for end, (length, i, score) in self.automaton.iter(segment):
             start = end + 1 - length
             base = best[start]
             if base is None:
                 continue
             now = best[end + 1]
-            if (now is None or base + score > now) and self.admissible(came[start][1], piece):
-                best[end + 1], came[end + 1] = base + score, (length, piece, i)
+            if (now is None or base + score > now) and self.admissible(last[start], i):
+                best[end + 1], last[end + 1], size[end + 1] = base + score, i, length
         ids, at = [], n
         while at:
-            length, _, i = came[at]
-            ids.append(i)
-            at -= length
+            ids.append(last[at])
+            at -= size[at]
         return ids[::-1]
 
     def _bytes(self, c: str) -> list[int]:
@@ -205,20 +206,23 @@ def decode(df: DataFrame, model: str, column: str = "piece_ids", out: str = "dec
     return _mapped(df, column, out, "string", build)
 
 
-def with_checksum(df: DataFrame, column: str = "piece_ids", out: str = "ids_crc32") -> DataFrame:
-    """``df`` with the unsigned crc32 of the ids as little-endian 32-bit integers."""
+def encode_checked(docs: DataFrame, model: str) -> DataFrame:
+    """doc_id, n_pieces, piece_ids, ids_crc32 (unsigned crc32 of the ids as little-endian 32-bit
+    integers) and round_trip (whether decoding the ids gives the text back), in one pass."""
 
-    def build(ids: pa.Array) -> pa.Array:
-        values, offsets = ids.values.to_numpy(zero_copy_only=False), ids.offsets.to_numpy()
-        return pa.array([zlib.crc32(values[a:b].astype("<i4").tobytes()) for a, b in zip(offsets, offsets[1:])], pa.int64())
-
-    return _mapped(df, column, out, "long", build)
-
-
-def round_trip(docs: DataFrame, model: str) -> DataFrame:
-    """doc_id, n_pieces, ids_crc32, round_trip: every text encoded, decoded and compared."""
-    coded = with_checksum(encode(docs.select("doc_id", "text"), model))
-    back = decode(coded, model)
-    return back.select(
-        "doc_id", F.size("piece_ids").cast("long").alias("n_pieces"), "ids_crc32",
-        (F.col("decoded") == F.coalesce("text", F.lit(""))).alias("round_trip"))
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        pieces = piece_model(model)
+        for batch in batches:
+            for part in wordhash.slices(batch, 1):
+                texts = part.column(1).fill_null("")
+                ids = pieces.encode(texts)
+                values, ends = ids.values.to_numpy().astype("<i4"), ids.offsets.to_numpy()
+                crc = [zlib.crc32(values[a:b].tobytes()) for a, b in zip(ends, ends[1:])]
+                yield pa.record_batch(
+                    [part.column(0), pa.array(np.diff(ends).astype(np.int64)), ids, pa.array(crc, pa.int64()),
+                     pa.compute.equal(pieces.decode(ids), texts)],
+                    ["doc_id", "n_pieces", "piece_ids", "ids_crc32", "round_trip"])
+
+    kind = docs.schema["doc_id"].dataType.simpleString()
+    return docs.select("doc_id", "text").mapInArrow(
+        run, f"doc_id {kind}, n_pieces long, piece_ids array<int>, ids_crc32 long, round_trip boolean")
