@@ -168,7 +168,7 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "quality", most: int
         .groupBy("doc_id").agg(F.min(label).alias("_y"))
         .orderBy(F.xxhash64("doc_id"), "doc_id").limit(most)
         .withColumnRenamed("doc_id", "_id"))
-    texts = (docs.join(F.broadcast(chosen), F.col("doc_id") == F.col("_id"))  # at most ``most`` rows
+    texts = (docs.select("doc_id", "text").join(F.broadcast(chosen), F.col("doc_id") == F.col("_id"))  # at most ``most`` rows
              .select(F.col("doc_id").cast("string").alias("_id"), F.col("_y").cast("double").alias("_y"), "text"))
 
     def passages(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
