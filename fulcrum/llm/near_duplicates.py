@@ -162,6 +162,7 @@ def _in_cells(cells: DataFrame, columns: list[str], linked: Callable) -> DataFra
         if held:
             for part in _parts(held, key):
                 yield _spanning(part, columns, linked)
+        wordhash.release()
 
     return (cells.select(*key, "node", "own", "comp", *columns)
             .repartition(*key).sortWithinPartitions(*key, "node")

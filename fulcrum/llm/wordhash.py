@@ -7,6 +7,8 @@ from one text into the next.  A word's hash depends on its bytes only.
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
@@ -27,7 +29,7 @@ _powers = [np.ones(1, np.uint64), np.ones(1, np.uint64)]
 def _power_tables(n: int) -> list[np.ndarray]:
     """Powers 0 .. n - 1 of an odd number and of its inverse, modulo 2^64."""
     if len(_powers[0]) < n:
-        size = 1 << (n - 1).bit_length()
+        size = n + (1 << 16)
         for k, base in enumerate((_ODD, _ODD_INVERSE)):
             steps = np.full(size, base, np.uint64)
             steps[0] = 1
@@ -164,3 +166,12 @@ def slices(batch: pa.RecordBatch, column: int) -> Iterator[pa.RecordBatch]:
     edges = [0, *(np.flatnonzero(np.diff(part)) + 1), batch.num_rows] if batch.num_rows else [0]
     for a, b in zip(edges, edges[1:]):
         yield batch.slice(a, b - a)
+    release()
+
+
+def release() -> None:
+    """Give freed memory back: Spark keeps Python workers for later tasks and stages, and
+    what their allocators hold on to is missing there."""
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):  # only some C libraries have it
+        ctypes.CDLL(None).malloc_trim(0)
