@@ -35,7 +35,8 @@ def build(args) -> int:
     result = run_pipeline(src, args.out, fmt=args.format)
     for name, rows in result["rows"].items():
         print(f"wrote {name:32s} ({rows:,} rows)")
-    wide = spark.createDataFrame([result["headline"]])
+    # a KPI without any row behind it is null: name the types instead of guessing them
+    wide = spark.createDataFrame([result["headline"]], ", ".join(f"{k} double" for k in marts.KPI_NAMES))
     print("\n=== HEADLINE KPIs ===")
     for r in marts.kpi_exec_labels_from_wide(wide).collect():
         print(f"  {r['kpi']:30s} {r['label']}")
@@ -46,7 +47,10 @@ def validate(args) -> int:
     from fulcrum.operators import quality
 
     spark = _session()
-    fact = spark.read.parquet(args.fact)
+    if args.format == "csv":
+        fact = spark.read.schema(FACT_ORDERS_DDL).option("header", True).csv(args.fact, enforceSchema=False)
+    else:
+        fact = spark.read.parquet(args.fact)
     report = quality.expect(fact, quality.FACT_ORDERS_RULES, with_rows=True)
     rows = report.collect()
     for r in rows:
@@ -67,7 +71,8 @@ def main(argv: list[str] | None = None) -> int:
     b.add_argument("--out", required=True, help="output folder")
     b.add_argument("--format", default="csv", choices=["csv", "parquet"])
     v = sub.add_parser("validate", help="run the quality suite on an exported fact")
-    v.add_argument("--fact", required=True, help="exported fact_orders (Parquet)")
+    v.add_argument("--fact", required=True, help="exported fact_orders folder")
+    v.add_argument("--format", default="parquet", choices=["csv", "parquet"])
     args = parser.parse_args(argv)
     return build(args) if args.command == "build" else validate(args)
 

@@ -1,25 +1,20 @@
 """Global order statistics without a single-partition window.
 
 ``PERCENT_RANK() OVER (ORDER BY x)``, ``NTILE``, ``ROW_NUMBER`` and running sums with no
-``PARTITION BY`` make Spark move every row into one task (``Exchange SinglePartition``).
-That is fine for 25 categories and fatal for a billion suppliers, so every global order
-statistic here is built from one primitive, ``exclusive_running_totals``:
-
-1. range-partition the (distinct) sort keys into P contiguous blocks (sampled bounds) and
-   stage the block assignment, so every consumer sees the same one;
-2. running sums inside each block with a window partitioned by the block id;
-3. block totals -> prefix offsets (a window over at most P x groups rows, P <= MAX_BLOCKS,
-   broadcast back);
-4. global value = block offset + local running value.
-
-Percent ranks first collapse equal values (``groupBy(value).count()``, map-side), so a value
-shared by a third of all rows is one row in the ordering and cannot skew a task; the rank
-is then joined back on the value (AQE splits a skewed join partition).
-
-``method="window"`` gives the plain single-partition window form of each statistic; tests
-assert that both methods give identical results.  ``choose_method`` picks the window form
-only for inputs proven small by a bounded count (``limit(max_rows + 1).count()``), which is
-cheap when the input is a staged table.
+``PARTITION BY`` make Spark move every row into one task.  Here each is a prefix sum over a
+two-step tree whose nodes are fixed by the value itself:
+
+* ``order_key`` maps a value to a 64-bit integer in the same order;
+* the key's top 24 bits, next 20 bits and the rest are three levels.  A window sums inside
+  each leaf block, over the blocks of a top block, and over the top blocks; offsets are added
+  on the way down.  No window sees more than 2^24 nodes or 2^20 distinct keys, whatever
+  the number of rows, and no bounds are sampled: the plan is lazy, needs no staged
+  table and no broadcast, and gives the same numbers on any partitioning.
+
+Equal values are collapsed first (map-side), so a value shared by a third of all rows is one
+node.  What a value's rows get back travels over (value, salt) keys: each row has one of
+``SALTS`` salts, and a value's nodes are one row per salt, so no join puts all rows of a value
+into one task.
 """
 
 from __future__ import annotations
@@ -29,109 +24,121 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from fulcrum.sources.tables import stage_table
+_TOP, _MID = "_top", "_mid"
+#: A hot value's rows are joined in so many parts.
+SALTS = 256
+_LAST = (1 << 63) - 1
 
-_PID = "_block"
 
-# Largest row count for which a single-task window is preferred over the distributed form.
-WINDOW_MAX_ROWS = 500_000
-# Most range blocks: keeps the broadcast offset table at <= MAX_BLOCKS x groups rows even
-# when the session runs hundreds of thousands of shuffle partitions (1e9 keys -> ~250k per block).
-MAX_BLOCKS = 4096
+def order_key(value: Column, kind: str) -> Column:
+    """A 64-bit integer in the order of ``value``; nulls come last.  Integers are their own
+    key; strings order by their first seven bytes; other numbers by their double."""
+    if kind in ("tinyint", "smallint", "int", "bigint"):
+        key = value.cast("long")
+    elif kind == "string":
+        head = F.rpad(F.hex(F.substring(value.cast("binary"), 1, 7)), 14, "0")
+        key = F.conv(head, 16, 10).cast("long")
+    else:
+        # the bits of a double order like an integer once negative ones are flipped
+        bits = F.call_function("reflect", F.lit("java.lang.Double"), F.lit("doubleToLongBits"),
+                               F.coalesce(value.cast("double"), F.lit(0.0)) + F.lit(0.0)).cast("long")
+        key = F.when(bits >= 0, bits).otherwise(bits.bitwiseXOR(F.lit(_LAST)))
+    return F.when(value.isNotNull(), key).otherwise(F.lit(_LAST))
 
 
-def choose_method(df: DataFrame, method: str = "auto", max_rows: int = WINDOW_MAX_ROWS, rows: int | None = None) -> str:
-    """'window' / 'distributed' as given; for 'auto', 'window' iff df has <= max_rows rows.
-    ``rows`` is a known row count (e.g. observed while staging); otherwise the count
-    stops after max_rows + 1 rows — call it on a staged (cheap to scan) input."""
-    if method != "auto":
-        return method
-    n = rows if rows is not None else df.limit(max_rows + 1).count()
-    return "window" if n <= max_rows else "distributed"
+def _kind(df: DataFrame, name: str) -> str:
+    return df.schema[name].dataType.simpleString()
 
 
-def _partitions(df: DataFrame, num_partitions: int | None) -> int:
-    if num_partitions:
-        return num_partitions
-    return min(MAX_BLOCKS, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+def _same(left: DataFrame, right: DataFrame, names: Sequence[str]) -> Column:
+    """Null-safe equality of ``names`` and their ``r_`` copies."""
+    cond = F.lit(True)
+    for n in names:
+        cond = cond & left[n].eqNullSafe(right["r_" + n])
+    return cond
 
 
-def exclusive_running_totals(
-    df: DataFrame,
-    order: Sequence[Column],
-    measures: Sequence[str],
-    group: Sequence[str] = (),
-    suffix: str = "_before",
-    totals: bool = False,
-    num_partitions: int | None = None,
-) -> DataFrame:
-    """Add ``<m><suffix>`` = sum of ``m`` over the rows of the same ``group`` that come
-    strictly before each row in ``order`` (and ``<m>_total`` = sum over the whole group
-    when ``totals``).
+def _renamed(df: DataFrame, names: Sequence[str]) -> DataFrame:
+    return df.withColumnsRenamed({n: "r_" + n for n in names})
 
-    Rows must be unique on (group, order keys) — ties are the caller's business (collapse
-    them first).  ``group`` must be low-cardinality (offsets are one row per block and group).
-    The totals come from the block table, so they cost no extra pass over the data.
-    """
-    p = _partitions(df, num_partitions)
-    gcols = [F.col(g) for g in group]
-    # The block id comes from a sampled range partitioner.  Both consumers below (running
-    # sums and block totals) must see the same assignment, and Spark does not reuse this
-    # exchange across them, so the assignment is written once and read by both.
-    ranged = stage_table(
-        df.repartitionByRange(p, *gcols, *order).withColumn(_PID, F.spark_partition_id()), "range_blocks"
-    )
-    local_w = Window.partitionBy(_PID, *group).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
-    local = ranged.select(
-        "*", *[F.coalesce(F.sum(m).over(local_w), F.lit(0)).alias(f"_{m}_local") for m in measures]
-    )
-    blocks = ranged.groupBy(_PID, *group).agg(*[F.sum(m).alias(f"_{m}_block") for m in measures])
-    block_w = Window.partitionBy(*group).orderBy(_PID).rowsBetween(Window.unboundedPreceding, -1)
-    group_w = Window.partitionBy(*group)
-    offsets = blocks.select(
-        _PID,
-        *group,
-        *[F.coalesce(F.sum(f"_{m}_block").over(block_w), F.lit(0)).alias(f"_{m}_offset") for m in measures],
-        *([F.sum(f"_{m}_block").over(group_w).alias(f"{m}_total") for m in measures] if totals else []),
-    )
-    out = local.join(F.broadcast(offsets), [_PID, *group], "inner")
-    return out.select(
-        *[F.col(c) for c in df.columns],
-        *[(F.col(f"_{m}_local") + F.col(f"_{m}_offset")).alias(f"{m}{suffix}") for m in measures],
-        *([F.col(f"{m}_total") for m in measures] if totals else []),
-    )
+
+def running_totals(
+    df: DataFrame, order: str, measure: str, group: Sequence[str] = (), descending: bool = False,
+    totals: dict[str, str] | None = None,
+) -> DataFrame:
+    """Add ``<measure>_before``: the sum of ``measure`` over the rows of the same ``group`` that
+    come strictly before in ``order`` (nulls last).  ``totals`` names columns for the sums of
+    columns over the whole group, taken from the same blocks.  Rows must be unique on
+    (group, order); collapse ties first."""
+    g, before, totals = list(group), f"{measure}_before", totals or {}
+    sums = {**{c: f"_sum_{c}" for c in totals}, measure: "_n_here"}
+    key = order_key(F.col(order), _kind(df, order))
+    if descending:
+        key = F.when(F.col(order).isNotNull(), F.bitwise_not(key)).otherwise(F.lit(_LAST))
+    leaf = df.withColumns({
+        _TOP: F.shiftright(key, 40), _MID: F.shiftright(key, 20).bitwiseAND(F.lit((1 << 20) - 1))})
+    exact = F.col(order).desc_nulls_last() if descending else F.col(order).asc_nulls_last()
+
+    def ahead(part: list[str], by: Column, of: str) -> Column:
+        w = Window.partitionBy(*part).orderBy(by).rowsBetween(Window.unboundedPreceding, -1)
+        return F.coalesce(F.sum(of).over(w), F.lit(0))
+
+    mid = leaf.groupBy(*g, _TOP, _MID).agg(*[F.sum(c).alias(s) for c, s in sums.items()])
+    top = mid.groupBy(*g, _TOP).agg(*[F.sum(s).alias(s) for s in sums.values()])
+    top = top.withColumn("_before_top", ahead(g, F.col(_TOP), "_n_here"))
+    whole = Window.partitionBy(*g)
+    top = top.withColumns({out: F.sum(sums[c]).over(whole) for c, out in totals.items()})
+    mid = mid.withColumn("_before_mid", ahead([*g, _TOP], F.col(_MID), "_n_here")).drop(*sums.values())
+    tops = _renamed(top.drop(*sums.values()), [*g, _TOP])
+    offsets = mid.join(tops, _same(mid, tops, [*g, _TOP]), "inner").select(
+        *g, _TOP, _MID, (F.col("_before_top") + F.col("_before_mid")).alias("_offset"), *totals.values())
+    offsets = _renamed(offsets, [*g, _TOP, _MID])
+    local = leaf.withColumn("_local", ahead([*g, _TOP, _MID], exact, measure))
+    return local.join(offsets, _same(local, offsets, [*g, _TOP, _MID]), "inner").select(
+        *df.columns, (F.col("_offset") + F.col("_local")).alias(before), *totals.values())
+
+
+def _salt(keys: Sequence[str]) -> Column:
+    return F.pmod(F.xxhash64(*keys), F.lit(SALTS)).cast("int")
+
+
+def _with_value_totals(
+    df: DataFrame, keys: Sequence[str], order: str, measure: Column, group: Sequence[str], descending: bool, total: str,
+    totals_of: Sequence[str] = (),
+) -> DataFrame:
+    """Every row of ``df`` with ``_n_before`` (sum of ``measure`` over the rows of its group with
+    a smaller ``order``), ``_tied`` (over those with an equal one), ``total`` (over all), and
+    ``<column>_total`` of every column in ``totals_of``."""
+    g = list(group)
+    names = {"_n": total, **{f"_t_{c}": f"{c}_total" for c in totals_of}}
+    salted = df.withColumn("_salt", _salt(keys))
+    parts = salted.groupBy(*g, order, "_salt").agg(
+        F.sum(measure).alias("_n"), *[F.sum(c).alias(f"_t_{c}") for c in totals_of])
+    values = parts.groupBy(*g, order).agg(*[F.sum(c).alias(c) for c in names])
+    placed = running_totals(values, order, "_n", g, descending, names)
+    placed = _renamed(placed.withColumnRenamed("_n", "_tied"), [*g, order])
+    parts = parts.select(*g, order, "_salt")
+    per_part = parts.join(placed, _same(parts, placed, [*g, order]), "inner").select(
+        *g, order, "_salt", "_n_before", "_tied", *names.values())
+    per_part = _renamed(per_part, [*g, order, "_salt"])
+    return salted.join(per_part, _same(salted, per_part, [*g, order, "_salt"]), "inner").select(
+        *df.columns, "_n_before", "_tied", *names.values())
 
 
 def row_numbers(
-    df: DataFrame,
-    order: Sequence[Column],
-    name: str = "row_number",
-    method: str = "distributed",
-    count: str | None = None,
+    df: DataFrame, order: str, key: str, name: str = "row_number", descending: bool = False, count: str | None = None,
     totals_of: Sequence[str] = (),
-    num_partitions: int | None = None,
 ) -> DataFrame:
-    """ROW_NUMBER() OVER (ORDER BY order); ``order`` must be a total order (unique keys).
-
-    ``count`` names an optional column holding the number of rows; every column in
-    ``totals_of`` gets a ``<col>_total`` column with its sum over all rows.  Both come out
-    of the same pass."""
-    if method == "window":
-        whole = Window.partitionBy()
-        out = df.withColumn(name, F.row_number().over(Window.orderBy(*order)).cast("long"))
-        if count:
-            out = out.withColumn(count, F.count(F.lit(1)).over(whole))
-        for m in totals_of:
-            out = out.withColumn(f"{m}_total", F.sum(m).over(whole))
-        return out
-    one = "_one"
-    numbered = exclusive_running_totals(
-        df.withColumn(one, F.lit(1).cast("long")), order, [one, *totals_of], totals=True, num_partitions=num_partitions
-    )
-    numbered = numbered.withColumn(name, (F.col(f"{one}_before") + 1).cast("long"))
+    """ROW_NUMBER() OVER (ORDER BY order, key) with nulls of ``order`` last; ``key`` must be
+    unique.  ``count`` names an optional column holding the number of rows; every column in
+    ``totals_of`` gets a ``<column>_total`` with its sum over all rows."""
+    one = F.lit(1).cast("long")
+    placed = _with_value_totals(df, [key], order, one, [], descending, "_count", totals_of)
+    tied = running_totals(placed.withColumn("_one", one), key, "_one", [order])
+    out = tied.withColumn(name, F.col("_n_before") + F.col("_one_before") + 1)
     if count:
-        numbered = numbered.withColumn(count, F.col(f"{one}_total"))
-    return numbered.drop(one, f"{one}_before", f"{one}_total", *[f"{m}_before" for m in totals_of])
+        out = out.withColumn(count, F.col("_count"))
+    return out.select(*df.columns, name, *([count] if count else []), *[f"{c}_total" for c in totals_of])
 
 
 def ntile_from_row_number(row_number: Column, n: Column, buckets: int) -> Column:
@@ -146,23 +153,13 @@ def ntile_from_row_number(row_number: Column, n: Column, buckets: int) -> Column
     ).cast("long")
 
 
-def ntile(df: DataFrame, buckets: int, order: Sequence[Column], name: str, method: str = "distributed",
-          num_partitions: int | None = None) -> DataFrame:
-    """NTILE(buckets) OVER (ORDER BY order); ``order`` must be a total order."""
-    if method == "window":
-        return df.withColumn(name, F.ntile(buckets).over(Window.orderBy(*order)).cast("long"))
-    numbered = row_numbers(df, order, "_rn", count="_n", num_partitions=num_partitions)
+def ntile(df: DataFrame, buckets: int, order: str, key: str, name: str) -> DataFrame:
+    """NTILE(buckets) OVER (ORDER BY order, key); ``key`` must be unique."""
+    numbered = row_numbers(df, order, key, "_rn", count="_n")
     return numbered.withColumn(name, ntile_from_row_number(F.col("_rn"), F.col("_n"), buckets)).drop("_rn", "_n")
 
 
-def percent_ranks(
-    df: DataFrame,
-    key: str | Sequence[str],
-    components: dict[str, Column],
-    suffix: str = "_pr",
-    method: str = "distributed",
-    num_partitions: int | None = None,
-) -> DataFrame:
+def percent_ranks(df: DataFrame, key: str | Sequence[str], components: dict[str, Column], suffix: str = "_pr") -> DataFrame:
     """PERCENT_RANK() OVER (ORDER BY c ASC NULLS LAST) for every component c.
 
     Returns ``key`` + one ``<name><suffix>`` double per component, one row per input row
@@ -171,54 +168,18 @@ def percent_ranks(
     keys = [key] if isinstance(key, str) else list(key)
     names = list(components)
     values = df.select(*keys, *[components[n].cast("double").alias(n) for n in names])
-    if method == "window":
-        return values.select(
-            *keys,
-            *[F.percent_rank().over(Window.orderBy(F.col(n).asc_nulls_last())).alias(n + suffix) for n in names],
-        )
     long = values.unpivot(keys, names, "_component", "_value")
-    counts = long.groupBy("_component", "_value").agg(F.count(F.lit(1)).alias("_n"))
-    before = exclusive_running_totals(
-        counts, [F.col("_value").asc_nulls_last()], ["_n"], group=["_component"], totals=True,
-        num_partitions=num_partitions,
-    )
-    ranked = before.select(
-        F.col("_component").alias("_c"),
-        F.col("_value").alias("_v"),
-        F.when(F.col("_n_total") > 1, F.col("_n_before").cast("double") / (F.col("_n_total") - 1).cast("double"))
-        .otherwise(F.lit(0.0))
-        .alias("_pr"),
-    )
-    joined = long.join(ranked, (long["_component"] == ranked["_c"]) & long["_value"].eqNullSafe(ranked["_v"]), "inner")
-    return joined.groupBy(*keys).agg(
-        *[F.max(F.when(F.col("_component") == n, F.col("_pr"))).alias(n + suffix) for n in names]
-    )
-
-
-def cumulative_share_desc(
-    df: DataFrame,
-    value: str,
-    name: str = "cum_share",
-    total: str | None = None,
-    method: str = "distributed",
-    num_partitions: int | None = None,
-) -> DataFrame:
+    placed = _with_value_totals(long, [*keys, "_component"], "_value", F.lit(1).cast("long"), ["_component"], False, "_all")
+    rank = F.when(F.col("_all") > 1, F.col("_n_before").cast("double") / (F.col("_all") - 1).cast("double")).otherwise(F.lit(0.0))
+    return placed.withColumn("_pr", rank).groupBy(*keys).agg(
+        *[F.max(F.when(F.col("_component") == n, F.col("_pr"))).alias(n + suffix) for n in names])
+
+
+def cumulative_share_desc(df: DataFrame, key: str, value: str, name: str = "cum_share", total: str = "total") -> DataFrame:
     """SUM(value) OVER (ORDER BY value DESC) / SUM(value) OVER () with the default RANGE
-    frame: rows with equal value share one cumulative sum.  ``total`` names an optional
-    output column holding SUM(value) over all rows."""
-    if method == "window":
-        cum = F.sum(value).over(Window.orderBy(F.col(value).desc()))
-        tot = F.sum(value).over(Window.partitionBy())
-        out = df.withColumn(name, F.try_divide(cum.cast("double"), tot.cast("double")))
-        return out.withColumn(total, tot) if total else out
-    tied = df.groupBy(F.col(value).alias("_v")).agg(F.sum(value).alias("_tied"))
-    before = exclusive_running_totals(
-        tied, [F.col("_v").desc_nulls_last()], ["_tied"], totals=True, num_partitions=num_partitions
-    )
-    cum = before.select("_v", (F.col("_tied_before") + F.col("_tied")).alias("_cum"), "_tied_total")
-    out = df.join(cum, df[value].eqNullSafe(cum["_v"]), "left")
-    return out.select(
-        *[df[c] for c in df.columns],
-        F.try_divide(F.col("_cum").cast("double"), F.col("_tied_total").cast("double")).alias(name),
-        *([F.col("_tied_total").alias(total)] if total else []),
-    )
+    frame: rows with equal value share one cumulative sum.  ``total`` is SUM(value) over all
+    rows; ``key`` spreads rows of equal value."""
+    placed = _with_value_totals(df, [key], value, F.col(value), [], True, total)
+    reached = F.col("_n_before") + F.coalesce(F.col("_tied"), F.lit(0))
+    return placed.withColumn(name, F.try_divide(reached.cast("double"), F.col(total).cast("double"))).select(
+        *df.columns, name, total)

@@ -25,21 +25,21 @@ def abc_class(cum_share: Column, cuts: Sequence[float] = ABC_CUTS, labels: Seque
 
 def pareto_abc(
     df: DataFrame,
+    key: str,
     value: str,
     share: str = "revenue_share",
     cum_share: str = "cum_revenue_share",
     klass: str = "abc_class",
     cuts: Sequence[float] = ABC_CUTS,
-    method: str = "distributed",
 ) -> DataFrame:
     """Add value / total, the cumulative share in descending value order (ties share a
     cumulative value, as the default RANGE frame) and the ABC class.
 
     ``value`` should be exact (DECIMAL or integer) so shares and classes do not depend on
-    aggregation order.  The total comes out of the same distributed pass as the cumulative
-    share (no window over a single partition, no second scan).
+    aggregation order; ``key`` names the entity.  The total comes out of the same
+    distributed pass as the cumulative share (no window over a single partition).
     """
-    out = cumulative_share_desc(df, value, cum_share, total="_total", method=method)
+    out = cumulative_share_desc(df, key, value, cum_share, total="_total")
     out = out.withColumn(share, F.try_divide(F.col(value).cast("double"), F.col("_total").cast("double")))
     cols = [c for c in out.columns if c not in (share, cum_share, "_total")]
     return out.select(*cols, share, cum_share, abc_class(F.col(cum_share), cuts).alias(klass))

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from fulcrum.functions.numeric import coefficient_of_variation, ratio, round_half_up
 from fulcrum.operators.order_stats import ntile_from_row_number, percent_ranks, row_numbers
 from fulcrum.operators.volatility import demand_volatility, period_counts
+from fulcrum.sources.tables import Share, unshared
 
 # Risk weights per percentile-ranked component (higher = worse), sum 1.
 RISK_WEIGHTS = {"late": 0.30, "cancel": 0.20, "badrev": 0.20, "freight": 0.15, "vol": 0.15}
@@ -36,26 +37,18 @@ def percentile_score(
     buckets: int = RISK_BUCKETS,
     score: str = "risk_score",
     bucket: str = "risk_quintile",
-    method: str = "distributed",
     totals_of: tuple[str, ...] = (),
+    share: Share = unshared,
 ) -> DataFrame:
     """Rank every component over the rows of ``df`` (0 = best, 1 = worst, NULL worst),
     combine with ``weights`` into ROUND(100 * score, 1) and an NTILE bucket (ascending,
     ties broken by ``key``).  Returns df + ``<component>_pr`` + score + bucket, plus
-    ``<col>_total`` (sum over all rows) for every column in ``totals_of``."""
+    ``<col>_total`` (sum over all rows) for every column in ``totals_of``.  ``share`` keeps
+    what is read several times (the input, and the ranked rows)."""
+    df = share(df)
     raw = weighted_score({n: F.col(n + "_pr") for n in components}, weights)
-    order = [F.col("_raw").asc(), F.col(key).asc()]
-    if method == "window":
-        # one single-partition exchange for every statistic, no self-join
-        ranked = df.select(
-            "*", *[F.percent_rank().over(Window.orderBy(c.cast("double").asc_nulls_last())).alias(n + "_pr")
-                   for n, c in components.items()]
-        ).withColumn("_raw", raw)
-        numbered = row_numbers(ranked, order, "_rn", method="window", count="_n", totals_of=totals_of)
-    else:
-        ranks = percent_ranks(df, key, components, method=method)
-        scored = df.join(ranks, key, "inner").withColumn("_raw", raw)
-        numbered = row_numbers(scored, order, "_rn", method=method, count="_n", totals_of=totals_of)
+    scored = share(df.join(percent_ranks(df, key, components), key, "inner").withColumn("_raw", raw))
+    numbered = row_numbers(scored, "_raw", key, "_rn", count="_n", totals_of=totals_of)
     return numbered.select(
         *df.columns,
         *[n_ + "_pr" for n_ in components],
@@ -66,90 +59,85 @@ def percentile_score(
 
 
 # ---------------------------------------------------------------- supplier scorecard (C7)
-def supplier_orders(pairs: DataFrame, orders: DataFrame) -> DataFrame:
-    """Distinct supplier x order with the order's month and flags (inner join: orders kept
-    in the order fact only).  ``pairs`` is the (order, supplier) roll-up — already distinct."""
-    o = orders.select(
-        "order_id", "order_month", "is_delivered", "is_late", "is_canceled", "is_bad_review", "review_score"
-    )
-    return pairs.where(F.col("supplier_id").isNotNull()).select("supplier_id", "order_id").join(o, "order_id", "inner").select(
-        "supplier_id", "order_id", "order_month", "is_delivered", "is_late", "is_canceled", "is_bad_review", "review_score"
-    )
+ORDER_FLAGS = ("order_month", "is_delivered", "is_late", "is_canceled", "is_bad_review", "review_score")
 
 
-def supplier_revenue(pairs: DataFrame) -> DataFrame:
-    """Item-grain revenue and freight per supplier (DECIMAL)."""
-    return pairs.where(F.col("supplier_id").isNotNull()).groupBy("supplier_id").agg(
-        F.sum("revenue").alias("revenue"), F.sum("freight").alias("freight")
-    )
+def supplier_orders(pairs: DataFrame, orders: DataFrame) -> DataFrame:
+    """Distinct (supplier, order, month, flags), for orders in the order fact.  ``pairs`` is
+    the (order, supplier) roll-up, so only repeated rows of the fact need collapsing; that
+    happens on the order side, before the join."""
+    distinct = orders.select("order_id", *ORDER_FLAGS).distinct()
+    return pairs.select("supplier_id", "order_id").join(distinct, "order_id", "inner").select(
+        "supplier_id", "order_id", *ORDER_FLAGS)
 
 
 def supplier_monthly(sorders: DataFrame) -> DataFrame:
-    return period_counts(sorders, "supplier_id", "order_month", "n_orders")
+    """Distinct orders per supplier and month."""
+    return period_counts(
+        sorders.select("supplier_id", "order_month", "order_id").distinct().where(F.col("order_id").isNotNull()),
+        "supplier_id", "order_month", "n_orders")
 
 
 def supplier_volatility(sorders: DataFrame) -> DataFrame:
     return demand_volatility(supplier_monthly(sorders), "supplier_id", "n_orders", "demand_volatility")
 
 
-def supplier_base(pairs: DataFrame, orders: DataFrame) -> DataFrame:
-    """All suppliers: orders, revenue, freight (DECIMAL), freight burden, late / cancel /
-    bad-review rates (region rule: NULL lateness counts as not late) and volatility.
-
-    One pass: (order, supplier) pairs LEFT JOIN the order fact, aggregated to
-    (supplier, month) with integer counts and decimal sums, then to supplier.  Rates are
-    integer sums over integer counts (the same double as averaging 1.0/0.0), volatility
-    comes from exact monthly moments, and revenue covers every item of the supplier, also
-    items of orders missing from the fact (those add revenue but no order).  Suppliers with
-    no order in the fact are not listed."""
-    o = orders.select(
-        F.col("order_id").alias("_oid"), "order_month", "is_delivered", "is_late", "is_canceled", "is_bad_review",
-        "review_score",
+def _order_summary(orders: DataFrame) -> DataFrame:
+    """Per (order, month): sums over the distinct flag rows, and whether it is the order's first
+    month.  A sound fact has one row per order; repeated rows collapse here."""
+    delivered, late, reviewed = F.col("is_delivered"), F.col("is_late"), F.col("review_score").isNotNull()
+    per_month = orders.select("order_id", *ORDER_FLAGS).distinct().groupBy("order_id", "order_month").agg(
+        F.count(F.lit(1)).alias("_rows"),
+        F.count_if(delivered & late).alias("_late"),
+        F.count_if(delivered).alias("_delivered"),
+        F.count_if(F.col("is_canceled")).alias("_canceled"),
+        F.count_if(F.col("is_bad_review") & reviewed).alias("_bad"),
+        F.count_if(reviewed).alias("_reviewed"),
     )
-    p = pairs.where(F.col("supplier_id").isNotNull()).select("supplier_id", "order_id", "revenue", "freight")
-    so = p.join(o, p["order_id"] == o["_oid"], "left").withColumn("_matched", F.col("_oid").isNotNull())
-    delivered, late, matched = F.col("is_delivered"), F.col("is_late"), F.col("_matched")
+    first = F.row_number().over(Window.partitionBy("order_id").orderBy("order_month")) == 1
+    return per_month.withColumn("_first", first).withColumnRenamed("order_id", "_oid")
 
-    def matched_count(cond: Column) -> Column:
-        return F.count_if(matched & cond)
 
-    monthly = so.groupBy("supplier_id", "order_month", "_matched").agg(
+def supplier_base(pairs: DataFrame, orders: DataFrame) -> DataFrame:
+    """All suppliers with an order in the fact: distinct orders, revenue, freight (DECIMAL),
+    freight burden, late / cancel / bad-review rates (region rule: NULL lateness counts as
+    not late) and volatility.
+
+    One pass: (order, supplier) pairs LEFT JOIN the orders' summary, aggregated to
+    (supplier, month) and then to supplier.  Rates are over the distinct (order, flags) rows,
+    as integer sums over integer counts (the same double as averaging 1.0/0.0); volatility
+    comes from exact monthly moments.  Revenue covers every item of the supplier, also items of
+    orders missing from the fact, and each pair counts once however often the fact repeats
+    its order."""
+    parts = ("_rows", "_late", "_delivered", "_canceled", "_bad", "_reviewed")
+    so = pairs.join(_order_summary(orders), F.col("order_id") == F.col("_oid"), "left")
+    matched = F.col("_oid").isNotNull()
+    once = ~matched | F.col("_first")
+    monthly = so.groupBy("supplier_id", "order_month", matched.alias("_matched")).agg(
         F.count_if(matched).alias("_n"),
-        F.sum("revenue").alias("_rev"),
-        F.sum("freight").alias("_fr"),
-        matched_count(delivered & late).alias("_late"),
-        matched_count(delivered).alias("_delivered"),
-        matched_count(F.col("is_canceled")).alias("_canceled"),
-        matched_count(F.col("is_bad_review") & F.col("review_score").isNotNull()).alias("_bad"),
-        matched_count(F.col("review_score").isNotNull()).alias("_reviewed"),
+        F.count_if(matched & F.col("_first")).alias("_orders"),
+        F.sum(F.when(once, F.col("revenue"))).alias("_rev"),
+        F.sum(F.when(once, F.col("freight"))).alias("_fr"),
+        *[F.sum(c).alias(c) for c in parts],
     )
-    active = F.col("_matched")
-    n = F.col("_n")
-    per_supplier = monthly.groupBy("supplier_id").agg(
-        F.sum("_n").alias("orders"),
-        F.sum("_rev").alias("revenue"),
-        F.sum("_fr").alias("freight"),
-        F.sum("_late").alias("_late"),
-        F.sum("_delivered").alias("_delivered"),
-        F.sum("_canceled").alias("_canceled"),
-        F.sum("_bad").alias("_bad"),
-        F.sum("_reviewed").alias("_reviewed"),
-        F.count_if(active).alias("_k"),
-        F.sum(F.when(active, n)).alias("_s1"),
-        F.sum(F.when(active, n * n)).alias("_s2"),
-    ).where(F.col("orders") > 0)
+    n = F.when(F.col("_matched"), F.col("_n"))
+    base = monthly.groupBy("supplier_id").agg(
+        F.sum("_orders").alias("orders"), F.sum("_rev").alias("revenue"), F.sum("_fr").alias("freight"),
+        *[F.sum(c).alias(c) for c in parts],
+        F.count(n).alias("_k"), F.sum(n).alias("_s1"), F.sum(n * n).alias("_s2"),
+    ).where(F.col("supplier_id").isNotNull() & (F.col("orders") > 0))
 
     def rate(num: str, den: str) -> Column:
         return F.when(F.col(den) > 0, F.col(num).cast("double") / F.col(den).cast("double"))
 
-    return per_supplier.select(
+    return base.select(
         "supplier_id",
         "orders",
         "revenue",
         "freight",
         F.when(F.col("revenue") > 0, ratio(F.col("freight"), F.col("revenue"))).alias("freight_burden"),
         rate("_late", "_delivered").alias("late_rate"),
-        rate("_canceled", "orders").alias("cancel_rate"),
+        rate("_canceled", "_rows").alias("cancel_rate"),
         rate("_bad", "_reviewed").alias("bad_review_rate"),
         coefficient_of_variation(F.col("_k"), F.col("_s1"), F.col("_s2")).alias("demand_volatility"),
     )
@@ -166,25 +154,24 @@ def score_components() -> dict[str, Column]:
     }
 
 
-def supplier_percent_ranks(base: DataFrame, min_orders: int = MIN_ORDERS, method: str = "distributed") -> DataFrame:
+def supplier_percent_ranks(base: DataFrame, min_orders: int = MIN_ORDERS, share: Share = unshared) -> DataFrame:
     """Component percent ranks over the *scored* population (orders >= min_orders)."""
-    scored = base.where(F.col("orders") >= F.lit(min_orders))
-    return percent_ranks(scored, "supplier_id", score_components(), method=method)
+    scored = share(base.where(F.col("orders") >= F.lit(min_orders)))
+    return percent_ranks(scored, "supplier_id", score_components())
 
 
 def supplier_scorecard(
     base: DataFrame,
     min_orders: int = MIN_ORDERS,
     weights: dict[str, float] | None = None,
-    method: str = "distributed",
+    share: Share = unshared,
 ) -> DataFrame:
     """Scorecard of suppliers with >= min_orders orders: rates, revenue share of the scored
     population, ROUND(100 * weighted percentile score, 1) and risk quintile (1 = best)."""
     weights = RISK_WEIGHTS if weights is None else weights
     scored = base.where(F.col("orders") >= F.lit(min_orders))
     out = percentile_score(
-        scored, "supplier_id", score_components(), weights, RISK_BUCKETS, method=method, totals_of=("revenue",)
-    )
+        scored, "supplier_id", score_components(), weights, RISK_BUCKETS, totals_of=("revenue",), share=share)
     return out.select(
         "supplier_id",
         "orders",

@@ -13,11 +13,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from fulcrum.operators import quality, scoring, star
-from fulcrum.operators.order_stats import choose_method
 from fulcrum.plans import marts
 from fulcrum.sources.model import Sources
 from fulcrum.sources.sinks import write_headline_json, write_table
-from fulcrum.sources.tables import drop_stage_root, new_stage_root, stage_counted, staging_scope, submit_in_scope
+from fulcrum.sources.tables import drop_stage_root, new_stage_root, stage_table, staging_scope, submit_in_scope
 
 # The published mart names, in export order.
 MART_NAMES = (
@@ -54,13 +53,11 @@ STAGING_VIEWS = {
 
 
 class Pipeline:
-    """Star + marts over one ``Sources``; ``method`` selects the order-statistics strategy
-    ('auto' decides per entity table from a bounded count of the staged table)."""
+    """Star + marts over one ``Sources``, staged once in a folder of its own until ``close()``."""
 
-    def __init__(self, src: Sources, min_orders: int = scoring.MIN_ORDERS, method: str = "auto"):
+    def __init__(self, src: Sources, min_orders: int = scoring.MIN_ORDERS):
         self.src = src
         self.min_orders = min_orders
-        self.method = method
         self.spark = src.orders.sparkSession
         self.stage_root = new_stage_root(self.spark)
         with staging_scope(self.stage_root):
@@ -80,23 +77,16 @@ class Pipeline:
     def fact(self) -> DataFrame:
         return self.star.orders
 
-    def supplier_base_counted(self) -> tuple[DataFrame, int]:
-        """The staged supplier base and its row count (observed while staging)."""
+    def _stage(self, df: DataFrame) -> DataFrame:
         with staging_scope(self.stage_root):
-            return stage_counted(scoring.supplier_base(self.star.pairs, self.fact), "supplier_base")
-
-    def supplier_base(self) -> DataFrame:
-        return self.supplier_base_counted()[0]
+            return stage_table(df, "shared")
 
     def category(self) -> DataFrame:
-        with staging_scope(self.stage_root):
-            base, rows = stage_counted(marts.category_base(self.fact), "category_base")
-            return marts.category_risk_from_base(base, method=choose_method(base, self.method, rows=rows))
+        return marts.mart_category_risk(self.fact, share=self._stage)
 
     def scorecard(self) -> DataFrame:
-        base, rows = self.supplier_base_counted()
-        with staging_scope(self.stage_root):
-            return scoring.supplier_scorecard(base, self.min_orders, method=choose_method(base, self.method, rows=rows))
+        base = scoring.supplier_base(self.star.pairs, self.fact)
+        return scoring.supplier_scorecard(base, self.min_orders, share=self._stage)
 
     def marts(self) -> dict[str, Callable[[], DataFrame]]:
         return {
@@ -132,14 +122,14 @@ class Pipeline:
         return list(views)
 
 
-def run_pipeline(src: Sources, out_dir: str, fmt: str = "csv", method: str = "auto", parallelism: int = 4) -> dict:
+def run_pipeline(src: Sources, out_dir: str, fmt: str = "csv", parallelism: int = 4) -> dict:
     """Build everything and write it under ``out_dir``; returns row counts and headline KPIs.
 
     Raises ``QualityGateError`` (before any mart is written) if a critical rule fails.  The
     marts only read the staged star, so they are written as up to ``parallelism``
     concurrent jobs."""
     out = out_dir.rstrip("/")
-    with Pipeline(src, method=method) as p:
+    with Pipeline(src) as p:
         return _export(p, out, fmt, parallelism)
 
 
@@ -153,7 +143,7 @@ def _export(p: Pipeline, out: str, fmt: str, parallelism: int) -> dict:
 
     def export(name: str, build: Callable[[], DataFrame]) -> int:
         if name == "fact_orders":
-            return write_table(build(), f"{out}/{name}", "parquet", partition_by=["order_month"], cluster_by=["order_id"])
+            return write_table(build(), f"{out}/{name}", fmt, partition_by=["order_month"], cluster_by=["order_id"])
         df = build()
         order = mart_sort_order(name)
         return write_table(df.orderBy(*order) if order else df, f"{out}/{name}", fmt)

@@ -1,13 +1,8 @@
 """Query catalogue: every named query as ``(spark, sf_dir) -> DataFrame``.
 
-Each query reads the driver tables through the adapter and builds its plan from the
-operators; nothing is collected.  Names follow SURVEY §7.3.
-
-Queries with one consumer of the star (dimensions, facts, the headline/monthly/region
-marts and their extracts) stay one lazy plan.  The category and supplier chains, which
-read the star several times and rank whole entity tables, run through ``Pipeline``: the
-star and the entity table are staged once, and the ranking strategy is chosen from a
-bounded count of the staged entity table.
+Each query reads the driver tables through the adapter and builds one lazy plan from the
+operators: nothing is collected or staged, and no job runs before the caller's action.
+Names follow SURVEY §7.3.
 """
 
 from __future__ import annotations
@@ -18,15 +13,11 @@ from pyspark.sql import DataFrame, SparkSession
 
 from fulcrum.operators import quality, scoring, star
 from fulcrum.plans import insights, marts
-from fulcrum.plans.build import Pipeline
-from fulcrum.operators.order_stats import choose_method
-from fulcrum.sources.tables import stage_counted, staging_scope
+from fulcrum.sources.tables import Shared, unshared
 from fulcrum.sources.testdata import from_driver_tables
 
 # Parameters chosen to make each filter bite on the driver data.
 ONTIME_FIRST_MONTH = "1996-01"
-# Order-statistics strategy for the catalogue ('auto' | 'window' | 'distributed').
-ORDER_STATS_METHOD = "auto"
 ONTIME_LAST_MONTH = "1998-12"
 STRICT_MIN_ORDERS = 580
 
@@ -41,38 +32,34 @@ def _fact(spark, d) -> DataFrame:
     return _star(spark, d).orders
 
 
-def _pipeline(spark, d, **kw) -> Pipeline:
-    return Pipeline(from_driver_tables(spark, d), method=ORDER_STATS_METHOD, **kw)
-
-
 def _base(spark, d) -> DataFrame:
-    return _pipeline(spark, d).supplier_base()
+    st = _star(spark, d)
+    return scoring.supplier_base(st.pairs, st.orders)
 
 
-def _scorecard(spark, d, min_orders=scoring.MIN_ORDERS) -> DataFrame:
-    return _pipeline(spark, d, min_orders=min_orders).scorecard()
+def _scorecard(spark, d, min_orders=scoring.MIN_ORDERS, extract: Callable = unshared) -> DataFrame:
+    shared = Shared()
+    return shared.until(extract(scoring.supplier_scorecard(_base(spark, d), min_orders, share=shared.share)))
 
 
 def _percent_ranks(spark, d) -> DataFrame:
-    p = _pipeline(spark, d)
-    base, rows = p.supplier_base_counted()
-    with staging_scope(p.stage_root):
-        return scoring.supplier_percent_ranks(base, p.min_orders, method=choose_method(base, ORDER_STATS_METHOD, rows=rows))
+    shared = Shared()
+    return shared.until(scoring.supplier_percent_ranks(_base(spark, d), share=shared.share))
 
 
 def _region(spark, d) -> DataFrame:
     return marts.mart_region(_fact(spark, d))
 
 
-def _category(spark, d) -> DataFrame:
-    return _pipeline(spark, d).category()
+def _category(spark, d, extract: Callable = unshared) -> DataFrame:
+    shared = Shared()
+    return shared.until(extract(marts.mart_category_risk(_fact(spark, d), share=shared.share)))
 
 
 def _pareto_series(spark, d) -> DataFrame:
-    p = _pipeline(spark, d)
-    with staging_scope(p.stage_root):
-        category, rows = stage_counted(p.category(), "category_risk")
-        return insights.pareto_series(category, method=choose_method(category, ORDER_STATS_METHOD, rows=rows))
+    shared = Shared()
+    category = shared.share(marts.mart_category_risk(_fact(spark, d), share=shared.share))
+    return shared.until(insights.pareto_series(category))
 
 
 def _categories(src) -> DataFrame:
@@ -90,8 +77,8 @@ def _order_primary(spark, d) -> DataFrame:
 
 
 def _supplier_orders(spark, d) -> DataFrame:
-    p = _pipeline(spark, d)  # the roll-up feeds both sides of the join: stage it once
-    return scoring.supplier_orders(p.star.pairs, p.fact)
+    st = _star(spark, d)
+    return scoring.supplier_orders(st.pairs, st.orders)
 
 
 def _dq_report(spark, d) -> DataFrame:
@@ -122,10 +109,10 @@ QUERIES: dict[str, Query] = {
     "mart_region": _region,
     "mart_category_risk": _category,
     # category extracts
-    "abc_summary": lambda spark, d: insights.abc_summary(_category(spark, d)),
+    "abc_summary": lambda spark, d: _category(spark, d, insights.abc_summary),
     "pareto_series": _pareto_series,
-    "category_ab_map": lambda spark, d: insights.category_ab_map(_category(spark, d)),
-    "category_top_labels": lambda spark, d: insights.category_top_labels(_category(spark, d)),
+    "category_ab_map": lambda spark, d: _category(spark, d, insights.category_ab_map),
+    "category_top_labels": lambda spark, d: _category(spark, d, insights.category_top_labels),
     # supplier chain
     "supplier_orders": _supplier_orders,
     "supplier_monthly": lambda spark, d: scoring.supplier_monthly(_supplier_orders(spark, d)),
@@ -134,8 +121,8 @@ QUERIES: dict[str, Query] = {
     "supplier_percent_ranks": _percent_ranks,
     "supplier_scorecard": lambda spark, d: _scorecard(spark, d),
     "supplier_scorecard_min": lambda spark, d: _scorecard(spark, d, STRICT_MIN_ORDERS),
-    "supplier_risk_points": lambda spark, d: insights.supplier_risk_points(_scorecard(spark, d)),
-    "risk_quintile_summary": lambda spark, d: insights.risk_quintile_summary(_scorecard(spark, d)),
+    "supplier_risk_points": lambda spark, d: _scorecard(spark, d, extract=insights.supplier_risk_points),
+    "risk_quintile_summary": lambda spark, d: _scorecard(spark, d, extract=insights.risk_quintile_summary),
     # satisfaction and overview
     "late_vs_satisfaction": lambda spark, d: insights.late_vs_satisfaction(_fact(spark, d)),
     "late_relative_risk": lambda spark, d: insights.late_relative_risk(_fact(spark, d)),

@@ -145,9 +145,9 @@ def category_top_labels(category: DataFrame, classes=AB_CLASSES, k: int = TOP_CA
     )
 
 
-def pareto_series(category: DataFrame, method: str = "distributed") -> DataFrame:
+def pareto_series(category: DataFrame) -> DataFrame:
     """Categories in descending revenue order with their 1-based position."""
-    pos = row_numbers(category, [F.col("revenue").desc(), F.col("product_category").asc()], "position", method=method)
+    pos = row_numbers(category, "revenue", "product_category", "position", descending=True)
     return pos.select("position", "product_category", "revenue_share", "cum_revenue_share", "abc_class")
 
 

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from fulcrum.functions.measures import conditional_mean, conditional_sum, flag_rate, strict_flag_rate
 from fulcrum.functions.numeric import format_fixed, ratio, round_half_up
 from fulcrum.operators.pareto import pareto_abc
+from fulcrum.sources.tables import Share, unshared
 
 # The headline KPI names, in published order.
 KPI_NAMES = (
@@ -180,13 +181,13 @@ def category_base(fact: DataFrame) -> DataFrame:
     )
 
 
-def mart_category_risk(fact: DataFrame, method: str = "distributed") -> DataFrame:
+def mart_category_risk(fact: DataFrame, share: Share = unshared) -> DataFrame:
     """Category risk with revenue share, Pareto cumulative share and ABC class."""
-    return category_risk_from_base(category_base(fact), method)
+    return category_risk_from_base(share(category_base(fact)))
 
 
-def category_risk_from_base(base: DataFrame, method: str = "distributed") -> DataFrame:
-    ranked = pareto_abc(base, "revenue", method=method)
+def category_risk_from_base(base: DataFrame) -> DataFrame:
+    ranked = pareto_abc(base, "product_category", "revenue")
     return ranked.select(
         "product_category", "orders", F.col("revenue").cast("double").alias("revenue"), "avg_freight_ratio",
         "late_rate", "bad_review_rate", "revenue_share", "cum_revenue_share", "abc_class",

@@ -16,6 +16,8 @@ from __future__ import annotations
 import contextlib
 import contextvars
 import uuid
+import weakref
+from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -26,6 +28,40 @@ from fulcrum.session import checkpoint_dir
 _ROOT: contextvars.ContextVar[str | None] = contextvars.ContextVar("fulcrum_stage_root", default=None)
 
 
+#: Keeps an intermediate result that several branches of a plan read: ``stage_table`` in a
+#: pipeline's scope, ``Shared`` for lazy plans, or nothing.
+Share = Callable[[DataFrame], DataFrame]
+
+
+def unshared(df: DataFrame) -> DataFrame:
+    return df
+
+
+class Shared:
+    """Lazy sharing: what is passed to ``share`` is persisted (nothing runs before the
+    caller's action, lost blocks are computed again from their lineage) and unpersisted when
+    the result given to ``until`` is no longer referenced.  Frames derived from that result
+    stay valid; they only lose the shortcut."""
+
+    def __init__(self):
+        self._held: list[DataFrame] = []
+
+    def share(self, df: DataFrame) -> DataFrame:
+        df.persist()
+        self._held.append(df)
+        return df
+
+    def until(self, result: DataFrame) -> DataFrame:
+        weakref.finalize(result, _unpersist, self._held).atexit = False
+        return result
+
+
+def _unpersist(frames: list[DataFrame]) -> None:
+    for df in frames:
+        with contextlib.suppress(Exception):  # the session may have ended
+            df.unpersist()
+
+
 def new_stage_root(spark: SparkSession) -> str:
     return f"{checkpoint_dir(spark).rstrip('/')}/fulcrum-stage/{uuid.uuid4().hex}"
 

@@ -1,18 +1,16 @@
 """Results do not depend on how the data is partitioned (exact sums, integer moments,
 explicit tie-breakers): the same marts come out bit for bit under 1, 3 and 16 shuffle
-partitions, for both order-statistics strategies."""
+partitions."""
 
 from __future__ import annotations
 
-import pytest
-
 from fulcrum.plans.build import Pipeline
 from fulcrum.sources.testdata import from_driver_tables
 from tests.conftest import SF_SMALL
 
 
-def _snapshot(spark, method):
-    with Pipeline(from_driver_tables(spark, SF_SMALL), method=method) as p:
+def _snapshot(spark):
+    with Pipeline(from_driver_tables(spark, SF_SMALL)) as p:
         out = {}
         for name, build in p.marts().items():
             out[name] = sorted(map(tuple, build().collect()))
@@ -20,13 +18,12 @@ def _snapshot(spark, method):
         return out
 
 
-@pytest.mark.parametrize("method", ["window", "distributed"])
-def test_repartition_invariance(spark, method):
+def test_repartition_invariance(spark):
     snaps = []
     for parts in ("1", "3", "16"):
         spark.conf.set("spark.sql.shuffle.partitions", parts)
         try:
-            snaps.append(_snapshot(spark, method))
+            snaps.append(_snapshot(spark))
         finally:
             spark.conf.set("spark.sql.shuffle.partitions", "8")
     assert snaps[0] == snaps[1] == snaps[2]

@@ -1,79 +1,121 @@
-"""Property tests: the distributed order statistics equal the single-window forms."""
+"""Property tests: the distributed order statistics equal the single-window forms, which are
+written here with Spark's own window functions."""
 
 from __future__ import annotations
 
+import re
+
+import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from fulcrum.operators import order_stats, pareto
 
 SETTINGS = settings(max_examples=12, deadline=None, suppress_health_check=list(HealthCheck))
 
-values = st.lists(st.one_of(st.none(), st.integers(0, 6).map(lambda x: x / 4)), min_size=1, max_size=60)
+values = st.lists(
+    st.one_of(st.none(), st.integers(-3, 6).map(lambda x: x / 4), st.sampled_from([-0.0, 1e300, -1e-300, 5e-324])),
+    min_size=1, max_size=60)
 
 
 def _frame(spark, vals):
-    return spark.createDataFrame([(i, v, None if v is None else v * 3 % 1.5) for i, v in enumerate(vals)], "k int, a double, b double")
+    return spark.createDataFrame(
+        [(i * 7 % 1009, v, None if v is None else v * 3 % 1.5) for i, v in enumerate(vals)], "k int, a double, b double")
+
+
+def _rows(df, *cols):
+    return sorted(map(tuple, df.select(*cols).collect()))
 
 
 @SETTINGS
-@given(vals=values, parts=st.integers(1, 7))
-def test_percent_ranks_match_window(spark, vals, parts):
+@given(vals=values)
+def test_percent_ranks_match_window(spark, vals):
     df = _frame(spark, vals)
-    comps = {"a": F.col("a"), "b": F.col("b")}
-    w = order_stats.percent_ranks(df, "k", comps, method="window")
-    d = order_stats.percent_ranks(df, "k", comps, method="distributed", num_partitions=parts)
-    assert sorted(map(tuple, w.collect())) == sorted(map(tuple, d.select(w.columns).collect()))
+    w = df.select("k", *[F.percent_rank().over(Window.orderBy(F.col(c).asc_nulls_last())).alias(c + "_pr") for c in "ab"])
+    d = order_stats.percent_ranks(df, "k", {"a": F.col("a"), "b": F.col("b")})
+    assert _rows(w, "k", "a_pr", "b_pr") == _rows(d, "k", "a_pr", "b_pr")
 
 
 @SETTINGS
-@given(vals=values, parts=st.integers(1, 7), buckets=st.integers(1, 9))
-def test_ntile_and_row_number_match_window(spark, vals, parts, buckets):
+@given(vals=values, buckets=st.integers(1, 9), down=st.booleans())
+def test_ntile_and_row_number_match_window(spark, vals, buckets, down):
     df = _frame(spark, vals)
-    order = [F.col("a").asc_nulls_last(), F.col("k")]
-    w = order_stats.ntile(df, buckets, order, "q", method="window")
-    d = order_stats.ntile(df, buckets, order, "q", method="distributed", num_partitions=parts)
-    assert sorted(map(tuple, w.select("k", "q").collect())) == sorted(map(tuple, d.select("k", "q").collect()))
-    rw = order_stats.row_numbers(df, order, "rn", method="window", count="n")
-    rd = order_stats.row_numbers(df, order, "rn", method="distributed", count="n", num_partitions=parts)
-    assert sorted(map(tuple, rw.select("k", "rn", "n").collect())) == sorted(map(tuple, rd.select("k", "rn", "n").collect()))
+    a = F.col("a").desc_nulls_last() if down else F.col("a").asc_nulls_last()
+    w = Window.orderBy(a, "k")
+    want = df.select("k", F.row_number().over(w).cast("long").alias("rn"), F.count("*").over(Window.partitionBy()).alias("n"))
+    got = order_stats.row_numbers(df, "a", "k", "rn", descending=down, count="n")
+    assert _rows(want, "k", "rn", "n") == _rows(got, "k", "rn", "n")
+    if not down:
+        want = df.select("k", F.ntile(buckets).over(w).cast("long").alias("q"))
+        assert _rows(want, "k", "q") == _rows(order_stats.ntile(df, buckets, "a", "k", "q"), "k", "q")
 
 
 @SETTINGS
-@given(revs=st.lists(st.integers(0, 5), min_size=1, max_size=40), parts=st.integers(1, 7))
-def test_pareto_matches_window(spark, revs, parts):
-    df = spark.createDataFrame([(f"c{i}", r) for i, r in enumerate(revs)], "c string, revenue long")
-    w = pareto.pareto_abc(df, "revenue", method="window")
-    spark.conf.set("spark.sql.shuffle.partitions", str(parts))
-    try:
-        d = pareto.pareto_abc(df, "revenue", method="distributed")
-        assert sorted(map(tuple, w.collect())) == sorted(map(tuple, d.select(w.columns).collect()))
-    finally:
-        spark.conf.set("spark.sql.shuffle.partitions", "8")
-
-
-def test_skewed_value_is_collapsed_before_ranking(spark):
-    # one value held by ~90% of the rows: counted map-side, one row in the ordering
-    rows = [(i, 0.5 if i % 10 else float(i)) for i in range(2000)]
-    df = spark.createDataFrame(rows, "k int, a double")
-    w = order_stats.percent_ranks(df, "k", {"a": F.col("a")}, method="window")
-    d = order_stats.percent_ranks(df, "k", {"a": F.col("a")}, method="distributed", num_partitions=4)
-    assert sorted(map(tuple, w.collect())) == sorted(map(tuple, d.collect()))
-
-
-def test_distributed_plan_has_no_single_partition_exchange(spark):
-    df = spark.range(1000).select(F.col("id").alias("k"), (F.col("id") % 7).cast("double").alias("a"))
-    d = order_stats.percent_ranks(df, "k", {"a": F.col("a")}, method="distributed")
-    d.collect()
-    assert "SinglePartition" not in d._jdf.queryExecution().executedPlan().toString()
-    w = order_stats.percent_ranks(df, "k", {"a": F.col("a")}, method="window")
-    w.collect()
-    assert "SinglePartition" in w._jdf.queryExecution().executedPlan().toString()
-
-
-def test_choose_method_bounded_count(spark):
-    small = spark.range(10)
-    assert order_stats.choose_method(small, "auto", max_rows=100) == "window"
-    assert order_stats.choose_method(small, "auto", max_rows=5) == "distributed"
-    assert order_stats.choose_method(small, "distributed") == "distributed"
+@given(revs=st.lists(st.integers(0, 5), min_size=1, max_size=40))
+def test_pareto_matches_window(spark, revs):
+    df = spark.createDataFrame([(f"category {i:03d}", r) for i, r in enumerate(revs)], "c string, revenue long")
+    whole = F.sum("revenue").over(Window.partitionBy())
+    cum = F.sum("revenue").over(Window.orderBy(F.desc("revenue")))
+    want = df.select("c", (F.try_divide(cum.cast("double"), whole.cast("double"))).alias("cum_revenue_share"))
+    got = pareto.pareto_abc(df, "c", "revenue")
+    assert _rows(want, "c", "cum_revenue_share") == _rows(got, "c", "cum_revenue_share")
+
+
+@pytest.mark.parametrize("kind, vals", [
+    ("bigint", [-(1 << 62), -5, 0, 7, (1 << 62)]), ("string", ["", "a", "ab", "b", "prefix_1", "prefix_10", "é"]),
+    ("double", [float("-inf"), -2.0, -1e-300, 0.0, 1e-300, 2.0, float("inf")]),
+])
+def test_order_key_keeps_the_order(spark, kind, vals):
+    df = spark.createDataFrame([(i, v) for i, v in enumerate(vals)] + [(len(vals), None)], f"i int, v {kind}")
+    keys = [r.key for r in df.orderBy("i").select(order_stats.order_key(F.col("v"), kind).alias("key")).collect()]
+    assert keys == sorted(keys)
+    numbered = order_stats.running_totals(df.withColumn("one", F.lit(1)), "v", "one")
+    assert [r.one_before for r in numbered.orderBy("i").collect()] == list(range(len(keys)))
+
+
+def _plan(df):
+    df.collect()
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_a_value_that_most_rows_share(spark):
+    """90 % of the entities share each component's value: results whole, no join on the value alone,
+    no single partition that reads entity rows."""
+    rows = [(i, 0.5 if i % 10 else float(i), 0.0 if i % 10 else float(-i)) for i in range(2000)]
+    df = spark.createDataFrame(rows, "k int, a double, b double")
+    d = order_stats.percent_ranks(df, "k", {"a": F.col("a"), "b": F.col("b")})
+    w = df.select("k", *[F.percent_rank().over(Window.orderBy(F.col(c).asc_nulls_last())).alias(c + "_pr") for c in "ab"])
+    assert _rows(w, "k", "a_pr", "b_pr") == _rows(d, "k", "a_pr", "b_pr")
+    plan = _plan(d)
+    assert "SinglePartition" not in plan
+    # the join that gives rows their value's counts has the salt among its keys
+    joins = [line for line in plan.splitlines() if re.search("Join", line)]
+    assert any("_salt" in line for line in joins)
+    salted = [line for line in joins if "_salt" in line]
+    assert all("_component" in line for line in salted)
+
+
+def test_no_job_before_an_action(spark):
+    import __spark_entry__ as E
+
+    tracker, group = spark.sparkContext.statusTracker(), "lazy-check"
+    spark.sparkContext.setJobGroup(group, group)
+    for name in ("supplier_scorecard", "pareto_series", "mart_category_risk", "supplier_base", "supplier_percent_ranks"):
+        E.queries()[name](spark, "/root/testdata/sf0.001")
+    assert not tracker.getJobIdsForGroup(group)
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+
+
+def test_queries_leave_no_folder(spark):
+    import glob
+
+    from fulcrum.plans.catalog import QUERIES
+    from fulcrum.session import checkpoint_dir
+
+    folder = checkpoint_dir(spark).removeprefix("file:").rstrip("/") + "/fulcrum-stage/*"
+    before = set(glob.glob(folder))
+    for name in ("supplier_scorecard", "pareto_series", "supplier_base"):
+        QUERIES[name](spark, "/root/testdata/sf0.001").collect()
+    assert set(glob.glob(folder)) == before

@@ -1,6 +1,7 @@
 """Differential test on random driver-shaped tables with edge cases the generated test data
 never has: NULL prices, taxes, quantities, dates, statuses and brands, NULL or orphan
-order/part/supplier keys and line numbers, orders without lines, duplicate line numbers,
+order/part/supplier keys and line numbers, orders without lines, duplicate line numbers and
+order ids,
 price ties, unknown nations.  Every catalogue query must
 equal its DuckDB oracle exactly."""
 
@@ -15,7 +16,8 @@ import pyarrow as pa
 import pyarrow.parquet as pq
 import pytest
 
-import __spark_entry__ as E
+from fulcrum.plans.catalog import QUERIES
+from fulcrum.plans.oracle import QUERIES_SQL
 
 TABLES = "region nation customer supplier part orders lineitem".split()
 
@@ -36,6 +38,9 @@ def _write_tables(folder, seed: int) -> None:
     for o in range(40):
         orders.append((o, rng.randrange(25), _maybe(rng, rng.choice("FOP"), 0.05), 1.0,
                        _maybe(rng, ts(rng.randrange(0, 400)), 0.03), "1-URGENT"))
+    # repeated order ids: as they are, and with another status, date or customer
+    orders += [orders[3], orders[3], orders[10]]
+    orders += [(5, 1, "F", 1.0, ts(20), "1-URGENT"), (5, 2, "P", 1.0, ts(90), "1-URGENT"), (None, 3, "F", 1.0, ts(5), "1-URGENT")]
     lines = []
     for _ in range(110):
         o = rng.randrange(45)  # keys 40..44 have no order row (orphans)
@@ -90,26 +95,14 @@ def random_tables(request, tmp_path_factory):
     return str(folder), con
 
 
-@pytest.mark.parametrize("name", sorted(E.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_random_tables_match_oracle(spark, random_tables, name):
     folder, con = random_tables
-    df = E.queries()[name](spark, folder)
+    df = QUERIES[name](spark, folder)
     cols = df.columns
     got = sorted((tuple(_norm(r[c]) for c in cols) for r in df.collect()), key=_key)
-    rel = con.execute(E.oracle_sql()[name])
+    rel = con.execute(QUERIES_SQL[name])
     dcols = [d[0] for d in rel.description]
     idx = [dcols.index(c) for c in cols]
     want = sorted((tuple(_norm(r[i]) for i in idx) for r in rel.fetchall()), key=_key)
     assert got == want
-
-
-RANKED = ["mart_category_risk", "abc_summary", "pareto_series", "supplier_percent_ranks", "supplier_scorecard",
-          "risk_quintile_summary"]
-
-
-@pytest.mark.parametrize("name", RANKED)
-def test_random_tables_distributed_match_oracle(spark, random_tables, name, monkeypatch):
-    from fulcrum.plans import catalog
-
-    monkeypatch.setattr(catalog, "ORDER_STATS_METHOD", "distributed")
-    test_random_tables_match_oracle(spark, random_tables, name)

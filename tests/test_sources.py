@@ -35,7 +35,7 @@ def test_csv_sources_match_in_memory_roles(spark, tmp_path):
     assert csv.payments.count() == src.orders.count()
     assert dict(csv.orders.dtypes)["order_purchase_timestamp"] == "timestamp_ntz"
 
-    a, b = Pipeline(src, method="window"), Pipeline(csv, method="window")
+    a, b = Pipeline(src), Pipeline(csv)
     for name in ("mart_exec_kpis", "mart_monthly", "mart_region", "mart_product_risk"):
         left = sorted(map(tuple, a.marts()[name]().collect()))
         right = sorted(map(tuple, b.marts()[name]().collect()))

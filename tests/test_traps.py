@@ -15,7 +15,6 @@ from fulcrum.operators.volatility import demand_volatility
 from fulcrum.plans import marts
 from tests.helpers import item, order, sources
 
-METHODS = ["window", "distributed"]
 
 FACT_DDL = (
     "order_id string, order_month string, region_state string, primary_category string, revenue decimal(18,2), "
@@ -32,10 +31,9 @@ def fact_rows(spark, rows):
     return spark.createDataFrame(_dec(rows, 4, 5), FACT_DDL)
 
 
-@pytest.mark.parametrize("method", METHODS)
-def test_a_percent_rank_nulls_last(spark, method):
+def test_a_percent_rank_nulls_last(spark):
     df = spark.createDataFrame([(1, 0.1), (2, 0.2), (3, 0.2), (4, None)], "k int, v double")
-    out = order_stats.percent_ranks(df, "k", {"v": F.col("v")}, method=method)
+    out = order_stats.percent_ranks(df, "k", {"v": F.col("v")})
     got = {r.k: r.v_pr for r in out.collect()}
     assert got == {1: 0.0, 2: 1 / 3, 3: 1 / 3, 4: 1.0}
 
@@ -90,18 +88,16 @@ def test_f_money_sum_is_partition_independent(spark):
     assert one == eight == 100.0
 
 
-@pytest.mark.parametrize("method", METHODS)
-def test_g_cumulative_share_ties_share_a_value(spark, method):
+def test_g_cumulative_share_ties_share_a_value(spark):
     df = spark.createDataFrame([("w", 50), ("x", 20), ("y", 20), ("z", 10)], "c string, revenue long")
-    out = pareto.pareto_abc(df, "revenue", method=method)
+    out = pareto.pareto_abc(df, df.columns[0], "revenue")
     got = {r.c: (r.cum_revenue_share, r.abc_class) for r in out.collect()}
     assert got == {"w": (0.5, "A"), "x": (0.9, "B"), "y": (0.9, "B"), "z": (1.0, "C")}
 
 
-@pytest.mark.parametrize("method", METHODS)
-def test_h_ntile_ties_broken_by_id(spark, method):
+def test_h_ntile_ties_broken_by_id(spark):
     df = spark.createDataFrame([(i, 0.5) for i in range(1, 8)], "id int, score double")
-    out = order_stats.ntile(df, 5, [F.col("score"), F.col("id")], "q", method=method)
+    out = order_stats.ntile(df, 5, "score", "id", "q")
     assert [r.q for r in out.orderBy("id").collect()] == [1, 1, 2, 2, 3, 4, 5]
 
 
@@ -131,7 +127,7 @@ def test_k_category_vs_supplier_revenue_grain(spark):
     st = star.Star(src)
     cats = {r.product_category: r.revenue for r in marts.mart_category_risk(st.orders).collect()}
     assert cats == {"a": 100.0}
-    sup = {r.supplier_id: float(r.revenue) for r in scoring.supplier_revenue(st.pairs).collect()}
+    sup = {r.supplier_id: float(r.revenue) for r in scoring.supplier_base(st.pairs, st.orders).collect()}
     assert sup == {"s1": 60.0, "s2": 40.0}
 
 
@@ -145,9 +141,8 @@ def test_m_zero_revenue_gives_nulls_not_errors(spark):
     src = sources(spark, [order("o1"), order("o2")], [item("o1", 1, price=0.0, freight=1.0), item("o2", 1, price=0.0)])
     st = star.Star(src)
     assert [r.freight_ratio for r in st.orders.collect()] == [None, None]
-    for method in METHODS:
-        cat = marts.mart_category_risk(st.orders, method=method).first()
-        assert cat.revenue_share is None and cat.cum_revenue_share is None
+    cat = marts.mart_category_risk(st.orders).first()
+    assert cat.revenue_share is None and cat.cum_revenue_share is None
     assert marts.kpi_exec_wide(st.orders).first().freight_to_revenue is None
 
 
@@ -178,12 +173,11 @@ def test_p_primary_line_tie_goes_to_lower_item(spark):
     assert (r.primary_supplier_id, r.primary_category) == ("s1", "a")
 
 
-@pytest.mark.parametrize("method", METHODS)
-def test_q_single_supplier_and_single_category(spark, method):
+def test_q_single_supplier_and_single_category(spark):
     base = _base(spark, [("s1", 30, 100, 10, 0.1, 0.2, 0.3, 0.4, 0.5)])
-    card = scoring.supplier_scorecard(base, method=method).first()
+    card = scoring.supplier_scorecard(base).first()
     assert (card.risk_score, card.risk_quintile, card.revenue_share) == (0.0, 1, 1.0)
-    cat = pareto.pareto_abc(spark.createDataFrame([("a", 5)], "c string, revenue long"), "revenue", method=method).first()
+    cat = pareto.pareto_abc(spark.createDataFrame([("a", 5)], "c string, revenue long"), "c", "revenue").first()
     assert (cat.cum_revenue_share, cat.abc_class) == (1.0, "C")
 
 
@@ -206,18 +200,16 @@ def _base(spark, rows):
     )
 
 
-@pytest.mark.parametrize("method", METHODS)
-def test_s_share_of_scored_population(spark, method):
+def test_s_share_of_scored_population(spark):
     base = _base(spark, [("s1", 20, 30, 1, 0.1, 0.1, 0.1, 0.1, 0.1), ("s2", 19, 70, 1, 0.1, 0.1, 0.1, 0.1, 0.1)])
-    out = scoring.supplier_scorecard(base, method=method).collect()
+    out = scoring.supplier_scorecard(base).collect()
     assert [(r.supplier_id, r.revenue_share) for r in out] == [("s1", 1.0)]
 
 
-@pytest.mark.parametrize("method", METHODS)
-def test_t_unscored_outlier_does_not_move_ranks(spark, method):
+def test_t_unscored_outlier_does_not_move_ranks(spark):
     rows = [(f"s{i}", 25, 10 + i, 1, 0.01 * i, 0.02 * (i % 3), 0.03 * (i % 2), 0.1, None if i == 2 else 0.2 * i) for i in range(6)]
-    a = scoring.supplier_scorecard(_base(spark, rows), method=method)
-    b = scoring.supplier_scorecard(_base(spark, rows + [("outlier", 3, 10**6, 1, 9.0, 1.0, 1.0, 1.0, 9.0)]), method=method)
+    a = scoring.supplier_scorecard(_base(spark, rows))
+    b = scoring.supplier_scorecard(_base(spark, rows + [("outlier", 3, 10**6, 1, 9.0, 1.0, 1.0, 1.0, 9.0)]))
     cols = ["supplier_id", "risk_score", "risk_quintile"]
     assert sorted(map(tuple, a.select(cols).collect())) == sorted(map(tuple, b.select(cols).collect()))
 
