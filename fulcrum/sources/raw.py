@@ -1,4 +1,4 @@
-"""Raw CSV sources: header row, quoted multi-line text, all columns read as strings."""
+"""Raw CSV sources: header row, all columns kept, read as strings and then typed."""
 
 from __future__ import annotations
 
@@ -6,19 +6,22 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fulcrum.sources.model import Sources
-from fulcrum.sources.schemas import RAW_FILES, ROLE_COLUMNS
+from fulcrum.sources.schemas import MULTILINE_ROLES, RAW_FILES, ROLE_COLUMNS
 
 
 def read_raw_csv(spark: SparkSession, path: str, role: str) -> DataFrame:
     """Read one raw CSV and type the columns of ``role``.
 
-    ``multiLine`` + ``escape='"'`` parse quoted review text containing newlines and doubled
-    quotes.  Nothing is inferred: a zip-like ``01409`` stays text, and numbers/timestamps
-    are converted with ``try_cast`` so a bad cell is NULL rather than a failed job.
+    Every column of the file is kept: those of the role get their type, the others stay text.
+    Only review texts hold line breaks, so only that role is read with ``multiLine``, which
+    keeps a file in one task; all other files are split as usual (``convert_reviews`` rewrites
+    a large review file once as Parquet).  Nothing is inferred: a zip-like ``01409`` stays text,
+    and numbers and timestamps are converted with ``try_cast`` (timestamps without a time zone),
+    so a bad cell is NULL rather than a failed job.
     """
     raw = (
         spark.read.option("header", True)
-        .option("multiLine", True)
+        .option("multiLine", role in MULTILINE_ROLES)
         .option("escape", '"')
         .option("inferSchema", False)
         .option("mode", "PERMISSIVE")
@@ -29,16 +32,19 @@ def read_raw_csv(spark: SparkSession, path: str, role: str) -> DataFrame:
     if missing:
         raise ValueError(f"{path}: missing column(s) {missing} for source role {role!r}")
     cols = []
-    for name, dtype in wanted.items():
-        c = F.col(name)
-        if dtype.startswith("timestamp"):
-            c = F.try_to_timestamp(F.trim(c)).cast(dtype)
-        elif dtype != "string":
-            c = F.trim(c).try_cast(dtype)
-        cols.append(c.alias(name))
+    for name in raw.columns:
+        c, dtype = F.col(f"`{name}`"), wanted.get(name, "string")
+        cols.append((c if dtype == "string" else F.trim(c).try_cast(dtype)).alias(name))
     return raw.select(*cols)
 
 
+def convert_reviews(spark: SparkSession, csv_path: str, parquet_path: str, files: int) -> DataFrame:
+    """Rewrite a review file as ``files`` Parquet files: quoted line breaks keep the CSV in one
+    task, so that is paid once."""
+    read_raw_csv(spark, csv_path, "reviews").repartition(files).write.mode("overwrite").parquet(parquet_path)
+    return spark.read.parquet(parquet_path)
+
+
 def read_sources_csv(spark: SparkSession, raw_dir: str) -> Sources:
     """Read the eight raw CSV files of a directory into ``Sources``."""
     frames = {role: read_raw_csv(spark, f"{raw_dir.rstrip('/')}/{fname}", role) for role, fname in RAW_FILES.items()}

@@ -1,7 +1,7 @@
-"""Target types of the raw source columns the pipeline uses.
+"""Target types of the raw source columns the pipeline uses; all others stay text.
 
 Raw CSV files are read as strings (no inference, no positional binding); each needed column
-is selected by its header name and ``try_cast`` to the type below, so a missing column fails
+is found by its header name and ``try_cast`` to the type below, so a missing column fails
 at once and an unparsable cell becomes NULL (counted by the data-quality operator).
 """
 
@@ -19,6 +19,10 @@ RAW_FILES = {
     "category_translation": "product_category_name_translation.csv",
 }
 
+# Roles whose quoted text holds line breaks.
+MULTILINE_ROLES = ("reviews",)
+
+# Money keeps ten decimals: sums stay exact and no published amount is rounded.
 ROLE_COLUMNS: dict[str, dict[str, str]] = {
     "orders": {
         "order_id": "string",
@@ -35,15 +39,15 @@ ROLE_COLUMNS: dict[str, dict[str, str]] = {
         "order_item_id": "int",
         "product_id": "string",
         "seller_id": "string",
-        "price": "decimal(18,2)",
-        "freight_value": "decimal(18,2)",
+        "price": "decimal(26,10)",
+        "freight_value": "decimal(26,10)",
     },
     "payments": {
         "order_id": "string",
         "payment_sequential": "int",
         "payment_type": "string",
         "payment_installments": "int",
-        "payment_value": "decimal(18,2)",
+        "payment_value": "decimal(26,10)",
     },
     "reviews": {
         "order_id": "string",

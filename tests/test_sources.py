@@ -82,3 +82,61 @@ def test_raw_timestamp_format_and_empty_cells(spark, tmp_path):
     assert rows["o1"].order_delivered_customer_date == dt.datetime(2017, 10, 10, 21, 25, 13)
     assert rows["o2"].order_approved_at is None and rows["o2"].order_delivered_customer_date is None
     assert rows["o2"].order_estimated_delivery_date == dt.datetime(2018, 8, 20)
+
+
+def test_all_columns_are_kept_and_money_is_not_rounded(spark, tmp_path):
+    from decimal import Decimal
+
+    from fulcrum.sources.raw import read_raw_csv
+
+    p = tmp_path / "items.csv"
+    p.write_text("order_id,order_item_id,product_id,seller_id,shipping_limit_date,price,freight_value\n"
+                 "o1,1,p1,s1,2017-01-01 00:00:00,12.345,1.005\n")
+    df = read_raw_csv(spark, str(p), "order_items")
+    assert df.columns == ["order_id", "order_item_id", "product_id", "seller_id", "shipping_limit_date", "price", "freight_value"]
+    r = df.first()
+    assert (r.price, r.freight_value, r.shipping_limit_date) == (Decimal("12.345"), Decimal("1.005"), "2017-01-01 00:00:00")
+
+
+def test_large_files_are_split(spark, tmp_path):
+    from fulcrum.sources.raw import read_raw_csv
+
+    p = tmp_path / "orders.csv"
+    head = "order_id,customer_id,order_status,order_purchase_timestamp,order_approved_at,order_delivered_carrier_date," \
+           "order_delivered_customer_date,order_estimated_delivery_date\n"
+    p.write_text(head + "".join(f"o{i},c{i},delivered,2017-10-15 00:30:00,,,,2017-11-01 00:00:00\n" for i in range(20_000)))
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", str(256 * 1024))
+    spark.conf.set("spark.sql.files.openCostInBytes", "1024")
+    try:
+        df = read_raw_csv(spark, str(p), "orders")
+        assert df.rdd.getNumPartitions() > 1 and df.count() == 20_000
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+
+
+def test_timestamps_do_not_depend_on_the_session_zone(spark, tmp_path):
+    """A local time that a zone skips (start of summer time) stays as written."""
+    import datetime as dt
+
+    from fulcrum.sources.raw import read_raw_csv
+
+    p = tmp_path / "o.csv"
+    p.write_text("order_id,customer_id,order_status,order_purchase_timestamp,order_approved_at,order_delivered_carrier_date,"
+                 "order_delivered_customer_date,order_estimated_delivery_date\no1,c1,x,2017-10-15 00:30:00,,,,\n")
+    spark.conf.set("spark.sql.session.timeZone", "America/Sao_Paulo")
+    try:
+        got = read_raw_csv(spark, str(p), "orders").first().order_purchase_timestamp
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+    assert got == dt.datetime(2017, 10, 15, 0, 30)
+
+
+def test_reviews_convert_once(spark, tmp_path):
+    from fulcrum.sources.raw import convert_reviews
+
+    p = tmp_path / "r.csv"
+    p.write_text('order_id,review_score,review_comment_message\n' + "".join(f'o{i},{i % 5 + 1},"a\nb"\n' for i in range(100)))
+    df = convert_reviews(spark, str(p), str(tmp_path / "reviews"), 4)
+    assert df.count() == 100 and df.rdd.getNumPartitions() > 1 and df.first().review_comment_message == "a\nb"
