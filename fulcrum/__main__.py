@@ -45,6 +45,7 @@ def build(args) -> int:
 
 def validate(args) -> int:
     from fulcrum.operators import quality
+    from fulcrum.operators.star import FACT_ORDERS_DDL
 
     spark = _session()
     if args.format == "csv":

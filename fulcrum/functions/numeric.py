@@ -5,7 +5,7 @@ Determinism rules used across the library:
 * Money stays ``DECIMAL`` through every sum and is turned into ``DOUBLE`` once, at the
   output.  Decimal addition is exact, so a total does not depend on how the rows were
   partitioned or in which order partial aggregates were merged.
-* Rounding is written as ``floor(x * 10^d + 0.5) / 10^d`` (for x >= 0).  Spark's ``round``
+* Rounding is written as ``floor(|x| * 10^d + 0.5) / 10^d``.  Spark's ``round``
   on doubles rounds the shortest decimal string half-up, which differs from rounding the
   binary value (``round(1.005, 2)``); the explicit form is the same IEEE arithmetic in any
   engine.
@@ -29,9 +29,24 @@ def ratio(numerator: Column, denominator: Column) -> Column:
 
 
 def round_half_up(c: Column, digits: int) -> Column:
-    """ROUND(c, digits) on the binary value, half away from zero for c >= 0."""
+    """ROUND(c, digits) on the binary value, half away from zero."""
     scale = float(10 ** digits)
-    return F.floor(c * F.lit(scale) + F.lit(0.5)) / F.lit(scale)
+    up = lambda x: F.floor(x * F.lit(scale) + F.lit(0.5)) / F.lit(scale)
+    return F.when(c < 0, -up(-c)).otherwise(up(c))
+
+
+def exact_mean(c: Column) -> Column:
+    """Mean of a double that doesn't depend on the order of the sum.
+
+    Each value is cut to a multiple of 2^-60 and summed in two exact integer parts (30 bits
+    each side of 2^-30; multiplying by a power of two is exact).  The error is at most 2^-60 per
+    value plus the two roundings of the final division, whatever the number of rows.  Values
+    must stay below 2^33."""
+    unit = float(1 << 30)
+    high = F.floor(c * F.lit(unit))
+    low = F.floor((c * F.lit(unit) - high) * F.lit(unit))
+    total = lambda x: F.sum(x.cast("decimal(20,0)")).cast("double")
+    return F.try_divide((total(high) + total(low) / F.lit(unit)) / F.lit(unit), F.count(c).cast("double"))
 
 
 def round_half_even(c: Column, digits: int) -> Column:

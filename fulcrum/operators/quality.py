@@ -1,7 +1,8 @@
 """Data-quality expectations as one Spark pass (C10).
 
-``expect(df, rules)`` evaluates every rule in a single global aggregate (the uniqueness
-rules add one group-by on their column) and returns one row per rule:
+``expect(df, rules)`` counts for every rule per value of the unique column, then over those
+values, so the data are read once (a second unique column adds a pass), and returns one row
+per rule:
 (expectation, column, critical, result, unexpected_pct).  ``summary`` condenses the report
 to one row and ``enforce`` raises when a critical rule failed — call it before writing marts.
 
@@ -115,24 +116,25 @@ def expect(df: DataFrame, rules=FACT_ORDERS_RULES, with_rows: bool = False) -> D
         aggs.append(f"count({_ident(r.column)}) AS _nn{i}")
         if r.kind != "unique":
             aggs.append(f"count_if({_unexpected(r)}) AS _bad{i}")
-    # One row of counts from a single pass, plus one row per uniqueness rule from its own
-    # group-by; the branches are unioned and folded into one row, so they run as
-    # independent stages (no scalar sub-query run first, no cross join).
-    branches = [df.agg(*[F.expr(a) for a in aggs])]
-    for i, r in enumerate(rules):
-        if r.kind == "unique":
-            dup = (
-                df.where(F.col(r.column).isNotNull())
-                .groupBy(r.column)
-                .agg(F.count(F.lit(1)).alias("_n"))
-                .where(F.col("_n") > 1)
-                .agg(F.coalesce(F.sum("_n"), F.lit(0)).cast("long").alias(f"_bad{i}"))
-            )
-            branches.append(dup)
-    merged = branches[0]
-    for b in branches[1:]:
-        merged = merged.unionByName(b, allowMissingColumns=True)
-    stats = merged.agg(*[F.expr(f"max({c}) AS {c}") for c in merged.columns])
+    names = [a.rsplit(" AS ", 1)[1] for a in aggs]
+    keys = list(dict.fromkeys(r.column for r in rules if r.kind == "unique"))
+    if keys:
+        # the counts of all rules per key first, then over the keys: the data are read once
+        per_key = df.groupBy(F.col(keys[0]).alias("_key")).agg(*[F.expr(a) for a in aggs])
+        repeated = "coalesce(sum(CASE WHEN _key IS NOT NULL AND _rows > 1 THEN _rows END), 0)"
+        outer = [f"coalesce(sum({n}), 0) AS {n}" for n in names]
+        outer += [f"CAST({repeated} AS BIGINT) AS _bad{i}" for i, r in enumerate(rules) if r.kind == "unique" and r.column == keys[0]]
+        stats = per_key.agg(*[F.expr(a) for a in outer])
+    else:
+        stats = df.agg(*[F.expr(a) for a in aggs])
+    for key in keys[1:]:  # a further unique column needs a grouping of its own
+        dup = (
+            df.where(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > 1)
+            .agg(F.coalesce(F.sum("_n"), F.lit(0)).cast("long").alias("_dup"))
+        )
+        cols = [F.col("_dup").alias(f"_bad{i}") for i, r in enumerate(rules) if r.kind == "unique" and r.column == key]
+        merged = stats.unionByName(dup.select(*cols), allowMissingColumns=True)
+        stats = merged.agg(*[F.expr(f"max({c}) AS {c}") for c in merged.columns])
 
     entries = []
     for i, r in enumerate(rules):

@@ -2,12 +2,11 @@
 
 Plan shape (what Catalyst gets to see):
 
-* Item -> order sums are a two-level hash aggregation (``order_supplier_rollup`` then
-  ``order_rollup``): (order, supplier) partial sums, then order totals and the distinct
-  supplier count.  The primary (most expensive) line is a separate ``min`` over an
-  ordering struct per order (``order_primary_line``) instead of a row_number window.
-  Every level aggregates map-side, so an order or supplier holding a third of all lines
-  is collapsed before any shuffle.
+* Items are read once: ``order_supplier_rollup`` aggregates them to (order, supplier) with sums,
+  line count and the key of the most expensive line (a ``min`` over an ordering struct
+  instead of a row_number window), ``order_rollup`` reduces that to orders.  The struct makes
+  both levels sort aggregations; each reduces map-side, so an order or supplier holding a
+  third of all lines is collapsed before the shuffle.
 * The (order, supplier) level is also the de-duplicated supplier x order relation the
   supplier scorecard needs, so the scorecard re-uses it instead of re-reading items.
 * The product category is attached after the roll-up, at order grain (one row per order
@@ -58,7 +57,7 @@ def dim_category(products: DataFrame, translation: DataFrame) -> DataFrame:
         "product_id",
         F.coalesce(F.col("_english"), F.col("product_category_name"), F.lit("unknown")).alias("product_category"),
         "product_weight_g",
-        (F.col("product_length_cm") * F.col("product_height_cm") * F.col("product_width_cm")).alias("product_volume_cm3"),
+        (F.col("product_length_cm").cast("long") * F.col("product_height_cm") * F.col("product_width_cm")).alias("product_volume_cm3"),
     )
 
 
@@ -112,44 +111,50 @@ def _primary_line_key() -> F.Column:
 
 
 def order_supplier_rollup(order_items: DataFrame) -> DataFrame:
-    """(order_id, supplier_id) grain: revenue, freight (DECIMAL) and line count — a hash
-    aggregation, partial map-side."""
+    """(order_id, supplier_id) grain from one pass over the items: revenue, freight
+    (DECIMAL), line count, and the key of the best line (``best_line``).
+
+    The smallest key is a struct, which Spark keeps by sort aggregation: rows are sorted by
+    (order, supplier) inside each map task, reduced there, and merged after the one shuffle."""
     return order_items.groupBy("order_id", F.col("seller_id").alias("supplier_id")).agg(
         F.sum("price").alias("revenue"),
         F.sum("freight_value").alias("freight"),
         F.count(F.lit(1)).alias("n_items"),
+        F.min(_primary_line_key()).alias("best_line"),
     )
 
 
 def order_rollup(pairs: DataFrame) -> DataFrame:
-    """Order grain from the (order, supplier) roll-up: revenue, freight, n_items and
-    n_suppliers (distinct suppliers; a NULL supplier is not counted)."""
+    """Order grain from the (order, supplier) roll-up: revenue, freight, n_items, n_suppliers
+    (distinct suppliers; a NULL supplier is not counted), and the supplier and product of the
+    most expensive line."""
+    best = F.min("best_line")
     return pairs.groupBy("order_id").agg(
         F.sum("revenue").alias("revenue"),
         F.sum("freight").alias("freight"),
         F.sum("n_items").alias("n_items"),
         F.count("supplier_id").alias("n_suppliers"),
-    )
-
-
-def order_primary_line(order_items: DataFrame) -> DataFrame:
-    """(order_id, primary_supplier_id, primary_product_id): the most expensive line of each
-    order, as a ``min`` over the ordering struct (partial + final aggregation, so a huge
-    order is reduced map-side; no window, no sort of whole orders)."""
-    best = order_items.groupBy("order_id").agg(F.min(_primary_line_key()).alias("_best"))
-    return best.select(
-        "order_id",
+        best.alias("_best"),
+    ).select(
+        "order_id", "revenue", "freight", "n_items", "n_suppliers",
         F.col("_best.supplier_id").alias("primary_supplier_id"),
         F.col("_best.product_id").alias("primary_product_id"),
     )
 
 
+def order_value(order_items: DataFrame) -> DataFrame:
+    return order_rollup(order_supplier_rollup(order_items)).select("order_id", "revenue", "freight", "n_items", "n_suppliers")
+
+
 def order_primary(order_items: DataFrame, categories: DataFrame) -> DataFrame:
     """(order_id, primary_supplier_id, primary_category)."""
+    return _with_primary_category(order_rollup(order_supplier_rollup(order_items)), categories).select(
+        "order_id", "primary_supplier_id", "primary_category")
+
+
+def _with_primary_category(orders: DataFrame, categories: DataFrame) -> DataFrame:
     cats = categories.select(F.col("product_id").alias("primary_product_id"), F.col("product_category").alias("primary_category"))
-    return order_primary_line(order_items).join(cats, "primary_product_id", "left").select(
-        "order_id", "primary_supplier_id", "primary_category"
-    )
+    return orders.join(cats, "primary_product_id", "left")
 
 
 def order_review(reviews: DataFrame) -> DataFrame:
@@ -162,12 +167,19 @@ def order_review(reviews: DataFrame) -> DataFrame:
 
 
 # ---------------------------------------------------------------------------- order fact
+# The published columns of the order fact, and their types in an export.
 FACT_ORDERS_COLUMNS = [
     "order_id", "order_status", "region_state", "primary_supplier_id", "primary_category",
     "order_ts", "order_month", "promised_date", "delivered_date", "revenue", "freight",
     "n_items", "n_suppliers", "freight_ratio", "review_score", "delay_days", "handling_days",
     "transit_days", "is_delivered", "is_canceled", "is_late", "is_bad_review",
 ]
+FACT_ORDERS_DDL = (
+    "order_id string, order_status string, region_state string, primary_supplier_id string, primary_category string, "
+    "order_ts timestamp_ntz, order_month string, promised_date date, delivered_date date, revenue double, freight double, "
+    "n_items bigint, n_suppliers bigint, freight_ratio double, review_score int, delay_days bigint, handling_days bigint, "
+    "transit_days bigint, is_delivered boolean, is_canceled boolean, is_late boolean, is_bad_review boolean"
+)
 
 
 def order_attributes(src: Sources) -> DataFrame:
@@ -199,31 +211,16 @@ def order_attributes(src: Sources) -> DataFrame:
     )
 
 
-def assemble_fact(attributes: DataFrame, pairs: DataFrame, primary: DataFrame, categories: DataFrame) -> DataFrame:
-    """Order fact = order attributes x order roll-up x primary line + the primary line's
-    category.  Orders whose revenue is NULL — no line item, or no priced line — are dropped
-    (the filter runs on the roll-up side, before the joins)."""
+def assemble_fact(attributes: DataFrame, pairs: DataFrame, categories: DataFrame) -> DataFrame:
+    """Order fact = order attributes x order roll-up + the primary line's category.  Orders
+    whose revenue is NULL — no line item, or no priced line — are dropped (the filter runs on
+    the roll-up side, before the joins)."""
     value = order_rollup(pairs).where(F.col("revenue").isNotNull())
-    cats = categories.select(F.col("product_id").alias("primary_product_id"), F.col("product_category").alias("primary_category"))
-    joined = (
-        attributes.join(value, "order_id", "inner")
-        .join(primary, "order_id", "inner")
-        .join(cats, "primary_product_id", "left")
-    )
+    joined = _with_primary_category(attributes.join(value, "order_id", "inner"), categories)
     freight_ratio = F.when(F.col("revenue") > 0, ratio(F.col("freight"), F.col("revenue"))).alias("freight_ratio")
     return joined.select(*[freight_ratio if c == "freight_ratio" else F.col(c) for c in FACT_ORDERS_COLUMNS])
 
 
-def fact_orders(src: Sources) -> DataFrame:
-    """Order grain fact (22 columns); orders without any line item are dropped."""
-    return assemble_fact(
-        order_attributes(src),
-        order_supplier_rollup(src.order_items),
-        order_primary_line(src.order_items),
-        dim_category(src.products, src.category_translation),
-    )
-
-
 def as_reference_types(df: DataFrame) -> DataFrame:
     """Render DECIMAL money columns as DOUBLE (the published fact/mart schemas)."""
     return df.select(
@@ -235,27 +232,22 @@ class Star:
     """Star schema over one ``Sources``.
 
     ``materialize=False`` keeps everything lazy (one plan per consumer, Catalyst fuses it
-    with the mart on top).  ``materialize=True`` stages the (order, supplier) roll-up, the
-    primary lines and the order side as Parquet (three concurrent jobs), then the order
-    fact — the way the facts are materialised once before the marts are computed; every
-    consumer then starts from a scan instead of re-planning (and possibly re-running) the
-    item roll-up.
+    with the mart on top).  ``materialize=True`` stages the (order, supplier) roll-up and the
+    order side as Parquet (two concurrent jobs), then the order fact — the way the facts are
+    materialised once before the marts are computed; every consumer then starts from a scan
+    instead of re-planning (and possibly re-running) the item roll-up.
     """
 
     def __init__(self, src: Sources, materialize: bool = False):
         self.src = src
         self.categories = dim_category(src.products, src.category_translation)
         pairs = order_supplier_rollup(src.order_items)
-        primary = order_primary_line(src.order_items)
         attributes = order_attributes(src)
         if materialize:
-            # the item roll-up, the primary line and the order side are independent:
-            # three concurrent jobs
-            pairs, primary, attributes = stage_tables(
-                {"order_supplier": pairs, "order_primary": primary, "order_attributes": attributes}
-            )
+            # the item side and the order side are independent: two concurrent jobs
+            pairs, attributes = stage_tables({"order_supplier": pairs, "order_attributes": attributes})
         self.pairs = pairs
-        orders = assemble_fact(attributes, pairs, primary, self.categories)
+        orders = assemble_fact(attributes, pairs, self.categories)
         if materialize:
             (orders,) = stage_tables({"fact_orders": orders})
         self.orders = orders

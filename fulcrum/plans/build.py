@@ -143,6 +143,8 @@ def _export(p: Pipeline, out: str, fmt: str, parallelism: int) -> dict:
 
     def export(name: str, build: Callable[[], DataFrame]) -> int:
         if name == "fact_orders":
+            if fmt == "csv":  # all columns in the files, in published order
+                return write_table(build(), f"{out}/{name}", fmt)
             return write_table(build(), f"{out}/{name}", fmt, partition_by=["order_month"], cluster_by=["order_id"])
         df = build()
         order = mart_sort_order(name)

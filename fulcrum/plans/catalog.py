@@ -68,7 +68,7 @@ def _categories(src) -> DataFrame:
 
 def _order_value(spark, d) -> DataFrame:
     src = from_driver_tables(spark, d)
-    return star.as_reference_types(star.order_rollup(star.order_supplier_rollup(src.order_items)))
+    return star.as_reference_types(star.order_value(src.order_items))
 
 
 def _order_primary(spark, d) -> DataFrame:
@@ -125,6 +125,7 @@ QUERIES: dict[str, Query] = {
     "risk_quintile_summary": lambda spark, d: _scorecard(spark, d, extract=insights.risk_quintile_summary),
     # satisfaction and overview
     "late_vs_satisfaction": lambda spark, d: insights.late_vs_satisfaction(_fact(spark, d)),
+    "satisfaction_chart": lambda spark, d: insights.satisfaction_chart(_fact(spark, d)),
     "late_relative_risk": lambda spark, d: insights.late_relative_risk(_fact(spark, d)),
     "fact_overview": lambda spark, d: insights.fact_overview(_fact(spark, d)),
     "status_distribution": lambda spark, d: insights.status_distribution(_fact(spark, d)),

@@ -2,7 +2,8 @@
 
 These were pandas post-processing steps on collected results; here each is part of the
 Spark plan and only the small final result ever reaches a driver.  Top-k extracts carry
-a total order (value, then name) so LIMIT is deterministic.
+a total order (value, then name) so LIMIT is deterministic; the others come unordered, and
+``SUMMARY_ORDER`` names the order in which a summary is shown.
 """
 
 from __future__ import annotations
@@ -14,6 +15,22 @@ from fulcrum.functions.measures import flag_rate
 from fulcrum.functions.numeric import round_half_even, round_half_up
 from fulcrum.operators.order_stats import row_numbers
 
+# The order in which the summaries are shown.
+SUMMARY_ORDER = {
+    "abc_summary": (F.asc, "abc_class"),
+    "status_distribution": (F.desc, "n"),
+    "risk_quintile_summary": (F.desc, "risk_quintile"),
+    "late_vs_satisfaction": (F.asc, "bucket"),
+    "satisfaction_chart": (F.desc, "bucket"),
+}
+
+
+def shown(name: str, summary: DataFrame) -> DataFrame:
+    """A summary in its published row order."""
+    way, column = SUMMARY_ORDER[name]
+    return summary.orderBy(way(column))
+
+
 # Extract parameters (thresholds, limits, buckets, chart scale factors).
 REGION_MIN_ORDERS = 500
 REGION_TOP_LATE = 12
@@ -23,6 +40,7 @@ HIGH_LATE_RATE = 0.10
 TOP_CATEGORY_LABELS = 6
 AB_CLASSES = ("A", "B")
 LATE_BUCKET, ON_TIME_BUCKET = "late", "on_time"
+LATE_LABEL, ON_TIME_LABEL = "Late", "On-time"
 REVENUE_MILLIONS = 1e6
 BUBBLE_SCALE = 1200.0
 POINT_SCALE = 200.0
@@ -44,6 +62,17 @@ def late_vs_satisfaction(fact: DataFrame) -> DataFrame:
     )
 
 
+def satisfaction_chart(fact: DataFrame) -> DataFrame:
+    """The same split for the chart: labels, unrounded bad-review rate and mean score."""
+    bucket = F.when(F.col("is_late"), LATE_LABEL).otherwise(ON_TIME_LABEL)
+    return (
+        fact.where(F.col("is_delivered") & F.col("review_score").isNotNull())
+        .groupBy(bucket.alias("bucket"))
+        .agg(flag_rate(F.col("is_bad_review")).alias("bad_rate"),
+             F.avg(F.col("review_score").cast("double")).alias("avg_score"))
+    )
+
+
 def late_relative_risk(fact: DataFrame) -> DataFrame:
     """max / min of the (rounded) bucket bad-review rates, to one decimal."""
     rates = late_vs_satisfaction(fact)
@@ -64,9 +93,9 @@ def fact_overview(fact: DataFrame) -> DataFrame:
 
 
 def status_distribution(fact: DataFrame) -> DataFrame:
-    """Orders per status and percent of all orders (2 places).  The total is a scalar
-    count (a distributed aggregate), so nothing depends on how many statuses occur."""
-    total = fact.select(F.count(F.lit(1))).scalar()
+    """Orders per status and percent of all orders (2 places).  The total is summed over the
+    grouped rows (one per status), so the fact is read once."""
+    total = F.sum("n").over(Window.partitionBy())
     return fact.groupBy("order_status").agg(F.count(F.lit(1)).alias("n")).select(
         "order_status", "n", round_half_up(F.lit(100.0) * F.col("n") / total.cast("double"), 2).alias("pct")
     )

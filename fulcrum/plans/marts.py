@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from fulcrum.functions.measures import conditional_mean, conditional_sum, flag_rate, strict_flag_rate
-from fulcrum.functions.numeric import format_fixed, ratio, round_half_up
+from fulcrum.functions.numeric import exact_mean, format_fixed, ratio
 from fulcrum.operators.pareto import pareto_abc
 from fulcrum.sources.tables import Share, unshared
 
@@ -30,11 +30,6 @@ KPI_NAMES = (
     "revenue_exposed_to_late_brl",
 )
 
-# Means of non-integer ratios are reported to 9 decimals: a double sum depends on the
-# order partial aggregates are merged in; 1e-9 absorbs that noise.
-RATIO_MEAN_DIGITS = 9
-
-
 def _delivered() -> Column:
     return F.col("is_delivered")
 
@@ -61,7 +56,7 @@ def _avg_delay_late() -> Column:
 
 
 def _mean_freight_ratio() -> Column:
-    return round_half_up(F.avg("freight_ratio"), RATIO_MEAN_DIGITS)
+    return exact_mean(F.col("freight_ratio"))
 
 
 def _exec_aggregates(fact: DataFrame) -> DataFrame:

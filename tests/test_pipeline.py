@@ -142,3 +142,14 @@ def test_cli_build_then_validate(spark, tmp_path, capsys):
     assert main(["validate", "--fact", f"{out}/fact_orders"]) == 0
     printed = capsys.readouterr().out
     assert "ExpectColumnValuesToBeUnique" in printed and "0 critical" in printed
+
+
+def test_cli_prints_null_kpis(spark, tmp_path, capsys, monkeypatch):
+    """A build without any late order has null KPIs; they are printed, not guessed at."""
+    from fulcrum import __main__ as cli
+    from fulcrum.plans import build, marts
+
+    headline = {k: None if "late" in k else 1.0 for k in marts.KPI_NAMES}
+    monkeypatch.setattr(build, "run_pipeline", lambda *a, **k: {"rows": {}, "headline": headline})
+    assert cli.main(["build", "--testdata", SF_SMALL, "--out", str(tmp_path)]) == 0
+    assert "None" in capsys.readouterr().out

@@ -42,3 +42,25 @@ def test_summary(spark):
     rep = quality.expect(df, [quality.not_null("order_id"), quality.unique("order_id")], with_rows=True)
     s = quality.summary(rep).first()
     assert tuple(s) == (3, 2, 0, 2, 2)
+
+
+def test_the_data_are_scanned_once(spark):
+    from fulcrum.plans.catalog import QUERIES
+
+    for name in ("dq_report", "dq_summary", "status_distribution", "fact_orders"):
+        df = QUERIES[name](spark, "/root/testdata/sf0.001")
+        df.collect()
+        final = df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+        scans = [line for line in final.splitlines() if "FileScan parquet" in line and "/orders.parquet" in line]
+        assert len(scans) == 1, name
+
+
+def test_two_unique_columns(spark):
+    from fulcrum.operators import quality
+
+    df = spark.createDataFrame([(1, 1), (1, 2), (2, None), (None, 3), (None, 3)], "a int, b int")
+    rows = {(r.column): r for r in quality.expect(df, (quality.unique("a"), quality.unique("b"), quality.not_null("a"))).collect()
+            if r.expectation.endswith("Unique")}
+    assert rows["a"].unexpected_pct == 66.667 and rows["b"].unexpected_pct == 50.0
+    empty = quality.expect(df.where("false"), (quality.unique("a"),))
+    assert [r.result for r in empty.collect()] == ["PASS"]
