@@ -20,8 +20,7 @@ import weakref
 from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
 
-from pyspark.sql import DataFrame, Observation, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, SparkSession
 
 from fulcrum.session import checkpoint_dir
 
@@ -88,30 +87,11 @@ def submit_in_scope(pool: ThreadPoolExecutor, fn, *args):
     return pool.submit(contextvars.copy_context().run, fn, *args)
 
 
-def stage_table(df: DataFrame, name: str, partition_by: list[str] | None = None) -> DataFrame:
-    return _stage(df, name, partition_by)[0]
-
-
-def stage_counted(df: DataFrame, name: str) -> tuple[DataFrame, int]:
-    """Stage ``df`` and return it with its row count, observed during the write (no
-    second pass)."""
-    return _stage(df, name, None, observe=True)
-
-
-def _stage(df: DataFrame, name: str, partition_by: list[str] | None, observe: bool = False) -> tuple[DataFrame, int | None]:
-    spark = df.sparkSession
-    root = _ROOT.get() or new_stage_root(spark)
+def stage_table(df: DataFrame, name: str) -> DataFrame:
+    root = _ROOT.get() or new_stage_root(df.sparkSession)
     path = f"{root}/{name}-{uuid.uuid4().hex[:12]}"
-    obs = Observation() if observe else None
-    source = df.observe(obs, F.count(F.lit(1)).alias("rows")) if observe else df
-    writer = source.write.mode("overwrite")
-    if partition_by:
-        writer = writer.partitionBy(*partition_by)
-    writer.parquet(path)
-    rows = int(obs.get["rows"]) if observe else None
-    if partition_by:
-        return spark.read.parquet(path), rows
-    return spark.read.schema(df.schema).parquet(path), rows
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def stage_tables(frames: dict[str, DataFrame]) -> list[DataFrame]:
