@@ -153,3 +153,11 @@ def test_cli_prints_null_kpis(spark, tmp_path, capsys, monkeypatch):
     monkeypatch.setattr(build, "run_pipeline", lambda *a, **k: {"rows": {}, "headline": headline})
     assert cli.main(["build", "--testdata", SF_SMALL, "--out", str(tmp_path)]) == 0
     assert "None" in capsys.readouterr().out
+
+
+def test_summaries_have_a_published_order(spark):
+    from fulcrum.plans import catalog, insights
+
+    for name, (_, column) in insights.SUMMARY_ORDER.items():
+        values = [r[column] for r in insights.shown(name, catalog.QUERIES[name](spark, SF_SMALL)).collect()]
+        assert values == sorted(values, reverse=insights.SUMMARY_ORDER[name][0] is F.desc) and len(set(values)) == len(values)
