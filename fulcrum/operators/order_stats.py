@@ -12,9 +12,9 @@ two-step tree whose nodes are fixed by the value itself:
   table and no broadcast, and gives the same numbers on any partitioning.
 
 Equal values are collapsed first (map-side), so a value shared by a third of all rows is one
-node.  What a value's rows get back travels over (value, salt) keys: each row has one of
-``SALTS`` salts, and a value's nodes are one row per salt, so no join puts all rows of a value
-into one task.
+node.  Below a value the tree goes on, by one of ``SALTS`` salts per row or, where ties are
+numbered, by the blocks of the row's key; rows get their numbers back over (value, salt) or
+(value, key block), so no join or window puts all rows of a value into one task.
 """
 
 from __future__ import annotations
@@ -46,6 +46,14 @@ def order_key(value: Column, kind: str) -> Column:
     return F.when(value.isNotNull(), key).otherwise(F.lit(_LAST))
 
 
+def _top_of(key: Column) -> Column:
+    return F.shiftright(key, 40)
+
+
+def _mid_of(key: Column) -> Column:
+    return F.shiftright(key, 20).bitwiseAND(F.lit((1 << 20) - 1))
+
+
 def _kind(df: DataFrame, name: str) -> str:
     return df.schema[name].dataType.simpleString()
 
@@ -62,67 +70,55 @@ def _renamed(df: DataFrame, names: Sequence[str]) -> DataFrame:
     return df.withColumnsRenamed({n: "r_" + n for n in names})
 
 
-def running_totals(
-    df: DataFrame, order: str, measure: str, group: Sequence[str] = (), descending: bool = False,
-    totals: dict[str, str] | None = None,
-) -> DataFrame:
-    """Add ``<measure>_before``: the sum of ``measure`` over the rows of the same ``group`` that
-    come strictly before in ``order`` (nulls last).  ``totals`` names columns for the sums of
-    columns over the whole group, taken from the same blocks.  Rows must be unique on
-    (group, order); collapse ties first."""
-    g, before, totals = list(group), f"{measure}_before", totals or {}
-    sums = {**{c: f"_sum_{c}" for c in totals}, measure: "_n_here"}
+def _ahead(part: Sequence[str], by: Column, of: str) -> Column:
+    """Sum of ``of`` over the rows of ``part`` that stand strictly before."""
+    w = Window.partitionBy(*part).orderBy(by).rowsBetween(Window.unboundedPreceding, -1)
+    return F.coalesce(F.sum(of).over(w), F.lit(0))
+
+
+def _offsets(
+    df: DataFrame, order: str, measure: Column, group: Sequence[str], below: Sequence[str], descending: bool,
+    totals_of: Sequence[str] = (),
+) -> tuple[DataFrame, DataFrame, list[str]]:
+    """(rows, offsets, path): ``df`` with its place in the tree, and one row per innermost node.
+
+    The nodes are (group, top block, middle block, value) and, inside a value, the columns in
+    ``below``; ``path`` lists them all.  ``offsets`` has ``_offset`` (the sum of ``measure`` over all
+    nodes of the group that come before), ``_before`` and ``_tied`` (over the smaller and the equal
+    values), ``_all`` and ``<column>_total`` (over the group)."""
     key = order_key(F.col(order), _kind(df, order))
     if descending:
         key = F.when(F.col(order).isNotNull(), F.bitwise_not(key)).otherwise(F.lit(_LAST))
-    leaf = df.withColumns({
-        _TOP: F.shiftright(key, 40), _MID: F.shiftright(key, 20).bitwiseAND(F.lit((1 << 20) - 1))})
+    rows = df.withColumns({_TOP: _top_of(key), _MID: _mid_of(key)})
     exact = F.col(order).desc_nulls_last() if descending else F.col(order).asc_nulls_last()
-
-    def ahead(part: list[str], by: Column, of: str) -> Column:
-        w = Window.partitionBy(*part).orderBy(by).rowsBetween(Window.unboundedPreceding, -1)
-        return F.coalesce(F.sum(of).over(w), F.lit(0))
-
-    mid = leaf.groupBy(*g, _TOP, _MID).agg(*[F.sum(c).alias(s) for c, s in sums.items()])
-    top = mid.groupBy(*g, _TOP).agg(*[F.sum(s).alias(s) for s in sums.values()])
-    top = top.withColumn("_before_top", ahead(g, F.col(_TOP), "_n_here"))
-    whole = Window.partitionBy(*g)
-    top = top.withColumns({out: F.sum(sums[c]).over(whole) for c, out in totals.items()})
-    mid = mid.withColumn("_before_mid", ahead([*g, _TOP], F.col(_MID), "_n_here")).drop(*sums.values())
-    tops = _renamed(top.drop(*sums.values()), [*g, _TOP])
-    offsets = mid.join(tops, _same(mid, tops, [*g, _TOP]), "inner").select(
-        *g, _TOP, _MID, (F.col("_before_top") + F.col("_before_mid")).alias("_offset"), *totals.values())
-    offsets = _renamed(offsets, [*g, _TOP, _MID])
-    local = leaf.withColumn("_local", ahead([*g, _TOP, _MID], exact, measure))
-    return local.join(offsets, _same(local, offsets, [*g, _TOP, _MID]), "inner").select(
-        *df.columns, (F.col("_offset") + F.col("_local")).alias(before), *totals.values())
-
-
-def _salt(keys: Sequence[str]) -> Column:
-    return F.pmod(F.xxhash64(*keys), F.lit(SALTS)).cast("int")
-
-
-def _with_value_totals(
-    df: DataFrame, keys: Sequence[str], order: str, measure: Column, group: Sequence[str], descending: bool, total: str,
-    totals_of: Sequence[str] = (),
-) -> DataFrame:
-    """Every row of ``df`` with ``_n_before`` (sum of ``measure`` over the rows of its group with
-    a smaller ``order``), ``_tied`` (over those with an equal one), ``total`` (over all), and
-    ``<column>_total`` of every column in ``totals_of``."""
-    g = list(group)
-    names = {"_n": total, **{f"_t_{c}": f"{c}_total" for c in totals_of}}
-    salted = df.withColumn("_salt", _salt(keys))
-    parts = salted.groupBy(*g, order, "_salt").agg(
-        F.sum(measure).alias("_n"), *[F.sum(c).alias(f"_t_{c}") for c in totals_of])
-    values = parts.groupBy(*g, order).agg(*[F.sum(c).alias(c) for c in names])
-    placed = running_totals(values, order, "_n", g, descending, names)
-    placed = _renamed(placed.withColumnRenamed("_n", "_tied"), [*g, order])
-    parts = parts.select(*g, order, "_salt")
-    per_part = parts.join(placed, _same(parts, placed, [*g, order]), "inner").select(
-        *g, order, "_salt", "_n_before", "_tied", *names.values())
-    per_part = _renamed(per_part, [*g, order, "_salt"])
-    return salted.join(per_part, _same(salted, per_part, [*g, order, "_salt"]), "inner").select(
-        *df.columns, "_n_before", "_tied", *names.values())
+    steps = [(_TOP, F.col(_TOP)), (_MID, F.col(_MID)), (order, exact), *((c, F.col(c)) for c in below)]
+    paths = [[*group, *(name for name, _ in steps[:i + 1])] for i in range(len(steps))]
+    sums = {"_n": measure, **{f"_t_{c}": F.col(c) for c in totals_of}}
+    levels = [rows.groupBy(*paths[-1]).agg(*[F.sum(c).alias(n) for n, c in sums.items()])]
+    for path in reversed(paths[:-1]):
+        levels.insert(0, levels[0].groupBy(*path).agg(*[F.sum(n).alias(n) for n in sums]))
+    whole = Window.partitionBy(*group)
+    carried = ["_all", *(f"{c}_total" for c in totals_of)]
+    out = levels[0].withColumn("_offset", _ahead(group, steps[0][1], "_n")).withColumns(
+        {name: F.sum(n).over(whole) for name, n in zip(carried, sums)})
+    out = out.select(*paths[0], "_offset", *carried)
+    for i in range(1, len(steps)):
+        here = levels[i].withColumn("_own", _ahead(paths[i - 1], steps[i][1], "_n"))
+        up = _renamed(out.withColumnRenamed("_offset", "_from"), paths[i - 1])
+        here = here.join(up, _same(here, up, paths[i - 1]), "inner").withColumn("_offset", F.col("_from") + F.col("_own"))
+        if i == 2:  # the values
+            here, carried = here.withColumns({"_before": F.col("_offset"), "_tied": F.col("_n")}), [*carried, "_before", "_tied"]
+        out = here.select(*paths[i], "_offset", *carried)
+    return rows, out, paths[-1]
+
+
+def _attached(rows: DataFrame, offsets: DataFrame, path: list[str]) -> DataFrame:
+    nodes = _renamed(offsets, path)
+    return rows.join(nodes, _same(rows, nodes, path), "inner")
+
+
+def _salted(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    return df.withColumn("_salt", F.pmod(F.xxhash64(*keys), F.lit(SALTS)).cast("int"))
 
 
 def row_numbers(
@@ -132,12 +128,13 @@ def row_numbers(
     """ROW_NUMBER() OVER (ORDER BY order, key) with nulls of ``order`` last; ``key`` must be
     unique.  ``count`` names an optional column holding the number of rows; every column in
     ``totals_of`` gets a ``<column>_total`` with its sum over all rows."""
-    one = F.lit(1).cast("long")
-    placed = _with_value_totals(df, [key], order, one, [], descending, "_count", totals_of)
-    tied = running_totals(placed.withColumn("_one", one), key, "_one", [order])
-    out = tied.withColumn(name, F.col("_n_before") + F.col("_one_before") + 1)
+    place = order_key(F.col(key), _kind(df, key))
+    inner = df.withColumns({"_key_top": _top_of(place), "_key_mid": _mid_of(place), "_one": F.lit(1).cast("long")})
+    rows, offsets, path = _offsets(inner, order, F.col("_one"), [], ["_key_top", "_key_mid"], descending, totals_of)
+    rows = rows.withColumn("_local", _ahead(path, F.col(key).asc_nulls_last(), "_one"))
+    out = _attached(rows, offsets, path).withColumn(name, F.col("_offset") + F.col("_local") + 1)
     if count:
-        out = out.withColumn(count, F.col("_count"))
+        out = out.withColumn(count, F.col("_all"))
     return out.select(*df.columns, name, *([count] if count else []), *[f"{c}_total" for c in totals_of])
 
 
@@ -169,8 +166,8 @@ def percent_ranks(df: DataFrame, key: str | Sequence[str], components: dict[str,
     names = list(components)
     values = df.select(*keys, *[components[n].cast("double").alias(n) for n in names])
     long = values.unpivot(keys, names, "_component", "_value")
-    placed = _with_value_totals(long, [*keys, "_component"], "_value", F.lit(1).cast("long"), ["_component"], False, "_all")
-    rank = F.when(F.col("_all") > 1, F.col("_n_before").cast("double") / (F.col("_all") - 1).cast("double")).otherwise(F.lit(0.0))
+    placed = _attached(*_offsets(_salted(long, keys), "_value", F.lit(1).cast("long"), ["_component"], ["_salt"], False))
+    rank = F.when(F.col("_all") > 1, F.col("_before").cast("double") / (F.col("_all") - 1).cast("double")).otherwise(F.lit(0.0))
     return placed.withColumn("_pr", rank).groupBy(*keys).agg(
         *[F.max(F.when(F.col("_component") == n, F.col("_pr"))).alias(n + suffix) for n in names])
 
@@ -179,7 +176,7 @@ def cumulative_share_desc(df: DataFrame, key: str, value: str, name: str = "cum_
     """SUM(value) OVER (ORDER BY value DESC) / SUM(value) OVER () with the default RANGE
     frame: rows with equal value share one cumulative sum.  ``total`` is SUM(value) over all
     rows; ``key`` spreads rows of equal value."""
-    placed = _with_value_totals(df, [key], value, F.col(value), [], True, total)
-    reached = F.col("_n_before") + F.coalesce(F.col("_tied"), F.lit(0))
-    return placed.withColumn(name, F.try_divide(reached.cast("double"), F.col(total).cast("double"))).select(
-        *df.columns, name, total)
+    placed = _attached(*_offsets(_salted(df, [key]), value, F.col(value), [], ["_salt"], True))
+    reached = F.col("_before") + F.coalesce(F.col("_tied"), F.lit(0))
+    return placed.select(
+        *df.columns, F.try_divide(reached.cast("double"), F.col("_all").cast("double")).alias(name), F.col("_all").alias(total))

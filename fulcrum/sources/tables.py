@@ -17,6 +17,7 @@ import contextlib
 import contextvars
 import uuid
 import weakref
+from collections import Counter
 from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
 
@@ -47,6 +48,7 @@ class Shared:
 
     def share(self, df: DataFrame) -> DataFrame:
         df.persist()
+        _USES[df.semanticHash()] += 1  # equal plans share one persisted copy
         self._held.append(df)
         return df
 
@@ -55,10 +57,15 @@ class Shared:
         return result
 
 
+_USES: Counter[int] = Counter()
+
+
 def _unpersist(frames: list[DataFrame]) -> None:
     for df in frames:
         with contextlib.suppress(Exception):  # the session may have ended
-            df.unpersist()
+            _USES[df.semanticHash()] -= 1
+            if _USES[df.semanticHash()] <= 0:
+                df.unpersist()
 
 
 def new_stage_root(spark: SparkSession) -> str:

@@ -71,8 +71,8 @@ def test_order_key_keeps_the_order(spark, kind, vals):
     df = spark.createDataFrame([(i, v) for i, v in enumerate(vals)] + [(len(vals), None)], f"i int, v {kind}")
     keys = [r.key for r in df.orderBy("i").select(order_stats.order_key(F.col("v"), kind).alias("key")).collect()]
     assert keys == sorted(keys)
-    numbered = order_stats.running_totals(df.withColumn("one", F.lit(1)), "v", "one")
-    assert [r.one_before for r in numbered.orderBy("i").collect()] == list(range(len(keys)))
+    numbered = order_stats.row_numbers(df, "v", "i", "rn")
+    assert [r.rn for r in numbered.orderBy("i").collect()] == list(range(1, len(keys) + 1))
 
 
 def _plan(df):
