@@ -7,9 +7,11 @@ table is then indexed under its most probable part.
 
 Searching: the network ranks the parts of a query; it visits the most probable ones until
 they hold ``mass`` of the probability and at least as many rows as it needs, and reranks
-their rows by the exact inner product in double precision.
+their rows by the exact inner product in double precision.  Rows here are distinct pairs of
+vec_id and vector: repeats are dropped, map-side first, before anything is sampled or counted,
+and what a query needs is counted in vec_ids.
 
-Parts are split into blocks of about BLOCK_ROWS rows by hash and queries into chunks of
+Parts are split into blocks of about BLOCK_ROWS rows by hash of id and vector, and queries into chunks of
 about CHUNK_QUERIES, so a task holds one block and one chunk however many rows share a
 vector or a part; each block returns its best ``k`` per query, which a window merges.
 
@@ -169,9 +171,10 @@ def index_rows(vectors: DataFrame, router: Router, scratch: Scratch) -> DataFram
     return scratch.write(vectors.select("id", "v").mapInArrow(run, "id long, v array<double>, part int"), "index")
 
 
-def visits(queries: DataFrame, router: Router, rows_in: list[int], k: int, mass: float) -> DataFrame:
-    """(id, v, parts): the parts that each query visits."""
-    held = np.array(rows_in)
+def visits(queries: DataFrame, router: Router, ids_in: list[int], k: int, mass: float) -> DataFrame:
+    """(id, v, parts): the parts that each query visits; ``ids_in``: vec_ids per part, each
+    counted in one part only."""
+    held = np.array(ids_in)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -180,9 +183,9 @@ def visits(queries: DataFrame, router: Router, rows_in: list[int], k: int, mass:
             p = router.probabilities(_matrix(batch.column(1)))
             order = np.argsort(-p, axis=1, kind="stable")
             seen = np.cumsum(np.take_along_axis(p, order, axis=1), axis=1)
-            rows = np.cumsum(held[order], axis=1)
-            # one more row than asked for, as the query itself may be among them
-            n = np.minimum(((seen < mass) | (rows < k + 1)).sum(axis=1) + 1, p.shape[1])
+            ids = np.cumsum(held[order], axis=1)
+            # one more id than asked for, as the query itself may be among them
+            n = np.minimum(((seen < mass) | (ids < k + 1)).sum(axis=1) + 1, p.shape[1])
             yield pa.record_batch(
                 [*batch.columns, pa.array([o[:m].tolist() for o, m in zip(order, n)], pa.list_(pa.int32()))],
                 ["id", "v", "parts"])
@@ -191,10 +194,14 @@ def visits(queries: DataFrame, router: Router, rows_in: list[int], k: int, mass:
 
 
 def best_of_block(qid: np.ndarray, q: np.ndarray, cid: np.ndarray, c: np.ndarray, k: int) -> tuple[np.ndarray, ...]:
-    """(query id, id, score) of each query's best ``k`` in a block, exactly scored."""
+    """(query id, id, score) of each query's best ``k`` ids in a block, exactly scored."""
+    order = np.argsort(cid, kind="stable")
+    cid, c = cid[order], c[order]
     rough = q @ c.T
     rough[qid[:, None] == cid[None, :]] = -np.inf
-    kth = np.partition(rough, -k, axis=1)[:, -k] if rough.shape[1] > k else np.full(len(q), -np.inf)
+    first = np.flatnonzero(np.append(True, cid[1:] != cid[:-1]))
+    best = rough if len(first) == len(cid) else np.maximum.reduceat(rough, first, axis=1)  # of each id
+    kth = np.partition(best, -k, axis=1)[:, -k] if best.shape[1] > k else np.full(len(q), -np.inf)
     # the fast product errs by far less than this; what is near the k-th best is scored again
     slack = 1e-12 * len(q[0]) * np.linalg.norm(q, axis=1) * np.linalg.norm(c, axis=1).max()
     row, col = np.nonzero((rough >= (kth - slack)[:, None]) & (rough > -np.inf))
@@ -217,23 +224,27 @@ def search(vectors: DataFrame, queries: DataFrame, scratch: Scratch, k: int = 20
            router: Router | None = None) -> DataFrame:
     """query_id, rank (from 1), vec_id, score of each query's ``k`` nearest rows found.
     ``vectors`` and ``queries``: (id, v) from ``vectors_of``."""
-    router = router or train(vectors)
-    index = index_rows(vectors, router, scratch)
-    found = {r.part: r.n for r in index.groupBy("part").agg(F.count(F.lit(1)).alias("n")).collect()}
-    rows_in = [found.get(p, 0) for p in range(router.parts)]
+    distinct = scratch.write(vectors.select("id", "v").dropDuplicates(), "distinct")
+    router = router or train(distinct)
+    index = index_rows(distinct, router, scratch)
+    scratch.remove(distinct)
+    per = lambda rows: {r.part: r.n for r in rows.groupBy("part").agg(F.count(F.lit(1)).alias("n")).collect()}
+    rows_in, ids_in = (
+        [found.get(p, 0) for p in range(router.parts)]
+        for found in (per(index), per(index.groupBy("id").agg(F.min("part").alias("part")))))
     blocks = [max(1, -(-n // BLOCK_ROWS)) for n in rows_in]
     asked = scratch.write(
-        visits(queries.groupBy("id").agg(F.min("v").alias("v")), router, rows_in, k, mass), "visits")
+        visits(queries.groupBy("id").agg(F.min("v").alias("v")), router, ids_in, k, mass), "visits")
     chunks = max(1, -(-asked.count() // CHUNK_QUERIES))
     per_part = F.array(*[F.lit(b) for b in blocks])
-    hashed = lambda col, n: F.pmod(F.xxhash64(col), n).cast("int")
+    hashed = lambda n, *cols: F.pmod(F.xxhash64(*cols), n).cast("int")
     left = (
-        asked.select("id", "v", F.explode("parts").alias("part"), hashed("id", F.lit(chunks)).alias("chunk"))
+        asked.select("id", "v", F.explode("parts").alias("part"), hashed(F.lit(chunks), "id").alias("chunk"))
         .select("id", "v", "part", "chunk", F.explode(
             F.sequence(F.lit(0), F.get(per_part, F.col("part")) - 1)).alias("block")))
     right = index.select(
         "id", "v", "part", F.explode(F.sequence(F.lit(0), F.lit(chunks - 1))).alias("chunk"),
-        hashed("id", F.get(per_part, F.col("part"))).alias("block"))
+        hashed(F.get(per_part, F.col("part")), "id", "v").alias("block"))
 
     def rerank(queries: pa.Table, rows: pa.Table) -> pa.Table:
         names = ["query_id", "vec_id", "score"]

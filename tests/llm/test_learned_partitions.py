@@ -83,3 +83,25 @@ def test_cut_is_balanced_and_cuts_few_edges():
     assert np.bincount(part, minlength=12).max() <= np.ceil(1500 / 12 * L.SLACK)
     crossed = (part[graph] != part[:, None]).mean()
     assert crossed < 0.5 * (rng.permutation(part)[graph] != part[:, None]).mean()
+
+
+def test_repeated_rows_do_not_use_up_the_places(spark, scratch):
+    """One block: every row stands twice, and the best id has more rows, with vectors of its own, than k."""
+    rng = np.random.default_rng(5)
+    x = clustered(rng, 60)
+    x[7] = 3 * x[0]
+    near = [x[7] * (1 - 1e-3 * i) for i in range(1, 31)]
+    rows = 2 * [(i, v.tolist(), 1, 2) for i, v in enumerate(x)] + [(7, v.tolist(), 1, 2) for v in near]
+    vectors = L.vectors_of(spark.createDataFrame(rows, "vec_id long, embedding array<double>, v int, part int"))
+    got = L.search(vectors, vectors.where(F.col("id") == 0), scratch, k=20).toPandas().sort_values("rank")
+    assert list(zip(got.vec_id, got.score)) == brute(range(60), x, 0, 20)
+
+
+def test_visited_parts_hold_enough_ids(spark, scratch):
+    """The most probable part holds one id many times; the other ids lie in the other part."""
+    dim = 2
+    router = L.Router([np.eye(dim), np.zeros(dim), 50 * np.eye(dim), np.zeros(dim)], 1.0)
+    rows = [(1, [1.0 + i / 100, 0.0], 0, 0) for i in range(40)] + [(100 + i, [0.1, 1.0 + i / 100], 0, 0) for i in range(30)]
+    vectors = L.vectors_of(table(spark, rows))
+    got = L.search(vectors, vectors.where("id = 1"), scratch, k=20, mass=0.5, router=router)
+    assert got.where("query_id = 1").count() == 20
