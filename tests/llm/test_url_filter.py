@@ -82,3 +82,25 @@ def test_ranks_follow_links(spark, scratch):
 
 def test_empty_table(spark, scratch):
     assert U.filter_urls(make(spark, []), scratch).count() == 0
+
+
+def test_a_neighbourhood_is_judged_alike_in_a_large_crawl(spark, scratch):
+    """Three links of 1/50 from one blocked page of 10^8; and 30 links in a row from another."""
+    fan = [("h1", "bad", 1), ("h2", "h1", 1), ("h3", "h2", 1)] + [(f"h{i}", f"x{i}n{j}", 1) for i in (1, 2, 3) for j in range(49)]
+    row = [(f"r{i + 1}", f"r{i}", 1) for i in range(30)]
+    links = spark.createDataFrame(fan + row, "src string, dst string, n long")
+    for others in (1, 10 ** 8):
+        seeds = spark.createDataFrame([("bad", 0, 1), ("r0", 0, 1), ("big", others, others)], "host string, allowed long, blocked long")
+        r = {x.host: x for x in U.host_ranks(links, seeds, scratch).collect()}
+        assert r["h3"].distrust / r["bad"].distrust == pytest.approx(0.85 ** 3, rel=1e-9)
+        assert r["r30"].distrust / r["r0"].distrust == pytest.approx(0.85 ** 30, rel=1e-9)
+        assert r["h3"].trust == 0 and sum(x.distrust for x in r.values()) == pytest.approx(1)
+
+
+def test_cycles_settle_and_the_safety_stop_is_told(spark, scratch):
+    links = spark.createDataFrame([("a", "b", 1), ("b", "a", 1)], "src string, dst string, n long")
+    seeds = spark.createDataFrame([("a", 3, 0)], "host string, allowed long, blocked long")
+    r = {x.host: x.trust for x in U.host_ranks(links, seeds, scratch).collect()}
+    assert r["a"] == pytest.approx(1 / 1.85, rel=1e-5) and r["b"] == pytest.approx(0.85 / 1.85, rel=1e-5)
+    with pytest.warns(UserWarning, match="after 3 steps"):
+        U.host_ranks(links, seeds, scratch, most_steps=3)
