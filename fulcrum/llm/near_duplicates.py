@@ -314,10 +314,12 @@ def text_classes(docs: DataFrame, scratch: Scratch) -> tuple[DataFrame, DataFram
     families = scratch.write(families.select(F.col("root").alias("grp"), "node"), "families")
     keys = families.join(nodes, "node").select(
         "node", "sketch", F.col("text_key").alias("_key"), F.col("first_id").alias("_id"))
+    # one text per node: rows that repeat a doc_id (or its lack) with a text collapse map-side
     texts = scratch.write(
         docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_key(F.col("text")).alias("text_key"), "text")
         .join(keys, (F.col("text_key") == F.col("_key")) & F.col("doc_id").eqNullSafe(F.col("_id")))
-        .select(F.col("node").alias("_n"), "sketch", "text"), "family-texts")
+        .groupBy(F.col("node").alias("_n")).agg(F.first("sketch").alias("sketch"), F.first("text").alias("text")),
+        "family-texts")
     with_text = lambda df: df.join(texts, F.col("node") == F.col("_n")).drop("_n")
     links = connect(families, with_text, ["sketch", "text"], overlapping, scratch)
     roots = components(links, scratch).withColumnRenamed("node", "_n")

@@ -133,3 +133,18 @@ def test_keep_one(make_docs, scratch):
 def test_empty_table(make_docs, scratch):
     assert N.near_duplicates(make_docs([]), scratch).count() == 0
     assert N.keep_one(make_docs([]), scratch).count() == 0
+
+
+def test_one_text_per_node(spark, make_docs, scratch, monkeypatch):
+    """A hot text whose copies all lack a doc_id, or share one, beside an edited copy: a cell gets it once."""
+    rng = random.Random(11)
+    words = [f"w{rng.randrange(10**6)}" for _ in range(80)]
+    more = [f"w{rng.randrange(10**6)}" for _ in range(80)]
+    texts = [" ".join(words)] * 60 + [edited(rng, words, 1)] + [" ".join(more)] * 50 + [edited(rng, more, 1)]
+    ids = [None] * 60 + [5] + [9] * 50 + [7]
+    written, write = {}, scratch.write
+    monkeypatch.setattr(scratch, "write", lambda df, name: written.setdefault(name, write(df, name)) if name == "family-texts" else write(df, name))
+    got = N.near_duplicates(make_docs(texts, ids), scratch).collect()
+    assert sorted((r.doc_id is None, r.doc_id or 0, r.class_id) for r in got) == sorted(
+        (i is None, i or 0, c) for i, c in zip(ids, classes(ids, texts)))
+    assert written["family-texts"].count() == written["family-texts"].select("_n").distinct().count() == 4
