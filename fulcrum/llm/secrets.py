@@ -16,7 +16,8 @@ and running lengths of pieces and matches are the positions, in code points.
 
 Defined results: a null text is the empty text; a null doc_id has a key too; rows
 that share a doc_id share postings, and each is verified on its own text; no span gives the
-hash of the empty string.
+hash of the empty string; a private key's span holds its key lines and END line, so nothing of
+the key is left where spans are replaced.
 """
 
 from __future__ import annotations
@@ -53,9 +54,20 @@ BASE_RULES = (
     SecretRule("access", r"AKIA[A-Z0-9]+", 18),
     SecretRule("hex", r"[0-9a-f]+", 16, look=r"[0-9a-f]{16}"),
 )
+#: A private key: from its BEGIN line up to its END line if that comes before any other run of five
+#: dashes, else the BEGIN line with the header fields and key lines that follow (runs of at least 16
+#: characters, and after them a shorter one that is padded or ends its line).  Lines may be quoted,
+#: escaped or prefixed as in source code.  Loops are possessive, so time and stack stay bounded.
+_BETWEEN = r"""(?:[\s"'+,;>#*|]|\\[nrt]?)*+"""
+_KEY_LINES = (
+    rf"""(?:{_BETWEEN}(?:Proc-Type|DEK-Info):[^\r\n\\]*+)*+(?:(?:{_BETWEEN}[A-Za-z0-9+/]{{16,}}+)++"""
+    rf"""(?:=++|{_BETWEEN}(?:[A-Za-z0-9+/]++=++|[A-Za-z0-9+/]++(?![ \t]*+[^\s"'\\])))?+)?+""")
+PRIVATE_KEY = (
+    r"-----BEGIN [A-Z ]*PRIVATE KEY-----"
+    rf"(?:[^-]*+(?:-{{1,4}}+[^-]++)*+-----+END [A-Z ]*PRIVATE KEY-----|{_KEY_LINES})")
 #: Further kinds; each has mandatory trigrams.
 MORE_RULES = (
-    SecretRule("pem", r"-----BEGIN [A-Z ]*PRIVATE KEY-----", 0),
+    SecretRule("pem", PRIVATE_KEY, 0),
     SecretRule("github", r"gh[pousr]_[A-Za-z0-9]+", 40),
     SecretRule("slack", r"xox[abprs]-[A-Za-z0-9-]+", 15),
     SecretRule("jwt", r"eyJ[A-Za-z0-9_-]+[.]eyJ[A-Za-z0-9_-]+[.][A-Za-z0-9_-]+", 30),
