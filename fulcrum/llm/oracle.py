@@ -135,9 +135,36 @@ SELECT page_id, j.host, path, rule,
 FROM j LEFT JOIN hosts ON hosts.host = j.host
 """
 
+OP13 = r"""
+WITH pieces AS MATERIALIZED (
+    SELECT row_number() OVER () AS r, lang, regexp_extract_all(piece, '[^\x20\x09]+') AS ws
+    FROM (SELECT coalesce(lang, 'und') AS lang, unnest(string_split_regex(
+              translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+              '[.,;:!?\x0A-\x0D]')) AS piece FROM documents)),
+n AS (SELECT lang, sum(len(ws))::BIGINT AS n FROM pieces GROUP BY lang),
+grams AS (SELECT lang, k, array_to_string(ws[i:i + k - 1], ' ') AS phrase
+          FROM (SELECT lang, ws, k, unnest(range(1, len(ws) - k + 2)) AS i
+                FROM pieces, (VALUES (1), (2), (3), (4)) AS lengths(k) WHERE len(ws) >= k)),
+f AS MATERIALIZED (SELECT lang, k, phrase, string_split(phrase, ' ') AS ws, count(*) AS a FROM grams GROUP BY ALL HAVING count(*) >= 30),
+-- every cut of every candidate, with the counts of its two parts
+cuts AS (SELECT c.lang, c.k, c.phrase, c.a, i, l.a AS l, r.a AS r,
+                (2000000::HUGEINT * c.a // (l.a::HUGEINT + r.a))::BIGINT AS score
+         FROM (SELECT *, unnest(range(1, k)) AS i FROM f WHERE k > 1) c
+         JOIN f l ON l.lang = c.lang AND l.phrase = array_to_string(c.ws[1:i], ' ')
+         JOIN f r ON r.lang = c.lang AND r.phrase = array_to_string(c.ws[i + 1:c.k], ' ')),
+best AS (SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, i) = 1),
+inside AS (SELECT lang, a, array_to_string(ws[i:i + size - 1], ' ') AS part
+           FROM (SELECT *, unnest(range(1, k - size + 2)) AS i FROM f, (VALUES (2), (3)) AS sizes(size) WHERE k > size)),
+kept AS (SELECT * FROM best b WHERE NOT EXISTS (
+             SELECT 1 FROM inside x WHERE x.lang = b.lang AND x.part = b.phrase AND 100::HUGEINT * x.a >= 80::HUGEINT * b.a)),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM kept)
+SELECT ranked.lang, rank, phrase, a, l, r, n, score FROM ranked JOIN n ON n.lang = ranked.lang WHERE rank <= 2000
+"""
+
 QUERIES_SQL = {
     "op2_quality_rules": OP2,
     "op3_secrets": OP3,
     "op6_url_filter": OP6,
     "op9_mixing": OP9,
+    "op13_collocations": OP13,
 }
