@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fulcrum.llm import collocations, learned_partitions, mixing, near_duplicates, quality_mil, quality_rules, secrets, sentencepieces, token_files, url_filter, warc, whitening
+from fulcrum.llm import collocations, learned_partitions, licenses, mixing, near_duplicates, quality_mil, quality_rules, secrets, sentencepieces, token_files, url_filter, warc, whitening
 from fulcrum.llm.scratch import Scratch
 
 
@@ -92,6 +92,10 @@ def op10_sentencepieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     return coded.select("doc_id", "n_pieces", "ids_crc32", "round_trip")
 
 
+def op11_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.report(licenses.scan(_table(spark, sf_dir, "documents")))
+
+
 def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows, dim = whitening.usable(_table(spark, sf_dir, "embeddings"))
     return whitening.whiten(rows, dim, whitening.fit(rows, dim, Scratch(spark)))
@@ -112,6 +116,7 @@ QUERIES = {
     "op8_quality_mil": op8_quality_mil,
     "op9_mixing": op9_mixing,
     "op10_sentencepieces": op10_sentencepieces,
+    "op11_licenses": op11_licenses,
     "op12_whitening": op12_whitening,
     "op13_collocations": op13_collocations,
 }
