@@ -6,13 +6,14 @@ joined with itself at the adjacent position of the same piece gives the occurren
 (k + 1)-word phrases whose two k-word parts are frequent; these are counted by group, and
 the occurrences semi-joined with the frequent groups are ``R_{k+1}``.
 
-The relations are stored in blocks of whole texts, some ``BLOCK_WORDS`` words each: an array with
-one code per position (0: piece end, or not frequent) and a list of the block's distinct
-phrases with their counts.  A block is sorted as it stands, so the merge join is a comparison
-of neighbours in it and moves nothing; only the block's distinct phrases are shuffled.  They
-meet by phrase in one exchange, whose window counts the group, drops it if it is rare and
-names it: a phrase has as many rows there as blocks hold it, however often it occurs, so a
-hot word or passage is no hot key.  What is kept goes back to its block.
+The relations are stored in blocks of whole texts, some ``BLOCK_WORDS`` words each: one code per position (0: no
+frequent phrase begins here, or a piece ends) and the ids the codes stand for, as packed integers.  A block
+is sorted as it stands, so the merge join is a comparison of neighbours in it and moves nothing; only the
+block's distinct phrases and their counts are shuffled, packed, a *slice* of them by the phrase's hash to
+each counting group.  A group counts its phrases over all blocks, numbers the frequent ones and
+answers each block with one bit per phrase and the new ids.  A phrase comes once per block, however
+often it occurs, so a hot word or passage is no hot key, and a slice holds about ``BLOCKS_PER_SLICE`` blocks' worth of
+phrases at any size of the table.
 
 Words are compared by their bytes (dictionary encoding), phrases by the ids of their two
 parts: counts are exact.  Scores use decimals of 38 digits.
@@ -29,21 +30,25 @@ own; ties of the ranking go to the phrase of smaller UTF-8 bytes; other columns
 from __future__ import annotations
 
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute
+import zstandard
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from fulcrum.llm.scratch import Scratch
-from fulcrum.llm.wordhash import release
+from fulcrum.llm.wordhash import mix, release
 
 #: Words of a block, about (a single longer text makes a longer block).
 BLOCK_WORDS = 1_500_000
 LEAST, LONGEST, COVERED, TOP = 30, 4, 80, 2000
-#: A block's number leaves room for the number of a phrase in it.
-_PHRASE_BITS, _SEQUENCE_BITS = 26, 13
+BLOCKS_PER_SLICE = 2
+#: A partition has at most 2^13 blocks, a slice at most 2^32 phrases.
+_SEQUENCE_BITS, _SLICE_BITS = 13, 32
 #: Rows of a language are first ranked in so many parts.
 RANK_PARTS = 64
 
@@ -53,11 +58,39 @@ _BLANK[[0x20, 0x09]] = True
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
 
-_FIRST = "block long, langs array<string>, lang array<int>, word array<string>, n array<long>, codes array<int>"
-_NEXT = "block long, first array<long>, second array<long>, n array<long>, codes array<int>"
+_FIRST = "block long, langs array<string>, lang array<int>, word array<string>, n array<long>, codes binary"
+#: A relation: ``codes`` of all positions, in order; code i stands for the i-th of ``ids`` (ascending).
+_RELATION = "block long, ids binary, codes binary"
+_DEALT = "slice long, block long, first binary, second binary, n binary"
+#: Answers have a block; the row without one lists the slice's frequent phrases.
+_COUNTED = ("block long, slice long, chosen binary, ids binary, "
+            "phrases array<struct<id:long,first:long,second:long,a:long>>")
 
 
-def _ints(lists: pa.ListArray | pa.ChunkedArray, row: int) -> np.ndarray:
+# ---------------------------------------------------------------- packed integers
+def pack(x: np.ndarray) -> bytes:
+    """Integers as zstandard of their byte planes, differences instead of values where they ascend."""
+    x = x.astype(np.int64)
+    rising = len(x) > 0 and bool((np.diff(x) >= 0).all())
+    x = np.diff(x, prepend=0) if rising else x
+    small = len(x) > 0 and int(x.min()) >= 0 and int(x.max()) < 1 << 31
+    x = x.astype("<i4" if small else "<i8")
+    planes = np.ascontiguousarray(x.view(np.uint8).reshape(len(x), x.itemsize).T).tobytes()
+    return bytes([rising, small]) + zstandard.ZstdCompressor(level=1).compress(planes)
+
+
+def unpack(packed: bytes) -> np.ndarray:
+    kind = np.dtype("<i4" if packed[1] else "<i8")
+    planes = np.frombuffer(zstandard.ZstdDecompressor().decompress(packed[2:]), np.uint8)
+    x = np.ascontiguousarray(planes.reshape(kind.itemsize, -1).T).view(kind).ravel().astype(np.int64)
+    return np.cumsum(x) if packed[0] else x
+
+
+def _batch(names: dict[str, pa.DataType], columns: list[list]) -> pa.RecordBatch:
+    return pa.record_batch([pa.array(c, t) for c, t in zip(columns, names.values())], list(names))
+
+
+def _ints(lists: pa.ListArray, row: int) -> np.ndarray:
     return lists[row].values.to_numpy(zero_copy_only=False)
 
 
@@ -90,8 +123,8 @@ def _positions(texts: pa.Array) -> tuple[pa.Array, np.ndarray, np.ndarray]:
 def _first_blocks(batches: Iterator[pa.RecordBatch], block_words: int) -> Iterator[pa.RecordBatch]:
     """R_1 of blocks of whole texts; batches hold (lang, text)."""
     base = TaskContext.get().partitionId() << _SEQUENCE_BITS
-    schema = pa.schema([("block", pa.int64()), ("langs", pa.list_(pa.string())), ("lang", pa.list_(pa.int32())),
-                        ("word", pa.list_(pa.string())), ("n", pa.list_(pa.int64())), ("codes", pa.list_(pa.int32()))])
+    names = {"block": pa.int64(), "langs": pa.list_(pa.string()), "lang": pa.list_(pa.int32()),
+             "word": pa.list_(pa.string()), "n": pa.list_(pa.int64()), "codes": pa.binary()}
     parts: list[tuple] = []
     held = made = 0
 
@@ -103,19 +136,19 @@ def _first_blocks(batches: Iterator[pa.RecordBatch], block_words: int) -> Iterat
         lang = languages.indices.to_numpy().astype(np.int64)[
             np.concatenate([p[2] + at for p, at in zip(parts, np.cumsum([0, *(len(p[1]) for p in parts)]))])]
         apart = np.concatenate([p[3] for p in parts])
-        keys, code, n = np.unique(lang * max(1, len(words.dictionary)) + word, return_inverse=True, return_counts=True)
-        if len(keys) >> _PHRASE_BITS or made >> _SEQUENCE_BITS:
-            raise ValueError("a block or a partition is too large: read the table in smaller splits")
+        keys, code, n = np.unique(lang * len(words.dictionary) + word, return_inverse=True, return_counts=True)
+        if made >> _SEQUENCE_BITS:
+            raise ValueError("a partition has too many blocks: read the table in smaller splits")
         # a zero ahead of every piece
-        codes = np.zeros(len(code) + int(apart.sum()), np.int32)
+        codes = np.zeros(len(code) + int(apart.sum()), np.int64)
         codes[np.arange(len(code)) + np.cumsum(apart)] = code + 1
-        own = keys % max(1, len(words.dictionary))
-        row = [[base + made], [languages.dictionary.to_pylist()], [(keys // max(1, len(words.dictionary))).astype(np.int32)],
-               [words.dictionary.take(pa.array(own)).cast(pa.string())], [n], [codes]]
+        one = lambda x: pa.ListArray.from_arrays(pa.array([0, len(x)], pa.int32()), x)
+        lists = [pa.array((keys // len(words.dictionary)).astype(np.int32)),
+                 words.dictionary.take(pa.array(keys % len(words.dictionary))).cast(pa.string()), pa.array(n.astype(np.int64))]
+        row = [pa.array([base + made], pa.int64()), pa.array([languages.dictionary.to_pylist()], pa.list_(pa.string())),
+               *map(one, lists), pa.array([pack(codes)], pa.binary())]
         parts, held, made = [], 0, made + 1
-        return pa.record_batch([pa.array(row[0], pa.int64()), pa.array(row[1], pa.list_(pa.string())), *[
-            pa.ListArray.from_arrays(pa.array([0, len(x[0])], pa.int32()), pa.array(x[0]) if isinstance(x[0], np.ndarray) else x[0])
-            for x in row[2:]]], schema=schema)
+        return pa.record_batch(row, list(names))
 
     for batch in batches:
         size = pa.compute.binary_length(batch.column(1)).fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64)
@@ -133,52 +166,118 @@ def _first_blocks(batches: Iterator[pa.RecordBatch], block_words: int) -> Iterat
     release()
 
 
-def _next_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The occurrences one word longer: ``batches`` hold (block, codes, local, id), where the local
-    phrase numbers in ``local`` are frequent and have the given ids."""
-    schema = pa.schema([("block", pa.int64()), ("first", pa.list_(pa.int64())), ("second", pa.list_(pa.int64())),
-                        ("n", pa.list_(pa.int64())), ("codes", pa.list_(pa.int32()))])
+def _frequent_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """R_1 with the frequent words alone; ``batches`` hold (block, codes, local, id): ``local`` are codes of
+    the block's frequent words and ``id`` their ids."""
+    names = {"block": pa.int64(), "ids": pa.binary(), "codes": pa.binary()}
     for batch in batches:
         for row in range(batch.num_rows):
-            codes = _ints(batch.column(1), row)
+            codes = unpack(batch.column(1)[row].as_py())
             local, ids = _ints(batch.column(2), row), _ints(batch.column(3), row)
-            # phrases of the block by rank, so that a pair of them is one number
-            order = np.argsort(local)
+            order = np.argsort(ids)
             rank = np.zeros(int(max(codes.max(), local.max())) + 1, np.int64)
-            rank[local[order]] = np.arange(1, len(local) + 1)
-            here = rank[codes]
-            both = (here[:-1] > 0) & (here[1:] > 0)
-            pairs, code, n = np.unique(
-                here[:-1][both] * (len(local) + 1) + here[1:][both], return_inverse=True, return_counts=True)
-            if not len(pairs):
-                continue
-            found = np.zeros(len(here) - 1, np.int32)
-            found[both] = code + 1
-            named = ids[order]
-            columns = [named[pairs // (len(local) + 1) - 1], named[pairs % (len(local) + 1) - 1], n, found]
-            yield pa.record_batch([pa.array([batch.column(0)[row].as_py()], pa.int64()), *[
-                pa.ListArray.from_arrays(pa.array([0, len(x)], pa.int32()), pa.array(x)) for x in columns]], schema=schema)
+            rank[local[order]] = np.arange(1, len(ids) + 1)
+            yield _batch(names, [[batch.column(0)[row].as_py()], [pack(ids[order])], [pack(rank[codes])]])
+    release()
+
+
+@dataclass
+class Pairs:
+    """The phrases one word longer in a block: distinct ones in order of their two ids, with their counts
+    and their slices, and the places where they begin."""
+
+    first: np.ndarray
+    second: np.ndarray
+    n: np.ndarray
+    places: np.ndarray
+    code: np.ndarray
+    length: int
+    by_slice: np.ndarray
+    edges: np.ndarray  # of the slices in ``by_slice``
+
+    @classmethod
+    def of(cls, ids: np.ndarray, codes: np.ndarray, slices: int) -> Pairs:
+        places = np.flatnonzero((codes[:-1] > 0) & (codes[1:] > 0))
+        pairs, code, n = np.unique(
+            codes[places] * (len(ids) + 1) + codes[places + 1], return_inverse=True, return_counts=True)
+        first, second = ids[pairs // (len(ids) + 1) - 1], ids[pairs % (len(ids) + 1) - 1]
+        part = (mix(mix(first.astype(np.uint64)) + second.astype(np.uint64)) % np.uint64(slices)).astype(np.int64)
+        return cls(first, second, n, places, code, len(codes), np.argsort(part, kind="stable"),
+                   np.concatenate([[0], np.cumsum(np.bincount(part, minlength=slices))]))
+
+
+def _dealt(batches: Iterator[pa.RecordBatch], slices: int) -> Iterator[pa.RecordBatch]:
+    """A relation's pairs, for each slice those of a block in a row."""
+    names = {"slice": pa.int64(), "block": pa.int64(), "first": pa.binary(), "second": pa.binary(), "n": pa.binary()}
+    for batch in batches:
+        for row in range(batch.num_rows):
+            pairs = Pairs.of(unpack(batch.column(1)[row].as_py()), unpack(batch.column(2)[row].as_py()), slices)
+            used = np.flatnonzero(np.diff(pairs.edges))
+            mine = [pairs.by_slice[pairs.edges[s]:pairs.edges[s + 1]] for s in used]
+            yield _batch(names, [used.tolist(), [batch.column(0)[row].as_py()] * len(used), *[
+                [pack(x[m]) for m in mine] for x in (pairs.first, pairs.second, pairs.n)]])
     release()
 
 
-def _frequent(blocks: DataFrame, phrase: list[Column], names: list[str], least: int) -> DataFrame:
-    """(block, local, names, id, a) of the phrases of all blocks that occur ``least`` times or more in
-    all.  One exchange by phrase; ``id`` is the number of its first occurrence in a block."""
-    listed = blocks.select("block", F.posexplode(F.arrays_zip(*phrase, F.col("n")))).select(
-        "block", (F.col("pos") + 1).alias("local"),
-        *[F.col("col").getField(str(i) if i < len(phrase) else "n").alias(c) for i, c in enumerate([*names, "_n"])])
-    group = Window.partitionBy(*names)
-    place = F.shiftleft("block", _PHRASE_BITS) + F.col("local")
-    return (listed.withColumns({"a": F.sum("_n").over(group), "id": F.min(place).over(group)})
-            .where(F.col("a") >= least).select("block", "local", *names, "id", "a"))
+def _count_slice(rows: pa.Table, least: int) -> pa.Table:
+    """Group-count of one slice over all blocks."""
+    rows = rows.sort_by("block")
+    first, second, n = ([unpack(x) for x in rows.column(c).to_pylist()] for c in ("first", "second", "n"))
+    ends = np.cumsum([len(x) for x in first])
+    first, second, n = (np.concatenate(x) for x in (first, second, n))
+    order = np.lexsort((second, first))
+    new = np.ones(len(order), bool)
+    new[1:] = (np.diff(first[order]) != 0) | (np.diff(second[order]) != 0)
+    begin = np.flatnonzero(new)
+    a = np.add.reduceat(n[order], begin)
+    often = a >= least
+    slice_nr = rows.column("slice")[0].as_py()
+    named = np.where(often, (slice_nr << _SLICE_BITS) + np.cumsum(often) - 1, -1)
+    ids = np.empty(len(order), np.int64)
+    ids[order] = named[np.cumsum(new) - 1]
+    blocks, chosen, answer = rows.column("block").to_pylist(), [], []
+    for x in np.split(ids, ends[:-1]):
+        chosen.append(np.packbits(x >= 0).tobytes())
+        answer.append(pack(x[x >= 0]))
+    found = order[begin[often]]
+    phrases = [dict(zip(("id", "first", "second", "a"), p)) for p in zip(
+        named[often].tolist(), first[found].tolist(), second[found].tolist(), a[often].tolist())]
+    phrase = pa.struct([(c, pa.int64()) for c in ("id", "first", "second", "a")])
+    return pa.Table.from_batches([_batch(
+        {"block": pa.int64(), "slice": pa.int64(), "chosen": pa.binary(), "ids": pa.binary(), "phrases": pa.list_(phrase)},
+        [[*blocks, None], [slice_nr] * (len(blocks) + 1), [*chosen, None], [*answer, None], [None] * len(blocks) + [phrases]])])
+
+
+def _longer(batches: Iterator[pa.RecordBatch], slices: int) -> Iterator[pa.RecordBatch]:
+    """R_{k+1}; ``batches`` hold (block, ids, codes) of R_k and the slices' answers (slice, chosen, ids)."""
+    names = {"block": pa.int64(), "ids": pa.binary(), "codes": pa.binary()}
+    for batch in batches:
+        for row in range(batch.num_rows):
+            pairs = Pairs.of(unpack(batch.column(1)[row].as_py()), unpack(batch.column(2)[row].as_py()), slices)
+            named = np.full(len(pairs.first), -1, np.int64)
+            for answer in batch.column(3)[row].as_py():
+                mine = pairs.by_slice[pairs.edges[answer["slice"]]:pairs.edges[answer["slice"] + 1]]
+                bits = np.unpackbits(np.frombuffer(answer["chosen"], np.uint8), count=len(mine)).astype(bool)
+                named[mine[bits]] = unpack(answer["ids"])
+            ids = np.sort(named[named >= 0])
+            if not len(ids):
+                continue
+            codes = np.zeros(pairs.length, np.int64)
+            codes[pairs.places] = np.where(named >= 0, np.searchsorted(ids, named) + 1, 0)[pairs.code]
+            yield _batch(names, [[batch.column(0)[row].as_py()], [pack(ids)], [pack(codes)]])
+    release()
 
 
-def _extended(blocks: DataFrame, kept: DataFrame) -> DataFrame:
-    """R_{k+1} in blocks from R_k and its frequent phrases."""
-    lists = kept.groupBy("block").agg(F.collect_list(F.struct("local", "id")).alias("kept"))
-    joined = blocks.select("block", "codes").join(lists, "block").select(
-        "block", "codes", F.col("kept.local").alias("local"), F.col("kept.id").alias("id"))
-    return joined.mapInArrow(_next_blocks, _NEXT)
+def _words(blocks: DataFrame, least: int) -> DataFrame:
+    """(block, local, lang, word, id, a) of the words that occur ``least`` times or more in all.
+    One exchange, by word; ``id`` is the number of a word's first row behind it."""
+    spelled = F.transform("lang", lambda i: F.get(F.col("langs"), i))
+    listed = blocks.select("block", F.posexplode(F.arrays_zip(spelled.alias("lang"), F.col("word"), F.col("n")))).select(
+        "block", (F.col("pos") + 1).alias("local"), F.col("col.lang").alias("lang"), "col.word", F.col("col.n").alias("_n"))
+    group = Window.partitionBy("lang", "word")
+    return (listed.repartition("lang", "word").withColumn("_at", F.monotonically_increasing_id())
+            .withColumns({"a": F.sum("_n").over(group), "id": F.min("_at").over(group)})
+            .where(F.col("a") >= least).select("block", "local", "lang", "word", "id", "a"))
 
 
 def phrase_counts(docs: DataFrame, scratch: Scratch, least: int = LEAST, longest: int = LONGEST,
@@ -190,29 +289,45 @@ def phrase_counts(docs: DataFrame, scratch: Scratch, least: int = LEAST, longest
     last and without the first word)."""
     lang = F.coalesce(F.col("lang").cast("string"), F.lit("und"))
     blocks = scratch.write(docs.select(lang.alias("lang"), F.col("text").cast("string").alias("text")).mapInArrow(
-        lambda batches: _first_blocks(batches, block_words), _FIRST), "r1")
+        lambda batches: _first_blocks(batches, block_words), _FIRST), "blocks")
     totals = scratch.write(
         blocks.select(F.explode(F.arrays_zip("lang", "n")).alias("w"), "langs")
         .groupBy(F.get("langs", F.col("w.lang")).alias("lang")).agg(F.sum("w.n").alias("n")), "totals")
-    spelled = F.transform("lang", lambda i: F.get(F.col("langs"), i))
-    kept = scratch.write(_frequent(
-        blocks.withColumn("spelled", spelled), [F.col("spelled").alias("0"), F.col("word").alias("1")], ["lang", "word"], least), "c1")
-    one = kept.groupBy("id").agg(F.first("lang").alias("lang"), F.first("word").alias("phrase"), F.first("a").alias("a"))
+    words = scratch.write(_words(blocks, least), "words")
+    one = words.groupBy("id").agg(F.first("lang").alias("lang"), F.first("word").alias("phrase"), F.first("a").alias("a"))
     found = [scratch.write(one.select(
         "id", "lang", "phrase", "a", F.array("a").alias("heads"), F.array("a").alias("tails"), F.col("phrase").alias("last")), "p1")]
+    lists = words.groupBy("block").agg(F.collect_list(F.struct("local", "id")).alias("kept"))
+    relation = scratch.write(
+        blocks.select("block", "codes").join(lists, "block")
+        .select("block", "codes", F.col("kept.local").alias("local"), F.col("kept.id").alias("id"))
+        .mapInArrow(_frequent_words, _RELATION), "r1")
+    scratch.remove(blocks, words)
     for k in range(2, longest + 1):
-        nxt = scratch.write(_extended(blocks, kept), f"r{k}")
-        scratch.remove(blocks, kept)
-        blocks = nxt
-        kept = scratch.write(_frequent(blocks, [F.col("first").alias("0"), F.col("second").alias("1")], ["first", "second"], least), f"c{k}")
-        phrases = kept.groupBy("id").agg(*[F.first(c).alias(c) for c in ("first", "second", "a")])
+        slices = max(1, -(-relation.count() // BLOCKS_PER_SLICE))
+
+        def count(rows: pa.Table) -> pa.Table:
+            return _count_slice(rows, least)
+
+        counted = scratch.write(
+            relation.mapInArrow(lambda batches, s=slices: _dealt(batches, s), _DEALT)
+            .groupBy("slice").applyInArrow(count, _COUNTED), f"c{k}")
+        phrases = counted.where(F.col("block").isNull()).select(F.inline("phrases"))
         left = found[-1].select(F.col("id").alias("first"), "lang", F.col("phrase").alias("_phrase"), F.col("heads").alias("_heads"))
         right = found[-1].select(F.col("id").alias("second"), "last", F.col("tails").alias("_tails"))
         found.append(scratch.write(phrases.join(left, "first").join(right, "second").select(
             "id", "lang", F.concat_ws(" ", "_phrase", "last").alias("phrase"), "a",
             F.concat("_heads", F.array("a")).alias("heads"), F.concat("_tails", F.array("a")).alias("tails"),
             "last", "first", "second"), f"p{k}"))
-    scratch.remove(blocks, kept)
+        if k < longest:
+            answers = counted.where(F.col("block").isNotNull()).groupBy("block").agg(
+                F.collect_list(F.struct("slice", "chosen", "ids")).alias("answers"))
+            longer = scratch.write(relation.join(answers, "block").mapInArrow(
+                lambda batches, s=slices: _longer(batches, s), _RELATION), f"r{k}")
+            scratch.remove(relation)
+            relation = longer
+        scratch.remove(counted)
+    scratch.remove(relation)
     return totals, found
 
 
