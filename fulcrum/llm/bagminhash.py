@@ -29,26 +29,56 @@ _STEP = np.uint64(0x9E3779B97F4A7C15)
 
 def shingle_counts(texts: pa.Array, size: int = SHINGLE) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(text, hash, count) of the word shingles of each text, sorted by text and hash.  A text
-    of fewer words is one shingle of all of them; a text without a word has none."""
+    of fewer words is one shingle of all of them; a text without a word has none.  Hashes are
+    for sketches: what is decided by shingles goes by ``exact_shingles``."""
     w = wordhash.words_of(texts)
-    n = w.counts()
-    first = np.concatenate([[0], np.cumsum(n)[:-1]])
     hashes = w.hashes()
-    taken = np.where(n >= size, n - size + 1, np.minimum(n, 1))
-    text = np.repeat(np.arange(len(n)), taken)
-    at = np.repeat(first - (np.cumsum(taken) - taken), taken) + np.arange(taken.sum())
-    words = np.minimum(n, size)[text]
+    text, at, words = _windows(w.counts(), size)
     total = np.zeros(len(at), np.uint64)
     for k in range(size):
         here = words > k
         step = np.where(here, hashes[np.minimum(at + k, max(0, len(hashes) - 1))] if len(hashes) else np.uint64(0), np.uint64(0))
         total = np.where(here, wordhash.mix(total * np.uint64(0xD6E8FEB86659FD93) + step + np.uint64(k + 1)), total)
-    order = np.lexsort((total, text))
-    text, total = text[order], total[order]
+    return _counted(text, total)
+
+
+def exact_shingles(texts: pa.Array, size: int = SHINGLE) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(text, number, count) like ``shingle_counts``, where equal numbers mean equal words: words are told
+    apart by their bytes, and a shingle is numbered by its beginning's number and its last word's."""
+    parts, counts = [], []
+    for part in wordhash.slices(pa.record_batch([texts], ["text"]), 0):
+        w = wordhash.words_of(part.column(0))
+        distinct, which = wordhash.distinct_ranges(w.data, w.start, w.end)
+        parts.append(pa.DictionaryArray.from_arrays(pa.array(which), distinct))
+        counts.append(w.counts())
+    if not parts:
+        return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int64)
+    joined = pa.chunked_array(parts).unify_dictionaries()
+    word = np.concatenate([c.indices.to_numpy() for c in joined.chunks]).astype(np.int64) + 1
+    text, at, words = _windows(np.concatenate(counts), size)
+    number = word[at]
+    for k in range(1, size):
+        here = np.where(words > k, word[np.minimum(at + k, max(0, len(word) - 1))] if len(word) else 0, 0)
+        number = np.unique(number * (len(word) + 1) + here, return_inverse=True)[1]
+    return _counted(text, number)
+
+
+def _windows(n: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(text, first word, words) of each shingle of texts of ``n`` words."""
+    first = np.concatenate([[0], np.cumsum(n)[:-1]])
+    taken = np.where(n >= size, n - size + 1, np.minimum(n, 1))
+    text = np.repeat(np.arange(len(n)), taken)
+    at = np.repeat(first - (np.cumsum(taken) - taken), taken) + np.arange(taken.sum())
+    return text, at, np.minimum(n, size)[text]
+
+
+def _counted(text: np.ndarray, key: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    order = np.lexsort((key, text))
+    text, key = text[order], key[order]
     new = np.ones(len(text), bool)
-    new[1:] = (text[1:] != text[:-1]) | (total[1:] != total[:-1])
+    new[1:] = (text[1:] != text[:-1]) | (key[1:] != key[:-1])
     where = np.flatnonzero(new)
-    return text[where], total[where], np.diff(np.append(where, len(text)))
+    return text[where], key[where], np.diff(np.append(where, len(text)))
 
 
 def _ranges(text: np.ndarray, element: np.ndarray, count: np.ndarray) -> tuple[np.ndarray, ...]:

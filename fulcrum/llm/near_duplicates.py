@@ -10,8 +10,8 @@ links.  The steps:
 3. Inside the buckets, nodes whose whole signatures agree on LEAST_AGREEING registers
    (similarity 0.64 where 0.8 is asked for, 4.5 standard deviations off) form families; only
    the spanning links of a family leave a task, never all pairs.
-4. Inside each family, every such pair is verified exactly on the whole texts, unless links
-   already join the two; again only spanning links leave a task.
+4. Inside each family, every such pair is verified exactly on the words of the whole texts (compared by
+   their bytes, not by hashes), unless links already join the two; again only spanning links leave a task.
 5. Components of the verified links are the classes.
 
 Buckets and families of more than CHUNK nodes are dealt over chunks by hash: first each chunk
@@ -36,7 +36,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from fulcrum.llm import wordhash
-from fulcrum.llm.bagminhash import shingle_counts, signatures
+from fulcrum.llm.bagminhash import exact_shingles, shingle_counts, signatures
 from fulcrum.llm.components import components
 from fulcrum.llm.scratch import Scratch
 
@@ -257,13 +257,10 @@ def overlapping(columns: list[pa.Array], pairs, known: np.ndarray) -> tuple[np.n
     if not found:
         return _stacked([])
     a, b, agree = (np.concatenate(c) for c in zip(*found))
-    # whole texts, some at a time: words take several times the memory of their text
-    base, counted = 0, []
-    for part in wordhash.slices(pa.record_batch([texts], ["text"]), 0):
-        text, shingle, count = shingle_counts(part.column(0))
-        counted.append((text + base, shingle, count))
-        base += part.num_rows
-    text, shingle, count = (np.concatenate(c) for c in zip(*counted))
+    # only the texts of such pairs are cut into shingles
+    asked = np.unique(np.concatenate([a, b]))
+    text, shingle, count = exact_shingles(texts.take(pa.array(asked)))
+    text = asked[text]
     at = np.searchsorted(text, np.arange(len(texts) + 1))
     weight = np.bincount(text, weights=count, minlength=len(texts)).astype(np.int64)
     top, bottom = SIMILAR

@@ -2,7 +2,8 @@
 table of the ids of words seen before.
 
 Words are maximal runs of bytes other than space, \\t, \\n, \\v, \\f, \\r; they never cross
-from one text into the next.  A word's hash depends on its bytes only.
+from one text into the next.  A word's hash depends on its bytes only.  Hashes only choose where to
+look: wherever two words count as one, their bytes have been compared.
 """
 
 from __future__ import annotations
@@ -15,26 +16,13 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute
+import xxhash
 
 #: Bytes of text handled at once (a longer single text is handled whole).
 SLICE_BYTES = 2 << 20
 
 _BLANK = np.zeros(256, bool)
 _BLANK[[0x20, *range(0x09, 0x0E)]] = True
-_ODD = 0x9E3779B97F4A7C15
-_ODD_INVERSE = pow(_ODD, -1, 1 << 64)
-_powers = [np.ones(1, np.uint64), np.ones(1, np.uint64)]
-
-
-def _power_tables(n: int) -> list[np.ndarray]:
-    """Powers 0 .. n - 1 of an odd number and of its inverse, modulo 2^64."""
-    if len(_powers[0]) < n:
-        size = n + (1 << 16)
-        for k, base in enumerate((_ODD, _ODD_INVERSE)):
-            steps = np.full(size, base, np.uint64)
-            steps[0] = 1
-            _powers[k] = np.multiply.accumulate(steps)
-    return _powers
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -62,26 +50,61 @@ class Words:
         return np.bincount(self.text, minlength=self.texts)
 
     def hashes(self) -> np.ndarray:
-        return range_hashes(self.data, self.start, self.end)
+        """64-bit hash of each word's bytes."""
+        distinct, which = distinct_ranges(self.data, self.start, self.end)
+        return hashes_of(distinct)[which]
+
+
+def _spans(start: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """All places of the ranges, one range after the other."""
+    ends = np.cumsum(size)
+    return np.repeat(start - (ends - size), size) + np.arange(int(ends[-1]) if len(ends) else 0)
+
+
+def distinct_ranges(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> tuple[pa.Array, np.ndarray]:
+    """(distinct byte strings in the ranges, which of them each range holds)."""
+    size = (end - start).astype(np.int64)
+    offsets = np.concatenate([[0], np.cumsum(size)]).astype(np.int64)
+    units = pa.Array.from_buffers(
+        pa.large_binary(), len(size), [None, pa.py_buffer(offsets), pa.py_buffer(data[_spans(start, size)])]).dictionary_encode()
+    return units.dictionary, units.indices.to_numpy().astype(np.int64)
+
+
+def hashes_of(units: pa.Array) -> np.ndarray:
+    return np.fromiter(map(xxhash.xxh3_64_intdigest, units.to_pylist()), np.uint64, len(units))
+
 
+def _bytes_of(units: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """(bytes of all units, where each begins and the last ends) of a large_binary array."""
+    offsets = np.frombuffer(units.buffers()[1], np.int64)[units.offset:units.offset + len(units) + 1]
+    data = np.frombuffer(units.buffers()[2], np.uint8) if units.buffers()[2] is not None else np.zeros(0, np.uint8)
+    return data, offsets
 
-def range_hashes(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
-    """64-bit hash of the bytes in each range; it doesn't depend on where the range lies."""
-    if not len(start):
-        return np.zeros(0, np.uint64)
-    up, down = _power_tables(len(data) + 1)
-    total = np.zeros(len(data) + 1, np.uint64)
-    np.cumsum((data.astype(np.uint64) + np.uint64(1)) * up[:len(data)], out=total[1:])
-    own = (total[end] - total[start]) * down[start]
-    return mix(own + (end - start).astype(np.uint64))
+
+class _Pool:
+    """One growing array."""
+
+    def __init__(self, dtype: np.dtype):
+        self.values, self.used = np.zeros(1 << 12, dtype), 0
+
+    def add(self, values: np.ndarray) -> int:
+        at = self.used
+        if at + len(values) > len(self.values):
+            grown = np.zeros(max(2 * len(self.values), at + len(values)), self.values.dtype)
+            grown[:at] = self.values[:at]
+            self.values = grown
+        self.values[at:at + len(values)] = values
+        self.used += len(values)
+        return at
 
 
 class UnitTable:
-    """Ids of short byte strings ("units"), looked up for a whole column at once.
+    """Ids of byte strings ("units"), looked up for a whole column at once.
 
-    ``encode`` gives the serialized ids of units not seen before; they stay in sorted arrays
-    (hash, check value, place in one pool of ids) until ``most`` of them are held, then the
-    table starts anew.  A unit is known by 64 hash bits and by its length and byte sum.
+    ``encode`` gives the serialized ids of units not seen before; they stay in arrays sorted by hash
+    (with the unit's bytes and its ids in two pools) until ``most`` of them are held, then the
+    table starts anew.  A unit that is found by its hash is compared with the held bytes; one
+    that only shares its hash with another is encoded each time it is met.
     """
 
     def __init__(self, dtype: np.dtype, encode: Callable[[list[bytes]], list[bytes]], most: int, most_ids: int = 1 << 24):
@@ -89,51 +112,55 @@ class UnitTable:
         self._clear()
 
     def _clear(self) -> None:
-        self.key, self.check = np.zeros(0, np.uint64), np.zeros(0, np.uint64)
-        self.at, self.size = np.zeros(0, np.int64), np.zeros(0, np.int32)
-        self.pool, self.used = np.zeros(1 << 16, self.dtype), 0
-
-    def _add(self, key: np.ndarray, check: np.ndarray, units: list[bytes]) -> None:
-        ids = self.encode(units)
-        size = np.array([len(x) // self.dtype.itemsize for x in ids], np.int32)
-        values = np.frombuffer(b"".join(ids), self.dtype)
-        if self.used + len(values) > len(self.pool):
-            grown = np.zeros(max(2 * len(self.pool), self.used + len(values)), self.dtype)
-            grown[:self.used] = self.pool[:self.used]
-            self.pool = grown
-        self.pool[self.used:self.used + len(values)] = values
-        at = self.used + np.cumsum(size, dtype=np.int64) - size
-        self.used += len(values)
-        place = np.searchsorted(self.key, key)
-        self.key, self.check = np.insert(self.key, place, key), np.insert(self.check, place, check)
-        self.at, self.size = np.insert(self.at, place, at), np.insert(self.size, place, size)
+        self.key = np.zeros(0, np.uint64)
+        # of each unit: where its bytes and its ids begin, and how many there are
+        self.byte_at, self.byte_n, self.at, self.n = (np.zeros(0, np.int64) for _ in range(4))
+        self.bytes, self.pool = _Pool(np.uint8), _Pool(self.dtype)
+
+    def _known(self, key: np.ndarray, units: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """(place in the table, whether the unit there is the same)."""
+        place = np.minimum(np.searchsorted(self.key, key), max(0, len(self.key) - 1))
+        if not len(self.key):
+            return place, np.zeros(len(key), bool)
+        data, offsets = _bytes_of(units)
+        size = np.diff(offsets)
+        same = (self.key[place] == key) & (self.byte_n[place] == size)
+        here = np.flatnonzero(same)
+        unlike = self.bytes.values[_spans(self.byte_at[place[here]], size[here])] != data[_spans(offsets[here], size[here])]
+        same[np.repeat(here, size[here])[unlike]] = False
+        return place, same
 
     def ids(self, data: np.ndarray, start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all units in order, number of ids of each unit)."""
         if not len(start):
             return np.zeros(0, self.dtype), np.zeros(0, np.int64)
-        if len(self.key) > self.most or self.used > self.most_ids:
+        if len(self.key) > self.most or self.pool.used > self.most_ids or self.bytes.used > self.most_ids:
             self._clear()
-        hashes = range_hashes(data, start, end)
-        key, first, of = np.unique(hashes, return_index=True, return_inverse=True)
-        total = np.concatenate([[0], np.cumsum(data, dtype=np.uint64)]).astype(np.uint64)
-        a, b = start[first], end[first]
-        check = (total[b] - total[a]) * np.uint64(1 << 20) + (b - a).astype(np.uint64)
-        place = np.minimum(np.searchsorted(self.key, key), max(0, len(self.key) - 1))
-        known = (self.key[place] == key) if len(self.key) else np.zeros(len(key), bool)
-        if len(self.key):
-            clash = known & (self.check[place] != check)
-            if clash.any():  # another unit has this hash: forget them all, so that it can't be mistaken
-                self._clear()
-                known = np.zeros(len(key), bool)
-        new = ~known
-        if new.any():
-            raw = data.tobytes()
-            self._add(key[new], check[new], [raw[i:j] for i, j in zip(a[new].tolist(), b[new].tolist())])
-            place = np.searchsorted(self.key, key)
-        at, size = self.at[place][of], self.size[place].astype(np.int64)[of]
-        done = np.cumsum(size)
-        return self.pool[np.repeat(at - (done - size), size) + np.arange(done[-1])], size
+        units, which = distinct_ranges(data, start, end)
+        key = hashes_of(units)
+        place, known = self._known(key, units)
+        at, n = np.zeros(len(units), np.int64), np.zeros(len(units), np.int64)
+        at[known], n[known] = (x[place[known]] for x in (self.at, self.n)) if known.any() else (0, 0)
+        new = np.flatnonzero(~known)
+        if len(new):
+            fresh = units.take(pa.array(new))
+            ids = self.encode(fresh.to_pylist())
+            n[new] = [len(x) // self.dtype.itemsize for x in ids]
+            at[new] = self.pool.add(np.frombuffer(b"".join(ids), self.dtype)) + np.cumsum(n[new]) - n[new]
+            # of units with one hash, the first is held
+            taken = self.key[place[new]] == key[new] if len(self.key) else np.zeros(len(new), bool)
+            hold = np.unique(key[new], return_index=True)[1]
+            hold = hold[~taken[hold]]
+            raw, offsets = _bytes_of(fresh)
+            size = np.diff(offsets)
+            byte_at = self.bytes.add(raw[offsets[0]:offsets[-1]]) + offsets[:-1] - offsets[0]
+            where = np.searchsorted(self.key, key[new][hold])
+            self.key = np.insert(self.key, where, key[new][hold])
+            self.byte_at, self.byte_n, self.at, self.n = (
+                np.insert(old, where, x[hold]) for old, x in
+                ((self.byte_at, byte_at), (self.byte_n, size), (self.at, at[new]), (self.n, n[new])))
+        size = n[which]
+        return self.pool.values[_spans(at[which], size)], size
 
 
 def words_of(texts: pa.Array) -> Words:
