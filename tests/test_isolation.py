@@ -1,0 +1,35 @@
+"""The library without its training-data subpackage."""
+
+import json
+import os
+import shutil
+import subprocess
+import sys
+
+import pytest
+
+ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+LIST = "import json, __spark_entry__ as e; print(json.dumps([sorted(e.queries()), sorted(e.oracle_sql())]))"
+
+
+@pytest.mark.parametrize("pipeline", [True, False])
+def test_entry_without_the_subpackage(tmp_path, pipeline):
+    from fulcrum.plans.catalog import QUERIES
+    from fulcrum.plans.oracle import QUERIES_SQL
+
+    copy = tmp_path / "copy"
+    shutil.copytree(ROOT, copy, ignore=shutil.ignore_patterns(".git", "llm", "__pycache__", ".pytest_cache"))
+    if not pipeline:
+        (copy / "corpus_pipeline.py").unlink(missing_ok=True)
+    assert not (copy / "fulcrum" / "llm").exists() and not (copy / "tests" / "llm").exists()
+    done = subprocess.run([sys.executable, "-c", LIST], cwd=copy, capture_output=True, text=True,
+                          env={**os.environ, "PYTHONPATH": str(copy)})
+    assert done.returncode == 0, done.stderr
+    names, sql = json.loads(done.stdout.splitlines()[-1])
+    assert names == sorted(QUERIES) and sql == sorted(QUERIES_SQL)
+    # nothing outside imports the subpackage
+    for folder, _, files in os.walk(copy / "fulcrum"):
+        for name in files:
+            if name.endswith(".py"):
+                with open(os.path.join(folder, name)) as f:
+                    assert "fulcrum.llm" not in f.read(), name
