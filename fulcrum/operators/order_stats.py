@@ -1,20 +1,18 @@
 """Global order statistics without a single-partition window.
 
 ``PERCENT_RANK() OVER (ORDER BY x)``, ``NTILE``, ``ROW_NUMBER`` and running sums with no
-``PARTITION BY`` make Spark move every row into one task.  Here each is a prefix sum over a
-two-step tree whose nodes are fixed by the value itself:
-
-* ``order_key`` maps a value to a 64-bit integer in the same order;
-* the key's top 24 bits, next 20 bits and the rest are three levels.  A window sums inside
-  each leaf block, over the blocks of a top block, and over the top blocks; offsets are added
-  on the way down.  No window sees more than 2^24 nodes or 2^20 distinct keys, whatever
-  the number of rows, and no bounds are sampled: the plan is lazy, needs no staged
-  table and no broadcast, and gives the same numbers on any partitioning.
-
-Equal values are collapsed first (map-side), so a value shared by a third of all rows is one
-node.  Below a value the tree goes on, by one of ``SALTS`` salts per row or, where ties are
-numbered, by the blocks of the row's key; rows get their numbers back over (value, salt) or
-(value, key block), so no join or window puts all rows of a value into one task.
+``PARTITION BY`` make Spark move every row into one task.  Here the rows are range
+partitioned once by (value, key): Spark samples the bounds, and as the key is part of the range a
+value that most rows share is split like any other.  Each block (partition) is ranked on its own
+and the slim result is staged, which fixes the blocks.  A second, tiny step sums the blocks up to
+the ones before; rows get their block's offset by a join on the block's number.
+
+Ties are the one thing that reaches over block edges: all rows of a value have one rank
+and one cumulative sum.  A block knows its first and its last value and what they add up
+to, so a run of equal values is followed from block to block.
+
+What goes through one task is one row per block (and component), however many rows there are.
+The staged tables are written with ``stage`` (by default kept until the driver's Python ends).
 """
 
 from __future__ import annotations
@@ -24,118 +22,41 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-_TOP, _MID = "_top", "_mid"
-#: A hot value's rows are joined in so many parts.
-SALTS = 256
-_LAST = (1 << 63) - 1
+from fulcrum.sources.tables import Share, stage_until_exit
 
+_PLACE_BITS = 33  # monotonically_increasing_id: the row's place in its partition
 
-def order_key(value: Column, kind: str) -> Column:
-    """A 64-bit integer in the order of ``value``; nulls come last.  Integers are their own
-    key; strings order by their first seven bytes; other numbers by their double."""
-    if kind in ("tinyint", "smallint", "int", "bigint"):
-        key = value.cast("long")
-    elif kind == "string":
-        head = F.rpad(F.hex(F.substring(value.cast("binary"), 1, 7)), 14, "0")
-        key = F.conv(head, 16, 10).cast("long")
-    else:
-        # the bits of a double order like an integer once negative ones are flipped
-        bits = F.call_function("reflect", F.lit("java.lang.Double"), F.lit("doubleToLongBits"),
-                               F.coalesce(value.cast("double"), F.lit(0.0)) + F.lit(0.0)).cast("long")
-        key = F.when(bits >= 0, bits).otherwise(bits.bitwiseXOR(F.lit(_LAST)))
-    return F.when(value.isNotNull(), key).otherwise(F.lit(_LAST))
 
+def _in_blocks(df: DataFrame, *order: Column) -> DataFrame:
+    """``df`` range partitioned by ``order``, with the block's number."""
+    return df.repartitionByRange(*order).withColumn("_block", F.spark_partition_id())
 
-def _top_of(key: Column) -> Column:
-    return F.shiftright(key, 40)
 
-
-def _mid_of(key: Column) -> Column:
-    return F.shiftright(key, 20).bitwiseAND(F.lit((1 << 20) - 1))
-
-
-def _kind(df: DataFrame, name: str) -> str:
-    return df.schema[name].dataType.simpleString()
-
-
-def _same(left: DataFrame, right: DataFrame, names: Sequence[str]) -> Column:
-    """Null-safe equality of ``names`` and their ``r_`` copies."""
-    cond = F.lit(True)
-    for n in names:
-        cond = cond & left[n].eqNullSafe(right["r_" + n])
-    return cond
-
-
-def _renamed(df: DataFrame, names: Sequence[str]) -> DataFrame:
-    return df.withColumnsRenamed({n: "r_" + n for n in names})
-
-
-def _ahead(part: Sequence[str], by: Column, of: str) -> Column:
-    """Sum of ``of`` over the rows of ``part`` that stand strictly before."""
-    w = Window.partitionBy(*part).orderBy(by).rowsBetween(Window.unboundedPreceding, -1)
-    return F.coalesce(F.sum(of).over(w), F.lit(0))
-
-
-def _offsets(
-    df: DataFrame, order: str, measure: Column, group: Sequence[str], below: Sequence[str], descending: bool,
-    totals_of: Sequence[str] = (),
-) -> tuple[DataFrame, DataFrame, list[str]]:
-    """(rows, offsets, path): ``df`` with its place in the tree, and one row per innermost node.
-
-    The nodes are (group, top block, middle block, value) and, inside a value, the columns in
-    ``below``; ``path`` lists them all.  ``offsets`` has ``_offset`` (the sum of ``measure`` over all
-    nodes of the group that come before), ``_before`` and ``_tied`` (over the smaller and the equal
-    values), ``_all`` and ``<column>_total`` (over the group)."""
-    key = order_key(F.col(order), _kind(df, order))
-    if descending:
-        key = F.when(F.col(order).isNotNull(), F.bitwise_not(key)).otherwise(F.lit(_LAST))
-    rows = df.withColumns({_TOP: _top_of(key), _MID: _mid_of(key)})
-    exact = F.col(order).desc_nulls_last() if descending else F.col(order).asc_nulls_last()
-    steps = [(_TOP, F.col(_TOP)), (_MID, F.col(_MID)), (order, exact), *((c, F.col(c)) for c in below)]
-    paths = [[*group, *(name for name, _ in steps[:i + 1])] for i in range(len(steps))]
-    sums = {"_n": measure, **{f"_t_{c}": F.col(c) for c in totals_of}}
-    levels = [rows.groupBy(*paths[-1]).agg(*[F.sum(c).alias(n) for n, c in sums.items()])]
-    for path in reversed(paths[:-1]):
-        levels.insert(0, levels[0].groupBy(*path).agg(*[F.sum(n).alias(n) for n in sums]))
-    whole = Window.partitionBy(*group)
-    carried = ["_all", *(f"{c}_total" for c in totals_of)]
-    out = levels[0].withColumn("_offset", _ahead(group, steps[0][1], "_n")).withColumns(
-        {name: F.sum(n).over(whole) for name, n in zip(carried, sums)})
-    out = out.select(*paths[0], "_offset", *carried)
-    for i in range(1, len(steps)):
-        here = levels[i].withColumn("_own", _ahead(paths[i - 1], steps[i][1], "_n"))
-        up = _renamed(out.withColumnRenamed("_offset", "_from"), paths[i - 1])
-        here = here.join(up, _same(here, up, paths[i - 1]), "inner").withColumn("_offset", F.col("_from") + F.col("_own"))
-        if i == 2:  # the values
-            here, carried = here.withColumns({"_before": F.col("_offset"), "_tied": F.col("_n")}), [*carried, "_before", "_tied"]
-        out = here.select(*paths[i], "_offset", *carried)
-    return rows, out, paths[-1]
-
-
-def _attached(rows: DataFrame, offsets: DataFrame, path: list[str]) -> DataFrame:
-    nodes = _renamed(offsets, path)
-    return rows.join(nodes, _same(rows, nodes, path), "inner")
-
-
-def _salted(df: DataFrame, keys: Sequence[str]) -> DataFrame:
-    return df.withColumn("_salt", F.pmod(F.xxhash64(*keys), F.lit(SALTS)).cast("int"))
+def _before(of: Column, window) -> Column:
+    return F.coalesce(F.sum(of).over(window.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
 
 
 def row_numbers(
     df: DataFrame, order: str, key: str, name: str = "row_number", descending: bool = False, count: str | None = None,
-    totals_of: Sequence[str] = (),
+    totals_of: Sequence[str] = (), stage: Share = stage_until_exit,
 ) -> DataFrame:
     """ROW_NUMBER() OVER (ORDER BY order, key) with nulls of ``order`` last; ``key`` must be
     unique.  ``count`` names an optional column holding the number of rows; every column in
     ``totals_of`` gets a ``<column>_total`` with its sum over all rows."""
-    place = order_key(F.col(key), _kind(df, key))
-    inner = df.withColumns({"_key_top": _top_of(place), "_key_mid": _mid_of(place), "_one": F.lit(1).cast("long")})
-    rows, offsets, path = _offsets(inner, order, F.col("_one"), [], ["_key_top", "_key_mid"], descending, totals_of)
-    rows = rows.withColumn("_local", _ahead(path, F.col(key).asc_nulls_last(), "_one"))
-    out = _attached(rows, offsets, path).withColumn(name, F.col("_offset") + F.col("_local") + 1)
-    if count:
-        out = out.withColumn(count, F.col("_all"))
-    return out.select(*df.columns, name, *([count] if count else []), *[f"{c}_total" for c in totals_of])
+    by = [F.col(order).desc_nulls_last() if descending else F.col(order).asc_nulls_last(), F.col(key).asc_nulls_last()]
+    placed = stage(
+        _in_blocks(df, *by).sortWithinPartitions(*by)
+        .withColumn("_at", F.monotonically_increasing_id().bitwiseAND(F.lit((1 << _PLACE_BITS) - 1))))
+    # one row per block from here on
+    every = Window.partitionBy()
+    blocks = placed.groupBy("_block").agg(
+        F.count(F.lit(1)).alias("_n"), F.min("_at").alias("_from"), *[F.sum(c).alias(f"{c}_total") for c in totals_of])
+    blocks = blocks.select(
+        F.col("_block").alias("_b"), (_before(F.col("_n"), Window.orderBy("_block")) - F.col("_from") + 1).alias("_add"),
+        F.sum("_n").over(every).alias("_all"), *[F.sum(f"{c}_total").over(every).alias(f"{c}_total") for c in totals_of])
+    return placed.join(blocks, F.col("_block") == F.col("_b")).select(
+        *df.columns, (F.col("_at") + F.col("_add")).alias(name), *([F.col("_all").alias(count)] if count else []),
+        *[f"{c}_total" for c in totals_of])
 
 
 def ntile_from_row_number(row_number: Column, n: Column, buckets: int) -> Column:
@@ -150,33 +71,72 @@ def ntile_from_row_number(row_number: Column, n: Column, buckets: int) -> Column
     ).cast("long")
 
 
-def ntile(df: DataFrame, buckets: int, order: str, key: str, name: str) -> DataFrame:
+def ntile(df: DataFrame, buckets: int, order: str, key: str, name: str, stage: Share = stage_until_exit) -> DataFrame:
     """NTILE(buckets) OVER (ORDER BY order, key); ``key`` must be unique."""
-    numbered = row_numbers(df, order, key, "_rn", count="_n")
+    numbered = row_numbers(df, order, key, "_rn", count="_n", stage=stage)
     return numbered.withColumn(name, ntile_from_row_number(F.col("_rn"), F.col("_n"), buckets)).drop("_rn", "_n")
 
 
-def percent_ranks(df: DataFrame, key: str | Sequence[str], components: dict[str, Column], suffix: str = "_pr") -> DataFrame:
+def percent_ranks(df: DataFrame, key: str | Sequence[str], components: dict[str, Column], suffix: str = "_pr",
+                  stage: Share = stage_until_exit) -> DataFrame:
     """PERCENT_RANK() OVER (ORDER BY c ASC NULLS LAST) for every component c.
 
     Returns ``key`` + one ``<name><suffix>`` double per component, one row per input row
     (``key`` must be unique).  Ties share a rank; NULL sorts last (rank = 1 + #non-NULL).
+    All components go through one range exchange, one after the other.
     """
     keys = [key] if isinstance(key, str) else list(key)
     names = list(components)
-    values = df.select(*keys, *[components[n].cast("double").alias(n) for n in names])
-    long = values.unpivot(keys, names, "_component", "_value")
-    placed = _attached(*_offsets(_salted(long, keys), "_value", F.lit(1).cast("long"), ["_component"], ["_salt"], False))
-    rank = F.when(F.col("_all") > 1, F.col("_before").cast("double") / (F.col("_all") - 1).cast("double")).otherwise(F.lit(0.0))
-    return placed.withColumn("_pr", rank).groupBy(*keys).agg(
-        *[F.max(F.when(F.col("_component") == n, F.col("_pr"))).alias(n + suffix) for n in names])
-
-
-def cumulative_share_desc(df: DataFrame, key: str, value: str, name: str = "cum_share", total: str = "total") -> DataFrame:
+    # -0.0 and 0.0 are one value
+    values = df.select(*keys, *[(components[n].cast("double") + F.lit(0.0)).alias(n) for n in names])
+    long = values.unpivot(keys, names, "_component", "_x").select(
+        *keys, F.array_position(F.array(*[F.lit(n) for n in names]), F.col("_component")).cast("int").alias("_component"),
+        F.struct(F.col("_x").isNull().alias("none"), F.coalesce("_x", F.lit(0.0)).alias("x")).alias("_value"))
+    local = Window.partitionBy("_component", "_block").orderBy("_value")
+    placed = stage(_in_blocks(long, F.col("_component"), F.col("_value"), *map(F.col, keys))
+                   .withColumn("_rank", F.rank().over(local).cast("long")))
+    # one row per component and block from here on
+    blocks = placed.groupBy("_component", "_block").agg(
+        F.count(F.lit(1)).alias("_n"), F.min("_value").alias("_lo"), F.max("_value").alias("_hi"), F.max("_rank").alias("_last"))
+    order = Window.partitionBy("_component").orderBy("_block")
+    run = Window.partitionBy("_component", "_hi").orderBy("_block")
+    blocks = (
+        blocks.withColumn("_run", F.sum(F.col("_n") - F.col("_last") + 1).over(run))  # rows of the last value up to here
+        .withColumn("_tied", F.when(F.lag("_hi").over(order) == F.col("_lo"), F.lag("_run").over(order)).otherwise(F.lit(0)))
+        .select(F.col("_component").alias("_c"), F.col("_block").alias("_b"), "_lo", "_tied",
+                _before(F.col("_n"), order).alias("_ahead"), F.sum("_n").over(Window.partitionBy("_component")).alias("_all")))
+    less = F.col("_ahead") + F.col("_rank") - 1 - F.when(F.col("_value") == F.col("_lo"), F.col("_tied")).otherwise(F.lit(0))
+    rank = F.when(F.col("_all") > 1, less.cast("double") / (F.col("_all") - 1).cast("double")).otherwise(F.lit(0.0))
+    ranked = placed.join(blocks, (F.col("_component") == F.col("_c")) & (F.col("_block") == F.col("_b")))
+    return ranked.withColumn("_pr", rank).groupBy(*keys).agg(
+        *[F.max(F.when(F.col("_component") == i, F.col("_pr"))).alias(n + suffix) for i, n in enumerate(names, 1)])
+
+
+def cumulative_share_desc(df: DataFrame, key: str, value: str, name: str = "cum_share", total: str = "total",
+                          position: str | None = None, stage: Share = stage_until_exit) -> DataFrame:
     """SUM(value) OVER (ORDER BY value DESC) / SUM(value) OVER () with the default RANGE
     frame: rows with equal value share one cumulative sum.  ``total`` is SUM(value) over all
-    rows; ``key`` spreads rows of equal value."""
-    placed = _attached(*_offsets(_salted(df, [key]), value, F.col(value), [], ["_salt"], True))
-    reached = F.col("_before") + F.coalesce(F.col("_tied"), F.lit(0))
-    return placed.select(
-        *df.columns, F.try_divide(reached.cast("double"), F.col("_all").cast("double")).alias(name), F.col("_all").alias(total))
+    rows; ``position`` names an optional column with ROW_NUMBER() OVER (ORDER BY value DESC, key);
+    ``key`` must be unique then."""
+    by = [F.col(value).desc_nulls_last(), F.col(key).asc_nulls_last()]
+    inside = Window.partitionBy("_block")
+    placed = stage(
+        _in_blocks(df, *by)
+        .withColumn("_sum", F.coalesce(F.sum(value).over(inside.orderBy(by[0])), F.lit(0)))
+        .withColumn("_at", F.row_number().over(inside.orderBy(*by)).cast("long")))
+    # one row per block from here on
+    blocks = placed.groupBy("_block").agg(
+        F.count(F.lit(1)).alias("_n"), F.sum(value).alias("_value"), F.min_by(value, "_at").alias("_lo"),
+        F.max_by(value, "_at").alias("_hi"), F.min_by("_sum", "_at").alias("_first"))
+    order, every = Window.orderBy("_block"), Window.partitionBy()
+    back = Window.partitionBy("_lo").orderBy(F.desc("_block"))
+    blocks = (
+        blocks.withColumn("_run", F.sum("_first").over(back))  # sum of the first value from here on
+        .withColumn("_tied", F.when(F.lead("_lo").over(order).eqNullSafe(F.col("_hi")) & (F.lead("_n").over(order) > 0),
+                                    F.lead("_run").over(order)).otherwise(F.lit(0)))
+        .select(F.col("_block").alias("_b"), "_hi", "_tied", _before(F.col("_value"), order).alias("_ahead"),
+                _before(F.col("_n"), order).alias("_rows"), F.sum("_value").over(every).alias("_all")))
+    reached = F.col("_ahead") + F.col("_sum") + F.when(F.col(value).eqNullSafe(F.col("_hi")), F.col("_tied")).otherwise(F.lit(0))
+    return placed.join(blocks, F.col("_block") == F.col("_b")).select(
+        *df.columns, F.try_divide(reached.cast("double"), F.col("_all").cast("double")).alias(name), F.col("_all").alias(total),
+        *([(F.col("_rows") + F.col("_at")).alias(position)] if position else []))

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from fulcrum.functions.numeric import coefficient_of_variation, ratio, round_half_up
 from fulcrum.operators.order_stats import ntile_from_row_number, percent_ranks, row_numbers
 from fulcrum.operators.volatility import demand_volatility, period_counts
-from fulcrum.sources.tables import Share, unshared
+from fulcrum.sources.tables import Share, stage_until_exit, unshared
 
 # Risk weights per percentile-ranked component (higher = worse), sum 1.
 RISK_WEIGHTS = {"late": 0.30, "cancel": 0.20, "badrev": 0.20, "freight": 0.15, "vol": 0.15}
@@ -39,16 +39,17 @@ def percentile_score(
     bucket: str = "risk_quintile",
     totals_of: tuple[str, ...] = (),
     share: Share = unshared,
+    stage: Share = stage_until_exit,
 ) -> DataFrame:
     """Rank every component over the rows of ``df`` (0 = best, 1 = worst, NULL worst),
     combine with ``weights`` into ROUND(100 * score, 1) and an NTILE bucket (ascending,
     ties broken by ``key``).  Returns df + ``<component>_pr`` + score + bucket, plus
     ``<col>_total`` (sum over all rows) for every column in ``totals_of``.  ``share`` keeps
-    what is read several times (the input, and the ranked rows)."""
+    the input, which is read twice; ``stage`` writes the ranked rows."""
     df = share(df)
     raw = weighted_score({n: F.col(n + "_pr") for n in components}, weights)
-    scored = share(df.join(percent_ranks(df, key, components), key, "inner").withColumn("_raw", raw))
-    numbered = row_numbers(scored, "_raw", key, "_rn", count="_n", totals_of=totals_of)
+    scored = df.join(percent_ranks(df, key, components, stage=stage), key, "inner").withColumn("_raw", raw)
+    numbered = row_numbers(scored, "_raw", key, "_rn", count="_n", totals_of=totals_of, stage=stage)
     return numbered.select(
         *df.columns,
         *[n_ + "_pr" for n_ in components],
@@ -154,10 +155,10 @@ def score_components() -> dict[str, Column]:
     }
 
 
-def supplier_percent_ranks(base: DataFrame, min_orders: int = MIN_ORDERS, share: Share = unshared) -> DataFrame:
+def supplier_percent_ranks(base: DataFrame, min_orders: int = MIN_ORDERS, stage: Share = stage_until_exit) -> DataFrame:
     """Component percent ranks over the *scored* population (orders >= min_orders)."""
-    scored = share(base.where(F.col("orders") >= F.lit(min_orders)))
-    return percent_ranks(scored, "supplier_id", score_components())
+    scored = base.where(F.col("orders") >= F.lit(min_orders))
+    return percent_ranks(scored, "supplier_id", score_components(), stage=stage)
 
 
 def supplier_scorecard(
@@ -165,13 +166,14 @@ def supplier_scorecard(
     min_orders: int = MIN_ORDERS,
     weights: dict[str, float] | None = None,
     share: Share = unshared,
+    stage: Share = stage_until_exit,
 ) -> DataFrame:
     """Scorecard of suppliers with >= min_orders orders: rates, revenue share of the scored
     population, ROUND(100 * weighted percentile score, 1) and risk quintile (1 = best)."""
     weights = RISK_WEIGHTS if weights is None else weights
     scored = base.where(F.col("orders") >= F.lit(min_orders))
     out = percentile_score(
-        scored, "supplier_id", score_components(), weights, RISK_BUCKETS, totals_of=("revenue",), share=share)
+        scored, "supplier_id", score_components(), weights, RISK_BUCKETS, totals_of=("revenue",), share=share, stage=stage)
     return out.select(
         "supplier_id",
         "orders",

@@ -82,11 +82,11 @@ class Pipeline:
             return stage_table(df, "shared")
 
     def category(self) -> DataFrame:
-        return marts.mart_category_risk(self.fact, share=self._stage)
+        return marts.mart_category_risk(self.fact, stage=self._stage)
 
     def scorecard(self) -> DataFrame:
         base = scoring.supplier_base(self.star.pairs, self.fact)
-        return scoring.supplier_scorecard(base, self.min_orders, share=self._stage)
+        return scoring.supplier_scorecard(base, self.min_orders, share=self._stage, stage=self._stage)
 
     def marts(self) -> dict[str, Callable[[], DataFrame]]:
         return {

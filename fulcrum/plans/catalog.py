@@ -1,7 +1,8 @@
 """Query catalogue: every named query as ``(spark, sf_dir) -> DataFrame``.
 
 Each query reads the driver tables through the adapter and builds one lazy plan from the
-operators: nothing is collected or staged, and no job runs before the caller's action.
+operators: nothing is collected, and no job runs before the caller's action, but where rows are
+ranked over the whole table: those stage a slim ranked table when the query is built.
 Names follow SURVEY §7.3.
 """
 
@@ -43,8 +44,7 @@ def _scorecard(spark, d, min_orders=scoring.MIN_ORDERS, extract: Callable = unsh
 
 
 def _percent_ranks(spark, d) -> DataFrame:
-    shared = Shared()
-    return shared.until(scoring.supplier_percent_ranks(_base(spark, d), share=shared.share))
+    return scoring.supplier_percent_ranks(_base(spark, d))
 
 
 def _region(spark, d) -> DataFrame:
@@ -52,14 +52,11 @@ def _region(spark, d) -> DataFrame:
 
 
 def _category(spark, d, extract: Callable = unshared) -> DataFrame:
-    shared = Shared()
-    return shared.until(extract(marts.mart_category_risk(_fact(spark, d), share=shared.share)))
+    return extract(marts.mart_category_risk(_fact(spark, d)))
 
 
 def _pareto_series(spark, d) -> DataFrame:
-    shared = Shared()
-    category = shared.share(marts.mart_category_risk(_fact(spark, d), share=shared.share))
-    return shared.until(insights.pareto_series(category))
+    return insights.pareto_series(marts.mart_category_risk(_fact(spark, d), position="position"))
 
 
 def _categories(src) -> DataFrame:

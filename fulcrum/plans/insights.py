@@ -13,7 +13,6 @@ from pyspark.sql import functions as F
 
 from fulcrum.functions.measures import flag_rate
 from fulcrum.functions.numeric import round_half_even, round_half_up
-from fulcrum.operators.order_stats import row_numbers
 
 # The order in which the summaries are shown.
 SUMMARY_ORDER = {
@@ -175,9 +174,9 @@ def category_top_labels(category: DataFrame, classes=AB_CLASSES, k: int = TOP_CA
 
 
 def pareto_series(category: DataFrame) -> DataFrame:
-    """Categories in descending revenue order with their 1-based position."""
-    pos = row_numbers(category, "revenue", "product_category", "position", descending=True)
-    return pos.select("position", "product_category", "revenue_share", "cum_revenue_share", "abc_class")
+    """Categories in descending revenue order with their 1-based position; ``category`` is the
+    mart with its ``position``."""
+    return category.select("position", "product_category", "revenue_share", "cum_revenue_share", "abc_class")
 
 
 # -------------------------------------------------------------------- suppliers

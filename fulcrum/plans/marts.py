@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from fulcrum.functions.measures import conditional_mean, conditional_sum, flag_rate, strict_flag_rate
 from fulcrum.functions.numeric import exact_mean, format_fixed, ratio
 from fulcrum.operators.pareto import pareto_abc
-from fulcrum.sources.tables import Share, unshared
+from fulcrum.sources.tables import Share, stage_until_exit
 
 # The headline KPI names, in published order.
 KPI_NAMES = (
@@ -176,14 +176,15 @@ def category_base(fact: DataFrame) -> DataFrame:
     )
 
 
-def mart_category_risk(fact: DataFrame, share: Share = unshared) -> DataFrame:
-    """Category risk with revenue share, Pareto cumulative share and ABC class."""
-    return category_risk_from_base(share(category_base(fact)))
+def mart_category_risk(fact: DataFrame, stage: Share = stage_until_exit, position: str | None = None) -> DataFrame:
+    """Category risk with revenue share, Pareto cumulative share and ABC class, and with the
+    1-based ``position`` in descending revenue order if one is asked for."""
+    return category_risk_from_base(category_base(fact), stage, position)
 
 
-def category_risk_from_base(base: DataFrame) -> DataFrame:
-    ranked = pareto_abc(base, "product_category", "revenue")
+def category_risk_from_base(base: DataFrame, stage: Share = stage_until_exit, position: str | None = None) -> DataFrame:
+    ranked = pareto_abc(base, "product_category", "revenue", position=position, stage=stage)
     return ranked.select(
         "product_category", "orders", F.col("revenue").cast("double").alias("revenue"), "avg_freight_ratio",
-        "late_rate", "bad_review_rate", "revenue_share", "cum_revenue_share", "abc_class",
+        "late_rate", "bad_review_rate", "revenue_share", "cum_revenue_share", "abc_class", *([position] if position else []),
     )

@@ -13,6 +13,7 @@ to ``stage_tables``' worker threads.
 
 from __future__ import annotations
 
+import atexit
 import contextlib
 import contextvars
 import uuid
@@ -101,6 +102,22 @@ def stage_table(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def stage_until_exit(df: DataFrame) -> DataFrame:
+    """Stage in the running scope if there is one, else in a folder that is deleted when the driver's
+    Python ends."""
+    if _ROOT.get() is None:
+        root = new_stage_root(df.sparkSession)
+        atexit.register(_drop_quietly, df.sparkSession, root)
+        with staging_scope(root):
+            return stage_table(df, "kept")
+    return stage_table(df, "kept")
+
+
+def _drop_quietly(spark: SparkSession, root: str) -> None:
+    with contextlib.suppress(Exception):  # the session may have ended
+        drop_stage_root(spark, root)
+
+
 def stage_tables(frames: dict[str, DataFrame]) -> list[DataFrame]:
     """Stage independent DataFrames as concurrent Spark jobs (one driver thread each), so
     their scans and shuffles share the cluster instead of running back to back."""
