@@ -1,9 +1,10 @@
 """Command line: ``python -m fulcrum build ...`` / ``python -m fulcrum validate ...``.
 
     build     raw CSV folder (or driver test tables) -> gate -> marts, fact and headline
-              JSON under --out; prints row counts and the formatted headline KPIs.
-    validate  run the fact_orders quality suite on an exported fact (Parquet); prints the
-              report and exits with status 1 if a critical rule fails.
+              JSON, published under --out as one set; prints row counts and the formatted
+              headline KPIs.
+    validate  run the fact_orders quality suite on the published fact of --out, or on an exported one
+              (--fact); prints the report and exits with status 1 if a critical rule fails.
 
 Use through ``spark-submit`` on a cluster (the session comes from its configuration) or
 directly with Python for a local run.
@@ -35,6 +36,8 @@ def build(args) -> int:
     result = run_pipeline(src, args.out, fmt=args.format)
     for name, rows in result["rows"].items():
         print(f"wrote {name:32s} ({rows:,} rows)")
+    if result.get("manifest"):
+        print(f"published as set {result['manifest']} of {args.out}")
     # a KPI without any row behind it is null: name the types instead of guessing them
     wide = spark.createDataFrame([result["headline"]], ", ".join(f"{k} double" for k in marts.KPI_NAMES))
     print("\n=== HEADLINE KPIs ===")
@@ -46,9 +49,12 @@ def build(args) -> int:
 def validate(args) -> int:
     from fulcrum.operators import quality
     from fulcrum.operators.star import FACT_ORDERS_DDL
+    from fulcrum.sources.published import Published
 
     spark = _session()
-    if args.format == "csv":
+    if args.out:
+        fact = Published(spark, args.out).read("fact_orders")
+    elif args.format == "csv":
         fact = spark.read.schema(FACT_ORDERS_DDL).option("header", True).csv(args.fact, enforceSchema=False)
     else:
         fact = spark.read.parquet(args.fact)
@@ -72,7 +78,9 @@ def main(argv: list[str] | None = None) -> int:
     b.add_argument("--out", required=True, help="output folder")
     b.add_argument("--format", default="csv", choices=["csv", "parquet"])
     v = sub.add_parser("validate", help="run the quality suite on an exported fact")
-    v.add_argument("--fact", required=True, help="exported fact_orders folder")
+    which = v.add_mutually_exclusive_group(required=True)
+    which.add_argument("--fact", help="exported fact_orders folder")
+    which.add_argument("--out", help="output folder of a build: its published fact_orders")
     v.add_argument("--format", default="parquet", choices=["csv", "parquet"])
     args = parser.parse_args(argv)
     return build(args) if args.command == "build" else validate(args)

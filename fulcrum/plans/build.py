@@ -1,7 +1,8 @@
 """End-to-end build: sources -> staged star -> data-quality gate -> marts -> sinks.
 
 The star (item roll-up and order fact) is materialised once as staged Parquet and every
-mart reads it; the quality gate runs on the fact *before* any mart is written.
+mart reads it; the quality gate runs on the fact *before* any mart is written.  All tables of a
+build are published at once or not at all.
 """
 
 from __future__ import annotations
@@ -15,6 +16,7 @@ from pyspark.sql import functions as F
 from fulcrum.operators import quality, scoring, star
 from fulcrum.plans import marts
 from fulcrum.sources.model import Sources
+from fulcrum.sources.published import Published, Table
 from fulcrum.sources.sinks import write_headline_json, write_table
 from fulcrum.sources.tables import drop_stage_root, new_stage_root, stage_table, staging_scope, submit_in_scope
 
@@ -123,39 +125,45 @@ class Pipeline:
 
 
 def run_pipeline(src: Sources, out_dir: str, fmt: str = "csv", parallelism: int = 4) -> dict:
-    """Build everything and write it under ``out_dir``; returns row counts and headline KPIs.
+    """Build everything and publish it under ``out_dir`` as one set (``sources.published``); returns row
+    counts, headline KPIs, the paths of the tables and the number of the manifest.
 
     Raises ``QualityGateError`` (before any mart is written) if a critical rule fails.  The
     marts only read the staged star, so they are written as up to ``parallelism``
-    concurrent jobs."""
-    out = out_dir.rstrip("/")
+    concurrent jobs.  If any of them fails, nothing is published: readers keep the former set."""
     with Pipeline(src) as p:
-        return _export(p, out, fmt, parallelism)
+        published = Published(p.spark, out_dir)
+        before = published.current_number()
+        version = published.new_version()
+        tables, headline = _export(p, version, fmt, parallelism)
+        number = published.publish(version, tables, after=before)
+    return {"rows": {n: t.rows for n, t in tables.items() if n != "headline_kpis"}, "headline": headline,
+            "paths": {n: t.path for n, t in tables.items()}, "manifest": number}
 
 
-def _export(p: Pipeline, out: str, fmt: str, parallelism: int) -> dict:
+def _export(p: Pipeline, out: str, fmt: str, parallelism: int) -> tuple[dict[str, Table], dict]:
     spark = p.spark
     report = quality.enforce(p.quality_report())
-    counts = {"dq_report": write_table(report, f"{out}/dq_report", fmt)}
     # the eleven KPIs are one aggregate row: compute it once, derive tall, wide and JSON
     kpis = marts.kpi_exec_wide(p.fact)
     wide = spark.createDataFrame(kpis.collect(), kpis.schema)
 
-    def export(name: str, build: Callable[[], DataFrame]) -> int:
-        if name == "fact_orders":
-            if fmt == "csv":  # all columns in the files, in published order
-                return write_table(build(), f"{out}/{name}", fmt)
-            return write_table(build(), f"{out}/{name}", fmt, partition_by=["order_month"], cluster_by=["order_id"])
-        df = build()
+    def export(name: str, build: Callable[[], DataFrame]) -> Table:
+        df, path = build(), f"{out}/{name}"
+        if name == "fact_orders" and fmt != "csv":  # a CSV fact keeps all columns in the files, in published order
+            # a partition column comes back as the last one
+            kept = df.select(*[c for c in df.columns if c != "order_month"], "order_month")
+            return Table(path, fmt, write_table(df, path, fmt, partition_by=["order_month"], cluster_by=["order_id"]), kept.schema.json())
         order = mart_sort_order(name)
-        return write_table(df.orderBy(*order) if order else df, f"{out}/{name}", fmt)
+        return Table(path, fmt, write_table(df.orderBy(*order) if order else df, path, fmt), df.schema.json())
 
-    jobs = dict(p.marts())
+    jobs = {"dq_report": lambda: report, **p.marts()}
     jobs["mart_exec_kpis_wide"] = lambda: wide
     jobs["mart_exec_kpis"] = lambda: marts.kpis_tall(wide)
     jobs["fact_orders"] = lambda: star.as_reference_types(p.fact)
     with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
         futures = {name: submit_in_scope(pool, export, name, build) for name, build in jobs.items()}
-        counts.update({name: f.result() for name, f in futures.items()})
+        tables = {name: f.result() for name, f in futures.items()}
     headline = write_headline_json(wide, f"{out}/headline_kpis")
-    return {"rows": counts, "headline": headline}
+    tables["headline_kpis"] = Table(f"{out}/headline_kpis", "json", 1, wide.schema.json())
+    return tables, headline

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 import __spark_entry__ as E
 from fulcrum.operators import quality, star
 from fulcrum.plans.build import MART_NAMES, Pipeline, run_pipeline
+from fulcrum.sources.published import Published
 from fulcrum.sources.testdata import from_driver_tables
 from tests.conftest import SF_SMALL
 
@@ -19,15 +20,15 @@ def test_run_pipeline_writes_every_mart(spark, tmp_path):
     out = str(tmp_path / "out")
     res = run_pipeline(from_driver_tables(spark, SF_SMALL), out)
     for name in MART_NAMES:
-        assert os.path.isdir(f"{out}/{name}")
-        assert res["rows"][name] == spark.read.option("header", True).csv(f"{out}/{name}").count()
+        assert os.path.isdir(res["paths"][name])
+        assert res["rows"][name] == spark.read.option("header", True).csv(res["paths"][name]).count()
     assert res["rows"]["mart_exec_kpis"] == 11 and res["rows"]["mart_exec_kpis_wide"] == 1
     assert res["rows"]["dq_report"] == 10
-    fact = spark.read.option("header", True).csv(f"{out}/fact_orders")
+    fact = spark.read.option("header", True).csv(res["paths"]["fact_orders"])
     assert fact.count() == res["rows"]["fact_orders"] == res["headline"]["total_orders"]
     assert set(fact.columns) == set(star.FACT_ORDERS_COLUMNS)
-    doc = [json.loads(line) for p in os.listdir(f"{out}/headline_kpis") if p.endswith(".json")
-           for line in open(f"{out}/headline_kpis/{p}")]
+    doc = [json.loads(line) for p in os.listdir(res["paths"]["headline_kpis"]) if p.endswith(".json")
+           for line in open(f"{res['paths']['headline_kpis']}/{p}")]
     assert doc == [res["headline"]]
 
 
@@ -51,7 +52,7 @@ def test_gate_raises_before_marts(spark, tmp_path):
 
     with pytest.raises(quality.QualityGateError):
         run_pipeline(replace(src, orders=dup), str(tmp_path / "gated"))
-    assert not os.path.exists(tmp_path / "gated" / "mart_exec_kpis")
+    assert not list((tmp_path / "gated").rglob("*mart_exec_kpis*")) and not list((tmp_path / "gated").rglob("*.json"))
 
 
 def _plan(df) -> str:
@@ -93,9 +94,10 @@ def test_views_serve_ad_hoc_sql(spark):
 
 def test_sink_writes_marts_in_published_order(spark, tmp_path):
     out = str(tmp_path / "sorted")
-    run_pipeline(from_driver_tables(spark, SF_SMALL), out, fmt="csv")
+    paths = run_pipeline(from_driver_tables(spark, SF_SMALL), out, fmt="csv")["paths"]
+
     def exported(name):
-        return spark.read.option("header", True).option("inferSchema", True).csv(f"{out}/{name}").collect()
+        return spark.read.option("header", True).option("inferSchema", True).csv(paths[name]).collect()
 
     months = [r.order_month for r in exported("mart_monthly")]
     assert months == sorted(months)
@@ -139,9 +141,11 @@ def test_cli_build_then_validate(spark, tmp_path, capsys):
     assert main(["build", "--testdata", SF_SMALL, "--out", out, "--format", "parquet"]) == 0
     printed = capsys.readouterr().out
     assert "HEADLINE KPIs" in printed and "total_orders" in printed
-    assert main(["validate", "--fact", f"{out}/fact_orders"]) == 0
-    printed = capsys.readouterr().out
-    assert "ExpectColumnValuesToBeUnique" in printed and "0 critical" in printed
+    path = Published(spark, out).manifest()["tables"]["fact_orders"].path
+    for which in (["--out", out], ["--fact", path]):
+        assert main(["validate", *which]) == 0
+        printed = capsys.readouterr().out
+        assert "ExpectColumnValuesToBeUnique" in printed and "0 critical" in printed
 
 
 def test_cli_prints_null_kpis(spark, tmp_path, capsys, monkeypatch):
