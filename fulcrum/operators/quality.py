@@ -1,7 +1,7 @@
 """Data-quality expectations as one Spark pass (C10).
 
 ``expect(df, rules)`` counts for every rule per value of the unique column, then over those
-values, so the data are read once (a second unique column adds a pass), and returns one row
+values, so the data are read once however many unique columns there are, and returns one row
 per rule:
 (expectation, column, critical, result, unexpected_pct).  ``summary`` condenses the report
 to one row and ``enforce`` raises when a critical rule failed — call it before writing marts.
@@ -111,30 +111,33 @@ def expect(df: DataFrame, rules=FACT_ORDERS_RULES, with_rows: bool = False) -> D
 
     The rule counts and the report are written as SQL expressions (one ``stack`` for the
     report), so building the plan costs a handful of calls whatever the number of rules."""
-    aggs = ["count(1) AS _rows"]
+    keys = list(dict.fromkeys(r.column for r in rules if r.kind == "unique"))
+    # with several unique columns every row is listed once per column, the rules counted on the first listing
+    first = "_tag = 0 AND " if len(keys) > 1 else ""
+    aggs = [f"count_if({first}true) AS _rows"]
     for i, r in enumerate(rules):
-        aggs.append(f"count({_ident(r.column)}) AS _nn{i}")
+        aggs.append(f"count_if({first}{_ident(r.column)} IS NOT NULL) AS _nn{i}")
         if r.kind != "unique":
-            aggs.append(f"count_if({_unexpected(r)}) AS _bad{i}")
+            aggs.append(f"count_if({first}({_unexpected(r)})) AS _bad{i}")
     names = [a.rsplit(" AS ", 1)[1] for a in aggs]
-    keys = list(dict.fromkeys(r.column for r in rules if r.kind == "unique"))
     if keys:
-        # the counts of all rules per key first, then over the keys: the data are read once
-        per_key = df.groupBy(F.col(keys[0]).alias("_key")).agg(*[F.expr(a) for a in aggs])
-        repeated = "coalesce(sum(CASE WHEN _key IS NOT NULL AND _rows > 1 THEN _rows END), 0)"
+        # the counts of all rules per key first, map-side, then over the keys: the data are read once, and a
+        # value of any unique column meets its like in one exchange
+        listed, tags = df, [F.lit(0).alias("_tag")]
+        if len(keys) > 1:
+            listed, tags = df.withColumn("_tag", F.explode(F.sequence(F.lit(0), F.lit(len(keys) - 1)))), [F.col("_tag")]
+        by = [F.when(F.col("_tag") == i, F.col(_ident(k))).alias(f"_key{i}") if len(keys) > 1 else F.col(_ident(k)).alias("_key0")
+              for i, k in enumerate(keys)]
+        per_key = listed.groupBy(*tags, *by).agg(F.expr("count(1) AS _in"), *[F.expr(a) for a in aggs])
         outer = [f"coalesce(sum({n}), 0) AS {n}" for n in names]
-        outer += [f"CAST({repeated} AS BIGINT) AS _bad{i}" for i, r in enumerate(rules) if r.kind == "unique" and r.column == keys[0]]
+        for i, r in enumerate(rules):
+            if r.kind == "unique":
+                k = keys.index(r.column)
+                repeated = f"_tag = {k} AND _key{k} IS NOT NULL AND _in > 1"
+                outer.append(f"CAST(coalesce(sum(CASE WHEN {repeated} THEN _in END), 0) AS BIGINT) AS _bad{i}")
         stats = per_key.agg(*[F.expr(a) for a in outer])
     else:
         stats = df.agg(*[F.expr(a) for a in aggs])
-    for key in keys[1:]:  # a further unique column needs a grouping of its own
-        dup = (
-            df.where(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > 1)
-            .agg(F.coalesce(F.sum("_n"), F.lit(0)).cast("long").alias("_dup"))
-        )
-        cols = [F.col("_dup").alias(f"_bad{i}") for i, r in enumerate(rules) if r.kind == "unique" and r.column == key]
-        merged = stats.unionByName(dup.select(*cols), allowMissingColumns=True)
-        stats = merged.agg(*[F.expr(f"max({c}) AS {c}") for c in merged.columns])
 
     entries = []
     for i, r in enumerate(rules):

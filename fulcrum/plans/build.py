@@ -7,7 +7,7 @@ build are published at once or not at all.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Collection
 from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import Column, DataFrame
@@ -31,14 +31,21 @@ MART_NAMES = (
 )
 
 
-# The row order each mart is exported in (sorting happens at the sink only).
+# The row order each mart is exported in: column, whether it falls, and the key that
+# breaks ties (sorting happens at the sink only).
+MART_ORDER = {
+    "mart_monthly": ("order_month", False, "order_month"),
+    "mart_region": ("orders", True, "region_state"),
+    "mart_product_risk": ("revenue", True, "product_category"),
+    "mart_supplier_scorecard": ("risk_score", True, "supplier_id"),
+}
+
+
 def mart_sort_order(name: str) -> list[Column]:
-    return {
-        "mart_monthly": [F.col("order_month").asc()],
-        "mart_region": [F.col("orders").desc(), F.col("region_state").asc()],
-        "mart_product_risk": [F.col("revenue").desc(), F.col("product_category").asc()],
-        "mart_supplier_scorecard": [F.col("risk_score").desc(), F.col("supplier_id").asc()],
-    }.get(name, [])
+    if name not in MART_ORDER:
+        return []
+    column, falls, key = MART_ORDER[name]
+    return [F.col(column).desc() if falls else F.col(column).asc(), *([F.col(key).asc()] if key != column else [])]
 
 
 # Staging view name per source role.
@@ -124,24 +131,25 @@ class Pipeline:
         return list(views)
 
 
-def run_pipeline(src: Sources, out_dir: str, fmt: str = "csv", parallelism: int = 4) -> dict:
+def run_pipeline(src: Sources, out_dir: str, fmt: str = "csv", parallelism: int = 4, only: Collection[str] | None = None) -> dict:
     """Build everything and publish it under ``out_dir`` as one set (``sources.published``); returns row
     counts, headline KPIs, the paths of the tables and the number of the manifest.
 
     Raises ``QualityGateError`` (before any mart is written) if a critical rule fails.  The
     marts only read the staged star, so they are written as up to ``parallelism``
-    concurrent jobs.  If any of them fails, nothing is published: readers keep the former set."""
+    concurrent jobs.  If any of them fails, nothing is published: readers keep the former set.
+    ``only`` names the tables to build, if not all are wanted."""
     with Pipeline(src) as p:
         published = Published(p.spark, out_dir)
         before = published.current_number()
         version = published.new_version()
-        tables, headline = _export(p, version, fmt, parallelism)
+        tables, headline = _export(p, version, fmt, parallelism, only)
         number = published.publish(version, tables, after=before)
     return {"rows": {n: t.rows for n, t in tables.items() if n != "headline_kpis"}, "headline": headline,
             "paths": {n: t.path for n, t in tables.items()}, "manifest": number}
 
 
-def _export(p: Pipeline, out: str, fmt: str, parallelism: int) -> tuple[dict[str, Table], dict]:
+def _export(p: Pipeline, out: str, fmt: str, parallelism: int, only: Collection[str] | None = None) -> tuple[dict[str, Table], dict]:
     spark = p.spark
     report = quality.enforce(p.quality_report())
     # the eleven KPIs are one aggregate row: compute it once, derive tall, wide and JSON
@@ -162,7 +170,7 @@ def _export(p: Pipeline, out: str, fmt: str, parallelism: int) -> tuple[dict[str
     jobs["mart_exec_kpis"] = lambda: marts.kpis_tall(wide)
     jobs["fact_orders"] = lambda: star.as_reference_types(p.fact)
     with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
-        futures = {name: submit_in_scope(pool, export, name, build) for name, build in jobs.items()}
+        futures = {name: submit_in_scope(pool, export, name, build) for name, build in jobs.items() if only is None or name in only}
         tables = {name: f.result() for name, f in futures.items()}
     headline = write_headline_json(wide, f"{out}/headline_kpis")
     tables["headline_kpis"] = Table(f"{out}/headline_kpis", "json", 1, wide.schema.json())

@@ -13,7 +13,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from fulcrum.operators import quality, scoring, star
-from fulcrum.plans import insights, marts
+from fulcrum.plans import exports, insights, marts
 from fulcrum.sources.tables import Shared, unshared
 from fulcrum.sources.testdata import from_driver_tables
 
@@ -137,3 +137,5 @@ QUERIES: dict[str, Query] = {
     "dq_report": _dq_report,
     "dq_summary": _dq_summary,
 }
+
+QUERIES |= exports.ordered_queries(QUERIES) | exports.QUERIES

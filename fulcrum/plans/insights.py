@@ -13,6 +13,8 @@ from pyspark.sql import functions as F
 
 from fulcrum.functions.measures import flag_rate
 from fulcrum.functions.numeric import round_half_even, round_half_up
+from fulcrum.operators.distinct import distinct_counts
+from fulcrum.operators.order_stats import row_numbers
 
 # The order in which the summaries are shown.
 SUMMARY_ORDER = {
@@ -30,6 +32,11 @@ def shown(name: str, summary: DataFrame) -> DataFrame:
     return summary.orderBy(way(column))
 
 
+def positioned(summary: DataFrame, column: str, falls: bool, key: str) -> DataFrame:
+    """``summary`` with the 1-based ``position`` of every row in its published order."""
+    return row_numbers(summary, column, key, "position", descending=falls)
+
+
 # Extract parameters (thresholds, limits, buckets, chart scale factors).
 REGION_MIN_ORDERS = 500
 REGION_TOP_LATE = 12
@@ -82,13 +89,10 @@ def late_relative_risk(fact: DataFrame) -> DataFrame:
 
 # --------------------------------------------------------------------- overview
 def fact_overview(fact: DataFrame) -> DataFrame:
-    return fact.agg(
-        F.count(F.lit(1)).alias("orders"),
-        F.count_distinct("primary_supplier_id").alias("suppliers"),
-        F.count_distinct("region_state").alias("regions"),
-        F.min("order_ts").alias("first_order"),
-        F.max("order_ts").alias("last_order"),
-    )
+    return distinct_counts(
+        fact, {"suppliers": "primary_supplier_id", "regions": "region_state"},
+        {"orders": (F.count(F.lit(1)), F.sum), "first_order": (F.min("order_ts"), F.min), "last_order": (F.max("order_ts"), F.max)},
+    ).select("orders", "suppliers", "regions", "first_order", "last_order")
 
 
 def status_distribution(fact: DataFrame) -> DataFrame:

@@ -107,13 +107,13 @@ def stage_until_exit(df: DataFrame) -> DataFrame:
     Python ends."""
     if _ROOT.get() is None:
         root = new_stage_root(df.sparkSession)
-        atexit.register(_drop_quietly, df.sparkSession, root)
+        atexit.register(drop_stage_root_quietly, df.sparkSession, root)
         with staging_scope(root):
             return stage_table(df, "kept")
     return stage_table(df, "kept")
 
 
-def _drop_quietly(spark: SparkSession, root: str) -> None:
+def drop_stage_root_quietly(spark: SparkSession, root: str) -> None:
     with contextlib.suppress(Exception):  # the session may have ended
         drop_stage_root(spark, root)
 

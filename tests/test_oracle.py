@@ -12,7 +12,7 @@ from fulcrum.plans.catalog import QUERIES
 from fulcrum.plans.oracle import QUERIES_SQL
 from tests.conftest import SF_SMALL
 
-TABLES = "region nation customer supplier part orders lineitem".split()
+TABLES = "region nation customer supplier part orders lineitem documents".split()
 
 
 @pytest.fixture(scope="module")

@@ -64,3 +64,41 @@ def test_two_unique_columns(spark):
     assert rows["a"].unexpected_pct == 66.667 and rows["b"].unexpected_pct == 50.0
     empty = quality.expect(df.where("false"), (quality.unique("a"),))
     assert [r.result for r in empty.collect()] == ["PASS"]
+
+
+def test_several_unique_columns_take_one_scan(spark, tmp_path):
+    rows = [(i % 7 if i % 5 else None, f"k{i % 11}", i, i % 3 == 0) for i in range(60)]
+    path = str(tmp_path / "t")
+    spark.createDataFrame(rows, "a int, b string, c long, d boolean").write.parquet(path)
+    rules = (quality.unique("a"), quality.unique("b"), quality.unique("c"), quality.not_null("a"),
+             quality.between("c", 5, 50), quality.in_set("d", [True]), quality.between("a", 1, None))
+    df = quality.expect(spark.read.parquet(path), rules, with_rows=True)
+    got = [(r.result, r.unexpected_pct, r.rows) for r in df.collect()]
+
+    def pct(bad, of):
+        return int(100.0 * bad / of * 1000 + 0.5) / 1000
+
+    a = [r[0] for r in rows if r[0] is not None]
+    want = [pct(sum(a.count(x) > 1 for x in a), len(a)), 100.0, 0.0, pct(60 - len(a), 60), pct(14, 60), pct(40, 60), pct(a.count(0), len(a))]
+    assert [g[1] for g in got] == want and {g[2] for g in got} == {60}
+    assert [g[0] for g in got] == ["FAIL", "FAIL", "PASS", "FAIL", "FAIL", "FAIL", "FAIL"]
+    plan = df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    assert plan.count("FileScan parquet") == 1
+    empty = quality.expect(spark.read.parquet(path).where("false"), rules[:2])
+    assert [r.result for r in empty.collect()] == ["PASS", "PASS"]
+
+
+def test_distinct_counts(spark):
+    from pyspark.sql import functions as F
+
+    from fulcrum.operators.distinct import distinct_counts
+    from fulcrum.plans.catalog import QUERIES
+
+    rows = [(i % 7 if i % 5 else None, f"k{i % 11}", float(i)) for i in range(60)]
+    df = spark.createDataFrame(rows, "a int, b string, c double")
+    totals = {"n": (F.count(F.lit(1)), F.sum), "lo": (F.min("c"), F.min), "hi": (F.max("c"), F.max)}
+    got = distinct_counts(df, {"as": "a", "bs": "b"}, totals).collect()
+    assert [tuple(r) for r in got] == [(7, 11, 60, 0.0, 59.0)]
+    assert [tuple(r) for r in distinct_counts(df.where("false"), {"as": "a", "bs": "b"}, totals).collect()] == [(0, 0, 0, None, None)]
+    plan = QUERIES["fact_overview"](spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
+    assert "Expand" not in plan
