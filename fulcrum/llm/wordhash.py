@@ -62,16 +62,25 @@ def _spans(start: np.ndarray, size: np.ndarray) -> np.ndarray:
 
 
 def distinct_ranges(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> tuple[pa.Array, np.ndarray]:
-    """(distinct byte strings in the ranges, which of them each range holds)."""
+    """(distinct byte strings in the ranges, which of them each range holds).  Ranges ascend and don't overlap."""
     size = (end - start).astype(np.int64)
     offsets = np.concatenate([[0], np.cumsum(size)]).astype(np.int64)
+    if len(start) and offsets[-1] == end[-1] - start[0]:  # one range begins where the last one ends
+        held = data[start[0]:end[-1]]
+    else:
+        edge = np.zeros(len(data) + 1, np.int8)
+        edge[start] += 1
+        edge[end] -= 1
+        held = data[np.cumsum(edge[:-1], dtype=np.int8).view(bool)]
     units = pa.Array.from_buffers(
-        pa.large_binary(), len(size), [None, pa.py_buffer(offsets), pa.py_buffer(data[_spans(start, size)])]).dictionary_encode()
+        pa.large_binary(), len(size), [None, pa.py_buffer(offsets), pa.py_buffer(np.ascontiguousarray(held))]).dictionary_encode()
     return units.dictionary, units.indices.to_numpy().astype(np.int64)
 
 
 def hashes_of(units: pa.Array) -> np.ndarray:
-    return np.fromiter(map(xxhash.xxh3_64_intdigest, units.to_pylist()), np.uint64, len(units))
+    data, offsets = _bytes_of(units)
+    raw, ends = data.tobytes(), offsets.tolist()
+    return np.array([xxhash.xxh3_64_intdigest(raw[a:b]) for a, b in zip(ends, ends[1:])], np.uint64)
 
 
 def _bytes_of(units: pa.Array) -> tuple[np.ndarray, np.ndarray]:
