@@ -13,9 +13,11 @@ and doc_id are not among them.
 The model is small and trained in the driver on at most TRAIN_DOCS labelled documents,
 chosen by hash; scoring is a map over all documents with the weights in the task's closure.
 
-Defined results: a text without words is a bag with one empty passage; documents without a
-label are only scored; if a document has several labels, the smallest counts; without
-labelled documents every score is 0.5; repeated rows score alike.
+Defined results: a text without words, null or empty, is a bag with one empty passage; very long texts
+are scored whole; documents without a label are only scored; if a document has several
+labels, the smallest counts, and of rows that share a doc_id the smallest text is learned from; without
+labelled documents every score is 0.5; repeated rows score alike; an empty table gives an empty
+result; other columns are not read, so their names don't matter.
 """
 
 from __future__ import annotations
@@ -30,8 +32,9 @@ from pyspark.sql import functions as F
 from fulcrum.llm import wordhash
 
 PASSAGE = 50
-#: Bound of the training sample (documents).
-TRAIN_DOCS = 6000
+#: Bounds of the training sample: documents, and passages of each (evenly spaced ones of a longer text;
+#: scoring always reads the whole text).
+TRAIN_DOCS, TRAIN_PASSAGES = 6000, 1024
 HIDDEN, ATTENTION, EPOCHS, RATE, SEED = 24, 16, 40, 0.01, 7
 CLIP, DECAY = 3.0, 1e-3
 
@@ -168,20 +171,24 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "quality", most: int
         .groupBy("doc_id").agg(F.min(label).alias("_y"))
         .orderBy(F.xxhash64("doc_id"), "doc_id").limit(most)
         .withColumnRenamed("doc_id", "_id"))
-    texts = (docs.select("doc_id", "text").join(F.broadcast(chosen), F.col("doc_id") == F.col("_id"))  # at most ``most`` rows
-             .select(F.col("doc_id").cast("string").alias("_id"), F.col("_y").cast("double").alias("_y"), "text"))
+    # one text per chosen id, map-side, before anything is encoded or collected
+    texts = (docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
+             .join(F.broadcast(chosen), F.col("doc_id") == F.col("_id"))  # at most ``most`` rows
+             .groupBy("_id", F.col("_y").cast("double").alias("_y")).agg(F.min("text").alias("text"))
+             .select(F.xxhash64("_id").alias("_h"), F.col("_id").cast("string").alias("_id"), "_y", "text"))
 
     def passages(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in wordhash.slices(batch, 2):
-                x, first = encode_passages(part.column(2))
-                blocks = [x[a:b].astype("<f4").tobytes() for a, b in zip(first, first[1:])]
-                yield pa.record_batch([part.column(0), part.column(1), pa.array(blocks, pa.binary())], ["id", "y", "x"])
-
-    rows = texts.mapInArrow(passages, "id string, y double, x binary").collect()
-    rows.sort(key=lambda r: (r.id, bytes(r.x)))
-    if len(rows) > most:  # repeated rows
-        rows = rows[:most]
+            for part in wordhash.slices(batch, 3):
+                x, first = encode_passages(part.column(3))
+                blocks = []
+                for a, b in zip(first, first[1:]):
+                    some = x[a:b] if b - a <= TRAIN_PASSAGES else x[np.linspace(a, b - 1, TRAIN_PASSAGES).astype(np.int64)]
+                    blocks.append(some.astype("<f4").tobytes())
+                yield pa.record_batch([part.column(0), part.column(1), part.column(2), pa.array(blocks, pa.binary())], ["h", "id", "y", "x"])
+
+    rows = texts.mapInArrow(passages, "h long, id string, y double, x binary").collect()
+    rows.sort(key=lambda r: (r.h, r.id))
     bags = [np.frombuffer(r.x, "<f4").reshape(-1, FEATURES) for r in rows]
     first = np.concatenate([[0], np.cumsum([len(b) for b in bags])]).astype(np.int64)
     x = np.concatenate(bags).astype(np.float64) if bags else np.zeros((0, FEATURES))
