@@ -10,15 +10,17 @@ serialized id arrays of a bounded sample.  A shard file holds
     footer   offset of the index, number of documents, magic
 
 so that one short document is read by one look at the index and one small frame, and a
-reader refuses a dictionary that is not the writer's.  Shards are ranges of doc_id; their
+reader refuses a dictionary that is not the writer's.  Shards are ranges of (doc_id, number of ids, hash of the
+frame), so rows that share a doc_id, or have none, are split like any others; the shards'
 order and the order inside them is the order of the whole.
 
 Encoding is the costly step.  It runs once, where the texts are read.  The tokenizer never
 joins across blanks, so the ids of a text are those of its words in turn; each distinct word
 of a slice of texts is looked up once, in a bounded table of the words seen before.
 
-Defined results: null texts are empty and hold only the end id; null doc_ids come first;
-rows that share a doc_id stand side by side; an empty table gives no shard and no row.
+Defined results: null and empty texts hold only the end id; very long texts are one frame each; null
+doc_ids come first; rows that share a doc_id stand side by side, fewer ids first (in one shard or in
+neighbouring ones); an empty table gives no shard and no row; other columns are not read.
 """
 
 from __future__ import annotations
@@ -49,8 +51,8 @@ INDEX = np.dtype([("doc_id", "<i8"), ("null", "u1"), ("offset", "<u8"), ("n", "<
 SAMPLE_DOCS, SAMPLE_IDS = 1000, 4096
 DICT_BYTES = 64 * 1024
 LEVEL = 3
-#: Documents per shard file.
-SHARD_DOCS = 16384
+#: Documents per shard file, and read at once.
+SHARD_DOCS, READ_DOCS = 16384, 4096
 #: Words remembered per worker.
 CACHE_WORDS = 2_000_000
 
@@ -189,7 +191,8 @@ def write_shards(docs: DataFrame, folder: str, scratch: Scratch, tokenizer: str,
         yield pa.record_batch([[shard], [path], [len(table)], [total]], ["shard", "path", "docs", "ids"])
 
     manifest = scratch.write(
-        frames.repartitionByRange(shards, "doc_id").sortWithinPartitions("doc_id", "n", "frame")
+        frames.withColumn("_hash", F.xxhash64("frame")).repartitionByRange(shards, "doc_id", "n", "_hash")
+        .sortWithinPartitions("doc_id", "n", "_hash", "frame").drop("_hash")
         .mapInArrow(write, "shard long, path string, docs long, ids long"), "manifest")
     scratch.remove(frames)
     return manifest
@@ -238,11 +241,14 @@ def read_shards(manifest: DataFrame, dictionary: bytes) -> DataFrame:
             for path, start in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 shard = ShardReader(path, dictionary)
                 n = shard.index["n"].astype(np.int64)
-                crc = [zlib.crc32(shard.ids(i).astype("<u4").tobytes()) for i in range(len(shard))]
-                yield pa.record_batch(
-                    [pa.array(shard.index["doc_id"], mask=shard.index["null"].astype(bool)),
-                     pa.array(start + np.cumsum(n) - n), pa.array(n), pa.array(crc, pa.int64())],
-                    ["doc_id", "start", "n_tokens", "ids_crc32"])
+                before = start + np.cumsum(n) - n
+                for at in range(0, len(shard), READ_DOCS):
+                    some = slice(at, at + READ_DOCS)
+                    crc = [zlib.crc32(shard.ids(i).astype("<u4").tobytes()) for i in range(at, min(at + READ_DOCS, len(shard)))]
+                    yield pa.record_batch(
+                        [pa.array(shard.index["doc_id"][some], mask=shard.index["null"][some].astype(bool)),
+                         pa.array(before[some]), pa.array(n[some]), pa.array(crc, pa.int64())],
+                        ["doc_id", "start", "n_tokens", "ids_crc32"])
 
     tasks = max(1, -(-manifest.count() // 4))
     return placed.select("path", "start").repartition(tasks).mapInArrow(

@@ -128,3 +128,19 @@ def test_no_pages(spark, scratch):
     archives = warc.write_archives(
         warc.deduplicated(pages, scratch), scratch.path("a"), scratch, warc.train_dictionary(pages))
     assert archives.count() == 0 and warc.read_archives(archives).count() == 0
+
+
+def test_a_hot_doc_id_spans_several_shards(make_docs, scratch, monkeypatch):
+    """All rows without an id or with one id: several shards hold them, and none is lost."""
+    monkeypatch.setattr(token_files, "SHARD_DOCS", 16)
+    monkeypatch.setattr(token_files, "READ_DOCS", 5)
+    tokenizer = Tokenizer.from_file(PATH)
+    some = [f"text number {i} " + "word " * (i % 7) for i in range(160)]
+    for ids in ([None] * 160, [7] * 160):
+        manifest, dictionary = token_files.token_files(
+            make_docs(some, ids=ids), scratch.path("tokens"), scratch, PATH)
+        assert manifest.count() > 4 and max(r.docs for r in manifest.collect()) < 80
+        rows = token_files.read_shards(manifest, dictionary).orderBy("start").collect()
+        want = sorted(len(tokenizer.encode(t, add_special_tokens=False).ids) + 1 for t in some)
+        assert [r.n_tokens for r in rows] == want and {r.doc_id for r in rows} == {ids[0]}
+        assert [r.start for r in rows] == [sum(want[:i]) for i in range(160)]
