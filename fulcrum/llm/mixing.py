@@ -14,9 +14,11 @@ row per block and source) give the offsets, so a source with a third of all rows
 over a third of the blocks.
 
 Defined results: null texts have size 0; size-0 documents take nothing; a source without any
-word has target 0 and is never emitted; rows that repeat (source, size, doc_id) are
+word has target 0 and is never emitted; the sources' own rows (one each, some 50 bytes) are ordered in one
+task, which is meant for up to some millions of sources; rows that repeat (source, size, doc_id) are
 interchangeable; null doc_ids come first.  Offsets are hashes of the source's name and the
-seed, so reruns agree on any number of partitions.  An empty table gives an empty result.
+seed, so reruns agree on any number of partitions.  Very long texts count whole.  An empty table gives an empty
+result; other columns are not read, and ``emit_copies`` returns them whatever their names.
 """
 
 from __future__ import annotations

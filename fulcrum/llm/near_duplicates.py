@@ -23,7 +23,9 @@ still compared whole.
 Defined results: a null text is the empty text; texts without a word are in a class only
 with equal texts; texts of fewer than five words are one shingle; a null doc_id belongs to
 its text's class like any other row, and never names a class that has another doc_id;
-repeated rows share a class.
+repeated rows share a class; very long texts are compared whole; of equal candidates for a class's name the
+smallest doc_id is it; an empty table gives an empty result; other columns are not read, and ``keep_one`` returns
+them as they are, whatever their names.
 """
 
 from __future__ import annotations

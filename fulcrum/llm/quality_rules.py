@@ -10,8 +10,8 @@ windows are found inside the row: 64-bit window hashes only rule out texts witho
 repeat (equal windows have equal hashes); the others sort their exact windows.
 
 Defined results: a null text counts as empty (no words, fails the minimum length);
-repeated rows each get their own ledger row; further columns are ignored; an empty table
-gives an empty ledger.
+repeated rows each get their own ledger row; very long texts are measured whole; a measurement that equals its
+limit passes; further columns are ignored; an empty table gives an empty ledger.
 """
 
 from __future__ import annotations

@@ -29,6 +29,12 @@ def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def quality_ablations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What every policy rejects with and without each of its rules, from the stored ledger."""
+    stored = Scratch(spark).write(quality_rules.rule_ledger(_table(spark, sf_dir, "documents")), "ledger")
+    return quality_rules.ablations(stored)
+
+
 def _count_of(kind: str):
     return lambda acc, k: acc + F.when(k == kind, 1).otherwise(0)
 
@@ -119,4 +125,5 @@ QUERIES = {
     "op11_licenses": op11_licenses,
     "op12_whitening": op12_whitening,
     "op13_collocations": op13_collocations,
+    "quality_ablations": quality_ablations,
 }

@@ -17,7 +17,10 @@ texts is encoded once, and those seen before come from a bounded table.  Charact
 piece become byte pieces.
 
 Defined results: null and empty texts have no ids and decode to the empty text; a space mark
-in a text reads as a space (as in the library), so such a text does not come back exactly.
+in a text reads as a space (as in the library), so such a text does not come back exactly; very long texts are
+encoded whole; where two ways to encode score alike the one found first stays, as in the library; repeated rows
+are encoded each; an empty table gives an empty result; of other columns only those that a function is told
+to keep are read.
 """
 
 from __future__ import annotations

@@ -14,8 +14,9 @@ exchanges that AQE can split at a hot host.
 
 Defined results: a null url, or one without ``://``, has an empty host and path, gets no
 rule, gives no link and is allowed; a link without a host points to its own host and counts
-for nothing; repeated rows count as often as they occur.  Mass of hosts without links
-returns to the seeds.
+for nothing; repeated rows count as often as they occur; a null or empty html has no link, and a very long
+one is read whole; equally long rules that fit are one rule; an empty table gives an empty result; other
+columns are not read.  Mass of hosts without links returns to the seeds.
 
 Ranks are carried as pages, not as shares: a host starts with its seed pages and gets the
 damped ranks of those that link to it, so a neighbourhood's ranks don't depend on the size

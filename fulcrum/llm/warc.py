@@ -13,7 +13,8 @@ can split.  Tasks then write one archive each.
 Defined results: a null html is the empty payload; a null page_id is larger than any other
 and leaves the page header out; of repeated rows (same page_id and payload) one is the
 response; a null url is written as ``urn:page:<page_id>``; control characters and spaces of
-a url are percent-encoded; an empty table gives no archive.
+a url are percent-encoded; very long pages are written whole; an empty table gives no archive; other columns
+are not read.
 """
 
 from __future__ import annotations

@@ -20,7 +20,7 @@ SF = "/root/testdata/sf0.001"
 def test_all_are_registered():
     names = set(__spark_entry__.queries())
     assert set(queries.QUERIES) | {"pipeline"} <= names and set(oracle.QUERIES_SQL) <= set(__spark_entry__.oracle_sql())
-    assert sorted(int(re.match(r"op(\d+)_", n)[1]) for n in queries.QUERIES) == list(range(1, 14))
+    assert sorted(int(m[1]) for n in queries.QUERIES if (m := re.match(r"op(\d+)_", n))) == list(range(1, 14))
 
 
 @pytest.mark.parametrize("name", sorted(oracle.QUERIES_SQL))
