@@ -54,12 +54,19 @@ c AS (SELECT *, (floor(shift + each * k) - floor(shift + each * (k - 1)))::INT A
 SELECT doc_id, size, source_size, target, size * copies AS taken, copies FROM c
 """
 
+#: A private key up to its END line, or the BEGIN line with its key lines.  (RE2 has no look-ahead: the last, short and
+#: unpadded line of a key without an END line isn't seen here.)
+_BETWEEN = r"""(?:[\s"''+,;>#*|]|\\[nrt]?)*"""
+_PEM = (r"-----BEGIN [A-Z ]*PRIVATE KEY-----(?:[^-]*(?:-{1,4}[^-]+)*-----+END [A-Z ]*PRIVATE KEY-----|"
+        rf"(?:{_BETWEEN}(?:Proc-Type|DEK-Info):[^\r\n\\]*)*(?:(?:{_BETWEEN}[A-Za-z0-9+/]{{16,}})+"
+        rf"(?:=+|{_BETWEEN}[A-Za-z0-9+/]+=+)?)?)")
+
 #: kind, expression, group that must be long enough, least length
 _SECRETS = [
     ("assign", r"""(?i)(password|passwd|secret|token|api_?key)["'']?\x20*[:=]\x20*["'']?([A-Za-z0-9+/_.=-]+)""", 2, 12),
     ("access", "AKIA[A-Z0-9]+", 0, 18),
     ("hex", "[0-9a-f]{16,}", 0, 16),
-    ("pem", "-----BEGIN [A-Z ]*PRIVATE KEY-----", 0, 0),
+    ("pem", _PEM, 0, 0),
     ("github", "gh[pousr]_[A-Za-z0-9]+", 0, 40),
     ("slack", "xox[abprs]-[A-Za-z0-9-]+", 0, 15),
     ("jwt", "eyJ[A-Za-z0-9_-]+[.]eyJ[A-Za-z0-9_-]+[.][A-Za-z0-9_-]+", 0, 30),
@@ -161,8 +168,20 @@ ranked AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a
 SELECT ranked.lang, rank, phrase, a, l, r, n, score FROM ranked JOIN n ON n.lang = ranked.lang WHERE rank <= 2000
 """
 
+ABLATIONS = f"""
+WITH ledger AS ({OP2}),
+policies(policy, mask) AS (VALUES ('base', 3), ('v1', 7), ('v2', 63)),
+rules(rule, bit) AS (VALUES ('too_few_words', 1), ('repeated_windows', 2), ('symbols', 4), ('duplicate_lines', 8),
+                            ('shouting', 16), ('word_length', 32))
+SELECT policy, rule, count(*) AS documents, count(*) FILTER (failed_bits & mask <> 0) AS rejected,
+       count(*) FILTER (failed_bits & mask = bit) AS only_this_rule,
+       count(*) FILTER (failed_bits & mask & ~bit <> 0) AS rejected_without
+FROM ledger, policies, rules WHERE mask & bit <> 0 GROUP BY policy, rule
+"""
+
 QUERIES_SQL = {
     "op2_quality_rules": OP2,
+    "quality_ablations": ABLATIONS,
     "op3_secrets": OP3,
     "op6_url_filter": OP6,
     "op9_mixing": OP9,

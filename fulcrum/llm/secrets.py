@@ -16,7 +16,8 @@ and running lengths of pieces and matches are the positions, in code points.
 
 Defined results: a null text is the empty text; a null doc_id has a key too; rows
 that share a doc_id share postings, and each is verified on its own text; no span gives the
-hash of the empty string; a private key's span holds its key lines and END line, so nothing of
+hash of the empty string; very long texts are scanned whole; spans that begin at one place stand in the rules'
+order; an empty table gives an empty result; other columns are kept if asked for, whatever their names; a private key's span holds its key lines and END line, so nothing of
 the key is left where spans are replaced.
 """
 
@@ -116,18 +117,48 @@ def _matches(rule: SecretRule, text: Column, look: Column) -> list[Column]:
     return [F.when(look, F.split(text, rule.pattern, -1)), each(0), each(rule.group)]
 
 
+def _let(value: Column, body) -> Column:
+    """``body(value)`` with ``value`` computed once, however often ``body`` names it."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
+def _chunks(items: Column) -> Column:
+    """An array in consecutive parts of about the square root of its length."""
+    size = F.greatest(F.lit(1), F.ceil(F.sqrt(F.size(items).cast("double"))).cast("int"))
+    return F.transform(F.sequence(F.lit(0), F.greatest(F.lit(1), F.ceil(F.size(items) / size).cast("int")) - F.lit(1)),
+                       lambda c: F.slice(items, c * size + F.lit(1), size))
+
+
+def _folded(items: Column, start: Column, made: str, step, after) -> Column:
+    """Array of what ``step(state, item)`` makes of each item (an array), where ``after(state, item)`` is the next state.
+
+    Growing one array item by item would copy it each time; here parts of root n items are built
+    on their own and joined, so n items cost about n * root n copied references."""
+    empty = F.array().cast(f"array<{made}>")
+    inner = lambda state, part: F.aggregate(
+        part, F.struct(state.alias("at"), empty.alias("out")),
+        lambda acc, x: F.struct(after(acc["at"], x).alias("at"), F.concat(acc["out"], step(acc["at"], x)).alias("out")))
+    outer = F.aggregate(
+        _chunks(items), F.struct(start.alias("at"), F.array().cast(f"array<array<{made}>>").alias("out")),
+        lambda acc, part: _let(inner(acc["at"], part), lambda done: F.struct(
+            done["at"].alias("at"), F.array_append(acc["out"], done["out"]).alias("out"))))
+    return F.flatten(_let(outer, lambda done: done["out"]))
+
+
+_SPAN = "struct<start:int,nr:int,end:int,kind:string>"
+
+
 def _spans(rule: SecretRule, order: int, pieces: Column, found: Column, judged: Column) -> Column:
     """Array of (start, order, end, kind) of the matches that are long enough."""
-    empty = F.array().cast("array<struct<start:int,nr:int,end:int,kind:string>>")
-    step = lambda acc, i: F.struct(
-        (acc["at"] + F.length(F.get(pieces, i)) + F.length(F.get(found, i))).alias("at"),
-        F.when(F.length(F.get(judged, i)) >= F.lit(rule.least), F.concat(acc["spans"], F.array(F.struct(
-            (acc["at"] + F.length(F.get(pieces, i))).alias("start"), F.lit(order).alias("nr"),
-            (acc["at"] + F.length(F.get(pieces, i)) + F.length(F.get(found, i))).alias("end"),
-            F.lit(rule.kind).alias("kind"))))).otherwise(acc["spans"]).alias("spans"))
-    start = F.struct(F.lit(0).alias("at"), empty.alias("spans"))
-    return F.when(F.size(found) > 0, F.aggregate(
-        F.sequence(F.lit(0), F.size(found) - F.lit(1)), start, step, lambda acc: acc["spans"])).otherwise(empty)
+    lengths = lambda texts: F.transform(texts, F.length)
+    sizes = F.arrays_zip(F.slice(lengths(pieces), F.lit(1), F.size(found)).alias("gap"), lengths(found).alias("size"),
+                         lengths(judged).alias("judged"))
+    span = lambda at, x: F.struct(
+        (at + x["gap"]).alias("start"), F.lit(order).alias("nr"), (at + x["gap"] + x["size"]).alias("end"), F.lit(rule.kind).alias("kind"))
+    empty = F.array().cast(f"array<{_SPAN}>")
+    return F.when(F.size(found) > 0, _let(sizes, lambda z: _folded(
+        z, F.lit(0), _SPAN, lambda at, x: F.when(x["judged"] >= F.lit(rule.least), F.array(span(at, x))).otherwise(empty),
+        lambda at, x: at + x["gap"] + x["size"]))).otherwise(empty)
 
 
 def scan(docs: DataFrame, scratch: Scratch, keep: tuple[str, ...] = ("doc_id",),
@@ -140,7 +171,8 @@ def scan(docs: DataFrame, scratch: Scratch, keep: tuple[str, ...] = ("doc_id",),
     vocabulary = index_vocabulary(rules)
     blocks = max(1, -(-docs.count() // BLOCK_ROWS))
     postings = trigram_index(keyed.select("_key", "_text"), vocabulary, scratch, blocks)
-    passing = candidates(postings, rules).withColumnRenamed("_key", "_c")
+    # written first: the join that brings them to the texts is planned by their real size
+    passing = scratch.write(candidates(postings, rules).withColumnRenamed("_key", "_c"), "candidates")
     joined = keyed.join(passing, F.col("_key") == F.col("_c"), "left")
     for i, rule in enumerate(rules):
         if rule.query is None:
@@ -162,15 +194,26 @@ def span_string(spans: Column) -> Column:
 
 
 def redact(text: Column, spans: Column) -> Column:
-    """``text`` with each span replaced by ``[kind]``; of overlapping spans the first counts."""
-    done = F.aggregate(
-        spans, F.struct(F.lit(0).alias("at"), F.lit("").alias("out")),
-        lambda acc, s: F.when(s["start"] >= acc["at"], F.struct(
-            s["end"].alias("at"),
-            F.concat(acc["out"], F.substring(text, acc["at"] + F.lit(1), s["start"] - acc["at"]),
-                     F.lit("["), s["kind"], F.lit("]")).alias("out")))
-        .otherwise(F.struct(F.greatest(acc["at"], s["end"]).alias("at"), acc["out"].alias("out"))),
-        lambda acc: F.concat(acc["out"], F.substring(text, acc["at"] + F.lit(1), F.length(text))))
+    """``text`` with each run of overlapping spans replaced by the first one's ``[kind]``.
+
+    The text is cut once per part of the spans and each span inside its own cut, as a look at a
+    place in a text costs what stands before it."""
+    kept = _folded(  # where a run begins, with the end of all spans before it
+        spans, F.lit(0), "struct<before:int,start:int,kind:string>",
+        lambda at, s: F.when(s["start"] >= at, F.array(F.struct(
+            at.alias("before"), s["start"].alias("start"), s["kind"].alias("kind"))))
+        .otherwise(F.array().cast("array<struct<before:int,start:int,kind:string>>")),
+        lambda at, s: F.greatest(at, s["end"]))
+
+    def cut(part: Column) -> Column:
+        """What stands before each run of the part, and the runs' kinds."""
+        begin = F.get(part, F.lit(0))["before"]
+        own = F.substring(text, begin + F.lit(1), F.element_at(part, -1)["start"] - begin)
+        return _let(own, lambda t: F.array_join(F.transform(part, lambda s: F.concat(
+            F.substring(t, s["before"] - begin + F.lit(1), s["start"] - s["before"]), F.lit("["), s["kind"], F.lit("]"))), ""))
+
+    end = F.array_max(F.transform(spans, lambda s: s["end"]))
+    done = F.concat(F.array_join(F.transform(_let(kept, _chunks), cut), ""), F.substring(text, end + F.lit(1), F.length(text)))
     return F.when(F.size(spans) > 0, done).otherwise(text)
 
 

@@ -114,3 +114,46 @@ def test_no_private_key_survives_redaction(make_docs, scratch):
     rows = S.scan(make_docs(texts), scratch).collect()
     for r in rows:
         assert [tuple(s) for s in r.spans] == spans_of(texts[r.doc_id])
+
+
+def test_thousands_of_matches(make_docs, scratch):
+    """Spans and redaction of a text with very many matches, and of a text of some MB."""
+    texts = ["deadbeefdeadbeef " * 16_000, "é deadbeefdeadbeef token=abcdefghijklmnop\n" * 3_000, "plain words " * 250_000 + KEY]
+    rows = {r.doc_id: r for r in S.scan(make_docs(texts), scratch).collect()}
+    for i, text in enumerate(texts):
+        assert [tuple(s) for s in rows[i].spans] == spans_of(text)
+    clean = {r.doc_id: r.text for r in S.redact_documents(make_docs(texts), scratch).collect()}
+    assert clean[0] == "[hex] " * 16_000 and clean[1] == "é [hex] [assign]\n" * 3_000
+    assert clean[2] == "plain words " * 250_000 + "[access]"
+
+
+def test_redaction_of_overlapping_spans(make_docs, scratch):
+    rng = random.Random(12)
+    parts = ["token=", "deadbeefdeadbeef", KEY, " ", "é", "abcdefghijklm", "\n", "😀", "secret: "]
+    texts = ["".join(rng.choice(parts) for _ in range(rng.randint(0, 60))) for _ in range(60)]
+    clean = {r.doc_id: r.text for r in S.redact_documents(make_docs(texts), scratch).collect()}
+    for i, text in enumerate(texts):
+        out, at = [], 0
+        for start, _, end, kind in spans_of(text):
+            if start >= at:
+                out += [text[at:start], f"[{kind}]"]
+            at = max(at, end)
+        assert clean[i] == "".join(out) + text[at:]
+
+
+def test_sql_knows_the_body_of_a_private_key(spark, make_docs, scratch, tmp_path):
+    import duckdb
+
+    from fulcrum.llm import oracle, queries
+
+    body = "\n".join("MIIEpAIBAAKCAQEA" + "a1B2" * 12 for _ in range(4))
+    texts = [f"-----BEGIN RSA PRIVATE KEY-----\n{body}\n-----END RSA PRIVATE KEY-----\nafter",
+             f"x = '-----BEGIN PRIVATE KEY-----\\n{body}==' tail", f"-----BEGIN PRIVATE KEY----- prose {body}", "two " + f"-----BEGIN EC PRIVATE KEY-----\n{body}\n-----END EC PRIVATE KEY-----\n" * 2,
+             "-----BEGIN CERTIFICATE-----\nabc", "-----BEGIN PRIVATE KEY-----"]
+    folder = tmp_path / "documents.parquet"
+    make_docs(texts).write.parquet(str(folder))
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW documents AS SELECT * FROM '{folder}/*.parquet'")
+    want = {r[0]: r[1] for r in con.execute(f"SELECT doc_id, spans FROM ({oracle.QUERIES_SQL['op3_secrets']})").fetchall()}
+    got = {r.doc_id: r.spans for r in queries.QUERIES["op3_secrets"](spark, str(tmp_path)).collect()}
+    assert got == want and "pem:0:" in got[0] and got[3].count("pem") == 2
