@@ -11,16 +11,25 @@ their rows by the exact inner product in double precision.  Rows here are distin
 vec_id and vector: repeats are dropped, map-side first, before anything is sampled or counted,
 and what a query needs is counted in vec_ids.
 
-Parts are split into blocks of about BLOCK_ROWS rows by hash of id and vector, and queries into chunks of
-about CHUNK_QUERIES, so a task holds one block and one chunk however many rows share a
-vector or a part; each block returns its best ``k`` per query, which a window merges.
+Parts grow in number with the table: a first cut into 32 to 128 parts, and where a part holds more than
+PART_ROWS rows, a second one of its own (graph, cut and network from a bounded sample of the
+part).  A leaf's probability is the product along its path.
+
+Leaves are split into blocks of about BLOCK_ROWS rows by hash of id and vector, and the queries that visit a
+leaf into chunks of about CHUNK_QUERIES, so a task holds one block and one chunk however many
+rows share a vector or a leaf; each block returns its best ``k`` per query, which a window merges.
+A row is copied once per chunk of the queries that visit its own leaf, and not at all if none does.
+So where a query finds its neighbours in a bounded number of leaves, what is shuffled grows with the
+table; vectors without any structure have to be looked at in a fixed share of all leaves, and
+then no partitioning helps (README).
 
 Defined results: a vector that is null, empty, zero or holds a null or a non-finite component
 takes no part, nor does one whose length isn't the table's most frequent (the smaller of
 two); a null vec_id takes no part; rows that share a vec_id count once, with their best
 score, and a query is never its own candidate under any of them; of several query rows with
 one vec_id the smallest vector is asked.  Ties go to the smaller vec_id.  Scores add the
-products in the order of the components, so equal vectors score equally everywhere.
+products in the order of the components, so equal vectors score equally everywhere.  An empty table gives an
+empty result; very long vectors are scored whole; other columns are not read.
 """
 
 from __future__ import annotations
@@ -40,7 +49,9 @@ PARTS, SLACK = 32, 1.05
 HIDDEN, EPOCHS, RATE, SEED = 128, 20, 2e-3, 11
 #: Probability that the visited parts hold, at least.
 MASS = 0.955
-BLOCK_ROWS, CHUNK_QUERIES = 2048, 1024
+BLOCK_ROWS, CHUNK_QUERIES = 8192, 4096
+#: Rows that a part is meant to hold, most parts of one cut, and entries of a score matrix at once.
+PART_ROWS, MOST_PARTS, ENTRIES = 16384, 128, 1 << 22
 
 
 def usable(vector: Column) -> Column:
@@ -155,40 +166,101 @@ def _matrix(column: pa.Array) -> np.ndarray:
     return column.flatten().to_numpy(zero_copy_only=False).reshape(len(column), -1)
 
 
-def train(vectors: DataFrame, most: int = SAMPLE_ROWS, parts: int = PARTS) -> Router:
-    sample = vectors.orderBy(F.xxhash64("id"), "id", "v").limit(most).toArrow()
-    return Router.fit(_matrix(sample.column("v")), parts)
+class Tree:
+    """One or two levels of routers; leaves are numbered part by part."""
 
+    def __init__(self, top: Router, below: dict[int, Router]):
+        self.top, self.below = top, below
+        sizes = [below[p].parts if p in below else 1 for p in range(top.parts)]
+        self.base = np.concatenate([[0], np.cumsum(sizes)]).astype(np.int64)
 
-def index_rows(vectors: DataFrame, router: Router, scratch: Scratch) -> DataFrame:
-    """(id, v, part) of every row."""
+    @property
+    def parts(self) -> int:
+        return int(self.base[-1])
 
+    def probabilities(self, x: np.ndarray) -> np.ndarray:
+        p = self.top.probabilities(x)
+        return np.concatenate([p[:, i:i + 1] * (self.below[i].probabilities(x) if i in self.below else 1.0)
+                               for i in range(self.top.parts)], axis=1)
+
+    def leaf(self, x: np.ndarray) -> np.ndarray:
+        """The most probable leaf of the most probable part."""
+        part = self.top.probabilities(x).argmax(axis=1)
+        leaf = self.base[part]
+        for i in np.unique(part):
+            if int(i) in self.below:
+                mine = part == i
+                leaf[mine] += self.below[int(i)].probabilities(x[mine]).argmax(axis=1)
+        return leaf
+
+
+def _sample(vectors: DataFrame, most: int) -> DataFrame:
+    return vectors.orderBy(F.xxhash64("id"), "id", "v").limit(most)
+
+
+def train(vectors: DataFrame, most: int = SAMPLE_ROWS, parts: int | None = None) -> Tree:
+    """Routers from bounded samples: ``most`` rows for the first cut, about as many of each large part."""
+    rows = vectors.count()
+    wanted = parts or int(np.clip(-(-rows // PART_ROWS), PARTS, MOST_PARTS))
+    top = Router.fit(_matrix(_sample(vectors, most).toArrow().column("v")), wanted)
+    if rows <= top.parts * PART_ROWS:
+        return Tree(top, {})
+    placed = vectors.select("id", "v").mapInArrow(_placed(Tree(top, {})), "id long, v array<double>, part int")
+    held = {r.part: r.n for r in placed.groupBy("part").agg(F.count(F.lit(1)).alias("n")).collect() if r.n > PART_ROWS}
+    every = F.array(*[F.lit(-(-held[p] // most) if p in held else 0) for p in range(top.parts)])
+    some = F.get(every, F.col("part"))
+    chosen = placed.where((some > 0) & (F.pmod(F.xxhash64("v", "id"), F.greatest(some, F.lit(1))) == 0))
+
+    def fit(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
+        part = key[0].as_py()
+        x = _matrix(table.sort_by([("id", "ascending")]).column("v"))
+        own = Router.fit(x, int(np.clip(-(-held[part] // PART_ROWS), 2, MOST_PARTS)))
+        return pa.table([[part], [[w.ravel().tolist() for w in own.weights]], [float(own.scale)]],
+                        pa.schema([("part", pa.int32()), ("weights", pa.list_(pa.list_(pa.float64()))), ("scale", pa.float64())]))
+
+    # at most 128 networks of bounded size
+    found = chosen.groupBy("part").applyInArrow(fit, "part int, weights array<array<double>>, scale double").collect()
+    below = {}
+    for r in found:
+        w1, b1, w2, b2 = (np.array(w) for w in r.weights)
+        if len(b2) > 1:
+            below[r.part] = Router([w1.reshape(-1, HIDDEN), b1, w2.reshape(HIDDEN, -1), b2], r.scale)
+    return Tree(top, below)
+
+
+def _placed(router: Tree):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            part = router.probabilities(_matrix(batch.column(1))).argmax(axis=1) if batch.num_rows else np.zeros(0)
-            yield pa.record_batch([*batch.columns, pa.array(part.astype(np.int32))], ["id", "v", "part"])
+            leaf = router.leaf(_matrix(batch.column(1))) if batch.num_rows else np.zeros(0)
+            yield pa.record_batch([*batch.columns, pa.array(leaf.astype(np.int32))], ["id", "v", "part"])
+
+    return run
+
 
-    return scratch.write(vectors.select("id", "v").mapInArrow(run, "id long, v array<double>, part int"), "index")
+def index_rows(vectors: DataFrame, router: Tree, scratch: Scratch) -> DataFrame:
+    """(id, v, part) of every row; a part is a leaf."""
+    return scratch.write(vectors.select("id", "v").mapInArrow(_placed(router), "id long, v array<double>, part int"), "index")
 
 
-def visits(queries: DataFrame, router: Router, ids_in: list[int], k: int, mass: float) -> DataFrame:
+def visits(queries: DataFrame, router: Tree, ids_in: list[int], k: int, mass: float) -> DataFrame:
     """(id, v, parts): the parts that each query visits; ``ids_in``: vec_ids per part, each
     counted in one part only."""
     held = np.array(ids_in)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            p = router.probabilities(_matrix(batch.column(1)))
-            order = np.argsort(-p, axis=1, kind="stable")
-            seen = np.cumsum(np.take_along_axis(p, order, axis=1), axis=1)
-            ids = np.cumsum(held[order], axis=1)
-            # one more id than asked for, as the query itself may be among them
-            n = np.minimum(((seen < mass) | (ids < k + 1)).sum(axis=1) + 1, p.shape[1])
-            yield pa.record_batch(
-                [*batch.columns, pa.array([o[:m].tolist() for o, m in zip(order, n)], pa.list_(pa.int32()))],
-                ["id", "v", "parts"])
+        rows = max(1, ENTRIES // router.parts)
+        for whole in batches:
+            for at in range(0, whole.num_rows, rows):
+                batch = whole.slice(at, rows)
+                p = router.probabilities(_matrix(batch.column(1)))
+                order = np.argsort(-p, axis=1, kind="stable")
+                seen = np.cumsum(np.take_along_axis(p, order, axis=1), axis=1)
+                ids = np.cumsum(held[order], axis=1)
+                # one more id than asked for, as the query itself may be among them
+                n = np.minimum(((seen < mass) | (ids < k + 1)).sum(axis=1) + 1, p.shape[1])
+                yield pa.record_batch(
+                    [*batch.columns, pa.array([o[:m].tolist() for o, m in zip(order, n)], pa.list_(pa.int32()))],
+                    ["id", "v", "parts"])
 
     return queries.mapInArrow(run, "id long, v array<double>, parts array<int>")
 
@@ -220,39 +292,45 @@ def best_of_block(qid: np.ndarray, q: np.ndarray, cid: np.ndarray, c: np.ndarray
     return qid[row[top]], cid[col[top]], score[top]
 
 
+def dealt(asked: DataFrame, index: DataFrame, rows_in: list[int]) -> tuple[DataFrame, DataFrame]:
+    """Queries and rows dealt over the cells (part, block, chunk) in which they meet; ``rows_in``: rows per part."""
+    visit = asked.select("id", "v", F.explode("parts").alias("part"))
+    coming = {r.part: r.n for r in visit.groupBy("part").agg(F.count(F.lit(1)).alias("n")).collect()}
+    of = lambda counts, size: F.get(F.array(*[F.lit(-(-n // size)) for n in counts]), F.col("part"))
+    blocks = F.greatest(of(rows_in, BLOCK_ROWS), F.lit(1))
+    chunks = of([coming.get(p, 0) for p in range(len(rows_in))], CHUNK_QUERIES)
+    hashed = lambda n, *cols: F.pmod(F.xxhash64(*cols), n).cast("int")
+    left = visit.withColumn("chunk", hashed(chunks, "id")).withColumn("block", F.explode(F.sequence(F.lit(0), blocks - 1)))
+    right = index.select("id", "v", "part").where(chunks > 0).withColumn("block", hashed(blocks, "id", "v")).withColumn(
+        "chunk", F.explode(F.sequence(F.lit(0), chunks - 1)))
+    return left, right
+
+
 def search(vectors: DataFrame, queries: DataFrame, scratch: Scratch, k: int = 20, mass: float = MASS,
-           router: Router | None = None) -> DataFrame:
+           router: Tree | Router | None = None) -> DataFrame:
     """query_id, rank (from 1), vec_id, score of each query's ``k`` nearest rows found.
     ``vectors`` and ``queries``: (id, v) from ``vectors_of``."""
     distinct = scratch.write(vectors.select("id", "v").dropDuplicates(), "distinct")
-    router = router or train(distinct)
+    router = Tree(router, {}) if isinstance(router, Router) else router or train(distinct)
     index = index_rows(distinct, router, scratch)
     scratch.remove(distinct)
     per = lambda rows: {r.part: r.n for r in rows.groupBy("part").agg(F.count(F.lit(1)).alias("n")).collect()}
     rows_in, ids_in = (
         [found.get(p, 0) for p in range(router.parts)]
         for found in (per(index), per(index.groupBy("id").agg(F.min("part").alias("part")))))
-    blocks = [max(1, -(-n // BLOCK_ROWS)) for n in rows_in]
     asked = scratch.write(
         visits(queries.groupBy("id").agg(F.min("v").alias("v")), router, ids_in, k, mass), "visits")
-    chunks = max(1, -(-asked.count() // CHUNK_QUERIES))
-    per_part = F.array(*[F.lit(b) for b in blocks])
-    hashed = lambda n, *cols: F.pmod(F.xxhash64(*cols), n).cast("int")
-    left = (
-        asked.select("id", "v", F.explode("parts").alias("part"), hashed(F.lit(chunks), "id").alias("chunk"))
-        .select("id", "v", "part", "chunk", F.explode(
-            F.sequence(F.lit(0), F.get(per_part, F.col("part")) - 1)).alias("block")))
-    right = index.select(
-        "id", "v", "part", F.explode(F.sequence(F.lit(0), F.lit(chunks - 1))).alias("chunk"),
-        hashed(F.get(per_part, F.col("part")), "id", "v").alias("block"))
+    left, right = dealt(asked, index, rows_in)
 
     def rerank(queries: pa.Table, rows: pa.Table) -> pa.Table:
         names = ["query_id", "vec_id", "score"]
         if not queries.num_rows or not rows.num_rows:
             return pa.table([pa.array([], pa.int64()), pa.array([], pa.int64()), pa.array([], pa.float64())], names)
-        best = best_of_block(queries.column("id").to_numpy(), _matrix(queries.column("v")),
-                             rows.column("id").to_numpy(), _matrix(rows.column("v")), k)
-        return pa.table([pa.array(x) for x in best], names)
+        qid, q = queries.column("id").to_numpy(), _matrix(queries.column("v"))
+        cid, c = rows.column("id").to_numpy(), _matrix(rows.column("v"))
+        some = max(1, ENTRIES // len(cid))
+        best = [best_of_block(qid[at:at + some], q[at:at + some], cid, c, k) for at in range(0, len(qid), some)]
+        return pa.table([pa.array(np.concatenate(x)) for x in zip(*best)], names)
 
     cell = ["part", "block", "chunk"]
     pairs = left.groupBy(*cell).cogroup(right.groupBy(*cell)).applyInArrow(

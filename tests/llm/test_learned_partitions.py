@@ -105,3 +105,65 @@ def test_visited_parts_hold_enough_ids(spark, scratch):
     vectors = L.vectors_of(table(spark, rows))
     got = L.search(vectors, vectors.where("id = 1"), scratch, k=20, mass=0.5, router=router)
     assert got.where("query_id = 1").count() == 20
+
+
+def many_clusters(rng, n, per=100, dim=16):
+    centre = 4 * rng.normal(size=(n // per, dim))
+    x = centre[rng.integers(0, n // per, n)] + 0.3 * rng.normal(size=(n, dim))
+    return x.astype(np.float32).astype(np.float64)
+
+
+def test_two_levels(spark, scratch, monkeypatch):
+    """Parts above PART_ROWS get a cut of their own: recall holds, and visiting all leaves is exact."""
+    monkeypatch.setattr(L, "PART_ROWS", 60)
+    monkeypatch.setattr(L, "PARTS", 4)
+    monkeypatch.setattr(L, "MOST_PARTS", 8)
+    rng = np.random.default_rng(2)
+    x = many_clusters(rng, 4000)
+    vectors = L.vectors_of(table(spark, [(i, v.tolist(), 1, 2) for i, v in enumerate(x)]))
+    router = L.train(vectors)
+    assert len(router.below) == router.top.parts == 8 and router.parts > 30
+    p = router.probabilities(x[:50])
+    assert p.shape == (50, router.parts) and np.allclose(p.sum(axis=1), 1)
+    asked = vectors.where(F.col("id") % 40 == 0)
+    hits = 0
+    got = L.search(vectors, asked, scratch, k=10, router=router).toPandas()
+    for q, rows in got.groupby("query_id"):
+        hits += len({i for i, _ in brute(range(4000), x, q, 10)} & set(rows.vec_id))
+    assert hits / (10 * got.query_id.nunique()) >= 0.9
+    exact = L.search(vectors, asked, scratch, k=10, router=router, mass=2.0).toPandas()
+    for q, rows in exact.groupby("query_id"):
+        rows = rows.sort_values("rank")
+        assert list(zip(rows.vec_id, rows.score)) == brute(range(4000), x, q, 10)
+
+
+def test_what_is_dealt_grows_with_the_table(spark, scratch, monkeypatch):
+    """Four times the rows and queries of clustered vectors: at most 4^1.1 times the copies."""
+    for name, value in (("PART_ROWS", 250), ("PARTS", 4), ("MOST_PARTS", 16), ("BLOCK_ROWS", 250), ("CHUNK_QUERIES", 25)):
+        monkeypatch.setattr(L, name, value)
+    copies = []
+    for n in (4000, 16000):
+        x = many_clusters(np.random.default_rng(3), n, per=200)
+        vectors = L.vectors_of(table(spark, [(i, v.tolist(), 1, 2) for i, v in enumerate(x)]))
+        router = L.train(vectors)
+        index = L.index_rows(vectors, router, scratch)
+        held = {r.part: r["count"] for r in index.groupBy("part").count().collect()}
+        rows_in = [held.get(p, 0) for p in range(router.parts)]
+        asked = L.visits(vectors.where(F.col("id") % 20 == 0), router, rows_in, 10, L.MASS)
+        copies.append(sum(df.count() for df in L.dealt(asked, index, rows_in)))
+    assert copies[1] <= copies[0] * 4 ** 1.1, copies
+
+
+@pytest.mark.parametrize("sf", ["sf0.01", "sf0.1"])
+def test_recall_on_the_given_tables(spark, sf):
+    """Every query id divisible by 100, against brute force."""
+    from fulcrum.llm import queries
+
+    rows = spark.read.parquet(f"/root/testdata/{sf}/embeddings.parquet").orderBy("vec_id").collect()
+    ids, x = [r.vec_id for r in rows], np.array([r.embedding for r in rows], float)
+    got = queries.QUERIES["op1_learned_partitions"](spark, f"/root/testdata/{sf}").where(F.col("query_id") % 100 == 0).toPandas()
+    hits = total = 0
+    for q, found in got.groupby("query_id"):
+        want = {i for i, _ in brute(ids, x, ids.index(q), 20)}
+        hits, total = hits + len(want & set(found.vec_id)), total + 20
+    assert total and hits / total >= 0.9
