@@ -14,7 +14,7 @@ links.  The steps:
    their bytes, not by hashes), unless links already join the two; again only spanning links leave a task.
 5. Components of the verified links are the classes.
 
-Buckets and families of more than CHUNK nodes are dealt over chunks by hash: first each chunk
+Buckets and families of more than CHUNK nodes, or of more text than CHUNK_WORDS, are dealt over chunks by hash: first each chunk
 with one common centre; where that leaves more than one component, all pairs of chunks,
 comparing across components only.  So no group has to fit in one task, the largest ones
 (many copies of one text) collapse to one component in the first pass, and the rest is
@@ -48,6 +48,8 @@ LEAST_AGREEING = 80
 #: Similarity as a fraction: 4 / 5.
 SIMILAR = (4, 5)
 CHUNK = 512
+#: Shingles of the texts of a chunk, about (a single longer text is a chunk of its own at most).
+CHUNK_WORDS = 500_000
 #: Pairs compared, and bytes of whole cells handled, at once.
 PAIRS, PART_BYTES = 20_000, 8 << 20
 
@@ -95,19 +97,21 @@ def _sketches(column: pa.Array) -> np.ndarray:
 
 
 def group_sizes(members: DataFrame, scratch: Scratch) -> DataFrame:
-    """(grp, n, centre) of the groups of more than one node."""
+    """(grp, n, weight, centre) of the groups of more than one node."""
     return scratch.write(
         members.groupBy("grp").agg(
-            F.count(F.lit(1)).alias("n"), F.min(F.struct(F.xxhash64("node").alias("h"), "node")).alias("c"))
-        .where(F.col("n") > 1).select(F.col("grp").alias("g"), "n", F.col("c.node").alias("centre")), "groups")
+            F.count(F.lit(1)).alias("n"), F.sum("weight").alias("weight"),
+            F.min(F.struct(F.xxhash64("node").alias("h"), "node")).alias("c"))
+        .where(F.col("n") > 1).select(F.col("grp").alias("g"), "n", F.col("weight").alias("w"), F.col("c.node").alias("centre")), "groups")
 
 
 def connect(members: DataFrame, payload: Callable[[DataFrame], DataFrame], columns: list[str], linked: Callable,
             scratch: Scratch, chunk: int = CHUNK) -> DataFrame:
-    """Spanning links (a, b) between the nodes of each group in ``members`` (grp, node) that
-    ``linked`` ties together.  ``payload`` adds the ``columns`` that ``linked`` reads."""
+    """Spanning links (a, b) between the nodes of each group in ``members`` (grp, node, and if the payload is
+    large its weight) that ``linked`` ties together.  ``payload`` adds the ``columns`` that ``linked`` reads."""
+    members = members if "weight" in members.columns else members.withColumn("weight", F.lit(0).cast("long"))
     sizes = group_sizes(members, scratch)
-    chunks = F.ceil(F.col("n") / chunk).cast("int")
+    chunks = F.greatest(F.ceil(F.col("n") / chunk), F.ceil(F.col("w") / CHUNK_WORDS)).cast("int")
     own = F.pmod(F.xxhash64("node", "grp"), F.col("chunks")).cast("int")
     placed = (members.join(sizes, F.col("grp") == F.col("g"))
               .withColumn("chunks", chunks).withColumn("own", own)
@@ -320,7 +324,8 @@ def text_classes(docs: DataFrame, scratch: Scratch) -> tuple[DataFrame, DataFram
         .groupBy(F.col("node").alias("_n")).agg(F.first("sketch").alias("sketch"), F.first("text").alias("text")),
         "family-texts")
     with_text = lambda df: df.join(texts, F.col("node") == F.col("_n")).drop("_n")
-    links = connect(families, with_text, ["sketch", "text"], overlapping, scratch)
+    weighed = families.join(nodes.select(F.col("node").alias("_n"), "weight"), F.col("node") == F.col("_n")).drop("_n")
+    links = connect(weighed, with_text, ["sketch", "text"], overlapping, scratch)
     roots = components(links, scratch).withColumnRenamed("node", "_n")
     classed = scratch.write(
         nodes.drop("sketch").join(roots, F.col("node") == F.col("_n"), "left")

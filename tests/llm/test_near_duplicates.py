@@ -148,3 +148,23 @@ def test_one_text_per_node(spark, make_docs, scratch, monkeypatch):
     assert sorted((r.doc_id is None, r.doc_id or 0, r.class_id) for r in got) == sorted(
         (i is None, i or 0, c) for i, c in zip(ids, classes(ids, texts)))
     assert written["family-texts"].count() == written["family-texts"].select("_n").distinct().count() == 4
+
+
+def test_families_of_long_texts_are_dealt_by_their_words(make_docs, scratch, monkeypatch):
+    """A handful of long texts is dealt over chunks like many short ones, and no link is lost."""
+    monkeypatch.setattr(N, "CHUNK_WORDS", 300)
+    rng = random.Random(21)
+    base = [f"w{rng.randrange(500)}" for _ in range(400)]
+    some = []
+    for i in range(14):
+        words = list(base)
+        for _ in range(4):
+            words[rng.randrange(400)] = f"x{i}"
+        some.append(" ".join(words))
+    some += [" ".join(f"y{rng.randrange(500)}" for _ in range(400)) for _ in range(3)]
+    sizes = []
+    real = N.group_sizes
+    monkeypatch.setattr(N, "group_sizes", lambda members, s: sizes.append(real(members, s)) or sizes[-1])
+    got = {r.doc_id: r.class_id for r in N.near_duplicates(make_docs(some), scratch).collect()}
+    assert [got[i] for i in range(17)] == classes(list(range(17)), some) and len(set(got.values())) < 17
+    assert any((r.w or 0) > 300 for r in sizes[-1].collect())
