@@ -64,8 +64,8 @@ ORDER_FLAGS = ("order_month", "is_delivered", "is_late", "is_canceled", "is_bad_
 
 
 def supplier_orders(pairs: DataFrame, orders: DataFrame) -> DataFrame:
-    """Distinct (supplier, order, month, flags), for orders in the order fact.  ``pairs`` is
-    the (order, supplier) roll-up, so only repeated rows of the fact need collapsing; that
+    """Distinct (supplier, order, month, flags), for orders in the order fact.  ``pairs`` are
+    distinct (order, supplier), so only repeated rows of the fact need collapsing; that
     happens on the order side, before the join."""
     distinct = orders.select("order_id", *ORDER_FLAGS).distinct()
     return pairs.select("supplier_id", "order_id").join(distinct, "order_id", "inner").select(
@@ -85,9 +85,10 @@ def supplier_volatility(sorders: DataFrame) -> DataFrame:
 
 def _order_summary(orders: DataFrame) -> DataFrame:
     """Per (order, month): sums over the distinct flag rows, and whether it is the order's first
-    month.  A sound fact has one row per order; repeated rows collapse here."""
+    month.  A sound fact has one row per order; repeated rows collapse here, then one exchange by
+    order serves both groupings and the join that follows."""
     delivered, late, reviewed = F.col("is_delivered"), F.col("is_late"), F.col("review_score").isNotNull()
-    per_month = orders.select("order_id", *ORDER_FLAGS).distinct().groupBy("order_id", "order_month").agg(
+    per_month = orders.select("order_id", *ORDER_FLAGS).distinct().repartition("order_id").groupBy("order_id", "order_month").agg(
         F.count(F.lit(1)).alias("_rows"),
         F.count_if(delivered & late).alias("_late"),
         F.count_if(delivered).alias("_delivered"),
@@ -99,34 +100,32 @@ def _order_summary(orders: DataFrame) -> DataFrame:
     return per_month.withColumn("_first", first).withColumnRenamed("order_id", "_oid")
 
 
-def supplier_base(pairs: DataFrame, orders: DataFrame) -> DataFrame:
+def supplier_base(pairs: DataFrame, orders: DataFrame, lines: DataFrame | None = None) -> DataFrame:
     """All suppliers with an order in the fact: distinct orders, revenue, freight (DECIMAL),
     freight burden, late / cancel / bad-review rates (region rule: NULL lateness counts as
-    not late) and volatility.
-
-    One pass: (order, supplier) pairs LEFT JOIN the orders' summary, aggregated to
-    (supplier, month) and then to supplier.  Rates are over the distinct (order, flags) rows,
-    as integer sums over integer counts (the same double as averaging 1.0/0.0); volatility
-    comes from exact monthly moments.  Revenue covers every item of the supplier, also items of
-    orders missing from the fact, and each pair counts once however often the fact repeats
-    its order."""
+    not late) and volatility.  ``pairs`` are distinct (order, supplier).
+
+    (order, supplier) pairs JOIN the orders' summary, aggregated to (supplier, month) and then to
+    supplier.  Rates are over the distinct (order, flags) rows, as integer sums over integer counts
+    (the same double as averaging 1.0/0.0); volatility comes from exact monthly moments.  Revenue and
+    freight are summed apart, from ``lines`` (``star.supplier_lines``; by default from columns of
+    ``pairs``), which needs no order: they cover every item of the supplier, also items of orders
+    missing from the fact, and count once however often the fact repeats an order."""
     parts = ("_rows", "_late", "_delivered", "_canceled", "_bad", "_reviewed")
-    so = pairs.join(_order_summary(orders), F.col("order_id") == F.col("_oid"), "left")
-    matched = F.col("_oid").isNotNull()
-    once = ~matched | F.col("_first")
-    monthly = so.groupBy("supplier_id", "order_month", matched.alias("_matched")).agg(
-        F.count_if(matched).alias("_n"),
-        F.count_if(matched & F.col("_first")).alias("_orders"),
-        F.sum(F.when(once, F.col("revenue"))).alias("_rev"),
-        F.sum(F.when(once, F.col("freight"))).alias("_fr"),
+    money = (pairs if lines is None else lines).groupBy(F.col("supplier_id").alias("_sid")).agg(
+        F.sum("revenue").alias("revenue"), F.sum("freight").alias("freight"))
+    links = pairs.where(F.col("supplier_id").isNotNull()).select("supplier_id", "order_id")
+    monthly = links.join(_order_summary(orders), F.col("order_id") == F.col("_oid")).groupBy("supplier_id", "order_month").agg(
+        F.count(F.lit(1)).alias("_n"),
+        F.count_if(F.col("_first")).alias("_orders"),
         *[F.sum(c).alias(c) for c in parts],
     )
-    n = F.when(F.col("_matched"), F.col("_n"))
+    n = F.col("_n")
     base = monthly.groupBy("supplier_id").agg(
-        F.sum("_orders").alias("orders"), F.sum("_rev").alias("revenue"), F.sum("_fr").alias("freight"),
+        F.sum("_orders").alias("orders"),
         *[F.sum(c).alias(c) for c in parts],
         F.count(n).alias("_k"), F.sum(n).alias("_s1"), F.sum(n * n).alias("_s2"),
-    ).where(F.col("supplier_id").isNotNull() & (F.col("orders") > 0))
+    ).where(F.col("orders") > 0).join(money, F.col("supplier_id") == F.col("_sid"), "left")
 
     def rate(num: str, den: str) -> Column:
         return F.when(F.col(den) > 0, F.col(num).cast("double") / F.col(den).cast("double"))

@@ -2,17 +2,18 @@
 
 Plan shape (what Catalyst gets to see):
 
-* Items are read once: ``order_supplier_rollup`` aggregates them to (order, supplier) with sums,
-  line count and the key of the most expensive line (a ``min`` over an ordering struct
-  instead of a row_number window), ``order_rollup`` reduces that to orders.  The struct makes
-  both levels sort aggregations; each reduces map-side, so an order or supplier holding a
-  third of all lines is collapsed before the shuffle.
-* The (order, supplier) level is also the de-duplicated supplier x order relation the
-  supplier scorecard needs, so the scorecard re-uses it instead of re-reading items.
+* ``order_rollup`` aggregates the items to orders in one shuffle: sums, line count and the key of
+  the most expensive line (a ``min`` over an ordering struct instead of a row_number window).  It
+  reduces map-side, so an order holding a third of all lines is collapsed before the shuffle.
+* What is distinct per (order, supplier) travels as bare keys (``order_suppliers``): the number of an
+  order's suppliers is counted from them, and the supplier scorecard joins them.  Money never goes
+  through that level: a supplier's is summed from its items (``supplier_lines``).
 * The product category is attached after the roll-up, at order grain (one row per order
   instead of one per item).  The order side (status, customer region, dates, review,
   flags) never touches items, so it is built independently and joined to the roll-up once
   on order id; when the star is staged the two halves are written by concurrent jobs.
+* Columns that follow from others of the same row (month, day differences, flags) are computed after
+  the joins, so no shuffle carries them.
 * Money is carried as DECIMAL (exact sums); ``as_reference_types`` renders the double
   columns of the published schemas.
 """
@@ -98,57 +99,65 @@ def fact_order_items(order_items: DataFrame, categories: DataFrame) -> DataFrame
 
 def _primary_line_key() -> F.Column:
     """Ordering struct for the primary line: price DESC NULLS LAST, then item id, supplier
-    and product ascending NULLS LAST; ``min`` of it is the first line of that order.  The
-    supplier and product ride along as the last fields (payload)."""
+    and product ascending NULLS LAST; ``min`` of it is the first line of that order."""
     rev, item, sup, prod = (F.col(c) for c in ("price", "order_item_id", "seller_id", "product_id"))
     return F.struct(
         rev.isNull().alias("k0"), (-rev).alias("k1"),
         item.isNull().alias("k2"), item.alias("k3"),
-        sup.isNull().alias("k4"), sup.alias("k5"),
+        sup.isNull().alias("k4"), sup.alias("supplier_id"),
         prod.isNull().alias("k6"), prod.alias("product_id"),
-        sup.alias("supplier_id"),
     )
 
 
 def order_supplier_rollup(order_items: DataFrame) -> DataFrame:
-    """(order_id, supplier_id) grain from one pass over the items: revenue, freight
-    (DECIMAL), line count, and the key of the best line (``best_line``).
-
-    The smallest key is a struct, which Spark keeps by sort aggregation: rows are sorted by
-    (order, supplier) inside each map task, reduced there, and merged after the one shuffle."""
+    """(order_id, supplier_id) grain: revenue, freight (DECIMAL), line count."""
     return order_items.groupBy("order_id", F.col("seller_id").alias("supplier_id")).agg(
         F.sum("price").alias("revenue"),
         F.sum("freight_value").alias("freight"),
         F.count(F.lit(1)).alias("n_items"),
-        F.min(_primary_line_key()).alias("best_line"),
     )
 
 
-def order_rollup(pairs: DataFrame) -> DataFrame:
-    """Order grain from the (order, supplier) roll-up: revenue, freight, n_items, n_suppliers
-    (distinct suppliers; a NULL supplier is not counted), and the supplier and product of the
-    most expensive line."""
-    best = F.min("best_line")
-    return pairs.groupBy("order_id").agg(
-        F.sum("revenue").alias("revenue"),
-        F.sum("freight").alias("freight"),
-        F.sum("n_items").alias("n_items"),
-        F.count("supplier_id").alias("n_suppliers"),
-        best.alias("_best"),
-    ).select(
-        "order_id", "revenue", "freight", "n_items", "n_suppliers",
+def order_suppliers(order_items: DataFrame) -> DataFrame:
+    """The distinct (order_id, supplier_id)."""
+    return order_items.select("order_id", F.col("seller_id").alias("supplier_id")).distinct()
+
+
+def supplier_lines(order_items: DataFrame) -> DataFrame:
+    """Money (DECIMAL) of every item with its supplier."""
+    return order_items.select(
+        F.col("seller_id").alias("supplier_id"), F.col("price").alias("revenue"), F.col("freight_value").alias("freight"))
+
+
+def order_rollup(order_items: DataFrame, links: DataFrame | None = None) -> DataFrame:
+    """Order grain: revenue, freight, n_items, n_suppliers (distinct suppliers; a NULL supplier is not
+    counted), and the supplier and product of the most expensive line.  ``links`` are the items'
+    ``order_suppliers``, if they are at hand."""
+    links = order_suppliers(order_items) if links is None else links
+    value = order_items.groupBy("order_id").agg(
+        F.sum("price").alias("revenue"),
+        F.sum("freight_value").alias("freight"),
+        F.count(F.lit(1)).alias("n_items"),
+        F.min(_primary_line_key()).alias("_best"),
+    )
+    known = F.col("order_id").isNotNull()
+    counts = links.where(known).groupBy(F.col("order_id").alias("_oid")).agg(F.count("supplier_id").alias("_n"))
+    # items without an order are one group of the roll-up, which no equality finds
+    unplaced = links.where(~known).agg(F.count("supplier_id")).scalar()
+    return value.join(counts, F.col("order_id") == F.col("_oid"), "left").select(
+        "order_id", "revenue", "freight", "n_items", F.when(known, F.col("_n")).otherwise(unplaced).alias("n_suppliers"),
         F.col("_best.supplier_id").alias("primary_supplier_id"),
         F.col("_best.product_id").alias("primary_product_id"),
     )
 
 
 def order_value(order_items: DataFrame) -> DataFrame:
-    return order_rollup(order_supplier_rollup(order_items)).select("order_id", "revenue", "freight", "n_items", "n_suppliers")
+    return order_rollup(order_items).select("order_id", "revenue", "freight", "n_items", "n_suppliers")
 
 
 def order_primary(order_items: DataFrame, categories: DataFrame) -> DataFrame:
     """(order_id, primary_supplier_id, primary_category)."""
-    return _with_primary_category(order_rollup(order_supplier_rollup(order_items)), categories).select(
+    return _with_primary_category(order_rollup(order_items), categories).select(
         "order_id", "primary_supplier_id", "primary_category")
 
 
@@ -182,14 +191,10 @@ FACT_ORDERS_DDL = (
 )
 
 
-def order_attributes(src: Sources) -> DataFrame:
-    """Order-side part of the fact (no item data): status, customer region, timestamps,
-    promised/delivered dates, review score, the day differences and the four flags."""
-    promised = F.col("order_estimated_delivery_date").cast("date")
-    delivered = F.col("order_delivered_customer_date").cast("date")
-    approved = F.col("order_approved_at").cast("date")
-    carrier = F.col("order_delivered_carrier_date").cast("date")
-    status = F.col("order_status")
+def order_side(src: Sources) -> DataFrame:
+    """What the order-side part of the fact (no item data) is derived from: status, customer region,
+    purchase timestamp, the days of the milestones and the review score."""
+    day = lambda c: F.col(c).cast("date")
     cust = src.customers.select("customer_id", F.upper(F.trim("customer_state")).alias("region_state"))
     joined = src.orders.join(order_review(src.reviews), "order_id", "left").join(cust, "customer_id", "left")
     return joined.select(
@@ -197,28 +202,37 @@ def order_attributes(src: Sources) -> DataFrame:
         "order_status",
         "region_state",
         F.col("order_purchase_timestamp").cast("timestamp_ntz").alias("order_ts"),
-        F.date_format(F.col("order_purchase_timestamp").cast("date"), MONTH_PATTERN).alias("order_month"),
-        promised.alias("promised_date"),
-        delivered.alias("delivered_date"),
+        day("order_estimated_delivery_date").alias("promised_date"),
+        day("order_delivered_customer_date").alias("delivered_date"),
+        day("order_approved_at").alias("approved_date"),
+        day("order_delivered_carrier_date").alias("carrier_date"),
         "review_score",
-        F.datediff(delivered, promised).cast("long").alias("delay_days"),
-        F.datediff(carrier, approved).cast("long").alias("handling_days"),
-        F.datediff(delivered, carrier).cast("long").alias("transit_days"),
-        ((status == "delivered") & F.col("order_delivered_customer_date").isNotNull()).alias("is_delivered"),
-        (status == "canceled").alias("is_canceled"),
-        (delivered > promised).alias("is_late"),
-        (F.col("review_score") <= 2).alias("is_bad_review"),
     )
 
 
-def assemble_fact(attributes: DataFrame, pairs: DataFrame, categories: DataFrame) -> DataFrame:
-    """Order fact = order attributes x order roll-up + the primary line's category.  Orders
-    whose revenue is NULL — no line item, or no priced line — are dropped (the filter runs on
-    the roll-up side, before the joins)."""
-    value = order_rollup(pairs).where(F.col("revenue").isNotNull())
-    joined = _with_primary_category(attributes.join(value, "order_id", "inner"), categories)
-    freight_ratio = F.when(F.col("revenue") > 0, ratio(F.col("freight"), F.col("revenue"))).alias("freight_ratio")
-    return joined.select(*[freight_ratio if c == "freight_ratio" else F.col(c) for c in FACT_ORDERS_COLUMNS])
+def derived_attributes() -> dict[str, F.Column]:
+    """The order month, the day differences and the four flags, from the columns of ``order_side``."""
+    promised, delivered, approved, carrier = (F.col(f"{c}_date") for c in ("promised", "delivered", "approved", "carrier"))
+    status = F.col("order_status")
+    return {
+        "order_month": F.date_format(F.col("order_ts").cast("date"), MONTH_PATTERN),
+        "delay_days": F.datediff(delivered, promised).cast("long"),
+        "handling_days": F.datediff(carrier, approved).cast("long"),
+        "transit_days": F.datediff(delivered, carrier).cast("long"),
+        "is_delivered": (status == "delivered") & delivered.isNotNull(),
+        "is_canceled": status == "canceled",
+        "is_late": delivered > promised,
+        "is_bad_review": F.col("review_score") <= 2,
+    }
+
+
+def assemble_fact(attributes: DataFrame, value: DataFrame, categories: DataFrame) -> DataFrame:
+    """Order fact = ``order_side`` x ``order_rollup`` + the primary line's category and the derived
+    columns.  Orders whose revenue is NULL — no line item, or no priced line — are dropped (the
+    filter runs on the roll-up side, before the joins)."""
+    joined = _with_primary_category(attributes.join(value.where(F.col("revenue").isNotNull()), "order_id", "inner"), categories)
+    derived = derived_attributes() | {"freight_ratio": F.when(F.col("revenue") > 0, ratio(F.col("freight"), F.col("revenue")))}
+    return joined.select(*[derived[c].alias(c) if c in derived else F.col(c) for c in FACT_ORDERS_COLUMNS])
 
 
 def as_reference_types(df: DataFrame) -> DataFrame:
@@ -232,7 +246,7 @@ class Star:
     """Star schema over one ``Sources``.
 
     ``materialize=False`` keeps everything lazy (one plan per consumer, Catalyst fuses it
-    with the mart on top).  ``materialize=True`` stages the (order, supplier) roll-up and the
+    with the mart on top).  ``materialize=True`` stages the distinct (order, supplier) and the
     order side as Parquet (two concurrent jobs), then the order fact — the way the facts are
     materialised once before the marts are computed; every consumer then starts from a scan
     instead of re-planning (and possibly re-running) the item roll-up.
@@ -241,16 +255,21 @@ class Star:
     def __init__(self, src: Sources, materialize: bool = False):
         self.src = src
         self.categories = dim_category(src.products, src.category_translation)
-        pairs = order_supplier_rollup(src.order_items)
-        attributes = order_attributes(src)
+        links = order_suppliers(src.order_items)
+        attributes = order_side(src)
         if materialize:
             # the item side and the order side are independent: two concurrent jobs
-            pairs, attributes = stage_tables({"order_supplier": pairs, "order_attributes": attributes})
-        self.pairs = pairs
-        orders = assemble_fact(attributes, pairs, self.categories)
+            links, attributes = stage_tables({"order_supplier": links, "order_side": attributes})
+        self.links = links
+        self.lines = supplier_lines(src.order_items)
+        orders = assemble_fact(attributes, order_rollup(src.order_items, links), self.categories)
         if materialize:
             (orders,) = stage_tables({"fact_orders": orders})
         self.orders = orders
 
+    @property
+    def pairs(self) -> DataFrame:
+        return order_supplier_rollup(self.src.order_items)
+
     def items(self) -> DataFrame:
         return fact_order_items(self.src.order_items, self.categories)

@@ -94,7 +94,7 @@ class Pipeline:
         return marts.mart_category_risk(self.fact, stage=self._stage)
 
     def scorecard(self) -> DataFrame:
-        base = scoring.supplier_base(self.star.pairs, self.fact)
+        base = scoring.supplier_base(self.star.links, self.fact, self.star.lines)
         return scoring.supplier_scorecard(base, self.min_orders, share=self._stage, stage=self._stage)
 
     def marts(self) -> dict[str, Callable[[], DataFrame]]:

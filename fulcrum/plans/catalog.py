@@ -35,7 +35,7 @@ def _fact(spark, d) -> DataFrame:
 
 def _base(spark, d) -> DataFrame:
     st = _star(spark, d)
-    return scoring.supplier_base(st.pairs, st.orders)
+    return scoring.supplier_base(st.links, st.orders, st.lines)
 
 
 def _scorecard(spark, d, min_orders=scoring.MIN_ORDERS, extract: Callable = unshared) -> DataFrame:
@@ -75,7 +75,7 @@ def _order_primary(spark, d) -> DataFrame:
 
 def _supplier_orders(spark, d) -> DataFrame:
     st = _star(spark, d)
-    return scoring.supplier_orders(st.pairs, st.orders)
+    return scoring.supplier_orders(st.links, st.orders)
 
 
 def _dq_report(spark, d) -> DataFrame:
