@@ -11,9 +11,10 @@ Plan shape (what Catalyst gets to see):
 * The product category is attached after the roll-up, at order grain (one row per order
   instead of one per item).  The order side (status, customer region, dates, review,
   flags) never touches items, so it is built independently and joined to the roll-up once
-  on order id; when the star is staged the two halves are written by concurrent jobs.
-* Columns that follow from others of the same row (month, day differences, flags) are computed after
-  the joins, so no shuffle carries them.
+  on order id.
+* Columns that follow from others of the same row (month, day differences, flags, freight ratio) are
+  computed after the joins, so no shuffle carries them; a staged fact holds its base columns
+  (``fact_base``), and its readers derive the rest (``derive_fact``).
 * Money is carried as DECIMAL (exact sums); ``as_reference_types`` renders the double
   columns of the published schemas.
 """
@@ -25,7 +26,7 @@ from pyspark.sql import functions as F
 
 from fulcrum.functions.numeric import ratio
 from fulcrum.sources.model import Sources
-from fulcrum.sources.tables import stage_tables
+from fulcrum.sources.tables import stage_table
 
 DAY_NAME_PATTERN = "EEEE"  # full English day name, e.g. Wednesday
 MONTH_PATTERN = "yyyy-MM"
@@ -196,22 +197,23 @@ def order_side(src: Sources) -> DataFrame:
     purchase timestamp, the days of the milestones and the review score."""
     day = lambda c: F.col(c).cast("date")
     cust = src.customers.select("customer_id", F.upper(F.trim("customer_state")).alias("region_state"))
-    joined = src.orders.join(order_review(src.reviews), "order_id", "left").join(cust, "customer_id", "left")
-    return joined.select(
+    orders = src.orders.select(
         "order_id",
+        "customer_id",
         "order_status",
-        "region_state",
         F.col("order_purchase_timestamp").cast("timestamp_ntz").alias("order_ts"),
         day("order_estimated_delivery_date").alias("promised_date"),
         day("order_delivered_customer_date").alias("delivered_date"),
         day("order_approved_at").alias("approved_date"),
         day("order_delivered_carrier_date").alias("carrier_date"),
-        "review_score",
     )
+    joined = orders.join(order_review(src.reviews), "order_id", "left").join(cust, "customer_id", "left")
+    return joined.select("order_id", "order_status", "region_state", *orders.columns[3:], "review_score")
 
 
 def derived_attributes() -> dict[str, F.Column]:
-    """The order month, the day differences and the four flags, from the columns of ``order_side``."""
+    """The order month, the day differences, the four flags and the freight ratio, from the columns of
+    ``fact_base``."""
     promised, delivered, approved, carrier = (F.col(f"{c}_date") for c in ("promised", "delivered", "approved", "carrier"))
     status = F.col("order_status")
     return {
@@ -223,16 +225,22 @@ def derived_attributes() -> dict[str, F.Column]:
         "is_canceled": status == "canceled",
         "is_late": delivered > promised,
         "is_bad_review": F.col("review_score") <= 2,
+        "freight_ratio": F.when(F.col("revenue") > 0, ratio(F.col("freight"), F.col("revenue"))),
     }
 
 
-def assemble_fact(attributes: DataFrame, value: DataFrame, categories: DataFrame) -> DataFrame:
-    """Order fact = ``order_side`` x ``order_rollup`` + the primary line's category and the derived
-    columns.  Orders whose revenue is NULL — no line item, or no priced line — are dropped (the
+def fact_base(attributes: DataFrame, value: DataFrame, categories: DataFrame) -> DataFrame:
+    """What the order fact is derived from: ``order_side`` x ``order_rollup`` + the primary line's
+    category.  Orders whose revenue is NULL — no line item, or no priced line — are dropped (the
     filter runs on the roll-up side, before the joins)."""
     joined = _with_primary_category(attributes.join(value.where(F.col("revenue").isNotNull()), "order_id", "inner"), categories)
-    derived = derived_attributes() | {"freight_ratio": F.when(F.col("revenue") > 0, ratio(F.col("freight"), F.col("revenue")))}
-    return joined.select(*[derived[c].alias(c) if c in derived else F.col(c) for c in FACT_ORDERS_COLUMNS])
+    return joined.drop("primary_product_id")
+
+
+def derive_fact(base: DataFrame) -> DataFrame:
+    """Order fact = ``fact_base`` with the derived columns."""
+    derived = derived_attributes()
+    return base.select(*[derived[c].alias(c) if c in derived else F.col(c) for c in FACT_ORDERS_COLUMNS])
 
 
 def as_reference_types(df: DataFrame) -> DataFrame:
@@ -246,26 +254,26 @@ class Star:
     """Star schema over one ``Sources``.
 
     ``materialize=False`` keeps everything lazy (one plan per consumer, Catalyst fuses it
-    with the mart on top).  ``materialize=True`` stages the distinct (order, supplier) and the
-    order side as Parquet (two concurrent jobs), then the order fact — the way the facts are
-    materialised once before the marts are computed; every consumer then starts from a scan
-    instead of re-planning (and possibly re-running) the item roll-up.
+    with the mart on top).  ``materialize=True`` stages the base of the order fact as Parquet, and
+    before it the distinct (order, supplier) if they are read again (``keep_links``: the scorecard
+    does) — the way the facts are materialised once before the marts are computed; every consumer
+    then starts from a scan instead of re-planning (and possibly re-running) the item roll-up.
+    What one job alone reads is not staged.
     """
 
-    def __init__(self, src: Sources, materialize: bool = False):
+    def __init__(self, src: Sources, materialize: bool = False, keep_links: bool = True):
         self.src = src
         self.categories = dim_category(src.products, src.category_translation)
         links = order_suppliers(src.order_items)
-        attributes = order_side(src)
-        if materialize:
-            # the item side and the order side are independent: two concurrent jobs
-            links, attributes = stage_tables({"order_supplier": links, "order_side": attributes})
+        if materialize and keep_links:
+            links = stage_table(links, "order_supplier")
         self.links = links
         self.lines = supplier_lines(src.order_items)
-        orders = assemble_fact(attributes, order_rollup(src.order_items, links), self.categories)
+        base = fact_base(order_side(src), order_rollup(src.order_items, links), self.categories)
         if materialize:
-            (orders,) = stage_tables({"fact_orders": orders})
-        self.orders = orders
+            base = stage_table(base, "fact_orders")
+        self.base = base
+        self.orders = derive_fact(base)
 
     @property
     def pairs(self) -> DataFrame:

@@ -62,15 +62,17 @@ STAGING_VIEWS = {
 
 
 class Pipeline:
-    """Star + marts over one ``Sources``, staged once in a folder of its own until ``close()``."""
+    """Star + marts over one ``Sources``, staged once in a folder of its own until ``close()``.
+    ``keep_links``: whether the scorecard will be asked for (it can be anyway, at the cost of one
+    more pass over the items)."""
 
-    def __init__(self, src: Sources, min_orders: int = scoring.MIN_ORDERS):
+    def __init__(self, src: Sources, min_orders: int = scoring.MIN_ORDERS, keep_links: bool = True):
         self.src = src
         self.min_orders = min_orders
         self.spark = src.orders.sparkSession
         self.stage_root = new_stage_root(self.spark)
         with staging_scope(self.stage_root):
-            self.star = star.Star(src, materialize=True)
+            self.star = star.Star(src, materialize=True, keep_links=keep_links)
 
     def close(self) -> None:
         """Delete every table this pipeline staged (DataFrames built from it become invalid)."""
@@ -139,7 +141,7 @@ def run_pipeline(src: Sources, out_dir: str, fmt: str = "csv", parallelism: int
     marts only read the staged star, so they are written as up to ``parallelism``
     concurrent jobs.  If any of them fails, nothing is published: readers keep the former set.
     ``only`` names the tables to build, if not all are wanted."""
-    with Pipeline(src) as p:
+    with Pipeline(src, keep_links=only is None or "mart_supplier_scorecard" in only) as p:
         published = Published(p.spark, out_dir)
         before = published.current_number()
         version = published.new_version()
@@ -161,7 +163,10 @@ def _export(p: Pipeline, out: str, fmt: str, parallelism: int, only: Collection[
         if name == "fact_orders" and fmt != "csv":  # a CSV fact keeps all columns in the files, in published order
             # a partition column comes back as the last one
             kept = df.select(*[c for c in df.columns if c != "order_month"], "order_month")
-            return Table(path, fmt, write_table(df, path, fmt, partition_by=["order_month"], cluster_by=["order_id"]), kept.schema.json())
+            month = star.derived_attributes()["order_month"].alias("order_month")
+            rows = write_table(p.star.base.select("*", month), path, fmt, partition_by=["order_month"], cluster_by=["order_id"],
+                               derive=lambda base: star.as_reference_types(star.derive_fact(base)))
+            return Table(path, fmt, rows, kept.schema.json())
         order = mart_sort_order(name)
         return Table(path, fmt, write_table(df.orderBy(*order) if order else df, path, fmt), df.schema.json())
 

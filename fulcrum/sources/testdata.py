@@ -77,14 +77,17 @@ def from_driver_tables(spark: SparkSession, sf_dir: str) -> Sources:
             "order_delivered_customer_date"
         ),
     )
-    orders_role = orders.select(
+    # what the role derives from an order's date and code is computed after the join, so no shuffle carries it
+    orders_role = orders.join(milestones, orders.o_orderkey == milestones.order_id, "left").select(
         F.col("o_orderkey").alias("order_id"),
         F.col("o_custkey").alias("customer_id"),
         _status(F.col("o_orderstatus")).alias("order_status"),
         F.col("o_orderdate").alias("order_purchase_timestamp"),
         F.col("o_orderdate").alias("order_approved_at"),
         (F.col("o_orderdate") + F.make_dt_interval(F.lit(PROMISE_DAYS))).alias("order_estimated_delivery_date"),
-    ).join(milestones, "order_id", "left")
+        "order_delivered_carrier_date",
+        "order_delivered_customer_date",
+    )
 
     price = F.col("l_extendedprice").cast("decimal(18,2)")
     items_role = lineitem.select(
